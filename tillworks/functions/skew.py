@@ -8,7 +8,6 @@ slices, or run windows inside bounded buckets whose carry-over is computed from
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -18,10 +17,6 @@ HOT_ROWS = 1_000_000
 SMALL_ROWS = 200_000
 
 
-def _same(left: DataFrame, right: DataFrame, pairs: Sequence[tuple[str, str]]) -> Column:
-    return reduce(lambda a, b: a & b, [left[a].eqNullSafe(right[b]) for a, b in pairs])
-
-
 def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     """Broadcast hint only after counting: beyond ``max_rows`` the join is left to the planner (shuffle, AQE skew split)."""
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
@@ -36,23 +31,19 @@ def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how:
     keys is at most total rows / hot_rows long, which bounds the broadcast.
     """
     keys = list(keys)
+    key = F.struct(*keys)  # struct equality: NULL parts match
     hot = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
            .filter(F.col("_n") > hot_rows)
-           .select(*[F.col(k).alias(f"_h_{k}") for k in keys],
-                   F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_slices")))
-    hot_r = hot.select(*[F.col(f"_h_{k}").alias(f"_r_{k}") for k in keys], F.col("_slices").alias("_slices_r"))
-    left = rows.join(F.broadcast(hot), _same(rows, hot, [(k, f"_h_{k}") for k in keys]), "left")
+           .select(key.alias("_hk"), F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_slices")))
+    left = rows.withColumn("_lk", key).join(F.broadcast(hot), F.col("_lk") == F.col("_hk"), "left")
     left = left.withColumn("_slice", F.when(F.col("_slices").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*(spread or rows.columns)), F.col("_slices")).cast("int")))
-    left = left.drop("_slices", *[f"_h_{k}" for k in keys])
-    right = per_key.select(*[F.col(k).alias(f"_k_{k}") for k in keys],
-                           *[c for c in per_key.columns if c not in keys])
-    right = right.join(F.broadcast(hot_r), _same(right, hot_r, [(f"_k_{k}", f"_r_{k}") for k in keys]), "left")
-    right = right.withColumn("_slice_k", F.explode(F.sequence(
-        F.lit(0), F.coalesce(F.col("_slices_r"), F.lit(1)) - 1))).drop("_slices_r", *[f"_r_{k}" for k in keys])
-    cond = _same(left, right, [(k, f"_k_{k}") for k in keys]) & (left["_slice"] == right["_slice_k"])
-    out = left.join(right, cond, how)
-    return out.drop("_slice", "_slice_k", *[f"_k_{k}" for k in keys])
+        F.pmod(F.xxhash64(*(spread or rows.columns)), F.col("_slices")).cast("int"))).drop("_hk", "_slices")
+    extra = [c for c in per_key.columns if c not in keys]
+    right = per_key.select(key.alias("_rk"), *extra).join(F.broadcast(hot), F.col("_rk") == F.col("_hk"), "left")
+    right = (right.withColumn("_slice_r", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)))
+             .drop("_hk", "_slices"))
+    cond = (F.col("_lk") == F.col("_rk")) & (F.col("_slice") == F.col("_slice_r"))
+    return left.join(right, cond, how).drop("_lk", "_rk", "_slice", "_slice_r")
 
 
 def with_group(rows: DataFrame, keys: Sequence[str], *aggs: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -84,20 +75,33 @@ def repeat_rows(df: DataFrame, times: str) -> DataFrame:
             .drop("_i", times))
 
 
+def bucket_offsets(df: DataFrame, keys: Sequence[str], bucket: str, value: Column) -> DataFrame:
+    """Per (key, bucket): ``_t`` = total, ``_before`` = total of the key's earlier buckets, ``_total`` = of the whole key.
+
+    The windows run over one row per bucket, so their partitions are as long as a key has buckets: keep that bounded.
+    """
+    total = df.groupBy(*keys, bucket).agg(F.sum(value).alias("_t"))
+    before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
+    return (total.withColumn("_before", F.coalesce(F.sum("_t").over(before), F.lit(0)))
+            .withColumn("_total", F.sum("_t").over(Window.partitionBy(*keys))))
+
+
+def join_buckets(df: DataFrame, per_bucket: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
+    """Join rows to their (key, bucket) facts; NULL keys match (struct equality)."""
+    cols = [*keys, bucket]
+    extra = [c for c in per_bucket.columns if c not in cols]
+    right = per_bucket.select(F.struct(*cols).alias("_rk"), *extra)
+    return df.withColumn("_lk", F.struct(*cols)).join(right, F.col("_lk") == F.col("_rk")).drop("_lk", "_rk")
+
+
 def running_sum(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column | str],
                 value: Column, name: str) -> DataFrame:
     """Inclusive running sum of ``value`` per key in (bucket, order).
 
     Rows are windowed per (key, bucket) only; what earlier buckets add comes from per-bucket totals, so the longest
-    sorted run is one bucket of one key. ``bucket`` must be a prefix of the order and deterministic.
+    sorted run is one bucket of one key. ``bucket`` must grow with the order and be deterministic.
     """
-    keys = list(keys)
-    total = (df.groupBy(*keys, bucket).agg(F.sum(value).alias("_t")))
-    before = Window.partitionBy(*keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    offset = total.select(*[F.col(k).alias(f"_p_{k}") for k in keys], F.col(bucket).alias("_p_bucket"),
-                          F.coalesce(F.sum("_t").over(before), F.lit(0)).alias("_before"))
-    pairs = [(k, f"_p_{k}") for k in keys] + [(bucket, "_p_bucket")]
+    offsets = bucket_offsets(df, keys, bucket, value).drop("_t", "_total")
     inside = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (df.join(offset, _same(df, offset, pairs), "inner")
-            .withColumn(name, F.sum(value).over(inside) + F.col("_before"))
-            .drop("_before", *[p for _, p in pairs]))
+    return (join_buckets(df, offsets, keys, bucket)
+            .withColumn(name, F.sum(value).over(inside) + F.col("_before")).drop("_before"))

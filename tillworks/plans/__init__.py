@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["summaries"]
+MODULES = ["summaries", "cleaning"]
 
 
 def load_all():
