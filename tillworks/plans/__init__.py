@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["summaries", "cleaning"]
+MODULES = ["summaries", "cleaning", "orders"]
 
 
 def load_all():

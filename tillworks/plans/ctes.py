@@ -130,3 +130,60 @@ def week(expr: str) -> str:
 
 def with_(*ctes: str) -> str:
     return "WITH " + ",\n".join(ctes) + "\n"
+
+
+LISTED = "('3', '77', '205')"
+NAME = "CASE payment_type WHEN 'GoFood' THEN 'Go Food' WHEN 'GrabFood' THEN 'Grab Food' WHEN 'ShopeeFood' THEN 'Shopee Food' WHEN 'Cash' THEN 'QPON' ELSE payment_type END"
+
+# documents unnested: dtx = transactions, ddet = details, dcombo = bundle components, dpromo/ddisc = promotions/discounts
+DOCS = f"""{RAW},
+dtx AS (SELECT *, {NAME} AS pay_name FROM raw WHERE order_id % 41 <> 7),
+ddet0 AS (
+  SELECT b.*, i, (order_id * 7 + i * 13) % 97 AS k, 1 + order_id % 4 AS n
+  FROM base b, LATERAL (SELECT unnest(range(1, 2 + b.order_id % 4)) AS i) u),
+ddet AS (
+  SELECT order_id, order_id * 10 + i AS order_detail_id, k, outlet_code, customer_id, fulfillment_status,
+         CASE WHEN k % 3 = 0 THEN 'comboset' WHEN k % 3 = 1 THEN 'standard' ELSE 'variant' END AS type,
+         CAST((order_id * 3 + i * 17) % 300 AS VARCHAR) AS product_id,
+         CASE WHEN k % 4 = 1 THEN '' WHEN k % 4 > 1 THEN 'M' || k END AS product_modifier_id,
+         CASE WHEN k % 13 = 0 THEN 0.0::DOUBLE ELSE CAST(k * 1000 AS DOUBLE) END AS base_price,
+         CAST(1 + k % 4 AS DOUBLE) AS quantity, total_amount / n AS total_order_amount,
+         CASE WHEN k % 29 <> 0 THEN CASE WHEN k % 5 = 0 THEN 11.0::DOUBLE ELSE 10.0::DOUBLE END END AS tax_percentage,
+         CAST(k * 10 AS DOUBLE) AS discount_order_amount
+  FROM ddet0),
+dcombo AS (
+  SELECT order_detail_id, j, CAST((k * 5 + j // 2) % 300 AS VARCHAR) AS product_id, 'C' || j AS product_sku, 'Part ' || k AS product_name,
+         CAST(1 + j % 2 AS DOUBLE) AS quantity
+  FROM ddet, LATERAL (SELECT unnest(range(1, 2 + ddet.k % 4)) AS j) u WHERE k % 3 = 0),
+dpromo AS (
+  SELECT order_detail_id, CASE k % 3 WHEN 1 THEN 100.0::DOUBLE ELSE 300.0::DOUBLE END AS promotion_amount,
+         CASE k % 3 WHEN 1 THEN 'P1' ELSE 'P1, P0' END AS promotion_id,
+         CASE k % 3 WHEN 1 THEN 'Promo 1' ELSE 'Promo 1-Promo 0' END AS promotion_name, 'T' AS promotion_type
+  FROM ddet WHERE k % 3 <> 0),
+ddisc AS (SELECT order_detail_id, CAST(k * 50 AS DOUBLE) AS discount_amount, 'D' || k AS discount_name FROM ddet WHERE k % 2 = 1)"""
+
+PAYMENTS = """pay0 AS (
+  SELECT *, transactions_type = 'sale' AS sale,
+         max(CASE WHEN transactions_type = 'sale' THEN tx_amount ELSE 0 END) OVER (PARTITION BY order_id) AS top,
+         sum(CASE WHEN transactions_type = 'sale' THEN 1 ELSE 0 END) OVER (PARTITION BY order_id ORDER BY pos) AS sale_rank
+  FROM {src}),
+pay1 AS (SELECT * FROM pay0 WHERE NOT (sale AND tx_amount <= 0 AND (top > 0 OR sale_rank > 1))),
+pay2 AS (
+  SELECT *, count(*) FILTER (WHERE sale) OVER (PARTITION BY order_id) AS n_sale,
+         CAST(sum(CAST(tx_amount AS DECIMAL(20,6))) FILTER (WHERE sale) OVER (PARTITION BY order_id) AS DOUBLE) AS sale_sum,
+         row_number() OVER (PARTITION BY order_id, sale ORDER BY tx_amount DESC, pos) AS best
+  FROM pay1),
+pay AS (
+  SELECT *, CASE WHEN sale AND n_sale > 1 THEN tx_amount / sale_sum ELSE 1.0::DOUBLE END AS share,
+         NOT (sale AND n_sale > 1 AND best > 1) AS takes_details FROM pay2)"""
+
+
+def payments(src: str) -> str:
+    return PAYMENTS.replace("{src}", src)
+
+
+PRODUCTS = """products AS (
+  SELECT CAST(p_partkey AS VARCHAR) AS product_id, CASE WHEN p_size % 10 = 0 THEN 'comboset' ELSE 'standard' END AS type,
+         CASE WHEN p_partkey % 23 = 0 THEN '' ELSE p_brand END AS sku,
+         CASE WHEN p_partkey % 17 = 0 THEN 0.0::DOUBLE ELSE p_retailprice END AS price, p_partkey AS pk FROM part),
+prices AS (SELECT product_id, price FROM products WHERE type <> 'comboset' AND sku <> '' AND price <> 0)"""

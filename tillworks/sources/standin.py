@@ -152,3 +152,89 @@ def slot_counts(spark: SparkSession, sf: str) -> DataFrame:
     return (table(spark, sf, "supplier").filter(bid < 18)
             .select(bid.cast("string").alias("bundling_id"),
                     (1 + bid % 3).cast("int").alias("bundling_slot_count")).distinct())
+
+
+# --- nested order documents -----------------------------------------------------------------------------------------
+
+LISTED = ["3", "77", "205"]
+PAYMENT_NAMES = {"GoFood": "Go Food", "GrabFood": "Grab Food", "ShopeeFood": "Shopee Food", "Cash": "QPON"}
+
+
+def order_documents(spark: SparkSession, sf: str) -> DataFrame:
+    """One document per order, built from the order's own key: 1-4 details, bundles of 1-4 components, 0-2 promotions.
+
+    Orders with id % 41 = 7 are unpaid (no transaction). Texts carry characters outside ASCII.
+    """
+    b = orders_base(spark, sf)
+    oid, total = F.col("order_id"), F.col("total_amount")
+    n = 1 + oid % 4
+    utc = F.col("transaction_date")
+    name = F.col("payment_type")
+    for short, spaced in PAYMENT_NAMES.items():
+        name = F.when(F.col("payment_type") == short, spaced).otherwise(name)
+
+    def tx(pos: int, kind: str, amount):
+        return F.struct((oid * 10 + pos).cast("string").alias("transaction_id"), utc.alias("transaction_date"),
+                        F.lit(kind).alias("type"), F.lit("success").alias("status"), F.lit("edc").alias("gateway"),
+                        name.alias("payment_type_name"), F.lit(0.0).alias("mdr"), amount.cast("double").alias("amount"))
+
+    split = oid % 10 == 0
+    pairs = F.array(
+        F.struct((oid % 41 != 7).alias("on"), tx(1, "sale", F.when(split, total * 0.6).otherwise(total)).alias("t")),
+        F.struct((split & (oid % 41 != 7)).alias("on"), tx(2, "sale", total * 0.4).alias("t")),
+        F.struct(((oid % 50 == 5) & (oid % 41 != 7)).alias("on"), tx(3, "sale", F.lit(0.0)).alias("t")),
+        F.struct(((oid % 37 == 0) & (oid % 41 != 7)).alias("on"), tx(4, "refund", total).alias("t")))
+    transactions = F.transform(F.filter(pairs, lambda p: p["on"]), lambda p: p["t"])
+
+    def detail(i):
+        k = (oid * 7 + i * 13) % 97
+        text = lambda c: c.cast("string")
+        kind = F.when(k % 3 == 0, fv.BUNDLE_TYPE).when(k % 3 == 1, "standard").otherwise("variant")
+        combos = F.when(k % 3 == 0, F.transform(F.sequence(F.lit(1).cast("bigint"), 1 + k % 4), lambda j: F.struct(
+            text((k * 5 + F.floor(j / 2)) % 300).alias("product_id"), F.concat(F.lit("C"), text(j)).alias("product_sku"),
+            F.concat(F.lit("Part "), text(k)).alias("product_name"), F.lit("-").alias("variant_name"),
+            (1 + j % 2).cast("double").alias("quantity"))))
+        promotions = F.when(k % 3 != 0, F.transform(F.sequence(F.lit(1).cast("bigint"), k % 3), lambda j: F.struct(
+            F.concat(F.lit("P"), text(j % 2)).alias("promotion_id"), F.concat(F.lit("Promo "), text(j % 2)).alias("promotion_name"),
+            F.lit("T").alias("promotion_type"), (j * 100).cast("double").alias("promotion_amount"))))
+        discounts = F.when(k % 2 == 1, F.array(F.struct(
+            F.concat(F.lit("D"), text(k)).alias("discount_name"), (k * 50).cast("double").alias("discount_amount"))))
+        return F.struct(
+            text(oid * 10 + i).alias("order_detail_id"), text((oid * 3 + i * 17) % 300).alias("product_id"),
+            F.concat(F.lit("Item "), text(k)).alias("product_name"), F.concat(F.lit("Generic "), text(k)).alias("product_generic_name"),
+            F.lit("food").alias("product_type"), F.lit("v").alias("product_variant_id"), F.lit("Hot").alias("product_variant_name"),
+            F.when(k % 4 == 1, "").when(k % 4 > 1, F.concat(F.lit("M"), text(k))).alias("product_modifier_id"),
+            F.lit("").alias("product_modifier_name"),
+            F.when(k % 10 == 0, F.concat(F.lit("MS"), text(k))).otherwise("").alias("modifier_product_sku"),
+            F.concat(F.lit("café "), text(k)).alias("notes"), F.concat(F.lit("S"), text(k)).alias("sku"),
+            F.col("fulfillment_status").alias("fulfillment_status"), kind.alias("type"), (1 + k % 4).cast("double").alias("quantity"),
+            F.when(k % 13 == 0, 0.0).otherwise((k * 1000).cast("double")).alias("base_price"),
+            (total / n).alias("total_order_amount"), F.lit(0.0).alias("additional_charge"), F.lit(0.0).alias("discount_percentage"),
+            (k * 10).cast("double").alias("discount_order_amount"), F.lit("yes").alias("taxable"),
+            F.when(k % 29 != 0, F.when(k % 5 == 0, 11.0).otherwise(10.0)).alias("tax_percentage"),
+            combos.alias("product_combos"), promotions.alias("promotions"), discounts.alias("discounts"))
+
+    lit = lambda v: F.lit(v).cast("string")
+    return b.select(
+        oid.cast("string").alias("order_id"), F.concat(F.lit("R"), oid.cast("string")).alias("order_reference"),
+        F.col("outlet_code").alias("outlet_id"), F.col("outlet_code").cast("int").cast("string").alias("outlet_code"),
+        F.concat(F.lit("NATION_"), F.col("outlet_code").cast("int").cast("string")).alias("outlet_name"),
+        "status", lit("pos").alias("channel"), lit("counter").alias("channel_detail"), "payment_status", "fulfillment_status",
+        lit("café").alias("notes"), F.col("customer_id").cast("string").alias("customer_id"),
+        F.concat(F.lit("Zoë "), F.col("customer_id").cast("string")).alias("customer_first_name"), lit(None).alias("customer_last_name"),
+        lit(None).alias("customer_phone_number"), lit(None).alias("customer_email"), lit("c1").alias("cashier_id"),
+        utc.alias("order_date"), utc.alias("closed_date"), *MONEY_COLUMNS, transactions.alias("transactions"),
+        F.transform(F.sequence(F.lit(1).cast("bigint"), n), detail).alias("order_details"))
+
+
+def products(spark: SparkSession, sf: str) -> DataFrame:
+    """Product master with bundle slot lists; some products are free or have no SKU."""
+    pk = F.col("p_partkey")
+    slots = F.transform(F.sequence(F.lit(1).cast("bigint"), 1 + pk % 5), lambda j: F.struct(
+        F.concat(F.lit("cat"), (j % 3).cast("string")).alias("category")))
+    return table(spark, sf, "part").select(
+        pk.cast("string").alias("product_id"),
+        F.when(F.col("p_size") % 10 == 0, fv.BUNDLE_TYPE).otherwise("standard").alias("type"),
+        F.when(pk % 23 == 0, "").otherwise(F.col("p_brand")).alias("sku"),
+        F.when(pk % 17 == 0, 0.0).otherwise(F.col("p_retailprice")).alias("price"),
+        F.when(F.col("p_size") % 10 == 0, slots).alias("bundles"))
