@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["summaries", "cleaning", "orders"]
+MODULES = ["summaries", "cleaning", "orders", "income"]
 
 
 def load_all():
