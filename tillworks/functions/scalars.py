@@ -25,6 +25,11 @@ def zero_pad(c, width: int = 5) -> Column:
     return F.when(F.length(s) >= width, s).when(signed, padded).otherwise(F.lpad(s, width, "0"))
 
 
+def strip(c) -> Column:
+    """Drop white space of any kind at both ends (``trim`` drops blanks only)."""
+    return F.btrim(col(c), F.lit(" \t\n\r\f\x0b"))
+
+
 def ascii_only(c) -> Column:
     """Drop every character outside ASCII."""
     return F.regexp_replace(col(c), r"[^\x00-\x7F]", "")
@@ -32,7 +37,7 @@ def ascii_only(c) -> Column:
 
 def null_like(c, words=("", "None", "nan", "null", "NULL")) -> Column:
     """Trim, then turn the words that stand for 'nothing' into NULL."""
-    t = F.trim(col(c))
+    t = strip(c)
     return F.when(~t.isin(*words), t)
 
 
@@ -43,12 +48,12 @@ def canonical_id(c) -> Column:
     whole = F.regexp_replace(F.regexp_replace(s, r"\.\d*$", ""), r"^0+(?=\d)", "")
     return (F.when(s.isNull(), F.lit("NaN"))
             .when(plain_number, F.when(whole == "", F.lit("0")).otherwise(whole))
-            .otherwise(F.trim(s)))
+            .otherwise(strip(s)))
 
 
 def identifier(c, default: str = "UNKNOWN") -> Column:
     """Runs of characters other than word characters and '-' become one '_'; outer '_' go; empty -> default."""
-    s = F.regexp_replace(F.trim(col(c)), r"(?U)[^\w\-]+", "_")
+    s = F.regexp_replace(strip(c), r"(?U)[^\w\-]+", "_")
     s = F.regexp_replace(F.regexp_replace(s, "_+", "_"), "^_|_$", "")
     return F.coalesce(F.nullif(s, F.lit("")), F.lit(default))
 
@@ -67,7 +72,7 @@ def to_number(c, missing=None) -> Column:
 
 def lookup(c, table: dict[str, str], default=None, fold: bool = False) -> Column:
     """Replace by a small fixed table; with ``fold`` the key is trimmed and compared case-insensitively."""
-    key = F.lower(F.trim(col(c))) if fold else col(c)
+    key = F.lower(strip(c)) if fold else col(c)
     out = None
     for k, v in table.items():
         hit = key == F.lit(k.strip().lower() if fold else k)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import col, lookup, money, money_sum, money_total
+from tillworks.functions.scalars import col, lookup, money, money_sum, money_total, strip
 from tillworks.functions.skew import with_group
 from tillworks.operators.summaries import paid_and_fulfilled
 
@@ -25,7 +25,7 @@ def completed_sales(headers: DataFrame, outlets: Iterable[str] | None = None) ->
 def normalize_payment_type(raw, table: dict[str, str] = fv.PAYMENT_TYPES) -> Column:
     """Official payment type: looked up trimmed and case-insensitively; unknown -> trimmed, NULL -> 'Unknown'."""
     raw = col(raw)
-    return F.when(raw.isNull(), F.lit(fv.UNKNOWN_PAYMENT_TYPE)).otherwise(F.coalesce(lookup(raw, table, fold=True), F.trim(raw)))
+    return F.when(raw.isNull(), F.lit(fv.UNKNOWN_PAYMENT_TYPE)).otherwise(F.coalesce(lookup(raw, table, fold=True), strip(raw)))
 
 
 def commission_rate(payment_type, rates: dict[str, float] = fv.COMMISSION_RATES) -> Column:

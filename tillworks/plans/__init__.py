@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["summaries", "cleaning", "orders", "income"]
+MODULES = ["summaries", "cleaning", "orders", "income", "riders"]
 
 
 def load_all():

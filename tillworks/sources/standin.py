@@ -238,3 +238,93 @@ def products(spark: SparkSession, sf: str) -> DataFrame:
         F.when(pk % 23 == 0, "").otherwise(F.col("p_brand")).alias("sku"),
         F.when(pk % 17 == 0, 0.0).otherwise(F.col("p_retailprice")).alias("price"),
         F.when(F.col("p_size") % 10 == 0, slots).alias("bundles"))
+
+
+# --- riders (events) ------------------------------------------------------------------------------------------------
+
+def _rider(c="user_id"):
+    return F.concat(F.lit("R"), F.lpad(F.col(c).cast("string"), 5, "0"))
+
+
+def stationed_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """Standing flags as text; sign-ups carry an unreadable flag."""
+    kind = F.col("event_type")
+    flag = F.when(kind.isin("view", "click"), "True").when(kind == "error", "false").when(kind == "purchase", "FALSE").otherwise("?")
+    return table(spark, sf, "events").select(F.col("event_id").alias("id"), _rider().alias("rider_code"), F.col("ts").alias("timestamp"),
+                                             flag.alias("is_stationed"))
+
+
+def shifts(spark: SparkSession, sf: str) -> DataFrame:
+    """One shift per rider and day from first to last event (stored 7 hours earlier); users with id % 7 = 0 have none, those
+    with id % 11 = 0 stay 3 hours longer, past midnight."""
+    e = table(spark, sf, "events").filter(F.col("user_id") % 7 != 0)
+    hours = lambda n: F.expr(f"INTERVAL {n} HOURS")
+    df = e.groupBy("user_id", F.to_date("ts").alias("date")).agg(F.min("ts").alias("a"), F.max("ts").alias("b"), F.min("event_id").alias("id"))
+    return df.select("id", _rider().alias("rider_code"), "date", (F.col("a") - hours(7)).alias("checkin"),
+                     F.when(F.col("user_id") % 11 == 0, F.col("b") - hours(4)).otherwise(F.col("b") - hours(7)).alias("checkout"))
+
+
+def reverse_requests(spark: SparkSession, sf: str) -> DataFrame:
+    return shifts(spark, sf).select(F.col("id").alias("shift_id"), (F.col("checkout") - F.expr("INTERVAL 10 MINUTES")).alias("reverse_request_at"),
+                                    F.when(F.col("id") % 3 != 0, "APPROVED").otherwise("REJECTED").alias("status"))
+
+
+def rider_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """Purchases as rider sales, up to two hours late so that some fall outside the shift."""
+    eid, uid = F.col("event_id"), F.col("user_id")
+    return table(spark, sf, "events").filter(F.col("event_type") == "purchase").select(
+        eid.alias("id"), _rider().alias("rider_code"), F.concat(F.lit("Rider "), uid.cast("string")).alias("rider_name"),
+        F.concat(F.lit("HB"), (uid % 25).cast("string")).alias("hub_code"), F.to_date("ts").alias("transaction_date"),
+        (F.col("ts") - F.expr("INTERVAL 7 HOURS") + F.make_dt_interval(hours=(eid % 3).cast("int"))).alias("transaction_datetime_utc"),
+        F.when(eid % 29 == 0, "VOID").otherwise("COMPLETED").alias("transaction_status"),
+        F.when(eid % 3 == 0, "CASH").when(eid % 3 == 1, "QRIS").otherwise("APP").alias("payment_type"),
+        F.when(uid % 2 == 0, fv.OWNED_MODEL).otherwise(fv.FRANCHISE_MODEL).alias("ownership_status"),
+        (1 + eid % 2).alias("total_item_qty"), F.col("value").alias("total_price_after_discount"))
+
+
+def rider_products(spark: SparkSession, sf: str) -> DataFrame:
+    """One or two product rows per rider sale."""
+    t = rider_transactions(spark, sf)
+    return t.select(F.col("id").alias("transaction_id"), F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("total_item_qty"))).alias("line"),
+                    F.lit(1).cast("bigint").alias("qty"), (F.col("total_price_after_discount") / F.col("total_item_qty")).alias("total_price_after_discount"))
+
+
+def riders_hubs(spark: SparkSession, sf: str) -> DataFrame:
+    """Rider -> hub mapping; users with id % 13 = 0 are missing, those with id % 13 = 1 have no outlet code."""
+    uid = F.col("user_id")
+    return (table(spark, sf, "events").filter(uid % 13 != 0).select("user_id").distinct()
+            .select(_rider().alias("rider_id"), F.when(uid % 13 != 1, F.lpad((uid % 25).cast("string"), 5, "0")).alias("jilid"),
+                    F.concat(F.lit("HB"), (uid % 25).cast("string")).alias("hub_id"),
+                    F.concat(F.lit(" Hub "), (uid % 25).cast("string")).alias("hub_name"),
+                    (F.to_timestamp_ntz(F.lit("2024-01-30 00:00:00")) - F.make_dt_interval(days=(uid % 3).cast("int"), hours=F.lit(-5))).alias("load_data_at")))
+
+
+def rider_outlet_types(spark: SparkSession, sf: str) -> DataFrame:
+    """Outlets with the type of their riders; nation key % 6 = 0 has an empty region."""
+    k = F.col("n_nationkey")
+    return table(spark, sf, "nation").select(
+        _code("n_nationkey").alias("jilid"), F.when(k % 6 == 0, " ").otherwise(F.concat(F.lit("Region "), (k % 5).cast("string"))).alias("region"),
+        F.concat(F.lit("P"), (k % 7).cast("string")).alias("provinsi"), F.when(k % 4 == 0, "None").otherwise(F.concat(F.lit("K"), (k % 11).cast("string"))).alias("kota"),
+        F.when(k % 5 != 0, "HUB").otherwise("SHOP").alias("rider_type"), F.col("n_name").alias("outlet_name"),
+        F.when(k % 3 == 0, fv.FRANCHISE_MODEL).otherwise(fv.OWNED_MODEL).alias("ownership_status"))
+
+
+def app_events(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "events").select(F.col("event_id").alias("id"), "user_id", F.col("ts").alias("created_at"), "event_type")
+
+
+def found_logs(spark: SparkSession, sf: str) -> DataFrame:
+    """Sign-ups found 1-3 riders, errors found none."""
+    e = table(spark, sf, "events").filter(F.col("event_type").isin("signup", "error"))
+    return e.select("user_id", F.col("ts").alias("created_at"),
+                    F.when(F.col("event_type") == "error", 0).otherwise(1 + F.col("event_id") % 3).alias("riders_found_count"))
+
+
+def click_tracker(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks ask for the way, views for a chat, purchases are another event; users with id % 10 = 0 click on nobody."""
+    kind = F.col("event_type")
+    e = table(spark, sf, "events").filter(kind.isin("click", "view", "purchase"))
+    return e.select(F.col("event_id"), "user_id", F.col("ts").alias("timestamp"),
+                    F.when(F.col("user_id") % 10 != 0, F.concat(F.lit("R"), F.lpad(((F.col("user_id") * 3) % 150).cast("string"), 5, "0"))).alias("rider_id"),
+                    F.when(kind == "purchase", "buy").otherwise("contactRider").alias("event_name"),
+                    F.when(kind == "click", "direction").when(kind == "view", "whatsapp").otherwise("other").alias("event_label"))
