@@ -150,15 +150,20 @@ def ratio(a, b) -> Column:
     return F.try_divide(col(a).cast("double"), F.nullif(col(b).cast("double"), F.lit(0.0)))
 
 
+def np_round(c, digits: int) -> Column:
+    """Scale, round half to even, scale back: what array libraries do (``round`` here would go half up on the decimal text)."""
+    return F.rint(col(c) * F.lit(10.0 ** digits)) / F.lit(10.0 ** digits)
+
+
 def haversine(lat1, lng1, lat2, lng2) -> Column:
     """Great-circle distance in metres, 2 decimals; NULL when any coordinate is."""
     p1, p2 = F.radians(col(lat1)), F.radians(col(lat2))
     dp = F.radians(col(lat2) - col(lat1))
     dl = F.radians(col(lng2) - col(lng1))
     a = F.pow(F.sin(dp / 2), F.lit(2)) + F.cos(p1) * F.cos(p2) * F.pow(F.sin(dl / 2), F.lit(2))
-    return F.round(F.lit(2 * fv.EARTH_RADIUS_M) * F.asin(F.sqrt(a)), 2)
+    return np_round(F.lit(2 * fv.EARTH_RADIUS_M) * F.asin(F.sqrt(a)), 2)
 
 
 def detour(route, straight) -> Column:
     """Route ÷ straight line, only where the straight line is positive, 3 decimals."""
-    return F.round(F.when(col(straight) > 0, col(route) / col(straight)), 3)
+    return np_round(F.when(col(straight) > 0, col(route) / col(straight)), 3)

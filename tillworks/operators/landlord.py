@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import lookup, money, money_total
+from tillworks.functions.scalars import lookup, money, money_total, np_round
 from tillworks.functions.skew import first_per_key, join_per_key
 
 SENDABLE = list(fv.COMMISSION_RATES)
@@ -34,7 +34,7 @@ def _numbers(prefix: str, outlet: str, day: str, kind: str, run_time: str) -> tu
 def _payload(grouped: DataFrame, prefix: str, run_time: str) -> DataFrame:
     number, remarks = _numbers(prefix, "jilid", "transaction_date", "payment_type", run_time)
     return grouped.select("jilid", "transaction_date", "payment_type", "total_sales", "total_tax",
-                          F.round("amount", 4).alias("amount"), number.alias("transaction_number"), remarks.alias("remarks"))
+                          np_round("amount", 4).alias("amount"), number.alias("transaction_number"), remarks.alias("remarks"))
 
 
 def payload_from_sales(sales: DataFrame, prefix: str, run_time: str, payment: str = "payment_type_raw") -> DataFrame:
@@ -75,7 +75,7 @@ def order_payload(orders: DataFrame, run_time: str) -> DataFrame:
     return (orders.filter(F.col("total_sales") != 0).withColumn("key", base)
             .select(F.col("outlet_code").alias("jilid"), F.col("date").alias("transaction_date"), "payment_type", "total_sales",
                     F.col("tax_amount").alias("total_tax"),
-                    F.round(F.col("subtotal") - F.col("sales_type_commission"), 4).alias("amount"),
+                    np_round(F.col("subtotal") - F.col("sales_type_commission"), 4).alias("amount"),
                     F.concat("key", F.lit("_" + run_time)).alias("transaction_number"),
                     F.concat("key", F.lit("_"), F.date_format("date", "yyyy-MM-dd"), F.lit("_" + run_time)).alias("remarks"), "key"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import (iso_week, local_time, minutes_between, money, money_sum, money_total, null_like,
+from tillworks.functions.scalars import (iso_week, local_time, minutes_between, money, money_sum, money_total, np_round, null_like,
                                          parse_flag, ratio, strip, zero_pad)
 from tillworks.functions.skew import first_per_key, join_buckets, join_per_key, running_sum
 
@@ -124,7 +124,7 @@ def session_summary(flagged: DataFrame) -> DataFrame:
                 F.max("timestamp").alias("session_last_event"), F.count("id").alias("total_logs"),
                 F.count_if(on).alias("total_true_logs"), F.count_if(off).alias("total_false_logs")))
     return (out.withColumn("session_end", F.coalesce("session_last_false", "session_last_event"))
-            .withColumn("session_duration_minutes", F.round(minutes_between("session_start", "session_end"), 2)))
+            .withColumn("session_duration_minutes", np_round(minutes_between("session_start", "session_end"), 2)))
 
 
 def rider_standing_days(sessions: DataFrame) -> DataFrame:
@@ -171,7 +171,7 @@ def rider_day_summary(transactions: DataFrame, working: DataFrame, sessions: Dat
                         "total_qty", "total_click_by_user"])
     texts = ["jilid", "hub_name", "business_unit", "region", "kota", "provinsi"]
     df = df.na.fill("0", texts)
-    pct = F.coalesce(F.round(ratio("total_standing_time", "total_working_minutes") * 100, 2), F.lit(0.0))
+    pct = F.coalesce(np_round(ratio("total_standing_time", "total_working_minutes") * 100, 2), F.lit(0.0))
     return df.select(*on, *texts, "total_working_minutes", "total_standing_time", "total_standing_session",
                      pct.alias("standing_mins_pct"), "total_sales", "total_order", "total_qty", "total_click_by_user")
 

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["summaries", "cleaning", "orders", "income", "riders"]
+MODULES = ["summaries", "cleaning", "orders", "income", "riders", "dispatch"]
 
 
 def load_all():

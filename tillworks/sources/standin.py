@@ -328,3 +328,116 @@ def click_tracker(spark: SparkSession, sf: str) -> DataFrame:
                     F.when(F.col("user_id") % 10 != 0, F.concat(F.lit("R"), F.lpad(((F.col("user_id") * 3) % 150).cast("string"), 5, "0"))).alias("rider_id"),
                     F.when(kind == "purchase", "buy").otherwise("contactRider").alias("event_name"),
                     F.when(kind == "click", "direction").when(kind == "view", "whatsapp").otherwise("other").alias("event_label"))
+
+
+# --- on-demand dispatch ---------------------------------------------------------------------------------------------
+
+def _seconds(n):
+    return F.make_dt_interval(secs=n.cast("decimal(18,6)"))
+
+
+def _lat(k):
+    return F.lit(-6.0) + (k % 1000) / F.lit(10000.0)
+
+
+def _lng(k):
+    return F.lit(106.0) + (k % 700) / F.lit(10000.0)
+
+
+def dispatch_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order as an on-demand order; some lack a delivery point or the accepting rider's position."""
+    b = orders_base(spark, sf)
+    k, rider = F.col("order_id"), F.col("customer_id")
+    created = F.col("transaction_date") - F.expr("INTERVAL 7 HOURS")
+    accepted = F.col("fulfillment_status") == "fulfilled"
+    taken = accepted & (k % 3 != 0)
+    status = F.when(taken, "ACCEPTED").when(accepted, "EXPIRED").otherwise("CANCELLED")
+    return b.select(
+        k.alias("pending_order_id"), F.concat(F.lit("OD-"), k.cast("string")).alias("order_ref"), (k * 10 + 1).alias("transaction_id"),
+        F.col("outlet_code").alias("hub_code"), "customer_id", status.alias("dispatcher_status"), (1 + k % 5).alias("total_item_qty"),
+        F.col("total_amount").alias("total_price"), "payment_type",
+        F.when(k % 97 != 0, _lat(k)).alias("delivery_lat"), F.when(k % 97 != 0, _lng(k)).alias("delivery_lng"),
+        F.when(taken & (k % 13 != 0), _lat(rider)).alias("accepted_rider_lat"), F.when(taken & (k % 13 != 0), _lng(rider)).alias("accepted_rider_lng"),
+        F.when(taken, F.concat(F.lit("R"), rider.cast("string"))).alias("accepted_rider_code"),
+        created.alias("created_at"), F.when(taken, created + _seconds(k % 300)).alias("accepted_at"),
+        (created + _seconds(F.lit(300) + k % 61)).alias("expires_at"))
+
+
+def dispatch_pings(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order line as a pinged rider."""
+    part, flag = F.col("l_partkey"), F.col("l_returnflag")
+    known = part % 9 != 0
+    return table(spark, sf, "lineitem").select(
+        F.col("l_orderkey").alias("pending_order_id"), (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("blast_id"),
+        F.concat(F.lit("R"), F.col("l_suppkey").cast("string")).alias("rider_code"),
+        F.when(flag == "A", "ACCEPTED").when(flag == "R", "REJECTED").when(F.col("l_linestatus") == "F", "TIMEOUT").alias("response"),
+        F.when(F.col("l_quantity") > 25, "SENT").otherwise("SKIPPED").alias("wa_status"),
+        F.when(F.col("l_discount") > 0.05, "SENT").otherwise("FAILED").alias("push_status"),
+        F.when(F.col("l_suppkey") % 10 != 3, F.col("l_extendedprice")).alias("distance_in_meter"),
+        F.when(known, _lat(part)).alias("blast_rider_lat"), F.when(known, _lng(part)).alias("blast_rider_long"),
+        F.col("l_shipdate").alias("created_at"))
+
+
+def dispatch_blasts(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per order and round that pinged anyone."""
+    line = F.col("l_linenumber")
+    return (table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber")
+            .agg(F.count(F.lit(1)).alias("riders_notified"), F.min("l_shipdate").alias("sent_at"))
+            .select((F.col("l_orderkey") * 10 + line).alias("blast_id"), F.col("l_orderkey").alias("pending_order_id"),
+                    line.alias("blast_round"), (1500 + 1500 * line).alias("radius_m"), "riders_notified", "sent_at"))
+
+
+def dispatch_records(spark: SparkSession, sf: str) -> DataFrame:
+    """Reasons written while an order was handled; the order is known by its text reference."""
+    flag = F.col("l_returnflag")
+    return table(spark, sf, "lineitem").select(
+        F.concat(F.lit("OD-"), F.col("l_orderkey").cast("string")).alias("order_ref"),
+        F.when(flag == "A", "rider accepted").when(flag == "R", "no nearby rider").otherwise("no rider with stock").alias("reason"),
+        F.col("l_shipdate").alias("created_at"))
+
+
+def dispatch_transactions(spark: SparkSession, sf: str) -> DataFrame:
+    """Transactions of the orders: id % 8 = 0 has two, id % 11 = 4 is not on demand, id % 101 = 0 has no order."""
+    b = orders_base(spark, sf)
+    k = F.col("order_id")
+    df = b.withColumn("_n", F.explode(F.sequence(F.lit(1), F.when(k % 8 == 0, 2).otherwise(1))))
+    paid = F.col("transaction_date") - F.expr("INTERVAL 7 HOURS") - _seconds(k % 90)
+    return df.select(
+        F.when(k % 101 != 0, k).alias("pending_order_id"), (k * 10 + F.col("_n")).alias("trx_id"),
+        F.when(k % 11 == 4, "REGULAR").otherwise("ON_DEMAND").alias("transaction_type"), F.lit("COMPLETED").alias("transaction_status"),
+        F.to_date("transaction_date").alias("transaction_date"), paid.alias("paid_at"),
+        (paid + _seconds(F.lit(600) + k % 1000 + F.col("_n"))).alias("completed_at"))
+
+
+def dispatch_deliveries(spark: SparkSession, sf: str) -> DataFrame:
+    """Deliveries of the transactions; those with id % 7 = 0 have none."""
+    t = dispatch_transactions(spark, sf).filter(F.col("trx_id") % 7 != 0)
+    k = F.col("trx_id")
+    return t.select(F.col("trx_id").alias("transaction_id"), F.when(k % 5 == 0, "FAILED").otherwise("DELIVERED").alias("delivery_status"),
+                    F.when(k % 6 != 0, _lat(k)).alias("rider_completion_lat"), F.when(k % 6 != 0, _lng(k)).alias("rider_completion_lng"),
+                    (F.col("paid_at") + _seconds(F.lit(200) + k % 77)).alias("out_for_delivery_at"),
+                    F.col("completed_at").alias("delivered_at"))
+
+
+def app_order_detail(spark: SparkSession, sf: str) -> DataFrame:
+    """The app's view of a transaction; orders with id % 17 = 0 are unknown there."""
+    b = orders_base(spark, sf).filter(F.col("order_id") % 17 != 0)
+    return b.select((F.col("order_id") * 10 + 1).alias("transaction_id"), F.col("transaction_date").alias("transaction_datetime"),
+                    F.when(F.col("order_id") % 4 == 0, "REFUNDED").otherwise("PAID").alias("latest_transaction_status"),
+                    F.concat(F.lit("Customer "), F.col("customer_id").cast("string")).alias("customer_name"),
+                    F.concat(F.lit("62"), F.col("customer_id").cast("string")).alias("customer_phone"))
+
+
+def vouchers(spark: SparkSession, sf: str) -> DataFrame:
+    """Membership vouchers: one per order, active from its date on."""
+    return table(spark, sf, "orders").select(F.col("o_custkey").alias("user_id"), F.col("o_orderdate").alias("active_at"))
+
+
+def routes_between(points: DataFrame) -> DataFrame:
+    """A route table for distinct pairs of points: 1.3 x the great-circle distance; every 11th pair is absent."""
+    from tillworks.functions.scalars import haversine, np_round
+
+    key = F.rint((F.col("lat1") + F.col("lat2")) * 10000).cast("bigint")
+    d = haversine("lat1", "lng1", "lat2", "lng2")
+    return (points.filter(F.col("lat1").isNotNull() & F.col("lat2").isNotNull()).distinct().filter(key % 11 != 0)
+            .withColumn("distance_m", np_round(d * 1.3, 2)).withColumn("duration_s", np_round(d / 5, 1)).withColumn("source", F.lit("TABLE")))
