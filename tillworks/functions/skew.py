@@ -1,8 +1,8 @@
 """Grouping without putting a whole group into one task.
 
 A plain window pulls every row of a key into one task, so one key holding a third of the table stalls the job. The helpers
-here only aggregate (with map-side partial aggregates), join against one-row-per-key frames whose hot keys are cut into
-slices, or run windows inside bounded buckets whose carry-over is computed from per-bucket totals.
+here only aggregate (with map-side partial aggregates), join against one-row-per-key frames in a form that adaptive execution
+can split, or run windows inside bounded buckets whose carry-over is computed from per-bucket totals.
 """
 
 from __future__ import annotations
@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-HOT_ROWS = 1_000_000
 SMALL_ROWS = 200_000
 
 
@@ -22,34 +21,22 @@ def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
-def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left",
-                 hot_rows: int = HOT_ROWS, spread: Sequence[str] | None = None) -> DataFrame:
-    """Join ``rows`` to a frame with one row per key (NULL keys match).
+def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
+    """Join ``rows`` to a frame with one row per key (NULL keys match), safe for keys holding a large part of the rows.
 
-    A key with more than ``hot_rows`` rows is cut into ceil(n / hot_rows) slices: its single right row is repeated per
-    slice and each left row picks a slice by the hash of its content (stable when a task is run again). The list of hot
-    keys is at most total rows / hot_rows long, which bounds the broadcast.
+    Both sides are joined on one struct column. An aggregate's output is already partitioned by the plain key columns, and a
+    join that reuses this partitioning cannot be split: adaptive execution only splits a skewed partition that comes
+    straight out of a shuffle. The struct column makes the planner shuffle both sides for the join, so a hot key's rows are
+    read by as many tasks as their size asks for (``spark.sql.adaptive.skewJoin``), each with the key's single right row.
     """
-    keys = list(keys)
-    key = F.struct(*keys)  # struct equality: NULL parts match
-    hot = (rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-           .filter(F.col("_n") > hot_rows)
-           .select(key.alias("_hk"), F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_slices")))
-    left = rows.withColumn("_lk", key).join(F.broadcast(hot), F.col("_lk") == F.col("_hk"), "left")
-    left = left.withColumn("_slice", F.when(F.col("_slices").isNull(), F.lit(0)).otherwise(
-        F.pmod(F.xxhash64(*(spread or rows.columns)), F.col("_slices")).cast("int"))).drop("_hk", "_slices")
     extra = [c for c in per_key.columns if c not in keys]
-    right = per_key.select(key.alias("_rk"), *extra).join(F.broadcast(hot), F.col("_rk") == F.col("_hk"), "left")
-    right = (right.withColumn("_slice_r", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_slices"), F.lit(1)) - 1)))
-             .drop("_hk", "_slices"))
-    cond = (F.col("_lk") == F.col("_rk")) & (F.col("_slice") == F.col("_slice_r"))
-    return left.join(right, cond, how).drop("_lk", "_rk", "_slice", "_slice_r")
+    right = per_key.select(F.struct(*keys).alias("_rk"), *extra)
+    return rows.withColumn("_lk", F.struct(*keys)).join(right, F.col("_lk") == F.col("_rk"), how).drop("_lk", "_rk")
 
 
-def with_group(rows: DataFrame, keys: Sequence[str], *aggs: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+def with_group(rows: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
     """Attach per-key aggregates to every row: a whole-partition window without the whole partition in one task."""
-    per_key = rows.groupBy(*keys).agg(*aggs)
-    return join_per_key(rows, per_key, keys, "inner", hot_rows)
+    return join_per_key(rows, rows.groupBy(*keys).agg(*aggs), keys, "inner")
 
 
 def _ordered(order: Sequence[Column | str]) -> Column:
@@ -87,11 +74,8 @@ def bucket_offsets(df: DataFrame, keys: Sequence[str], bucket: str, value: Colum
 
 
 def join_buckets(df: DataFrame, per_bucket: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
-    """Join rows to their (key, bucket) facts; NULL keys match (struct equality)."""
-    cols = [*keys, bucket]
-    extra = [c for c in per_bucket.columns if c not in cols]
-    right = per_bucket.select(F.struct(*cols).alias("_rk"), *extra)
-    return df.withColumn("_lk", F.struct(*cols)).join(right, F.col("_lk") == F.col("_rk")).drop("_lk", "_rk")
+    """Join rows to their (key, bucket) facts."""
+    return join_per_key(df, per_bucket, [*keys, bucket], "inner")
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column | str],

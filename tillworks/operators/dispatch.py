@@ -97,7 +97,7 @@ def route_key(*coordinates) -> list[Column]:
 def route_lookup(rows: DataFrame, routes: DataFrame, coordinates: list[str], prefix: str = "") -> DataFrame:
     """Add route distance, duration and source from a route table with one row per pair of points.
 
-    A missing coordinate gives NO_COORDINATE, an unknown pair NO_ROUTE. A popular pair is sliced, not sent to one task.
+    A missing coordinate gives NO_COORDINATE, an unknown pair NO_ROUTE. The rows of a popular pair are split over tasks.
     """
     df = rows.select("*", *route_key(*coordinates))
     table = routes.select(*route_key("lat1", "lng1", "lat2", "lng2"), F.col("distance_m").alias(f"{prefix}route_distance_m"),

@@ -8,6 +8,7 @@ from tillworks.functions.scalars import haversine
 from tillworks.operators import dispatch as ops
 from tillworks.plans import ctes as c
 from tillworks.plans.registry import query
+from tillworks.session import cut_lineage
 from tillworks.sources import standin as s
 
 START, END, AS_OF = "1995-01-01", "2001-12-31", "2001-06-01"
@@ -110,7 +111,7 @@ PING_POINTS = ("blast_rider_lat", "blast_rider_long", "delivery_lat", "delivery_
 
 
 def ping_routes(spark, sf):
-    return s.routes_between(_points(_positions(spark, sf), *PING_POINTS))
+    return cut_lineage(s.routes_between(_points(_positions(spark, sf), *PING_POINTS)))
 
 
 @query("pending_orders", c.with_(PENDING) + "SELECT * FROM po")
@@ -239,7 +240,7 @@ def summary_routes(spark, sf, deliveries):
     done = origin.join(deliveries.select("pending_order_id", "rider_completion_lat", "rider_completion_lng"), "pending_order_id")
     points = (_points(_positions(spark, sf), *PING_POINTS).unionByName(_points(origin, "origin_lat", "origin_lng", "delivery_lat", "delivery_lng"))
               .unionByName(_points(done, "origin_lat", "origin_lng", "rider_completion_lat", "rider_completion_lng")))
-    return s.routes_between(points)
+    return cut_lineage(s.routes_between(points))
 
 
 def summary(spark, sf):
