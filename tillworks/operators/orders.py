@@ -125,8 +125,7 @@ def allocate_detail_amounts(lines: DataFrame, keys: list[str], discount: str) ->
 
 def details_with_header(details: DataFrame, headers: DataFrame) -> DataFrame:
     """Details of orders that have at least one transaction."""
-    known = headers.groupBy("order_id").agg(F.lit(True).alias("_known"))
-    return join_per_key(details, known, ["order_id"], "inner").drop("_known")
+    return join_per_key(details, headers.select("order_id").distinct(), ["order_id"], "left_semi")
 
 
 def product_weights(products: DataFrame) -> DataFrame:
@@ -158,8 +157,8 @@ def dedup_headers(headers: DataFrame, order: list[str]) -> DataFrame:
 
 def missing_orders(source: DataFrame, stored: DataFrame, sequence: str) -> DataFrame:
     """Source orders that are not stored, once each (the last pulled version)."""
-    fresh = join_per_key(source, stored.groupBy("order_id").agg(F.lit(True).alias("_stored")), ["order_id"])
-    return latest_version(fresh.filter(F.col("_stored").isNull()).drop("_stored"), sequence)
+    fresh = join_per_key(source, stored.select("order_id").distinct(), ["order_id"], "left_anti")
+    return latest_version(fresh, sequence)
 
 
 def orders_without_details(headers: DataFrame, details: DataFrame) -> DataFrame:

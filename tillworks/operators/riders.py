@@ -63,7 +63,7 @@ def rider_hourly_sales(transactions: DataFrame, products: DataFrame, excluded_ri
 def semi_join_riders(sales: DataFrame, mapping: DataFrame, kind: str = "HUB") -> DataFrame:
     """Rows of riders whose outlet is of the given type."""
     riders = mapping.filter(F.col("rider_type") == kind).select(F.col("rider_id").alias("rider_code")).distinct()
-    return sales.join(riders, "rider_code", "left_semi")
+    return join_per_key(sales, riders, ["rider_code"], "left_semi")
 
 
 def hourly_performance(sales: DataFrame, slots: DataFrame, mapping: DataFrame) -> DataFrame:
@@ -266,8 +266,8 @@ def app_sessions_combined(sessions: DataFrame, funnel: DataFrame) -> DataFrame:
 
 def rider_status_filter(rows: DataFrame, summaries: DataFrame, status: str = fv.OWNED_MODEL) -> DataFrame:
     """Rows of riders whose greatest recorded ownership status is ``status``."""
-    riders = (summaries.groupBy("rider_id").agg(F.max("ownership_status").alias("_s")).filter(F.col("_s") == status).drop("_s"))
-    return join_per_key(rows, riders.withColumn("_hit", F.lit(True)), ["rider_id"], "inner").drop("_hit")
+    riders = summaries.groupBy("rider_id").agg(F.max("ownership_status").alias("_s")).filter(F.col("_s") == status)
+    return join_per_key(rows, riders.drop("_s"), ["rider_id"], "left_semi")
 
 
 def prefix_filter(df: DataFrame, column: str = "rider_code", prefixes: list[str] = tuple(fv.EXTRA_RIDER_PREFIXES)) -> DataFrame:

@@ -441,3 +441,83 @@ def routes_between(points: DataFrame) -> DataFrame:
     d = haversine("lat1", "lng1", "lat2", "lng2")
     return (points.filter(F.col("lat1").isNotNull() & F.col("lat2").isNotNull()).distinct().filter(key % 11 != 0)
             .withColumn("distance_m", np_round(d * 1.3, 2)).withColumn("duration_s", np_round(d / 5, 1)).withColumn("source", F.lit("TABLE")))
+
+
+# --- commission -----------------------------------------------------------------------------------------------------
+
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
+
+
+def _segment_number():
+    n = None
+    for i, name in enumerate(SEGMENTS, 1):
+        n = F.when(F.col("c_mktsegment") == name, i) if n is None else n.when(F.col("c_mktsegment") == name, i)
+    return n
+
+
+def rider_summaries(spark: SparkSession, sf: str) -> DataFrame:
+    """One row per customer (as rider) and order day; the scheme follows the market segment, some riders have none."""
+    o = table(spark, sf, "orders")
+    c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
+    k = F.col("o_custkey")
+    price = lambda p: F.sum(F.when(F.col("o_orderpriority").isin(*p), F.col("o_totalprice").cast("decimal(20,6)"))).cast("double")
+    days = o.groupBy("o_custkey", F.to_date("o_orderdate").alias("transaction_date")).agg(
+        price(["1-URGENT", "2-HIGH"]).alias("total_price_after_discount_cash"), price(["3-MEDIUM", "5-LOW"]).alias("total_price_after_discount_qris"),
+        price(["4-NOT SPECIFIED"]).alias("total_price_after_discount_app"), F.count(F.lit(1)).alias("total_item_qty"))
+    scheme = _segment_number()
+    return days.join(c, k == F.col("c_custkey")).select(
+        k.alias("rider_id"), "transaction_date", F.concat(F.when(k % 5 == 0, "BLITZ").when(k % 5 == 1, "HMS").otherwise("JW"), k.cast("string")).alias("rider_code"),
+        F.when(F.year("transaction_date") < 1998, _code("c_nationkey")).otherwise("H1").alias("hub_code"),
+        *[F.col(x) for x in ("total_price_after_discount_cash", "total_price_after_discount_qris", "total_price_after_discount_app", "total_item_qty")],
+        F.when(k % 19 != 0, F.concat(scheme.cast("string"), F.lit(".0"))).alias("commission_scheme_id"),
+        F.when(k % 4 != 0, (1 + k % 3).cast("string")).alias("commission_extra_scheme_id"),
+        F.when(k % 3 == 0, "product_sold").otherwise("daily_sales").alias("commission_extra_type"),
+        F.when(k % 23 == 0, fv.FRANCHISE_MODEL).when(F.col("c_nationkey") % 3 != 0, fv.OWNED_MODEL).otherwise("-").alias("ownership_status"))
+
+
+def rider_day_products(spark: SparkSession, sf: str) -> DataFrame:
+    """Order lines as products sold by a rider on a day."""
+    line, o = table(spark, sf, "lineitem"), table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderdate")
+    p = table(spark, sf, "part").select("p_partkey", "p_name", "p_brand", "p_retailprice")
+    df = line.join(o, line.l_orderkey == o.o_orderkey).join(p, line.l_partkey == p.p_partkey)
+    return df.select(F.col("o_custkey").alias("rider_id"), F.to_date("o_orderdate").alias("transaction_date"), F.col("l_partkey").alias("product_id"),
+                     F.col("p_brand").alias("sku_code"), F.when(F.col("l_partkey") % 6 != 0, F.concat(F.lit("S"), F.col("l_partkey").cast("string"))).alias("short_code"),
+                     F.col("p_name").alias("product_name"), F.col("p_retailprice").alias("product_price"), F.col("l_quantity").cast("bigint").alias("qty"),
+                     F.col("l_extendedprice").alias("total_price"), (F.col("l_extendedprice") * F.col("l_discount")).alias("total_bundling_discount"),
+                     (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("total_price_after_discount"))
+
+
+def schemes(spark: SparkSession) -> DataFrame:
+    """Commission schemes 1-5 (configuration)."""
+    i = F.col("id")
+    return spark.range(1, 6).select(i.cast("string").alias("id"), F.when(i.isin(1, 4), "weekly_sales").when(i == 3, "product_sold").otherwise("daily_sales").alias("type"),
+                                    (i * 10000).cast("double").alias("attendance_commission_in_idr"), F.when(i.isin(2, 5), i.cast("double")).alias("daily_commission_in_percentage"))
+
+
+def extra_schemes(spark: SparkSession) -> DataFrame:
+    """Extra schemes 1-3 (configuration)."""
+    i = F.col("id")
+    return spark.range(1, 4).select(i.cast("string").alias("id"), F.when(i == 1, "product_sold").otherwise("daily_sales").alias("type"),
+                                    (i * 500).cast("double").alias("attendance_commission_in_idr"), F.when(i > 1, (i / 4).cast("double")).alias("daily_commission_in_percentage"))
+
+
+def tiers(spark: SparkSession) -> DataFrame:
+    """Weekly tiers of schemes 1 and 4 (configuration): width 500,000, touching in scheme 1, with gaps in scheme 4."""
+    n = F.col("id") % 8
+    scheme = F.when(F.col("id") < 8, 1).otherwise(4)
+    return spark.range(0, 16).select(F.col("id"), scheme.cast("string").alias("commission_scheme_id"), (n * 500000).cast("double").alias("start_range"),
+                                     F.when(scheme == 1, (n + 1) * 500000).otherwise(n * 500000 + 400000).cast("double").alias("end_range"),
+                                     (n + 1).cast("int").alias("tier"), (n + 2).cast("double").alias("commission_in_percentage"),
+                                     F.when(n % 2 == 0, (n * 1000).cast("double")).alias("attendance_commission_in_idr"))
+
+
+def product_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Amount per piece of schemes 3 and 2 by brand; brands ending in 7 have none."""
+    b = table(spark, sf, "part").select("p_brand").distinct().filter(~F.col("p_brand").endswith("7"))
+    return b.select(F.explode(F.array(F.lit("3"), F.lit("2"))).alias("commission_scheme_id"), F.col("p_brand").alias("sku_code"),
+                    (F.length("p_brand") * 100).cast("double").alias("commission_in_idr"))
+
+
+def extra_product_rates(spark: SparkSession, sf: str) -> DataFrame:
+    b = table(spark, sf, "part").select("p_brand").distinct().filter(~F.col("p_brand").endswith("1"))
+    return b.select(F.lit("1").alias("commission_extra_scheme_id"), F.col("p_brand").alias("sku_code"), F.lit(25.0).alias("commission_in_idr"))
