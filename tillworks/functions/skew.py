@@ -89,3 +89,12 @@ def running_sum(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence
     inside = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     return (join_buckets(df, offsets, keys, bucket)
             .withColumn(name, F.sum(value).over(inside) + F.col("_before")).drop("_before"))
+
+
+def bucketed_lead(df: DataFrame, keys: Sequence[str], bucket: str, order: str, name: str) -> DataFrame:
+    """Next value of ``order`` within a key, looking across buckets through one row per bucket."""
+    starts = df.groupBy(*keys, bucket).agg(F.min(order).alias("_s"))
+    after = starts.withColumn("_next", F.lead("_s").over(Window.partitionBy(*keys).orderBy(bucket))).drop("_s")
+    inside = Window.partitionBy(*keys, bucket).orderBy(order)
+    return (join_buckets(df, after, keys, bucket)
+            .withColumn(name, F.coalesce(F.lead(order).over(inside), F.col("_next"))).drop("_next"))

@@ -8,10 +8,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tillworks.functions.scalars import canonical_id, money, money_total
-from tillworks.functions.skew import broadcast_if_small
+from tillworks.functions.skew import broadcast_if_small, bucketed_lead
 
 REVENUE = ["total_price_after_discount_cash", "total_price_after_discount_qris", "total_price_after_discount_app"]
 PRODUCT_KEY = ["rider_id", "transaction_date", "product_id", "sku_code", "short_code", "product_name", "product_price"]
@@ -28,10 +27,10 @@ def whole_id(c: str) -> Column:
     return F.col(c).try_cast("bigint")
 
 
-def next_tier_start(tiers: DataFrame) -> DataFrame:
-    """Tiers with the start of the next tier of their scheme. Tier tables are configuration: a few rows per scheme."""
-    w = Window.partitionBy("commission_scheme_id").orderBy("start_range")
-    return tiers.withColumn("next_start_range", F.lead("start_range").over(w))
+def next_tier_start(tiers: DataFrame, width: float = 1_000_000.0) -> DataFrame:
+    """Tiers with the start of the next tier of their scheme; looked up within bands of ``width``."""
+    banded = tiers.withColumn("_band", F.floor(F.col("start_range") / width))
+    return bucketed_lead(banded, ["commission_scheme_id"], "_band", "start_range", "next_start_range").drop("_band")
 
 
 def tier_range_join(weekly: DataFrame, tiers: DataFrame) -> DataFrame:

@@ -151,7 +151,7 @@ def tier_range_join(spark, sf):
 SELECT o_custkey AS commission_scheme_id, o_totalprice AS start_range, lead(o_totalprice) OVER (PARTITION BY o_custkey ORDER BY o_totalprice) AS next_start_range FROM orders""")
 def next_tier_start(spark, sf):
     t = s.table(spark, sf, "orders").select(F.col("o_custkey").alias("commission_scheme_id"), F.col("o_totalprice").alias("start_range"))
-    return ops.next_tier_start(t)
+    return ops.next_tier_start(t, width=10_000.0)
 
 
 @query("rider_status_filter", c.with_(SUMS) + f"SELECT rider_id, transaction_date, rider_code, total_item_qty FROM rs WHERE rider_id IN {OWNED}")
