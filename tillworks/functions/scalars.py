@@ -121,6 +121,23 @@ def micros(ts) -> Column:
     return whole * 1000000 + (F.date_part(F.lit("SECOND"), t) * 1000000).cast("bigint")
 
 
+def from_micros(us) -> Column:
+    """Inverse of :func:`micros`."""
+    day = F.floor(col(us) / 86400000000).cast("int")
+    rest = (col(us) - day.cast("bigint") * 86400000000) / F.lit(1000000).cast("decimal(8,0)")
+    return F.date_from_unix_date(day).cast("timestamp_ntz") + F.make_dt_interval(secs=rest.cast("decimal(18,6)"))
+
+
+def as_instant(ts) -> Column:
+    """Zone-less time read as UTC, as the zoned type that event-time streaming asks for."""
+    return F.timestamp_micros(micros(ts))
+
+
+def from_instant(ts) -> Column:
+    """Inverse of :func:`as_instant`."""
+    return from_micros(F.unix_micros(col(ts)))
+
+
 def seconds_between(start, end) -> Column:
     return (micros(end) - micros(start)) / F.lit(1e6)
 

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def build_session(cores: str | int = "*", app: str = "tillworks", **conf) -> SparkSession:
@@ -26,15 +27,25 @@ def build_session(cores: str | int = "*", app: str = "tillworks", **conf) -> Spa
     return builder.getOrCreate()
 
 
-def cut_lineage(df):
-    """Reliable checkpoint in the folder the cluster names; a temporary folder only where none is set, as in tests."""
-    spark = df.sparkSession
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in spark.checkpoint.dir; a temporary one only in local mode, as in tests."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if not folder:
-            if not context.master.startswith("local"):
-                raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-            folder = tempfile.mkdtemp(prefix="tillworks-checkpoint-")
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
+        folder = tempfile.mkdtemp(prefix="tillworks-")
         context.setCheckpointDir(folder)
+    return folder
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new, unique path below :func:`shared_folder`."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def cut_lineage(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint: survives lost executors and keeps plans built on top small."""
+    if df.sparkSession.sparkContext.getCheckpointDir() is None:
+        df.sparkSession.sparkContext.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

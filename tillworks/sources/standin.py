@@ -21,8 +21,12 @@ def _code(c: str):
 
 def orders_base(spark: SparkSession, sf: str) -> DataFrame:
     """One row per order with its outlet, local time and order-level money."""
-    orders = table(spark, sf, "orders")
-    customer = table(spark, sf, "customer").select("c_custkey", "c_nationkey")
+    return shape_orders(table(spark, sf, "orders"), table(spark, sf, "customer"))
+
+
+def shape_orders(orders: DataFrame, customer: DataFrame) -> DataFrame:
+    """:func:`orders_base` of any (also streaming) frame of orders."""
+    customer = customer.select("c_custkey", "c_nationkey")
     total = F.col("o_totalprice")
     priority = F.col("o_orderpriority")
     return (orders.join(customer, orders.o_custkey == customer.c_custkey)
@@ -71,9 +75,13 @@ def raw_headers(spark: SparkSession, sf: str) -> DataFrame:
 
 def headers(spark: SparkSession, sf: str) -> DataFrame:
     """Transactions as stored: no zero sales, split orders share their money 60/40."""
+    return shape_headers(orders_base(spark, sf))
+
+
+def shape_headers(base: DataFrame) -> DataFrame:
     share = F.when((F.col("transactions_type") == "sale") & (F.col("order_id") % 10 == 0),
                    F.when(F.col("pos") == 1, 0.6).otherwise(0.4)).otherwise(1.0)
-    df = _transactions(orders_base(spark, sf)).filter(F.col("pos") != 3)
+    df = _transactions(base).filter(F.col("pos") != 3)
     return df.select(*[c for c in df.columns if c not in MONEY_COLUMNS],
                      *[(F.col(c) * share).alias(c) for c in MONEY_COLUMNS],
                      F.col("payment_type").alias("sales_type"))
@@ -248,9 +256,14 @@ def _rider(c="user_id"):
 
 def stationed_logs(spark: SparkSession, sf: str) -> DataFrame:
     """Standing flags as text; sign-ups carry an unreadable flag."""
+    return shape_logs(table(spark, sf, "events"))
+
+
+def shape_logs(events: DataFrame) -> DataFrame:
+    """:func:`stationed_logs` of any (also streaming) frame of events."""
     kind = F.col("event_type")
     flag = F.when(kind.isin("view", "click"), "True").when(kind == "error", "false").when(kind == "purchase", "FALSE").otherwise("?")
-    return table(spark, sf, "events").select(F.col("event_id").alias("id"), _rider().alias("rider_code"), F.col("ts").alias("timestamp"),
+    return events.select(F.col("event_id").alias("id"), _rider().alias("rider_code"), F.col("ts").alias("timestamp"),
                                              flag.alias("is_stationed"))
 
 

@@ -1,0 +1,43 @@
+"""Versioned parquet snapshots for ``foreachBatch`` jobs.
+
+Batch n reads snapshot n and writes snapshot n + 1. A batch that runs again after a failure reads the same snapshot and overwrites
+its own output, so it is idempotent. A snapshot counts only once all its tables are complete.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+
+
+class Snapshots:
+    def __init__(self, path: str, *tables: str):
+        self.path = path.rstrip("/")
+        self.tables = tables
+
+    def folder(self, version: int, name: str) -> str:
+        return f"{self.path}/v{version}/{name}"
+
+    def complete(self, spark: SparkSession, version: int) -> bool:
+        for name in self.tables:
+            path = spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder(version, name)}/_SUCCESS")
+            if not path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path):
+                return False
+        return True
+
+    def require(self, spark: SparkSession, version: int) -> None:
+        if not self.complete(spark, version):
+            raise RuntimeError(f"snapshot {version} is incomplete: the batch before did not finish")
+
+    def newest(self, spark: SparkSession, batch_id: int) -> int:
+        """Newest complete snapshot at or before the one batch ``batch_id`` writes."""
+        version = batch_id + 1
+        while version > 0 and not self.complete(spark, version):
+            version -= 1
+        return version
+
+    def read(self, spark: SparkSession, version: int, name: str) -> DataFrame:
+        return spark.read.parquet(self.folder(version, name))
+
+    def write(self, version: int, **frames: DataFrame) -> None:
+        for name, frame in frames.items():
+            frame.write.mode("overwrite").parquet(self.folder(version, name))
