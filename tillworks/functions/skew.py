@@ -73,9 +73,16 @@ def bucket_offsets(df: DataFrame, keys: Sequence[str], bucket: str, value: Colum
             .withColumn("_total", F.sum("_t").over(Window.partitionBy(*keys))))
 
 
-def join_buckets(df: DataFrame, per_bucket: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
-    """Join rows to their (key, bucket) facts."""
-    return join_per_key(df, per_bucket, [*keys, bucket], "inner")
+def add_slot(df: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
+    """Add ``_slot`` = (keys, bucket), the unit later joins and windows share, so they shuffle the rows once."""
+    return df if "_slot" in df.columns else df.withColumn("_slot", F.struct(*keys, bucket))
+
+
+def join_slots(df: DataFrame, per_bucket: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
+    """Join rows to the facts of their slot. Slots are bounded by their bucket, so this join need not be split."""
+    extra = [c for c in per_bucket.columns if c not in (*keys, bucket)]
+    right = per_bucket.select(F.struct(*keys, bucket).alias("_rk"), *extra)
+    return add_slot(df, keys, bucket).join(right, F.col("_slot") == F.col("_rk")).drop("_rk")
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column | str],
@@ -86,8 +93,8 @@ def running_sum(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence
     sorted run is one bucket of one key. ``bucket`` must grow with the order and be deterministic.
     """
     offsets = bucket_offsets(df, keys, bucket, value).drop("_t", "_total")
-    inside = Window.partitionBy(*keys, bucket).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return (join_buckets(df, offsets, keys, bucket)
+    inside = Window.partitionBy("_slot").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    return (join_slots(df, offsets, keys, bucket)
             .withColumn(name, F.sum(value).over(inside) + F.col("_before")).drop("_before"))
 
 
@@ -95,6 +102,6 @@ def bucketed_lead(df: DataFrame, keys: Sequence[str], bucket: str, order: str, n
     """Next value of ``order`` within a key, looking across buckets through one row per bucket."""
     starts = df.groupBy(*keys, bucket).agg(F.min(order).alias("_s"))
     after = starts.withColumn("_next", F.lead("_s").over(Window.partitionBy(*keys).orderBy(bucket))).drop("_s")
-    inside = Window.partitionBy(*keys, bucket).orderBy(order)
-    return (join_buckets(df, after, keys, bucket)
-            .withColumn(name, F.coalesce(F.lead(order).over(inside), F.col("_next"))).drop("_next"))
+    inside = Window.partitionBy("_slot").orderBy(order)
+    return (join_slots(df, after, keys, bucket)
+            .withColumn(name, F.coalesce(F.lead(order).over(inside), F.col("_next"))).drop("_next", "_slot"))

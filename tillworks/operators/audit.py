@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.functions.scalars import four_hour_block, money, money_total, np_round, ratio
+from tillworks.functions.scalars import four_hour_block, money_sum, money_total, np_round, ratio
 from tillworks.functions.skew import first_per_key, join_per_key
 
 TOLERANCE = 0.01
@@ -19,7 +19,7 @@ def unfulfilled_orders(headers: DataFrame, outlets: DataFrame) -> DataFrame:
     names = outlets.select("jilid", F.col("customer_name").alias("outlet_name")).distinct()
     open_ = headers.filter((F.col("fulfillment_status") == "none") & (F.col("payment_status") == "paid"))
     per_order = (open_.groupBy(F.to_date("transaction_date").alias("date"), "outlet_code", "order_id")
-                 .agg(F.sum(money("total_amount")).alias("total_amount")))
+                 .agg(money_sum("total_amount").alias("total_amount")))
     return (per_order.join(names, F.col("outlet_code") == F.col("jilid"), "left").drop("jilid")
             .withColumn("outlet_name", F.coalesce("outlet_name", F.lit("-"))))
 
@@ -28,7 +28,7 @@ def unfulfilled_by_outlet(orders: DataFrame) -> DataFrame:
     """Distinct open orders and their money per outlet and day."""
     return (orders.groupBy("outlet_code", "outlet_name", "date")
             .agg(F.countDistinct("order_id").alias("total_orders_unfulfilled"),
-                 F.sum("total_amount").cast("double").alias("total_amount")).orderBy("date", "outlet_code"))
+                 money_sum("total_amount").alias("total_amount")).orderBy("date", "outlet_code"))
 
 
 def fulfillment_outcome(orders: DataFrame, details: DataFrame) -> DataFrame:
@@ -36,7 +36,7 @@ def fulfillment_outcome(orders: DataFrame, details: DataFrame) -> DataFrame:
     arrived = details.select("order_id").distinct().withColumn("_done", F.lit(True))
     df = join_per_key(orders, arrived, ["order_id"])
     return (df.groupBy(F.when(F.col("_done"), "fulfilled").otherwise("unfulfilled").alias("outcome"))
-            .agg(F.countDistinct("order_id").alias("total_orders"), F.sum("total_amount").cast("double").alias("total_amount")))
+            .agg(F.countDistinct("order_id").alias("total_orders"), money_sum("total_amount").alias("total_amount")))
 
 
 def before_after(before: DataFrame, after: DataFrame, columns: list[str]) -> DataFrame:
@@ -66,8 +66,8 @@ def missing_columns(new: DataFrame, stored: DataFrame) -> list[str]:
 def outlet_report(headers: DataFrame, outlet: str | None = None) -> DataFrame:
     """Orders and money per day with a grand total (NULL date), for one outlet or all."""
     df = headers if outlet is None else headers.filter(F.col("outlet_code") == outlet)
-    return (df.select(F.to_date("transaction_date").alias("transaction_date"), "order_id", money("total_amount").alias("total_amount"))
-            .rollup("transaction_date").agg(F.count("order_id").alias("total_order_count"), F.sum("total_amount").cast("double").alias("total_amount"))
+    return (df.select(F.to_date("transaction_date").alias("transaction_date"), "order_id", "total_amount")
+            .rollup("transaction_date").agg(F.count("order_id").alias("total_order_count"), money_sum("total_amount").alias("total_amount"))
             .orderBy(F.col("transaction_date").asc_nulls_last()))
 
 
@@ -95,7 +95,7 @@ def header_detail_ratio(headers: DataFrame, details: DataFrame, off_by: float =
 def overall_ratio(per_order: DataFrame) -> DataFrame:
     """Orders compared, orders off and the ratio of the sums."""
     return per_order.agg(F.count(F.lit(1)).alias("n_orders"), F.count_if("is_off").alias("n_off"),
-                         ratio(F.sum(money("details_total")), F.sum(money("header_total"))).alias("total_ratio"))
+                         ratio(money_sum("details_total"), money_sum("header_total")).alias("total_ratio"))
 
 
 def accuracy_by_date(headers_raw: DataFrame, details_raw: DataFrame, headers_clean: DataFrame, details_clean: DataFrame,
@@ -105,10 +105,10 @@ def accuracy_by_date(headers_raw: DataFrame, details_raw: DataFrame, headers_cle
     The four tables are stacked and added up in one pass instead of three outer joins.
     """
     names = ["headers_raw", "details_raw", "headers_clean", "details_clean"]
-    parts = [df.select(F.to_date(date).alias("day"), F.lit(i).alias("part"), money("total_amount").alias("amount"))
+    parts = [df.select(F.to_date(date).alias("day"), F.lit(i).alias("part"), F.col("total_amount").alias("amount"))
              for i, df in enumerate([headers_raw, details_raw, headers_clean, details_clean])]
     stacked = reduce(lambda a, b: a.unionByName(b), parts).filter(F.col("day").isNotNull())
-    sums = stacked.rollup("day").agg(*[F.coalesce(F.sum(F.when(F.col("part") == i, F.col("amount"))).cast("double"), F.lit(0.0)).alias(n)
+    sums = stacked.rollup("day").agg(*[money_total(F.when(F.col("part") == i, F.col("amount"))).alias(n)
                                        for i, n in enumerate(names)])
     return sums.select(F.coalesce(F.date_format("day", "yyyy-MM-dd"), F.lit("TOTAL")).alias("day"), *names,
                        np_round(ratio("details_clean", "headers_clean") * 100, 3).alias("acc_details_pct"))
@@ -116,13 +116,13 @@ def accuracy_by_date(headers_raw: DataFrame, details_raw: DataFrame, headers_cle
 
 def accuracy_split(headers: DataFrame, details: DataFrame) -> DataFrame:
     """Header and detail money for orders with details, open orders without (expected) and others without (suspicious)."""
-    sums = details.groupBy("order_id").agg(F.sum(money("total_amount")).alias("_details"))
+    sums = details.groupBy("order_id").agg(money_sum("total_amount").alias("_details"))
     df = join_per_key(headers, sums.withColumn("_has", F.lit(True)), ["order_id"])
     kind = (F.when(F.col("_has"), "with_details").when(F.col("fulfillment_status") == "none", "unfulfilled_without_details")
             .otherwise("other_without_details"))
-    rows = df.groupBy(kind.alias("kind")).agg(F.countDistinct("order_id").alias("orders"), F.sum(money("total_amount")).cast("double").alias("amount_headers"))
+    rows = df.groupBy(kind.alias("kind")).agg(F.countDistinct("order_id").alias("orders"), money_sum("total_amount").alias("amount_headers"))
     known = join_per_key(sums, headers.select("order_id").distinct(), ["order_id"], "left_semi")
-    total = known.agg(F.sum("_details").cast("double").alias("amount_details")).withColumn("kind", F.lit("with_details"))
+    total = known.agg(money_sum("_details").alias("amount_details")).withColumn("kind", F.lit("with_details"))
     return rows.join(total, "kind", "left").withColumn("accuracy_pct", np_round(ratio("amount_details", "amount_headers") * 100, 3))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.functions.scalars import canonical_id, money, money_total
+from tillworks.functions.scalars import canonical_id, money_total
 from tillworks.functions.skew import broadcast_if_small, bucketed_lead
 
 REVENUE = ["total_price_after_discount_cash", "total_price_after_discount_qris", "total_price_after_discount_app"]
@@ -105,7 +105,7 @@ def weekly_facts(summaries: DataFrame, revenue_columns: list[str] = tuple(REVENU
     df = summaries
     for k in keys:
         df = df.filter(F.col(k).isNotNull())
-    sums = [F.coalesce(F.sum(money(c)).cast("double"), F.lit(0.0)).alias(c) for c in revenue_columns]
+    sums = [money_total(c).alias(c) for c in revenue_columns]
     out = df.groupBy(*keys).agg(*sums, F.countDistinct("transaction_date").alias("total_operating_days"),
                                 F.max_by("commission_scheme_id", "transaction_date").alias("commission_scheme_id"))
     return out.withColumn("total_revenue", revenue(list(revenue_columns))).drop(*revenue_columns)

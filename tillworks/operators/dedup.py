@@ -14,22 +14,23 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tillworks import fixed_values as fv
-from tillworks.functions.skew import bucket_offsets, count_copies, join_buckets, join_per_key, repeat_rows
+from tillworks.functions.scalars import np_round
+from tillworks.functions.skew import bucket_offsets, count_copies, join_per_key, join_slots, repeat_rows
 
 
 def _stats(details: DataFrame, bucket: Column) -> tuple[DataFrame, DataFrame]:
-    """(folded rows with ``_copies`` and ``_bucket``, per key and bucket: rows before the bucket and in the key)."""
+    """(folded rows with ``_copies`` and ``_bucket``, per key and bucket: rows, rows before the bucket, rows in the key)."""
     folded = count_copies(details).withColumn("_bucket", bucket)
-    return folded, bucket_offsets(folded, fv.DETAIL_KEY, "_bucket", F.col("_copies")).withColumnRenamed("_total", "rows_per_key")
+    rows = details.select(*fv.DETAIL_KEY, bucket.alias("_bucket"))
+    return folded, bucket_offsets(rows, fv.DETAIL_KEY, "_bucket", F.lit(1)).withColumnRenamed("_total", "rows_per_key")
 
 
 def _ranked(folded: DataFrame, per_bucket: DataFrame, details: DataFrame, order: list[str]) -> DataFrame:
     """Folded rows with the facts of their bucket and ``_upto``: copies in the key up to and including the row."""
     rest = [c for c in details.columns if c not in fv.DETAIL_KEY and c not in order]
-    inside = (Window.partitionBy(*fv.DETAIL_KEY, "_bucket").orderBy(*order, *rest)
-              .rowsBetween(Window.unboundedPreceding, 0))
-    return (join_buckets(folded, per_bucket.drop("_t"), fv.DETAIL_KEY, "_bucket")
-            .withColumn("_upto", F.sum("_copies").over(inside) + F.col("_before")).drop("_before", "_bucket"))
+    inside = Window.partitionBy("_slot").orderBy(*order, *rest).rowsBetween(Window.unboundedPreceding, 0)
+    return (join_slots(folded, per_bucket.drop("_t"), fv.DETAIL_KEY, "_bucket")
+            .withColumn("_upto", F.sum("_copies").over(inside) + F.col("_before")).drop("_before", "_bucket", "_slot"))
 
 
 def dedup_key_stats(details: DataFrame, order: list[str], bucket: Column) -> DataFrame:
@@ -145,24 +146,26 @@ def bundles_not_in_master(work: DataFrame) -> DataFrame:
 
 
 def dedup_summary(work: DataFrame) -> DataFrame:
-    """Counters of one cleaning run as one row."""
-    combo = F.col("type") == fv.BUNDLE_TYPE
-    rows = work.agg(
-        F.sum("_copies").alias("details_raw"), F.sum("_keep").alias("details_clean"),
-        F.sum(F.when(~combo, F.col("_copies")).otherwise(0)).alias("details_noncombo_raw"),
-        F.sum(F.when(~combo, F.col("_keep")).otherwise(0)).alias("details_noncombo_clean"),
-        F.sum(F.when(combo, F.col("_copies")).otherwise(0)).alias("details_combo_raw"),
-        F.sum(F.when(combo, F.col("_keep")).otherwise(0)).alias("details_combo_clean"),
-        F.countDistinct(F.when(F.col("needs_manual_check"), F.col("order_id"))).alias("needs_manual_check_orders"),
-        F.countDistinct(F.when(combo, F.col("bundling_id"))).alias("bundling_in_period"))
-    known = F.col("bundling_slot_count").isNotNull()
-    hit = F.col("rows_after") == F.col("bundling_slot_count")
-    groups = slot_check(work).agg(
-        F.count(F.lit(1)).alias("combo_order_details"), F.count_if(known).alias("combo_in_master"),
-        F.count_if(~known).alias("combo_not_in_master"), F.count_if(known & ~hit).alias("slot_mismatch_count"),
-        F.round(F.try_divide(F.count_if(known & hit) * 100.0, F.nullif(F.count_if(known), F.lit(0))), 2).alias("combo_slot_match_pct"))
-    one = lambda df: df.withColumn("_one", F.lit(1))
-    return one(rows).join(one(groups), "_one").drop("_one")
+    """Counters of one cleaning run as one row, from one pass: rows are folded per detail before anything is counted."""
+    combo = F.coalesce(F.col("type") == fv.BUNDLE_TYPE, F.lit(False))
+    per_detail = work.groupBy(combo.alias("_combo"), *fv.BUNDLE_GROUP_KEY).agg(
+        F.sum("_copies").alias("_raw"), F.sum("_keep").alias("_clean"), F.max("needs_manual_check").alias("_manual"),
+        F.max("bundling_slot_count").alias("_slots"))
+    is_combo = F.col("_combo")
+    group = is_combo & (F.col("_clean") > 0)
+    known = group & F.col("_slots").isNotNull()
+    hit = F.col("_clean") == F.col("_slots")
+    added = lambda c, keep: F.sum(F.when(keep, F.col(c)).otherwise(0))
+    return per_detail.agg(
+        F.sum("_raw").alias("details_raw"), F.sum("_clean").alias("details_clean"),
+        added("_raw", ~is_combo).alias("details_noncombo_raw"), added("_clean", ~is_combo).alias("details_noncombo_clean"),
+        added("_raw", is_combo).alias("details_combo_raw"), added("_clean", is_combo).alias("details_combo_clean"),
+        F.countDistinct(F.when(F.col("_manual"), F.col("order_id"))).alias("needs_manual_check_orders"),
+        F.countDistinct(F.when(is_combo, F.col("bundling_id"))).alias("bundling_in_period"),
+        F.count_if(group).alias("combo_order_details"), F.count_if(known).alias("combo_in_master"),
+        F.count_if(group & F.col("_slots").isNull()).alias("combo_not_in_master"),
+        F.count_if(known & ~hit).alias("slot_mismatch_count"),
+        np_round(F.try_divide(F.count_if(known & hit) * 100.0, F.nullif(F.count_if(known), F.lit(0))), 2).alias("combo_slot_match_pct"))
 
 
 # --- gates ----------------------------------------------------------------------------------------------------------

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tillworks.functions.scalars import detour, haversine, local_time, minutes_between, money, np_round, seconds_between
-from tillworks.functions.skew import bucket_offsets, first_per_key, join_buckets, join_per_key
-from pyspark.sql.window import Window
+from tillworks.functions.skew import bucket_offsets, first_per_key, join_per_key, join_slots
 
 ORDER = "pending_order_id"
 
@@ -121,8 +121,8 @@ def distance_stats(positions: DataFrame, bucket_m: float = 1000.0, value: str =
         (F.sum(money("_v") * F.col("_c")).cast("double") / F.nullif(F.sum(F.when(F.col("_v").isNotNull(), F.col("_c"))), F.lit(0))).alias("_mean"))
     known = counts.filter(F.col("_v").isNotNull()).withColumn("_bucket", F.floor(F.col("_v") / bucket_m))
     offsets = bucket_offsets(known, [ORDER], "_bucket", F.col("_c")).drop("_t")
-    inside = Window.partitionBy(ORDER, "_bucket").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = join_buckets(known, offsets, [ORDER], "_bucket").withColumn("_upto", F.sum("_c").over(inside) + F.col("_before"))
+    inside = Window.partitionBy("_slot").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = join_slots(known, offsets, [ORDER], "_bucket").withColumn("_upto", F.sum("_c").over(inside) + F.col("_before"))
     at = lambda rank: F.max(F.when((rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto")), F.col("_v")))
     middle = ranked.groupBy(ORDER).agg(
         ((at(F.floor((F.col("_total") - 1) / 2)) + at(F.floor(F.col("_total") / 2))) / 2).alias("_median"))

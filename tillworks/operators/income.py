@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import col, lookup, money, money_sum, money_total, strip
+from tillworks.functions.scalars import col, lookup, money_sum, money_total, strip
 from tillworks.functions.skew import with_group
 from tillworks.operators.summaries import paid_and_fulfilled
 
@@ -45,16 +45,15 @@ def daily_income(sales: DataFrame, raw: str = "payment_type_raw") -> DataFrame:
     day, official = F.to_date("transaction_date"), normalize_payment_type(raw)
     keys = ["date", "outlet_code", "outlet_name", "_type"]
     per_name = (sales.select(day.alias("date"), "outlet_code", "outlet_name", official.alias("_official"),
-                             F.lower(F.rtrim(F.col(raw))).alias("_raw"), "order_id", money("subtotal").alias("subtotal"),
-                             money("total_tax_amount").alias("tax_amount"), money("total_amount").alias("total_sales"))
+                             F.lower(F.rtrim(F.col(raw))).alias("_raw"), "order_id", "subtotal",
+                             F.col("total_tax_amount").alias("tax_amount"), F.col("total_amount").alias("total_sales"))
                 .withColumn("_type", F.lower("_official"))
                 .groupBy(*keys, "_raw")
-                .agg(F.min("_official").alias("payment_type"), F.sum("subtotal").alias("subtotal"),
-                     F.sum("tax_amount").alias("tax_amount"), F.sum("total_sales").alias("total_sales"),
+                .agg(F.min("_official").alias("payment_type"), *[money_sum(c).alias(c) for c in ("subtotal", "tax_amount", "total_sales")],
                      F.countDistinct("order_id").alias("total_order")))
     out = per_name.groupBy(*keys).agg(
         F.min("payment_type").alias("payment_type"),
-        *[F.coalesce(F.sum(c).cast("double"), F.lit(0.0)).alias(c) for c in ("subtotal", "tax_amount", "total_sales")],
+        *[money_total(c).alias(c) for c in ("subtotal", "tax_amount", "total_sales")],
         F.sum("total_order").alias("total_order"))
     return (out.withColumn("sales_type_commission", F.col("subtotal") * commission_rate("payment_type"))
             .select("date", "outlet_code", "outlet_name", "payment_type", "subtotal", "tax_amount", "total_sales",
@@ -109,13 +108,11 @@ def income_pivot(income: DataFrame, buckets: dict[str, str] = fv.DASHBOARD_BUCKE
     """Per day and outlet name: orders, income per payment bucket (0 where none) and their sum."""
     names = list(dict.fromkeys([*buckets.values(), fv.OTHER_BUCKET]))
     net = F.col("subtotal") - F.coalesce(F.col("sales_type_commission"), F.lit(0.0))
-    df = income.select("date", F.coalesce("outlet_name", F.lit("")).alias("outlet_name"), "total_order", money(net).alias("_net"),
+    df = income.select("date", F.coalesce("outlet_name", F.lit("")).alias("outlet_name"), "total_order", net.alias("_net"),
                        F.coalesce(lookup("payment_type", buckets, fold=True), F.lit(fv.OTHER_BUCKET)).alias("_bucket"))
-    wide = df.groupBy("date", "outlet_name").pivot("_bucket", names).agg(
-        F.sum("_net").alias("net"), F.sum("total_order").alias("orders"))
-    filled = wide.select("date", "outlet_name",
-                         sum((F.coalesce(F.col(f"{n}_orders"), F.lit(0)) for n in names), F.lit(0)).cast("double").alias("total_order"),
-                         *[F.coalesce(F.col(f"{n}_net").cast("double"), F.lit(0.0)).alias(n) for n in names])
+    filled = df.groupBy("date", "outlet_name").agg(
+        F.sum("total_order").cast("double").alias("total_order"),
+        *[money_total(F.when(F.col("_bucket") == n, F.col("_net"))).alias(n) for n in names])
     total = F.col(names[0])
     for n in names[1:]:
         total = total + F.col(n)

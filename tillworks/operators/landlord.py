@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import lookup, money, money_total, np_round
+from tillworks.functions.scalars import exact_sum, lookup, money_sum, money_total, np_round
 from tillworks.functions.skew import first_per_key, join_per_key
 
 SENDABLE = list(fv.COMMISSION_RATES)
@@ -41,11 +41,11 @@ def payload_from_sales(sales: DataFrame, prefix: str, run_time: str, payment: st
     """One row per outlet, day and payment name straight from the headers; the QRIS names share one label."""
     label = lookup(payment, {name: fv.QRIS_LABEL for name in fv.QRIS_ALIASES}, F.col(payment))
     df = (sales.select(F.col("outlet_code").alias("jilid"), F.to_date("transaction_date").alias("transaction_date"),
-                       label.alias("payment_type"), money("total_amount").alias("s"), money("total_tax_amount").alias("t"))
+                       label.alias("payment_type"), F.col("total_amount").alias("s"), F.col("total_tax_amount").alias("t"))
           .filter(F.col("jilid").isNotNull() & F.col("payment_type").isNotNull())
           .groupBy("jilid", "transaction_date", "payment_type")
-          .agg(F.sum("s").cast("double").alias("total_sales"), F.sum("t").cast("double").alias("total_tax"),
-               (F.sum("s") - F.sum("t")).cast("double").alias("amount")))
+          .agg(money_sum("s").alias("total_sales"), money_sum("t").alias("total_tax"),
+               (exact_sum("s") - exact_sum("t")).cast("double").alias("amount")))
     return _payload(df, prefix, run_time)
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import lookup, money
+from tillworks.functions.scalars import lookup, money_sum
 from tillworks.functions.skew import first_per_key, join_per_key, with_group
 
 HEADER_MONEY = ["total_order_amount", "total_discount_amount", "total_promotion_amount", "subtotal",
@@ -35,7 +35,7 @@ def with_payment_facts(headers: DataFrame, amount: str = "tx_amount", pos: str =
         F.max(F.when(F.col("_sale"), F.col("_amt")).otherwise(0.0)).alias("_top"),
         F.min(F.when(F.col("_sale"), F.col(pos))).alias("_first"),
         F.count_if(paid).alias("_n_paid"),
-        F.sum(F.when(paid, money("_amt"))).cast("double").alias("_sum_paid"),
+        money_sum(F.when(paid, F.col("_amt"))).alias("_sum_paid"),
         F.max(F.when(paid, F.struct(F.col("_amt").alias("a"), (-F.col(pos)).alias("p")))).alias("_best"))
     ghost = F.col("_sale") & (F.col("_amt") <= 0) & ((F.col("_top") > 0) | (F.col(pos) > F.col("_first")))
     split = F.col("_sale") & (F.col("_n_paid") > 1)
@@ -93,7 +93,7 @@ def combo_share(lines: DataFrame, keys: list[str]) -> DataFrame:
     """Share of every bundle component: price × quantity over the bundle, equal shares when one is unpriced."""
     weight = F.greatest(F.coalesce(F.col("price"), F.lit(0.0)) * F.coalesce(F.col("quantity"), F.lit(0.0)), F.lit(0.0))
     df = lines.withColumn("_w", weight)
-    df = with_group(df, keys, F.min(F.col("_w") > 0).alias("_priced"), F.sum(money("_w")).cast("double").alias("_sum"),
+    df = with_group(df, keys, F.min(F.col("_w") > 0).alias("_priced"), money_sum("_w").alias("_sum"),
                     F.count(F.lit(1)).alias("_n"))
     share = F.when(F.col("_priced"), F.col("_w") / F.col("_sum")).otherwise(1 / F.col("_n"))
     return df.withColumn("combo_share", share).drop("_w", "_priced", "_sum", "_n")

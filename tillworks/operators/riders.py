@@ -8,9 +8,9 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import (iso_week, local_time, minutes_between, money, money_sum, money_total, np_round, null_like,
+from tillworks.functions.scalars import (iso_week, local_time, minutes_between, money_sum, money_total, np_round, null_like,
                                          parse_flag, ratio, strip, zero_pad)
-from tillworks.functions.skew import first_per_key, join_buckets, join_per_key, running_sum
+from tillworks.functions.skew import first_per_key, join_per_key, join_slots, running_sum
 
 
 # --- text -----------------------------------------------------------------------------------------------------------
@@ -54,10 +54,10 @@ def rider_hourly_sales(transactions: DataFrame, products: DataFrame, excluded_ri
     t = t.select("id", "rider_code", F.col("transaction_date").alias("date"),
                  iso_week(F.coalesce("transaction_datetime_utc", F.col("transaction_date").cast("timestamp_ntz"))).alias("week"),
                  F.hour(local_time("transaction_datetime_utc")).alias("hour"), "payment_type")
-    lines = products.groupBy("transaction_id").agg(F.sum("qty").alias("_qty"), F.sum(money("total_price_after_discount")).alias("_sales"))
+    lines = products.groupBy("transaction_id").agg(F.sum("qty").alias("_qty"), money_sum("total_price_after_discount").alias("_sales"))
     return (t.join(lines, t.id == lines.transaction_id).groupBy("rider_code", "date", "week", "hour", "payment_type")
             .agg(F.countDistinct("id").alias("total_orders"), F.sum("_qty").alias("total_qty"),
-                 F.sum("_sales").cast("double").alias("total_sales")))
+                 money_sum("_sales").alias("total_sales")))
 
 
 def semi_join_riders(sales: DataFrame, mapping: DataFrame, kind: str = "HUB") -> DataFrame:
@@ -112,14 +112,14 @@ def flag_sessions(logs: DataFrame, bucket: str = "hour", carry: DataFrame | None
         start = tail.join(carry, "rider_code", "left").select(
             "rider_code", "_bucket", F.coalesce(before, "last_flag", F.lit(False)).alias("_carry"),
             F.coalesce("last_seq", F.lit(0).cast("bigint")).alias("_base"))
-    inside = Window.partitionBy("rider_code", "_bucket").orderBy("timestamp", "id")
-    df = join_buckets(df, start, ["rider_code"], "_bucket")
+    inside = Window.partitionBy("_slot").orderBy("timestamp", "id")
+    df = join_slots(df, start, ["rider_code"], "_bucket")
     on = F.coalesce("is_stationed", F.lit(False))
     prev = F.lag(on, 1).over(inside)
     df = df.withColumn("is_session_start", on & ~F.coalesce(prev, F.col("_carry"))).drop("_carry")
     df = running_sum(df, ["rider_code"], "_bucket", ["timestamp", "id"], F.col("is_session_start").cast("int"), "session_seq")
     df = df.withColumn("session_seq", F.col("session_seq") + F.col("_base"))
-    return df.withColumn("session_id", F.when(F.col("session_seq") > 0, session_name())).drop("_bucket", "_base")
+    return df.withColumn("session_id", F.when(F.col("session_seq") > 0, session_name())).drop("_bucket", "_base", "_slot")
 
 
 def session_name() -> Column:

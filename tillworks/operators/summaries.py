@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import lookup, money_sum, week_from_monday, zero_pad
+from tillworks.functions.scalars import lookup, money_sum, money_total, week_from_monday, zero_pad
 from tillworks.functions.skew import first_per_key
 from tillworks.operators.outlets import ATTRIBUTES, with_outlet
 
@@ -62,12 +62,12 @@ def _headers_by(headers: DataFrame, dimension: DataFrame, extra: dict[str, Colum
     folded = (valid_sales(headers)
               .select(*[c.alias(k) for k, c in keys.items()], "order_id", *[F.col(c).alias(f"_{n}") for n, c in HEADER_SUMS.items()])
               .groupBy(*keys)
-              .agg(*[F.sum(F.col(f"_{n}").cast("decimal(20,6)")).alias(n) for n in HEADER_SUMS],
+              .agg(*[money_sum(f"_{n}").alias(n) for n in HEADER_SUMS],
                    F.countDistinct("order_id").alias("total_order")))
     dated = with_outlet(folded, dimension, "_day", how=how)
     group = ["_day", "outlet_code", *extra, *ATTRIBUTES]
     # two dimension rows can end up with equal attributes: their sums add, their distinct orders are the same ones
-    merged = dated.groupBy(*group).agg(*[F.sum(n).cast("double").alias(n) for n in HEADER_SUMS],
+    merged = dated.groupBy(*group).agg(*[money_sum(n).alias(n) for n in HEADER_SUMS],
                                        F.max("total_order").alias("total_order"))
     return merged.select(*_calendar("_day"), "outlet_code", *extra, *ATTRIBUTES, *HEADER_SUMS, "total_order")
 
@@ -120,18 +120,14 @@ def daily_items(headers: DataFrame, details: DataFrame, dimension: DataFrame, fi
     orders = valid_sales(headers).select("order_id", F.to_date("transaction_date").alias("_day"), "outlet_code").distinct()
     keys = ["_day", "outlet_code", "sku", "item_name", "item_variant_name"]
     folded = (orders.join(per_order, "order_id").groupBy(*keys)
-              .agg(*[F.sum(F.col(n).cast("decimal(20,6)")).alias(n) for n in ITEM_SUMS]))
+              .agg(*[money_sum(n).alias(n) for n in ITEM_SUMS]))
     dated = with_outlet(folded, dimension, "_day").withColumn("jilid", zero_pad("outlet_code"))
     group = ["_day", "jilid", *ATTRIBUTES, "sku", "item_name", "item_variant_name"]
     return (dated.filter(_present(*group)).groupBy(*group)
-            .agg(*[money_total_of(n) for n in ITEM_SUMS])
+            .agg(*[money_total(n).alias(n) for n in ITEM_SUMS])
             .select(*_calendar("_day"), *group[1:], *ITEM_SUMS))
 
 
-def money_total_of(name: str) -> Column:
-    return F.coalesce(F.sum(name).cast("double"), F.lit(0.0)).alias(name)
-
-
 def _bundle_lines(details: DataFrame) -> DataFrame:
     return (details.filter((F.col("bundling_id") != "") & (F.col("type") == fv.BUNDLE_TYPE))
             .withColumn("bundling_name", F.col("product_generic_name")))
@@ -165,10 +161,10 @@ def daily_bundlings(headers: DataFrame, details: DataFrame, dimension: DataFrame
     keys = ["_day", "outlet_code", "sales_type", "payment_method", "bundling_name"]
     sums = ["quantity", "total_amount"]
     folded = (sold.join(one, "order_id").groupBy(*keys)
-              .agg(*[F.sum(F.col(n).cast("decimal(20,6)")).alias(n) for n in sums]))
+              .agg(*[money_sum(n).alias(n) for n in sums]))
     dated = with_outlet(folded, dimension, "_day").withColumn("jilid", zero_pad("outlet_code"))
     group = ["_day", "jilid", *ATTRIBUTES, "sales_type", "payment_method", "bundling_name"]
-    return (dated.filter(_present(*group)).groupBy(*group).agg(*[money_total_of(n) for n in sums])
+    return (dated.filter(_present(*group)).groupBy(*group).agg(*[money_total(n).alias(n) for n in sums])
             .select(*_calendar("_day"), *group[1:], *sums))
 
 
@@ -221,10 +217,10 @@ def daily_items_sales_type(headers: DataFrame, details: DataFrame, dimension: Da
     sums = ["total_quantity", "total_gross_sales", "total_collected"]
     keys = ["transaction_date", "outlet_code", "sales_type_name", "sku", "item_name"]
     folded = (one.join(per_order, "order_id").groupBy(*keys)
-              .agg(*[F.sum(F.col(n).cast("decimal(20,6)")).alias(n) for n in sums]))
+              .agg(*[money_sum(n).alias(n) for n in sums]))
     dated = with_outlet(folded, dimension, "transaction_date").withColumn("jilid", zero_pad("outlet_code"))
     group = ["transaction_date", "jilid", "ownership_model", "outlet_name", "sales_type_name", "sku", "item_name"]
-    stored = dated.filter(_present(*group)).groupBy(*group).agg(*[money_total_of(n) for n in sums])
+    stored = dated.filter(_present(*group)).groupBy(*group).agg(*[money_total(n).alias(n) for n in sums])
     app = (app_items.filter((F.col("ownership_model") == fv.OWNED_MODEL) & F.col("transaction_date").isNotNull())
            .groupBy("transaction_date", F.col("outlet_code").alias("jilid"), "outlet_name", "sku",
                     F.col("product_name").alias("item_name"))

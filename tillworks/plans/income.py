@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import identifier
+from tillworks.functions.scalars import identifier, money_sum
 from tillworks.operators import income as ops
 from tillworks.operators import landlord as ll
 from tillworks.plans import ctes as c
@@ -166,8 +166,8 @@ new AS (SELECT date, outlet_code, {", ".join(f"{c.msum(m)} AS {m}" for m in _M)}
 def _old_new(spark, sf):
     d = daily(spark, sf)
     outlet = F.col("outlet_code")
-    old = d.groupBy("date", "outlet_code").agg(*[F.sum(F.col(m).cast("decimal(20,6)")).cast("double").alias(m) for m in _M],
-                                               F.sum(F.col("sales_type_commission").cast("decimal(20,6)")).cast("double").alias("commission"))
+    old = d.groupBy("date", "outlet_code").agg(*[money_sum(m).alias(m) for m in _M],
+                                               money_sum("sales_type_commission").alias("commission"))
     old = (old.withColumn("total_sales", F.col("total_sales") + F.when(outlet == "00001", 1).otherwise(0))
            .withColumn("tax_amount", F.col("tax_amount") - F.when(outlet == "00002", 0.5).otherwise(0))
            .withColumn("commission", F.col("commission") + F.when(outlet == "00005", 2).otherwise(0)))

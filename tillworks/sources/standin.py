@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tillworks import fixed_values as fv
+from tillworks.functions.scalars import haversine, money_sum, np_round
 from tillworks.sources.tables import table
 
 MONEY_COLUMNS = ["total_order_amount", "total_discount_amount", "total_promotion_amount", "subtotal",
@@ -448,8 +449,6 @@ def vouchers(spark: SparkSession, sf: str) -> DataFrame:
 
 def routes_between(points: DataFrame) -> DataFrame:
     """A route table for distinct pairs of points: 1.3 x the great-circle distance; every 11th pair is absent."""
-    from tillworks.functions.scalars import haversine, np_round
-
     key = F.rint((F.col("lat1") + F.col("lat2")) * 10000).cast("bigint")
     d = haversine("lat1", "lng1", "lat2", "lng2")
     return (points.filter(F.col("lat1").isNotNull() & F.col("lat2").isNotNull()).distinct().filter(key % 11 != 0)
@@ -473,7 +472,7 @@ def rider_summaries(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
     c = table(spark, sf, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     k = F.col("o_custkey")
-    price = lambda p: F.sum(F.when(F.col("o_orderpriority").isin(*p), F.col("o_totalprice").cast("decimal(20,6)"))).cast("double")
+    price = lambda p: money_sum(F.when(F.col("o_orderpriority").isin(*p), F.col("o_totalprice")))
     days = o.groupBy("o_custkey", F.to_date("o_orderdate").alias("transaction_date")).agg(
         price(["1-URGENT", "2-HIGH"]).alias("total_price_after_discount_cash"), price(["3-MEDIUM", "5-LOW"]).alias("total_price_after_discount_qris"),
         price(["4-NOT SPECIFIED"]).alias("total_price_after_discount_app"), F.count(F.lit(1)).alias("total_item_qty"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.functions.scalars import as_instant, from_instant, money
+from tillworks.functions.scalars import as_instant, from_instant, money_sum
 from tillworks.operators.summaries import HEADER_SUMS, valid_sales
 
 
@@ -18,7 +18,7 @@ def hourly_sales(headers: DataFrame, lateness: str = "10 minutes", event_time: s
     sales = (valid_sales(headers).withColumn("_at", as_instant(event_time)).withWatermark("_at", lateness)
              .dropDuplicatesWithinWatermark(["transaction_id"]))
     per_order = (sales.groupBy(F.window("_at", "1 hour").alias("w"), "outlet_code", "order_id")
-                 .agg(*[F.sum(money(c)).alias(n) for n, c in HEADER_SUMS.items()]))
+                 .agg(*[money_sum(c).alias(n) for n, c in HEADER_SUMS.items()]))
     per_hour = (per_order.groupBy(F.window(F.window_time("w"), "1 hour").alias("w"), "outlet_code")
-                .agg(*[F.sum(n).cast("double").alias(n) for n in HEADER_SUMS], F.count(F.lit(1)).alias("total_order")))
+                .agg(*[money_sum(n).alias(n) for n in HEADER_SUMS], F.count(F.lit(1)).alias("total_order")))
     return per_hour.select(from_instant("w.start").alias("hour_start"), "outlet_code", *HEADER_SUMS, "total_order")
