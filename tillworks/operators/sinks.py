@@ -114,6 +114,28 @@ def upsert_hold_shrink(stored_headers: DataFrame, stored_details: DataFrame, hea
     return Upsert(merge(stored_headers, headers), merge(stored_details, details), decisions)
 
 
+def upsert_counts(result: Upsert, stored_headers: DataFrame, stored_details: DataFrame, headers: DataFrame, details: DataFrame,
+                  cutoff: str | None = None, order_date: str = "order_date") -> DataFrame:
+    """What an upsert does, as one row: orders per decision, rows written and rows rolled out."""
+    written = result.decisions.filter(F.col("decision") != "held").select("order_id")
+    old = F.lit(False) if cutoff is None else F.coalesce(F.col(order_date) < F.lit(cutoff).cast("timestamp_ntz"), F.lit(False))
+    kinds = result.decisions.agg(*[F.count_if(F.col("decision") == d).alias(n) for d, n in
+                                   (("new", "orders_new"), ("update", "orders_updated"), ("held", "orders_held"))])
+    n = F.count(F.lit(1))
+    parts = [kinds, join_per_key(headers, written, ["order_id"], "left_semi").agg(n.alias("headers_written")),
+             join_per_key(details, written, ["order_id"], "left_semi").agg(n.alias("details_written")),
+             stored_headers.filter(old).agg(n.alias("rollover_headers")), stored_details.filter(old).agg(n.alias("rollover_details"))]
+    out = parts[0].withColumn("_one", F.lit(1))
+    for part in parts[1:]:
+        out = out.join(part.withColumn("_one", F.lit(1)), "_one")
+    return out.drop("_one")
+
+
+def held_sample(decisions: DataFrame, k: int = 10) -> DataFrame:
+    """The first held orders for a report."""
+    return decisions.filter(F.col("decision") == "held").select("order_id").orderBy("order_id").limit(k)
+
+
 def update_fulfilled(headers: DataFrame, done: DataFrame) -> DataFrame:
     """Set fulfilled, and the sales type where one is known. ``done``: order_id, sales_type (may be NULL)."""
     found = done.groupBy("order_id").agg(F.max("sales_type").alias("_type"), F.lit(True).alias("_hit"))

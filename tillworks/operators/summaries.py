@@ -101,25 +101,26 @@ def _present(*names: str) -> Column:
     return keep
 
 
-def items_per_order(details: DataFrame, gross_factor: float = 1.0, variant: str | None = None) -> DataFrame:
-    """Details folded per order, sku, name and variant."""
+def item_lines(details: DataFrame, variant: str | None = None) -> DataFrame:
+    """Details in summary columns; a missing variant is '-'."""
     shown = F.coalesce(F.col(variant), F.lit("-")) if variant else F.lit("-")
-    out = details.groupBy("order_id", "sku", F.col("product_name").alias("item_name"), shown.alias("item_variant_name")).agg(
-        *[money_sum(c).alias(n) for n, c in ITEM_SUMS.items()])
-    return out.withColumn("total_gross_sales", F.col("total_gross_sales") * gross_factor) if gross_factor != 1.0 else out
+    return details.select("order_id", "sku", F.col("product_name").alias("item_name"), shown.alias("item_variant_name"),
+                          *[F.col(c).alias(n) for n, c in ITEM_SUMS.items()])
 
 
 def daily_items(headers: DataFrame, details: DataFrame, dimension: DataFrame, filter_details: bool = True,
                 variant: str | None = None) -> DataFrame:
-    """Items per day and outlet. Details are folded per order first; an order with several (day, outlet) headers counts
-    once for each of them. ``filter_details`` keeps paid, successful, non-app details only."""
+    """Items per day and outlet; an order with headers on several (day, outlet) pairs counts once for each of them.
+
+    Details are shuffled once, by order for the join, and folded right after it. Both join sides come straight out of their
+    shuffles, so a hot order is split. ``filter_details`` keeps paid, successful, non-app details only.
+    """
     if filter_details:
         details = details.filter((F.col("payment_status") == "paid") & (F.col("transactions_status") == "success")
                                  & not_app_sale())
-    per_order = items_per_order(details, variant=variant)
     orders = valid_sales(headers).select("order_id", F.to_date("transaction_date").alias("_day"), "outlet_code").distinct()
     keys = ["_day", "outlet_code", "sku", "item_name", "item_variant_name"]
-    folded = (orders.join(per_order, "order_id").groupBy(*keys)
+    folded = (orders.join(item_lines(details, variant), "order_id").groupBy(*keys)
               .agg(*[money_sum(n).alias(n) for n in ITEM_SUMS]))
     dated = with_outlet(folded, dimension, "_day").withColumn("jilid", zero_pad("outlet_code"))
     group = ["_day", "jilid", *ATTRIBUTES, "sku", "item_name", "item_variant_name"]
@@ -210,7 +211,10 @@ def companywide(parts: list[DataFrame]) -> DataFrame:
 def daily_items_sales_type(headers: DataFrame, details: DataFrame, dimension: DataFrame, app_items: DataFrame,
                            gross_factor: float = 1.1) -> DataFrame:
     """Items per day, outlet and channel (one header per order, gross with tax), plus the app's own item summary."""
-    per_order = items_per_order(details, gross_factor)
+    per_order = (item_lines(details).groupBy("order_id", "sku", "item_name")
+                 .agg(money_sum("total_quantity").alias("total_quantity"),
+                      (money_sum("total_gross_sales") * gross_factor).alias("total_gross_sales"),
+                      money_sum("total_collected").alias("total_collected")))
     one = (one_header_per_order(valid_sales(headers).select("order_id", "transaction_id", "transaction_date", "outlet_code", "sales_type"))
            .select("order_id", F.to_date("transaction_date").alias("transaction_date"), "outlet_code",
                    F.col("sales_type").alias("sales_type_name")))

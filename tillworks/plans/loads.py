@@ -161,7 +161,7 @@ dec AS (
 UP_HEAD = c.with_(c.HEADERS, c.DETAILS, UPSERT)
 
 
-def _upsert(spark, sf):
+def _upsert_inputs(spark, sf):
     h = s.headers(spark, sf).select(*HSEL, "transactions_type", F.col("transaction_date").alias("order_date"))
     stored = h.filter(F.col("outlet_code") < "00015").withColumn("version", F.lit("old"))
     dates = stored.groupBy("order_id").agg(F.min("order_date").alias("order_date"))
@@ -169,7 +169,11 @@ def _upsert(spark, sf):
     new = h.filter(~((F.col("order_id") % 3 == 0) & (F.col("transactions_type") == "refund"))).withColumn("version", F.lit("new"))
     new_d = (_d(spark, sf).filter(~((F.col("order_id") % 4 == 0) & (F.col("type") == "variant")))
              .withColumn("order_date", F.lit(None).cast("timestamp_ntz")).withColumn("version", F.lit("new")))
-    return sinks.upsert_hold_shrink(stored, stored_d, new, new_d, CUTOFF)
+    return stored, stored_d, new, new_d
+
+
+def _upsert(spark, sf):
+    return sinks.upsert_hold_shrink(*_upsert_inputs(spark, sf), CUTOFF)
 
 
 @query("upsert_hold_shrink", UP_HEAD + """
@@ -191,6 +195,21 @@ def upsert_decisions(spark, sf):
     return _upsert(spark, sf).decisions
 
 
+@query("upsert_counts", UP_HEAD + """
+SELECT count(*) FILTER (WHERE decision = 'new') AS orders_new, count(*) FILTER (WHERE decision = 'update') AS orders_updated, count(*) FILTER (WHERE decision = 'held') AS orders_held,
+       (SELECT count(*) FROM nh WHERE order_id IN (SELECT order_id FROM dec WHERE decision <> 'held')) AS headers_written,
+       (SELECT count(*) FROM nd WHERE order_id IN (SELECT order_id FROM dec WHERE decision <> 'held')) AS details_written,
+       (SELECT count(*) FROM sh) - (SELECT count(*) FROM kh) AS rollover_headers, (SELECT count(*) FROM sd) - (SELECT count(*) FROM kd) AS rollover_details FROM dec""")
+def upsert_counts(spark, sf):
+    inputs = _upsert_inputs(spark, sf)
+    return sinks.upsert_counts(sinks.upsert_hold_shrink(*inputs, CUTOFF), *inputs, CUTOFF)
+
+
+@query("held_sample", UP_HEAD + "SELECT order_id FROM dec WHERE decision = 'held' ORDER BY order_id LIMIT 10")
+def held_sample(spark, sf):
+    return sinks.held_sample(_upsert(spark, sf).decisions)
+
+
 # orders whose details have arrived; listed ones get a new channel
 @query("update_fulfilled", c.with_(c.HEADERS, c.DETAILS) + """
 SELECT h.order_id, transaction_id, CASE WHEN d.order_id IS NOT NULL THEN 'fulfilled' ELSE fulfillment_status END AS fulfillment_status,

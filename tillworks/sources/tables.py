@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.functions.skew import broadcast_if_small
+from tillworks.functions.skew import broadcast_if_small, join_per_key
 
 PROMOTION = T.StructType([
     T.StructField("promotion_id", T.StringType()),
@@ -133,7 +133,8 @@ def check_window(start: str, end: str, max_days: int | None = None, not_after: s
 
 def scan_by_keys(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows whose key is in another frame: one semi join instead of id lists in chunks."""
-    return df.join(broadcast_if_small(keys.select(on).distinct()), on, "left_semi")
+    on = [on] if isinstance(on, str) else on
+    return join_per_key(df, broadcast_if_small(keys.select(*on).distinct()), on, "left_semi")
 
 
 def write_reports(reports: dict[str, DataFrame], folder: str) -> list[str]:
