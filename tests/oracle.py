@@ -90,6 +90,7 @@ def main():
     queries, oracles = load_all()
     con = duck(sf_dir)
     spark = build_session(8)
+    spark.conf.set("spark.sql.session.timeZone", os.environ.get("TILLWORKS_TZ", "UTC"))
     spark.sparkContext.setLogLevel("ERROR")
     bad = []
     for name, fn in queries.items():

@@ -197,6 +197,15 @@ def test_unpaid_order_gives_neither_header_nor_detail(spark, tmp_path):
     assert h.count() == 0 and d.count() == 0
 
 
+def test_overlapping_pulls_keep_the_last_version(spark, tmp_path):
+    docs = _doc(spark, tmp_path, *[{"order_id": "o1", "outlet_code": "7", "total_amount": a, "transactions": [SALE], "order_details": [_detail(1, "standard")]}
+                                   for a in (1.0, 2.0, 2.0)])
+    pulled = docs.withColumn("pull", F.monotonically_increasing_id())
+    prices = spark.createDataFrame([], "product_id string, price double")
+    h, d = documents.orders_to_tables(pulled, prices, sequence="pull")
+    assert [r.total_amount for r in h.collect()] == [2.0] and d.count() == 1
+
+
 def test_promo_texts_keep_their_first_seen_order(spark, tmp_path):
     promos = [{"promotion_id": i, "promotion_name": n, "promotion_type": "T", "promotion_amount": a} for i, n, a in
               (("b", "B", 1), ("a", "A", 2), ("b", "", 3), (None, None, None))]

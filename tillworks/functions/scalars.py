@@ -89,7 +89,8 @@ def local_time(ts, hours: int = 7) -> Column:
 
 def week_from_monday(d) -> Column:
     """Week 1..53 counted from the first Monday of the year of that week's Monday (not the ISO week)."""
-    monday = F.date_trunc("week", col(d))
+    day = F.to_date(col(d))
+    monday = F.date_sub(day, F.weekday(day))
     return F.ceil(F.dayofyear(monday) / F.lit(7)).cast("int")
 
 
@@ -99,7 +100,8 @@ def iso_week(d) -> Column:
 
 def week_bounds(d) -> tuple[Column, Column]:
     """Monday and Sunday around a date."""
-    monday = F.to_date(F.date_trunc("week", col(d)))
+    day = F.to_date(col(d))
+    monday = F.date_sub(day, F.weekday(day))
     return monday, F.date_add(monday, 6)
 
 
@@ -107,6 +109,11 @@ def lookback_start(as_of, days: int, not_before) -> Column:
     return F.greatest(F.date_sub(col(as_of), days), F.to_date(F.lit(not_before)))
 
 
+def hour_start(ts) -> Column:
+    """Start of the hour of a zone-less time (``date_trunc`` would go through the session zone)."""
+    return F.to_date(col(ts)).cast("timestamp_ntz") + F.make_dt_interval(hours=F.hour(col(ts)))
+
+
 def four_hour_block(ts) -> Column:
     """'08:00-11:59' style label of the 4-hour block."""
     first = (F.floor(F.hour(col(ts)) / 4) * 4).cast("int")

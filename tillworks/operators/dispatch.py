@@ -165,6 +165,7 @@ def resolve_origin(df: DataFrame) -> DataFrame:
                         .when(F.col("total_riders_blasted") == 0, "NO_RIDER_BLASTED").otherwise("NO_RIDER_COORDINATE")))
 
 
+# fixed values: column layout of the order summary
 SUMMARY_COLUMNS = [
     "transaction_id", "transaction_datetime", "order_date", "order_hour", "pending_order_id", "latest_transaction_status", "order_status",
     "order_status_detail", "hub_code", "customer_id", "customer_name", "customer_phone", "has_membership", "order_qty", "total_price",

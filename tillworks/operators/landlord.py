@@ -15,6 +15,7 @@ from tillworks.functions.skew import first_per_key, join_per_key
 SENDABLE = list(fv.COMMISSION_RATES)
 PENDING = "pending"
 ACCEPTED_ERROR = "duplicate"
+# fixed values: field names of the landlord's answer
 RESPONSE = T.StructType([
     T.StructField("RevenueBatchId", T.StringType()),
     T.StructField("transactionReturnDatas", T.ArrayType(T.StructType([

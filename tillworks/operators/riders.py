@@ -8,7 +8,7 @@ from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import (iso_week, local_time, minutes_between, money_sum, money_total, np_round, null_like,
+from tillworks.functions.scalars import (hour_start, iso_week, local_time, minutes_between, money_sum, money_total, np_round, null_like,
                                          parse_flag, ratio, strip, zero_pad)
 from tillworks.functions.skew import first_per_key, join_per_key, join_slots, running_sum
 
@@ -40,9 +40,8 @@ def shift_hour_slots(shifts: DataFrame) -> DataFrame:
     """One row per clock hour a shift touches (local time). A shift past midnight gives hours 23, 0, 1, ... of its date."""
     local = (shifts.filter(F.col("checkin").isNotNull() & F.col("checkout").isNotNull())
              .select("rider_code", "date", local_time("checkin").alias("checkin"), local_time("checkout").alias("checkout"))
-             .filter(F.date_trunc("hour", "checkin") <= F.date_trunc("hour", "checkout")))
-    hours = F.sequence(F.date_trunc("hour", "checkin").cast("timestamp_ntz"),
-                       F.date_trunc("hour", "checkout").cast("timestamp_ntz"), F.expr("INTERVAL 1 HOUR"))
+             .filter(hour_start("checkin") <= hour_start("checkout")))
+    hours = F.sequence(hour_start("checkin"), hour_start("checkout"), F.expr("INTERVAL 1 HOUR"))
     return local.withColumn("_h", F.explode(hours)).withColumn("hour_slot", F.hour("_h")).drop("_h")
 
 
@@ -96,14 +95,14 @@ def hourly_performance(sales: DataFrame, slots: DataFrame, mapping: DataFrame) -
 
 # --- standing sessions ----------------------------------------------------------------------------------------------
 
-def flag_sessions(logs: DataFrame, bucket: str = "hour", carry: DataFrame | None = None) -> DataFrame:
+def flag_sessions(logs: DataFrame, carry: DataFrame | None = None) -> DataFrame:
     """Number the standing sessions of each rider: one starts where the flag turns true.
 
     The previous flag and the running number cross hour buckets through one summary row per rider and hour, so a rider with
     any number of events is never sorted in one task. ``carry`` (rider_code, last_flag, last_seq) continues earlier logs.
     """
     df = (logs.withColumn("is_stationed", parse_flag("is_stationed"))
-          .withColumn("_bucket", F.date_trunc(bucket, "timestamp").cast("timestamp_ntz")))
+          .withColumn("_bucket", hour_start("timestamp")))
     tail = df.groupBy("rider_code", "_bucket").agg(F.max_by(F.coalesce("is_stationed", F.lit(False)), F.struct("timestamp", "id")).alias("_last"))
     before = F.lag("_last").over(Window.partitionBy("rider_code").orderBy("_bucket"))
     if carry is None:
