@@ -105,3 +105,11 @@ def bucketed_lead(df: DataFrame, keys: Sequence[str], bucket: str, order: str, n
     inside = Window.partitionBy("_slot").orderBy(order)
     return (join_slots(df, after, keys, bucket)
             .withColumn(name, F.coalesce(F.lead(order).over(inside), F.col("_next"))).drop("_next", "_slot"))
+
+
+def side_by_side(*rows: DataFrame) -> DataFrame:
+    """One-row frames with different columns as one row, by a union instead of a join without keys."""
+    out = rows[0]
+    for row in rows[1:]:
+        out = out.unionByName(row, allowMissingColumns=True)
+    return out.agg(*[F.max(c).alias(c) for c in out.columns])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.functions.scalars import four_hour_block, money_sum, money_total, np_round, ratio
-from tillworks.functions.skew import first_per_key, join_per_key
+from tillworks.functions.skew import first_per_key, join_per_key, side_by_side
 
 TOLERANCE = 0.01
 OFF_BY = 0.01
@@ -78,8 +78,7 @@ def intraday_metrics(headers: DataFrame, details: DataFrame) -> DataFrame:
                     F.countDistinct(F.when(F.col("fulfillment_status") == "none", F.col("order_id"))).alias("orders_unfulfilled"),
                     F.max("load_data_at").alias("last_load"))
     d = details.agg(money_total("total_amount").alias("amount_details"))
-    one = lambda df: df.withColumn("_one", F.lit(1))
-    return one(h).join(one(d), "_one").drop("_one")
+    return side_by_side(h, d)
 
 
 def header_detail_ratio(headers: DataFrame, details: DataFrame, off_by: float = OFF_BY) -> DataFrame:
@@ -123,7 +122,9 @@ def accuracy_split(headers: DataFrame, details: DataFrame) -> DataFrame:
     rows = df.groupBy(kind.alias("kind")).agg(F.countDistinct("order_id").alias("orders"), money_sum("total_amount").alias("amount_headers"))
     known = join_per_key(sums, headers.select("order_id").distinct(), ["order_id"], "left_semi")
     total = known.agg(money_sum("_details").alias("amount_details")).withColumn("kind", F.lit("with_details"))
-    return rows.join(total, "kind", "left").withColumn("accuracy_pct", np_round(ratio("amount_details", "amount_headers") * 100, 3))
+    both = rows.unionByName(total, allowMissingColumns=True).groupBy("kind").agg(
+        *[F.max(c).alias(c) for c in ("orders", "amount_headers", "amount_details")]).filter(F.col("orders").isNotNull())
+    return both.withColumn("accuracy_pct", np_round(ratio("amount_details", "amount_headers") * 100, 3))
 
 
 # --- completeness ---------------------------------------------------------------------------------------------------

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tillworks.functions.skew import first_per_key, join_per_key
+from tillworks.functions.skew import first_per_key, join_per_key, side_by_side
 
 
 def in_window(column: str, start: str, end: str) -> Column:
@@ -54,11 +54,10 @@ def append_new_orders(stored_headers: DataFrame, headers: DataFrame, details: Da
 
 def load_counts(stored_headers: DataFrame, headers: DataFrame, new_headers: DataFrame, new_details: DataFrame) -> DataFrame:
     """What an insert-new-only load does, as one row."""
-    one = lambda df: df.withColumn("_one", F.lit(1))
     seen = headers.agg(F.countDistinct("order_id").alias("_orders"))
     h = new_headers.agg(F.count(F.lit(1)).alias("headers_inserted"), F.countDistinct("order_id").alias("orders_inserted"))
     d = new_details.agg(F.count(F.lit(1)).alias("details_inserted"))
-    return (one(h).join(one(d), "_one").join(one(seen), "_one").drop("_one")
+    return (side_by_side(h, d, seen)
             .withColumn("orders_skipped_existing", F.col("_orders") - F.col("orders_inserted")).drop("_orders"))
 
 
@@ -125,10 +124,7 @@ def upsert_counts(result: Upsert, stored_headers: DataFrame, stored_details: Dat
     parts = [kinds, join_per_key(headers, written, ["order_id"], "left_semi").agg(n.alias("headers_written")),
              join_per_key(details, written, ["order_id"], "left_semi").agg(n.alias("details_written")),
              stored_headers.filter(old).agg(n.alias("rollover_headers")), stored_details.filter(old).agg(n.alias("rollover_details"))]
-    out = parts[0].withColumn("_one", F.lit(1))
-    for part in parts[1:]:
-        out = out.join(part.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+    return side_by_side(*parts)
 
 
 def held_sample(decisions: DataFrame, k: int = 10) -> DataFrame:
