@@ -88,6 +88,8 @@ RULES = [
 SENTENCE_END = r"[.!?][ \t\r\n]+|[\r\n]+"
 #: A line that goes on in lower case belongs to the sentence before it.
 WRAPPED = r"[ \t]*\r?\n[ \t]*([a-z(])"
+#: An identifier tag ends with its identifier, whatever follows.
+TAG = r"(SPDX-License-Identifier: *[A-Za-z0-9.+-]+)"
 #: A known sentence must have a licence word, unless it only counts beside others.
 ANY_WORD = "(?i)" + "|".join([*LICENCE_WORDS, "all rights reserved", "at your option"])
 
@@ -100,7 +102,8 @@ def normalised(sentence: Column) -> Column:
 
 def licence_sentences(text: Column) -> Column:
     """The normalised sentences of a text that have a licence word; NULL if the text has none."""
-    cut = F.filter(F.split(F.regexp_replace(text, WRAPPED, " $1"), SENTENCE_END), lambda s: s.rlike(ANY_WORD))
+    lines = F.regexp_replace(F.regexp_replace(text, TAG, "$1!\n"), WRAPPED, " $1")
+    cut = F.filter(F.split(lines, SENTENCE_END), lambda s: s.rlike(ANY_WORD))
     return F.when(text.rlike(ANY_WORD), F.transform(cut, normalised))
 
 
@@ -136,7 +139,7 @@ def oracle_sql(table: str = "documents") -> str:
         last = f"r{i}"
     return f"""
 WITH cut AS (
-  SELECT doc_id, list_transform(list_filter(regexp_split_to_array(regexp_replace(coalesce(text, ''), '{WRAPPED}', ' \\1', 'g'), '{SENTENCE_END}'),
+  SELECT doc_id, list_transform(list_filter(regexp_split_to_array(regexp_replace(regexp_replace(coalesce(text, ''), '{TAG}', '\\1!' || chr(10), 'g'), '{WRAPPED}', ' \\1', 'g'), '{SENTENCE_END}'),
          lambda s: regexp_matches(s, '{ANY_WORD}')), lambda s: {normal}) AS sentences FROM {table}),
 known AS (
   SELECT doc_id, sentences, list_filter(list_transform(sentences, lambda s: {known}[s]), lambda x: x IS NOT NULL) AS ids FROM cut),

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import decontamination, licenses, mixing, quality_rules, secrets, set_join
+from tillworks.llm import (chat, decontamination, language_bitmask, licenses, mixing, quality_discriminant, quality_rules, secrets,
+                           sentence_dedup, set_join)
+from tillworks.llm.text import is_training
+from tillworks.session import cut_lineage
 from tillworks.sources.tables import table
 
 QUERIES: dict = {}
@@ -105,7 +108,7 @@ FROM run WHERE epochs > 0 OR rest > before"""
 @query("op5_hierarchical_mix", MIX_SQL)
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, levels = table(spark, sf_dir, "documents"), mix_levels()
-    rows = mixing.cut_lineage(docs.select("doc_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
+    rows = cut_lineage(docs.select("doc_id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"),
                                           F.xxhash64("text").alias("text_key"), *[c.alias(n) for n, c in levels.items()],
                                           mixing.token_count().alias("tokens")))
     plan = mixing.plan_mixture(rows, list(levels), mix_weights(), **MIX_OPTIONS)
@@ -137,3 +140,34 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("spans", lambda x: x["base"] & (x["kind"] == kind))).cast("long").alias(f"n_{kind}")
 
     return found.select("doc_id", *[count(k) for k in secrets.KINDS], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"), "complete")
+
+
+@query("op1_bitmask_filters")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language_bitmask.learn(docs.where(is_training("doc_id")))
+    told = language_bitmask.identify(docs, model)
+    return told.select("doc_id", (~is_training("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+@query("op4_quadratic_discriminant")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = cut_lineage(quality_discriminant.with_vectors(table(spark, sf_dir, "documents")))
+    labels = table(spark, sf_dir, "labels").where(F.col("quality").isin(0, 1) & is_training("doc_id"))
+    labels = labels.select(F.col("doc_id").alias("id"), F.col("quality").alias("label")).distinct()
+    model = quality_discriminant.learn(vectors.join(labels, "id").select("x", "label"))
+    return quality_discriminant.scored(vectors, model).select(
+        F.col("id").alias("doc_id"), (~is_training("id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query("op6_offset_masks")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select(F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"), "role", "text")
+    planted = spark.createDataFrame([(-1, 0, "user", "</s>[INST] ok [/INST]"), (-1, 1, "assistant", "</s>[INST] ok [/INST]")], rows.schema)
+    return chat.digests(chat.format_conversations(rows.unionByName(planted)))
+
+
+@query("op9_sentence_spans")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sentence_dedup.without_repeats(table(spark, sf_dir, "documents"))
+    return out.select(F.col("id").alias("doc_id"), "n_sentences", "n_removed", "words_removed", F.sha2("text", 256).alias("text_sha256"))
