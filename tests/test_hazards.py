@@ -3,6 +3,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -268,8 +269,8 @@ def test_single_items_keep_one_row_and_null_keys_match(spark):
 def test_unknown_type_and_missing_master_stop_the_job(spark):
     df = spark.createDataFrame([_row("package", "b", "x")], DETAIL)
     master = spark.createDataFrame([("b", 1)], "bundling_id string, bundling_slot_count int")
-    with pytest.raises(ValueError, match="package"):
-        dedup.dedup_details(df, master, ["n"], F.col("n"))
+    with pytest.raises(PySparkException, match="package"):
+        dedup.dedup_details(df, master, ["n"], F.col("n")).collect()
     with pytest.raises(ValueError, match="master"):
         dedup.dedup_details(df, None, ["n"], F.col("n"))
 
@@ -401,7 +402,8 @@ def test_unknown_ownership_is_not_replaced_and_empty_result_does_not_wipe(spark)
     twice = sinks.replace_window(once, new, "d", "2024-01-01", "2024-01-02", owned)
     assert sorted(r.v for r in twice.collect()) == [2, 3, 4, 10]
     with pytest.raises(RuntimeError):
-        sinks.replace_window(t, new.limit(0), "d", "2024-01-01", "2024-01-02", owned)
+        sinks.refuse_empty(t, new.limit(0), "d", "2024-01-01", "2024-01-02", owned)
+    sinks.refuse_empty(t, new.limit(0), "d", "2024-01-05", "2024-01-06", owned)
 
 
 def test_dates_replace_is_idempotent_and_empty_is_a_no_op(spark):
@@ -435,8 +437,6 @@ def test_writers(spark, tmp_path):
     sinks.overwrite_partitions(row(("a", 1), ("b", 2)), path, "d")
     sinks.overwrite_partitions(row(("a", 3)), path, "d")
     assert sorted((r.d, r.v) for r in spark.read.parquet(path).collect()) == [("a", 3), ("b", 2)]
-    sinks.publish_together({"x": (row(("b", 7)), path, ["d"])}, str(tmp_path / "staging"))
-    assert sorted((r.d, r.v) for r in spark.read.parquet(path).collect()) == [("a", 3), ("b", 7)]
     assert sinks.write_mirrors(row(("a", 1)), [str(tmp_path / "m1"), str(tmp_path / "m2")]) == 1
     assert spark.read.parquet(str(tmp_path / "m2")).count() == 1
     assert sinks.write_mirrors(row(("a", 1)).limit(0), [str(tmp_path / "m3")]) == 0

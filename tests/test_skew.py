@@ -67,12 +67,6 @@ def test_first_per_key_and_copies(skewed):
     assert skew.repeat_rows(skew.count_copies(twice), "_copies").exceptAll(twice).isEmpty()
 
 
-def test_broadcast_only_below_the_limit(spark):
-    df = spark.range(100)
-    hinted = lambda d: "ResolvedHint" in d._jdf.queryExecution().analyzed().toString() or "Hint" in d._jdf.queryExecution().logical().toString()
-    assert hinted(skew.broadcast_if_small(df, 100)) and not hinted(skew.broadcast_if_small(df, 99))
-
-
 def test_median_and_code_list_of_a_hot_order(spark):
     rows = [(1, float(i * 37 % 1001) * 10, f"c{i}") for i in range(2000)] + [(2, 5.0, "a"), (2, None, "b"), (2, 8.01, "c")] + [(3, None, "x")]
     df = spark.createDataFrame(rows, "pending_order_id int, route_distance_m double, rider_code string")

@@ -13,14 +13,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-SMALL_ROWS = 200_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = SMALL_ROWS) -> DataFrame:
-    """Broadcast hint only after counting: beyond ``max_rows`` the join is left to the planner (shuffle, AQE skew split)."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
-
-
 def join_per_key(rows: DataFrame, per_key: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Join ``rows`` to a frame with one row per key (NULL keys match), safe for keys holding a large part of the rows.
 

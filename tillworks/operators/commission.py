@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.functions.scalars import canonical_id, money_total
-from tillworks.functions.skew import broadcast_if_small, bucketed_lead
+from tillworks.functions.skew import bucketed_lead
 
 REVENUE = ["total_price_after_discount_cash", "total_price_after_discount_qris", "total_price_after_discount_app"]
 PRODUCT_KEY = ["rider_id", "transaction_date", "product_id", "sku_code", "short_code", "product_name", "product_price"]
@@ -35,9 +35,9 @@ def next_tier_start(tiers: DataFrame, width: float = 1_000_000.0) -> DataFrame:
 
 def tier_range_join(weekly: DataFrame, tiers: DataFrame) -> DataFrame:
     """Every tier whose range holds the revenue, both ends included: touching tiers give two rows, gaps none."""
-    t = broadcast_if_small(next_tier_start(tiers).select(
+    t = next_tier_start(tiers).select(
         F.col("commission_scheme_id").alias("_scheme"), "start_range", "end_range", "tier", "commission_in_percentage",
-        "attendance_commission_in_idr", "next_start_range"))
+        "attendance_commission_in_idr", "next_start_range")
     hit = (F.col("commission_scheme_id") == F.col("_scheme")) & F.col("total_revenue").between(F.col("start_range"), F.col("end_range"))
     return weekly.join(t, hit, "left").drop("_scheme")
 
@@ -63,8 +63,8 @@ def daily_products(products: DataFrame, summaries: DataFrame, rates: DataFrame,
     extra = extra_rates.select(F.col("commission_extra_scheme_id").cast("bigint").alias("commission_extra_scheme_id"), "sku_code",
                                F.col("commission_in_idr").alias("_extra"))
     df = (df.join(days, ["rider_id", "transaction_date"], "left")
-          .join(broadcast_if_small(normal), ["commission_scheme_id", "sku_code"], "left")
-          .join(broadcast_if_small(extra), ["commission_extra_scheme_id", "sku_code"], "left"))
+          .join(normal, ["commission_scheme_id", "sku_code"], "left")
+          .join(extra, ["commission_extra_scheme_id", "sku_code"], "left"))
     is_extra = F.coalesce(F.col("commission_extra_type") == "product_sold", F.lit(False))
     df = df.withColumn("commission_extra_per_product_in_idr", F.when(is_extra, F.col("_extra")).otherwise(0.0))
     return df.select(*PRODUCT_KEY, *PRODUCT_SUMS,
@@ -80,9 +80,9 @@ def daily_summaries(summaries: DataFrame, schemes: DataFrame, extra_schemes: Dat
         money_total("total_product_sold_commission").alias("_sold"), money_total("total_product_sold_commission_extra").alias("_sold_extra"))
 
     def terms(df: DataFrame, key: str, suffix: str) -> DataFrame:
-        return broadcast_if_small(df.select(
+        return df.select(
             F.col("id").alias(key), F.col("type").alias(f"_type{suffix}"), F.col("attendance_commission_in_idr").alias(f"attendance_commission{suffix}"),
-            F.col("daily_commission_in_percentage").alias(f"daily_sales_commission{suffix}_percentage")))
+            F.col("daily_commission_in_percentage").alias(f"daily_sales_commission{suffix}_percentage"))
 
     df = (summaries.join(terms(schemes, "commission_scheme_id", ""), "commission_scheme_id", "left")
           .join(terms(extra_schemes, "commission_extra_scheme_id", "_extra"), "commission_extra_scheme_id", "left")
@@ -100,14 +100,14 @@ def daily_summaries(summaries: DataFrame, schemes: DataFrame, extra_schemes: Dat
 
 
 def weekly_facts(summaries: DataFrame, revenue_columns: list[str] = tuple(REVENUE)) -> DataFrame:
-    """Per rider and hub: revenue, operating days and the scheme of the last day."""
+    """Per rider and hub: revenue, operating days and the scheme of the last day (of several rows on it the largest id)."""
     keys = ["rider_id", "rider_code", "hub_code"]
     df = summaries
     for k in keys:
         df = df.filter(F.col(k).isNotNull())
     sums = [money_total(c).alias(c) for c in revenue_columns]
     out = df.groupBy(*keys).agg(*sums, F.countDistinct("transaction_date").alias("total_operating_days"),
-                                F.max_by("commission_scheme_id", "transaction_date").alias("commission_scheme_id"))
+                                F.max_by("commission_scheme_id", F.struct("transaction_date", "commission_scheme_id")).alias("commission_scheme_id"))
     return out.withColumn("total_revenue", revenue(list(revenue_columns))).drop(*revenue_columns)
 
 
@@ -119,7 +119,7 @@ def weekly_summaries(summaries: DataFrame, schemes: DataFrame, tiers: DataFrame,
     gets the rider's total on both rows.
     """
     df = tier_range_join(weekly_facts(summaries, revenue_columns), tiers)
-    kinds = broadcast_if_small(schemes.select(F.col("id").alias("commission_scheme_id"), F.col("type").alias("_type")))
+    kinds = schemes.select(F.col("id").alias("commission_scheme_id"), F.col("type").alias("_type"))
     df = df.join(kinds, "commission_scheme_id", "left")
     sums = daily.groupBy("rider_id").agg(
         money_total("daily_commission").alias("_commission"), money_total("attendance_commission").alias("_attendance"),
@@ -141,13 +141,14 @@ def weekly_summaries(summaries: DataFrame, schemes: DataFrame, tiers: DataFrame,
 
 
 def force_scheme(summaries: DataFrame, schemes: DataFrame, tiers: DataFrame) -> DataFrame:
-    """Put every rider on the first tiered scheme (lowest id). Reads two configuration values, no data."""
-    tier = tiers.select("commission_scheme_id").orderBy(F.col("id"), "commission_scheme_id").first()
-    scheme = schemes.select("type").orderBy("id").first()
-    if tier is None or scheme is None:
-        raise ValueError("no commission scheme or no tiers")
-    return (summaries.withColumn("commission_scheme_id", F.lit(tier[0]))
-            .withColumn("commission_type", F.lit(scheme[0])))
+    """Put every rider on the first tiered scheme (lowest id). Without schemes or tiers the job raises when it runs.
+
+    The two configuration values are scalar subqueries, so nothing runs while the plan is built.
+    """
+    tier = tiers.agg(F.min_by("commission_scheme_id", F.struct("id", "commission_scheme_id"))).scalar()
+    kind = schemes.agg(F.min_by("type", "id")).scalar()
+    known = lambda value: F.coalesce(value, F.raise_error(F.lit("no commission scheme or no tiers")))
+    return summaries.withColumn("commission_scheme_id", known(tier)).withColumn("commission_type", known(kind))
 
 
 def check_week(start: str, end: str) -> None:

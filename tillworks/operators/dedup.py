@@ -52,8 +52,10 @@ def _with_factor(df: DataFrame, rows: str, slots: DataFrame) -> DataFrame:
     """
     combo = F.coalesce(F.col("type") == fv.BUNDLE_TYPE, F.lit(False))
     group = Window.partitionBy(*fv.BUNDLE_GROUP_KEY)
-    df = df.withColumn("combo_group_rows", F.when(combo, F.sum(F.when(combo, F.col(rows))).over(group)))
-    df = df.join(slots, "bundling_id", "left")
+    bundles = df.filter(combo).withColumn("combo_group_rows", F.sum(rows).over(group)).join(slots, "bundling_id", "left")
+    single = df.filter(~combo)
+    empty = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in bundles.schema.fields if f.name not in df.columns}
+    df = bundles.select(*df.columns, *empty).unionByName(single.select(*df.columns, *empty.values()))
     whole = F.col("combo_group_rows") % F.col("bundling_slot_count") == 0
     by_master = F.when(whole & (F.col("combo_group_rows") >= F.col("bundling_slot_count")),
                        (F.col("combo_group_rows") / F.col("bundling_slot_count")).cast("int"))
@@ -87,11 +89,10 @@ def dedup_work(details: DataFrame, slots: DataFrame, order: list[str], bucket: C
     return df.withColumn("_keep", F.greatest(F.lit(0).cast("bigint"), F.least(F.col("_copies"), F.col("rows_to_keep") - before)))
 
 
-def check_types(details: DataFrame) -> None:
-    """Unknown detail types could pass as single items, so they stop the job."""
-    unknown = [r[0] for r in unknown_types(details).select("type").limit(10).collect()]
-    if unknown:
-        raise ValueError(f"unknown detail types {unknown}: nothing was de-duplicated")
+def checked_types(details: DataFrame, known: list[str] = fv.DETAIL_TYPES) -> DataFrame:
+    """Gate in the plan: unknown detail types could pass as single items, so a row of one stops the job that reads it."""
+    message = F.concat(F.lit("unknown detail type, nothing was de-duplicated: "), F.coalesce("type", F.lit("<NULL>")))
+    return details.withColumn("type", F.when(F.col("type").isin(*known), F.col("type")).otherwise(F.raise_error(message).cast("string")))
 
 
 def unknown_types(details: DataFrame, known: list[str] = fv.DETAIL_TYPES) -> DataFrame:
@@ -106,7 +107,7 @@ def dedup_details(details: DataFrame, slots: DataFrame | None, order: list[str],
     if slots is None:
         raise ValueError("the bundle master is required: without it bundles cannot be told from duplicates")
     if strict:
-        check_types(details)
+        details = checked_types(details)
     work = dedup_work(details, slots, order, bucket)
     return repeat_rows(work.select(*details.columns, "_keep"), "_keep")
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import exact_sum, lookup, money_sum, money_total, np_round
+from tillworks.functions.scalars import exact_rest, exact_sum, lookup, money_sum, money_total, np_round, strip
 from tillworks.functions.skew import first_per_key, join_per_key
 
 SENDABLE = list(fv.COMMISSION_RATES)
@@ -46,7 +46,7 @@ def payload_from_sales(sales: DataFrame, prefix: str, run_time: str, payment: st
           .filter(F.col("jilid").isNotNull() & F.col("payment_type").isNotNull())
           .groupBy("jilid", "transaction_date", "payment_type")
           .agg(money_sum("s").alias("total_sales"), money_sum("t").alias("total_tax"),
-               (exact_sum("s") - exact_sum("t")).cast("double").alias("amount")))
+               ((exact_sum("s") - exact_sum("t")).cast("double") + (exact_rest("s") - exact_rest("t"))).alias("amount")))
     return _payload(df, prefix, run_time)
 
 
@@ -81,11 +81,6 @@ def order_payload(orders: DataFrame, run_time: str) -> DataFrame:
                     F.concat("key", F.lit("_"), F.date_format("date", "yyyy-MM-dd"), F.lit("_" + run_time)).alias("remarks"), "key"))
 
 
-def skipped_rows(orders: DataFrame) -> DataFrame:
-    """How many rows have no sales and are therefore not sent."""
-    return orders.agg(F.count_if(F.col("total_sales") == 0).alias("n_skipped"))
-
-
 def payload_violations(payload: DataFrame, max_length: int = fv.MAX_PAYLOAD_NUMBER) -> DataFrame:
     """Numbers that occur twice or are too long; both stop the sending."""
     counted = payload.groupBy("transaction_number").agg(F.count(F.lit(1)).alias("n_rows"))
@@ -97,7 +92,7 @@ def payload_violations(payload: DataFrame, max_length: int = fv.MAX_PAYLOAD_NUMB
 # --- guard ----------------------------------------------------------------------------------------------------------
 
 def _accepted() -> Column:
-    duplicate = F.trim(F.coalesce(F.col("error_message"), F.lit(""))) == ACCEPTED_ERROR
+    duplicate = strip(F.coalesce(F.col("error_message"), F.lit(""))) == ACCEPTED_ERROR
     return (F.col("status") == "success") | duplicate
 
 
@@ -156,12 +151,13 @@ def finalize_log(log: DataFrame, result: DataFrame) -> DataFrame:
 
 
 def unmatched_results(log: DataFrame, result: DataFrame) -> DataFrame:
-    """Results that do not hit exactly one pending log row; any of them aborts the final update."""
+    """Numbers whose results do not hit exactly one pending log row, or that have several; any of them aborts the final update."""
     pending = (log.filter(F.col("status") == PENDING).groupBy("jilid", "transaction_number")
                .agg(F.count(F.lit(1)).alias("n_pending")))
-    return (result.join(pending, ["jilid", "transaction_number"], "left")
-            .select("jilid", "transaction_number", F.coalesce("n_pending", F.lit(0)).alias("n_pending"))
-            .filter(F.col("n_pending") != 1))
+    asked = result.groupBy("jilid", "transaction_number").agg(F.count(F.lit(1)).alias("n_results"))
+    return (join_per_key(asked, pending, ["jilid", "transaction_number"])
+            .select("jilid", "transaction_number", F.coalesce("n_pending", F.lit(0)).alias("n_pending"), "n_results")
+            .filter((F.col("n_pending") != 1) | (F.col("n_results") != 1)))
 
 
 def response_reconcile(requests: DataFrame, responses: DataFrame) -> DataFrame:

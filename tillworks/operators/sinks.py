@@ -1,4 +1,4 @@
-"""Loads as table rewrites: each function returns the table after the load, the writers below put it on disk.
+"""Loads as table rewrites: each function returns the table after the load, ``loads.py`` and the writers below put it on disk.
 
 Parquet has no row-level update, so a replace is "rows that stay" + new rows. Where the rows that go are whole partitions, write
 the new rows with :func:`overwrite_partitions` instead and nothing else is read or rewritten.
@@ -25,11 +25,14 @@ def window_rows(target: DataFrame, column: str, start: str, end: str, owned: Col
 
 
 def replace_window(target: DataFrame, new: DataFrame, column: str, start: str, end: str, owned: Column | None = None) -> DataFrame:
-    """Delete the job's rows of the window, insert the new ones. An empty result must not wipe a filled window."""
-    gone = window_rows(target, column, start, end, owned)
-    if new.isEmpty() and not target.filter(gone).isEmpty():
+    """Delete the job's rows of the window, insert the new ones. :func:`refuse_empty` is its gate."""
+    return target.filter(~window_rows(target, column, start, end, owned)).unionByName(new)
+
+
+def refuse_empty(target: DataFrame, new: DataFrame, column: str, start: str, end: str, owned: Column | None = None) -> None:
+    """Gate: an empty result must not wipe a filled window. ``new`` should be stored, so that it is not worked out twice."""
+    if new.isEmpty() and not target.filter(window_rows(target, column, start, end, owned)).isEmpty():
         raise RuntimeError(f"no rows computed although the target has some in {start}..{end}; nothing was deleted")
-    return target.filter(~gone).unionByName(new)
 
 
 def replace_dates(target: DataFrame, new: DataFrame, column: str) -> DataFrame:
@@ -170,15 +173,3 @@ def write_mirrors(df: DataFrame, paths: list[str]) -> int:
     for path in rest:
         copy.write.mode("overwrite").parquet(path)
     return copy.count()
-
-
-def publish_together(frames: dict[str, tuple[DataFrame, str, list[str]]], staging: str) -> None:
-    """Publish several tables only after all of them are computed.
-
-    ``frames``: name -> (frame, target path, partition columns). Every frame is written to ``staging`` first; only when all
-    are there are they copied over their partitions. The last step is one commit per table, not one for all.
-    """
-    for name, (frame, _, _) in frames.items():
-        frame.write.mode("overwrite").parquet(f"{staging}/{name}")
-    for name, (frame, path, partitions) in frames.items():
-        overwrite_partitions(frame.sparkSession.read.parquet(f"{staging}/{name}"), path, *partitions)

@@ -15,7 +15,7 @@ START, END = "1995-01-01", "2001-12-31"
 
 
 def _price(names):
-    return f"CAST(sum(CAST(o_totalprice AS {c.MONEY})) FILTER (WHERE o_orderpriority IN {c.in_list(names)}) AS DOUBLE)"
+    return c.msum("o_totalprice", where=f"o_orderpriority IN {c.in_list(names)}")
 
 
 SUMS = f"""rs AS (

@@ -25,11 +25,20 @@ def values_table(table: dict, key: str, value: str) -> str:
     return f"(SELECT * FROM (VALUES {rows}) AS v({key}, {value}))"
 
 
-def msum(expr: str, zero: bool = False) -> str:
-    s = f"CAST(SUM(CAST({expr} AS {MONEY})) AS DOUBLE)"
+def msum(expr: str, zero: bool = False, over: str = "", where: str = "") -> str:
+    """Sum of the amounts in millionths, and of what they have below a millionth."""
+    only = f" FILTER (WHERE {where})" if where else ""
+    window = f" OVER {over}" if over else ""
+    s = f"(CAST(SUM(CAST({expr} AS {MONEY})){only}{window} AS DOUBLE) + SUM({mrest(expr)}){only}{window})"
     return f"COALESCE({s}, 0.0)" if zero else s
 
 
+def mrest(expr: str) -> str:
+    """What an amount has below a millionth."""
+    whole = f"CAST(CAST({expr} AS {MONEY}) AS DOUBLE)"
+    return f"CASE WHEN {whole} = ({expr}) THEN 0.0::DOUBLE ELSE ({expr}) - {whole} END"
+
+
 BASE = f"""base AS (
   SELECT o_orderkey AS order_id, o_custkey AS customer_id,
          lpad(CAST(c_nationkey AS VARCHAR), 5, '0') AS outlet_code,
@@ -170,7 +179,7 @@ PAYMENTS = """pay0 AS (
 pay1 AS (SELECT * FROM pay0 WHERE NOT (sale AND tx_amount <= 0 AND (top > 0 OR sale_rank > 1))),
 pay2 AS (
   SELECT *, count(*) FILTER (WHERE sale) OVER (PARTITION BY order_id) AS n_sale,
-         CAST(sum(CAST(tx_amount AS DECIMAL(20,6))) FILTER (WHERE sale) OVER (PARTITION BY order_id) AS DOUBLE) AS sale_sum,
+         """ + msum("tx_amount", where="sale", over="(PARTITION BY order_id)") + """ AS sale_sum,
          row_number() OVER (PARTITION BY order_id, sale ORDER BY tx_amount DESC, pos) AS best
   FROM pay1),
 pay AS (

@@ -34,11 +34,10 @@ DAILY = f"""daily AS (
   SELECT date, outlet_code, outlet_name, d.payment_type, subtotal, tax_amount, total_sales, total_order,
          subtotal * coalesce(CAST(rate AS DOUBLE), 0) AS sales_type_commission
   FROM (
-    SELECT date, outlet_code, outlet_name, min(pt) AS payment_type, CAST(sum(subtotal) AS DOUBLE) AS subtotal,
-           CAST(sum(tax) AS DOUBLE) AS tax_amount, CAST(sum(total) AS DOUBLE) AS total_sales, CAST(sum(n) AS BIGINT) AS total_order
+    SELECT date, outlet_code, outlet_name, min(pt) AS payment_type, {c.msum("subtotal")} AS subtotal,
+           {c.msum("tax")} AS tax_amount, {c.msum("total")} AS total_sales, CAST(sum(n) AS BIGINT) AS total_order
     FROM (SELECT CAST(transaction_date AS DATE) AS date, outlet_code, outlet_name, min(pt) AS pt, lower(pt) AS key,
-                 sum(CAST(subtotal AS {c.MONEY})) AS subtotal, sum(CAST(total_tax_amount AS {c.MONEY})) AS tax,
-                 sum(CAST(total_amount AS {c.MONEY})) AS total, count(DISTINCT order_id) AS n
+                 {c.msum("subtotal")} AS subtotal, {c.msum("total_tax_amount")} AS tax, {c.msum("total_amount")} AS total, count(DISTINCT order_id) AS n
           FROM official GROUP BY 1, 2, 3, lower(pt), lower(rtrim(payment_type_raw))) a
     GROUP BY date, outlet_code, outlet_name, key) d LEFT JOIN {_RATES} r ON d.payment_type = r.rk)"""
 ORDER = f"""orderinc AS (
@@ -129,7 +128,7 @@ _BTABLE = c.values_table({k.lower(): v for k, v in fv.DASHBOARD_BUCKETS.items()}
 @query("income_pivot", HEAD + f"""
 SELECT *, {" + ".join(_BUCKETS)} AS daily_income FROM (
   SELECT date, outlet_name, CAST(sum(total_order) AS DOUBLE) AS total_order,
-         {", ".join(f"coalesce(CAST(sum(CAST(subtotal - coalesce(sales_type_commission, 0) AS {c.MONEY})) FILTER (WHERE b = {c.q(n)}) AS DOUBLE), 0.0) AS {n}" for n in _BUCKETS)}
+         {", ".join(f"{c.msum('subtotal - coalesce(sales_type_commission, 0)', True, where=f'b = {c.q(n)}')} AS {n}" for n in _BUCKETS)}
   FROM (SELECT daily.*, coalesce(bucket, 'other') AS b FROM daily LEFT JOIN {_BTABLE} t ON lower(payment_type) = bk) x
   GROUP BY date, outlet_name) y""")
 def income_pivot(spark, sf):
@@ -218,7 +217,8 @@ def landlord_payload(spark, sf):
   SELECT outlet_code AS jilid, CAST(transaction_date AS DATE) AS transaction_date,
          CASE WHEN payment_type_raw IN {c.in_list(fv.QRIS_ALIASES)} THEN {c.q(fv.QRIS_LABEL)} ELSE payment_type_raw END AS payment_type,
          {c.msum('total_amount')} AS total_sales, {c.msum('total_tax_amount')} AS total_tax,
-         CAST(sum(CAST(total_amount AS {c.MONEY})) - sum(CAST(total_tax_amount AS {c.MONEY})) AS DOUBLE) AS amount
+         CAST(sum(CAST(total_amount AS {c.MONEY})) - sum(CAST(total_tax_amount AS {c.MONEY})) AS DOUBLE)
+           + (sum({c.mrest("total_amount")}) - sum({c.mrest("total_tax_amount")})) AS amount
   FROM sales WHERE payment_type_raw IS NOT NULL GROUP BY 1, 2, 3) x""")
 def landlord_payload_sales(spark, sf):
     return ll.payload_from_sales(sales(spark, sf), PREFIX, RUN)

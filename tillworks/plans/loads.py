@@ -237,7 +237,7 @@ def patch_column(spark, sf):
 # --- audits ---------------------------------------------------------------------------------------------------------
 
 OPEN = f"""open AS (
-  SELECT CAST(transaction_date AS DATE) AS date, outlet_code, coalesce(customer_name, '-') AS outlet_name, order_id, sum(CAST(total_amount AS {c.MONEY})) AS total_amount
+  SELECT CAST(transaction_date AS DATE) AS date, outlet_code, coalesce(customer_name, '-') AS outlet_name, order_id, {c.msum("total_amount")} AS total_amount
   FROM headers h LEFT JOIN (SELECT DISTINCT jilid, customer_name FROM outlets) o ON h.outlet_code = o.jilid
   WHERE fulfillment_status = 'none' AND payment_status = 'paid' GROUP BY 1, 2, 3, 4)"""
 
@@ -247,14 +247,14 @@ def _open(spark, sf):
 
 
 @query("unfulfilled_by_outlet", c.with_(c.HEADERS, c.OUTLETS, OPEN) + """
-SELECT outlet_code, outlet_name, date, count(DISTINCT order_id) AS total_orders_unfulfilled, CAST(sum(total_amount) AS DOUBLE) AS total_amount FROM open GROUP BY 1, 2, 3""")
+SELECT outlet_code, outlet_name, date, count(DISTINCT order_id) AS total_orders_unfulfilled, """ + c.msum("total_amount") + """ AS total_amount FROM open GROUP BY 1, 2, 3""")
 def unfulfilled_by_outlet(spark, sf):
     return audit.unfulfilled_by_outlet(_open(spark, sf))
 
 
 @query("fulfillment_outcome", c.with_(c.HEADERS, c.OUTLETS, c.DETAILS, OPEN) + """
 SELECT CASE WHEN order_id IN (SELECT order_id FROM details WHERE type = 'comboset') THEN 'fulfilled' ELSE 'unfulfilled' END AS outcome,
-       count(DISTINCT order_id) AS total_orders, CAST(sum(total_amount) AS DOUBLE) AS total_amount FROM open GROUP BY 1""")
+       count(DISTINCT order_id) AS total_orders, """ + c.msum("total_amount") + """ AS total_amount FROM open GROUP BY 1""")
 def fulfillment_outcome(spark, sf):
     return audit.fulfillment_outcome(_open(spark, sf), s.details(spark, sf).filter(F.col("type") == fv.BUNDLE_TYPE))
 
@@ -319,7 +319,7 @@ def header_detail_total(spark, sf):
   SELECT 0 AS part, CAST(transaction_date AS DATE) AS d, total_amount FROM h2 UNION ALL SELECT 1, CAST(transaction_date AS DATE), total_amount FROM doubled
   UNION ALL SELECT 2, CAST(transaction_date AS DATE), total_amount FROM headers UNION ALL SELECT 3, CAST(transaction_date AS DATE), total_amount FROM work WHERE keep)
 SELECT *, round_even(details_clean / nullif(headers_clean, 0) * 100 * 1000.0::DOUBLE, 0) / 1000.0::DOUBLE AS acc_details_pct FROM (
-  SELECT coalesce(strftime(d, '%Y-%m-%d'), 'TOTAL') AS day, {", ".join(f"coalesce(CAST(sum(CAST(total_amount AS {c.MONEY})) FILTER (WHERE part = {i}) AS DOUBLE), 0) AS {n}"
+  SELECT coalesce(strftime(d, '%Y-%m-%d'), 'TOTAL') AS day, {", ".join(f"{c.msum('total_amount', True, where=f'part = {i}')} AS {n}"
   for i, n in enumerate(["headers_raw", "details_raw", "headers_clean", "details_clean"]))} FROM parts GROUP BY ROLLUP (d)) x""")
 def accuracy_by_date(spark, sf):
     doubled = s.details(spark, sf, doubled=True)

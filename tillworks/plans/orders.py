@@ -97,7 +97,7 @@ priced AS (
   LEFT JOIN ddisc ON ddisc.order_detail_id = lines.order_detail_id),
 shared AS (
   SELECT *, CASE WHEN type <> 'comboset' THEN 1.0::DOUBLE
-                 WHEN min(w) OVER g > 0 THEN w / CAST(sum(CAST(w AS DECIMAL(20,6))) OVER g AS DOUBLE)
+                 WHEN min(w) OVER g > 0 THEN w / {c.msum("w", over="g")}
                  ELSE 1.0::DOUBLE / n_rows END AS share
   FROM priced WINDOW g AS (PARTITION BY order_detail_id, transactions_type)),
 amounts AS (
@@ -166,8 +166,8 @@ def drop_zero_modifiers(spark, sf):
     return ops.drop_zero_modifiers(d)
 
 
-_SHARES = """shares AS (
-  SELECT *, CASE WHEN min(w) OVER g > 0 THEN w / CAST(sum(CAST(w AS DECIMAL(20,6))) OVER g AS DOUBLE) ELSE 1.0::DOUBLE / count(*) OVER g END AS combo_share,
+_SHARES = f"""shares AS (
+  SELECT *, CASE WHEN min(w) OVER g > 0 THEN w / {c.msum("w", over="g")} ELSE 1.0::DOUBLE / count(*) OVER g END AS combo_share,
          count(*) OVER g AS n_rows
   FROM (SELECT *, CASE WHEN product_id % 17 = 0 THEN 0 ELSE price END * quantity AS w FROM details) x
   WINDOW g AS (PARTITION BY order_detail_id, type))"""

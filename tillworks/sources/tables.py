@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.functions.skew import broadcast_if_small, join_per_key
+from tillworks.functions.skew import join_per_key
 
 PROMOTION = T.StructType([
     T.StructField("promotion_id", T.StringType()),
@@ -81,8 +79,16 @@ ORDER_DOCUMENT = T.StructType(
        T.StructField("order_details", T.ArrayType(ORDER_DETAIL))])
 
 
+_SCHEMAS: dict[tuple[str, str], T.StructType] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table. Its footers are read once per session and path; later openings take the schema from there, without a job."""
+    path = f"{sf_dir}/{name}.parquet"
+    key = (spark.sparkContext.applicationId, path)
+    if key not in _SCHEMAS:
+        _SCHEMAS[key] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[key]).parquet(path)
 
 
 def order_documents(spark: SparkSession, path: str) -> DataFrame:
@@ -134,7 +140,7 @@ def check_window(start: str, end: str, max_days: int | None = None, not_after: s
 def scan_by_keys(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
     """Rows whose key is in another frame: one semi join instead of id lists in chunks."""
     on = [on] if isinstance(on, str) else on
-    return join_per_key(df, broadcast_if_small(keys.select(*on).distinct()), on, "left_semi")
+    return join_per_key(df, keys.select(*on).distinct(), on, "left_semi")
 
 
 def write_reports(reports: dict[str, DataFrame], folder: str) -> list[str]:
@@ -145,10 +151,3 @@ def write_reports(reports: dict[str, DataFrame], folder: str) -> list[str]:
             frame.write.mode("overwrite").option("header", True).csv(f"{folder}/{name}")
             written.append(name)
     return written
-
-
-def union_all(frames: Iterable[DataFrame]) -> DataFrame:
-    first, *rest = list(frames)
-    for frame in rest:
-        first = first.unionByName(frame)
-    return first
