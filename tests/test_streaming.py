@@ -1,15 +1,22 @@
-"""Streams over several micro-batches against their batch answer."""
+"""Streams over several micro-batches, in files that overlap in time, against their batch answer."""
 
 import datetime as dt
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from tillworks.operators import riders
-from tillworks.streaming.hourly import hourly_sales
-from tillworks.streaming.sessions import session_store, start_sessions, stored_sessions
-from tillworks.streaming.upsert import order_store, start_upsert
+from tillworks.operators.loads import stored_orders
+from tillworks.sources.store import Store
+from tillworks.streaming.hourly import hourly_batches, start_hourly
+from tillworks.streaming.sessions import start_sessions
+from tillworks.streaming.upsert import start_upsert
 
 T0 = dt.datetime(2024, 1, 1, 8)
+OK = ("paid", "fulfilled", "success", "Walk In")
+SALES = ("transaction_id long, order_id long, outlet_code string, transaction_date timestamp_ntz, payment_status string, fulfillment_status string, "
+         "transactions_status string, sales_type string, total_amount double")
 
 
 def _stream(spark, path, schema):
@@ -20,30 +27,29 @@ def _write(df, path):
     df.coalesce(1).write.mode("append").parquet(path)
 
 
-def test_sessions_across_batches(spark, tmp_path):
+@pytest.mark.parametrize("order", ["in time", "dealt", "backwards"])
+def test_sessions_do_not_depend_on_the_files(spark, tmp_path, order):
     schema = "id long, rider_code string, timestamp timestamp_ntz, is_stationed string"
-    path, rows = str(tmp_path / "in"), []
-    for batch in range(3):
-        part = [(batch * 100 + i, f"r{i % 3}", T0 + dt.timedelta(minutes=batch * 60 + i * 2, seconds=i), ["true", "true", "false", "?"][(i * 7 + batch) % 4])
-                for i in range(25)]
-        rows += part
+    rows = [(i, f"r{i % 3}", T0 + dt.timedelta(minutes=i * 2, seconds=i), ["true", "true", "false", "?"][i * 7 % 13 % 4]) for i in range(75)]
+    dealt = {"in time": [rows[:25], rows[25:50], rows[50:]], "dealt": [rows[i::3] for i in range(3)], "backwards": [rows[50:], rows[25:50], rows[:25]]}
+    path = str(tmp_path / "in")
+    for part in dealt[order]:
         _write(spark.createDataFrame(part, schema), path)
     df = spark.createDataFrame(rows, schema)
-    store = session_store(str(tmp_path / "store"))
-    q = start_sessions(_stream(spark, path, df.schema), store, str(tmp_path / "ck"))
-    q.awaitTermination()
-    newest = store.newest(spark, q.lastProgress["batchId"])
-    assert newest == 3
-    out = stored_sessions(spark, store, newest)
-    expected = riders.session_summary(riders.flag_sessions(df)).select(*out.columns)
+    store = Store(spark, str(tmp_path / "store"))
+    start_sessions(_stream(spark, path, df.schema), store, str(tmp_path / "ck"), 4).awaitTermination()
+    assert store.version() == 3
+    expected = riders.session_summary(riders.flag_sessions(df))
+    out = store.read("sessions").select(*expected.columns)
     assert out.exceptAll(expected).isEmpty() and out.count() == expected.count()
 
 
 def test_upsert_across_batches(spark, tmp_path):
-    schema = "order_id long, tx long, order_date timestamp_ntz, n_details long, v string"
+    schema = "order_id long, transaction_id long, order_date timestamp_ntz, n_details long, v string"
     path = str(tmp_path / "in")
+    old = T0 - dt.timedelta(days=9)
     versions = [
-        [(1, 1, T0, 2, "v1"), (2, 1, T0, 1, "v1")],
+        [(1, 1, T0, 2, "v1"), (2, 1, T0, 1, "v1"), (7, 1, old, 1, "v1")],
         [(1, 1, T0, 3, "v2"), (2, 1, T0, 0, "v2"), (3, 1, T0, 1, "v2")],
         [(3, 1, T0, 1, "v3"), (3, 2, T0, 1, "v3")],
     ]
@@ -55,31 +61,41 @@ def test_upsert_across_batches(spark, tmp_path):
                    .select("order_id", "line", "order_date", "v"))
         return batch.drop("n_details"), details
 
-    store = order_store(str(tmp_path / "store"))
-    start_upsert(_stream(spark, path, spark.createDataFrame(versions[0], schema).schema), store, split, str(tmp_path / "ck")).awaitTermination()
-    headers = sorted((r.order_id, r.tx, r.v) for r in store.read(spark, 3, "headers").collect())
+    store = Store(spark, str(tmp_path / "store"))
+    cutoff = "2024-01-01 00:00:00"
+    start_upsert(_stream(spark, path, spark.createDataFrame(versions[0], schema).schema), store, split, str(tmp_path / "ck"), cutoff, 4).awaitTermination()
+    headers = sorted((r.order_id, r.transaction_id, r.v) for r in stored_orders(store, "headers", cutoff).collect())
     assert headers == [(1, 1, "v2"), (2, 1, "v1"), (3, 1, "v3"), (3, 2, "v3")]
-    assert store.read(spark, 3, "details").count() == 3 + 1 + 1
+    assert stored_orders(store, "details", cutoff).count() == 3 + 1 + 1
+
+
+def _sales(spark, rows):
+    df = spark.createDataFrame(rows, SALES)
+    for c in ("total_order_amount", "total_discount_amount", "total_promotion_amount", "subtotal", "total_tax_amount"):
+        df = df.withColumn(c, F.col("total_amount"))
+    return df
 
 
-def test_hourly_sales_counts_orders_once_and_drops_redelivery(spark, tmp_path):
-    schema = ("transaction_id long, order_id long, outlet_code string, transaction_date timestamp_ntz, payment_status string, fulfillment_status string, "
-              "transactions_status string, sales_type string, total_amount double")
-    ok = ("paid", "fulfilled", "success", "Walk In")
+def test_hourly_sales_keep_late_rows_and_count_deliveries_once(spark, tmp_path):
     at = lambda m: T0 + dt.timedelta(minutes=m)
-    batches = [[(1, 1, "A", at(5), *ok, 10.0), (2, 1, "A", at(6), *ok, 5.0), (3, 2, "A", at(59), *ok, 1.0)],
-               [(1, 1, "A", at(5), *ok, 10.0), (4, 3, "A", at(61), *ok, 2.0), (5, 3, "B", at(62), *ok, 4.0)],
-               [(9, 9, "A", at(600), *ok, 1.0)]]
+    batches = [[(1, 1, "A", at(5), *OK, 10.0), (2, 1, "A", at(6), *OK, 5.0), (9, 9, "A", at(600), *OK, 1.0)],
+               [(1, 1, "A", at(5), *OK, 10.0), (4, 3, "A", at(61), *OK, 2.0), (5, 3, "B", at(62), *OK, 4.0)],
+               [(3, 2, "A", at(59), *OK, 1.0)]]
     path = str(tmp_path / "in")
     for rows in batches:
-        df = spark.createDataFrame(rows, schema)
-        for c in ("total_order_amount", "total_discount_amount", "total_promotion_amount", "subtotal", "total_tax_amount"):
-            df = df.withColumn(c, F.col("total_amount"))
-        _write(df, path)
-        full = df.schema
-    out = str(tmp_path / "out")
-    q = (hourly_sales(_stream(spark, path, full)).writeStream.outputMode("append").format("parquet").option("path", out)
-         .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
-    q.awaitTermination()
-    got = sorted((r.hour_start, r.outlet_code, r.total_collected, r.total_order) for r in spark.read.parquet(out).collect())
-    assert got == [(at(0), "A", 16.0, 2), (at(60), "A", 2.0, 1), (at(60), "B", 4.0, 1)]
+        _write(_sales(spark, rows), path)
+    store = Store(spark, str(tmp_path / "store"))
+    start_hourly(_stream(spark, path, _sales(spark, batches[0]).schema), store, str(tmp_path / "ck"), 4).awaitTermination()
+    got = sorted((r.hour_start, r.outlet_code, r.total_collected, r.total_order) for r in store.read("hours").collect())
+    assert got == [(at(0), "A", 16.0, 2), (at(60), "A", 2.0, 1), (at(60), "B", 4.0, 1), (at(600), "A", 1.0, 1)]
+
+
+def test_a_batch_that_runs_again_changes_nothing(spark, tmp_path):
+    rng = random.Random(1)
+    rows = [(i, i // 2, "A", T0 + dt.timedelta(minutes=rng.randrange(3000)), *OK, float(i)) for i in range(40)]
+    store = Store(spark, str(tmp_path / "store"))
+    apply = hourly_batches(store, 4)
+    for batch_id, part in enumerate((rows[:20], rows[20:], rows[20:])):
+        apply(_sales(spark, part), min(batch_id, 1))
+    assert store.version() == 2
+    assert store.read("hours").agg(F.sum("total_collected")).first()[0] == sum(range(40))

@@ -95,65 +95,42 @@ def hourly_performance(sales: DataFrame, slots: DataFrame, mapping: DataFrame) -
 
 # --- standing sessions ----------------------------------------------------------------------------------------------
 
-def flag_sessions(logs: DataFrame, carry: DataFrame | None = None) -> DataFrame:
+def flag_sessions(logs: DataFrame) -> DataFrame:
     """Number the standing sessions of each rider: one starts where the flag turns true.
 
     The previous flag and the running number cross hour buckets through one summary row per rider and hour, so a rider with
-    any number of events is never sorted in one task. ``carry`` (rider_code, last_flag, last_seq) continues earlier logs.
+    any number of events is never sorted in one task.
     """
     df = (logs.withColumn("is_stationed", parse_flag("is_stationed"))
           .withColumn("_bucket", hour_start("timestamp")))
     tail = df.groupBy("rider_code", "_bucket").agg(F.max_by(F.coalesce("is_stationed", F.lit(False)), F.struct("timestamp", "id")).alias("_last"))
     before = F.lag("_last").over(Window.partitionBy("rider_code").orderBy("_bucket"))
-    if carry is None:
-        start = tail.select("rider_code", "_bucket", F.coalesce(before, F.lit(False)).alias("_carry"), F.lit(0).cast("bigint").alias("_base"))
-    else:
-        start = tail.join(carry, "rider_code", "left").select(
-            "rider_code", "_bucket", F.coalesce(before, "last_flag", F.lit(False)).alias("_carry"),
-            F.coalesce("last_seq", F.lit(0).cast("bigint")).alias("_base"))
+    start = tail.select("rider_code", "_bucket", F.coalesce(before, F.lit(False)).alias("_carry"))
     inside = Window.partitionBy("_slot").orderBy("timestamp", "id")
     df = join_slots(df, start, ["rider_code"], "_bucket")
     on = F.coalesce("is_stationed", F.lit(False))
     prev = F.lag(on, 1).over(inside)
     df = df.withColumn("is_session_start", on & ~F.coalesce(prev, F.col("_carry"))).drop("_carry")
     df = running_sum(df, ["rider_code"], "_bucket", ["timestamp", "id"], F.col("is_session_start").cast("int"), "session_seq")
-    df = df.withColumn("session_seq", F.col("session_seq") + F.col("_base"))
-    return df.withColumn("session_id", F.when(F.col("session_seq") > 0, session_name())).drop("_bucket", "_base", "_slot")
+    return df.withColumn("session_id", F.when(F.col("session_seq") > 0, session_name())).drop("_bucket", "_slot")
 
 
 def session_name() -> Column:
     return F.concat("rider_code", F.lit("_S"), zero_pad(F.col("session_seq"), 4))
 
 
-def session_parts(flagged: DataFrame) -> DataFrame:
-    """Per session what can be merged later: earliest true, latest false, latest event and counts."""
+def session_summary(flagged: DataFrame) -> DataFrame:
+    """One row per session with start, end, counts and minutes (2 decimals). It ends with its last false event, else with its last one."""
     on, off = F.col("is_stationed"), ~F.col("is_stationed")
-    return (flagged.filter(F.col("session_seq") > 0).groupBy("rider_code", "session_seq")
+    parts = (flagged.filter(F.col("session_seq") > 0).groupBy("rider_code", "session_seq")
             .agg(F.min(F.when(on, F.col("timestamp"))).alias("session_start"), F.max(F.when(off, F.col("timestamp"))).alias("session_last_false"),
                  F.max("timestamp").alias("session_last_event"), F.count("id").alias("total_logs"),
                  F.count_if(on).alias("total_true_logs"), F.count_if(off).alias("total_false_logs")))
-
-
-def merge_session_parts(parts: DataFrame) -> DataFrame:
-    """Parts of a session seen in several batches folded into one."""
-    return parts.groupBy("rider_code", "session_seq").agg(
-        F.min("session_start").alias("session_start"), F.max("session_last_false").alias("session_last_false"),
-        F.max("session_last_event").alias("session_last_event"),
-        *[F.sum(c).alias(c) for c in ("total_logs", "total_true_logs", "total_false_logs")])
-
-
-def finish_sessions(parts: DataFrame) -> DataFrame:
-    """A session ends with its last false event, else with its last event; minutes with 2 decimals."""
     return (parts.withColumn("session_id", session_name())
             .withColumn("session_end", F.coalesce("session_last_false", "session_last_event"))
             .withColumn("session_duration_minutes", np_round(minutes_between("session_start", "session_end"), 2)))
 
 
-def session_summary(flagged: DataFrame) -> DataFrame:
-    """One row per session with start, end, counts and minutes."""
-    return finish_sessions(session_parts(flagged))
-
-
 def rider_standing_days(sessions: DataFrame) -> DataFrame:
     """Minutes and sessions per rider and the day the session started."""
     return (sessions.groupBy(F.to_date("session_start").alias("operating_date"), "rider_code")

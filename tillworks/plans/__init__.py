@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["summaries", "cleaning", "orders", "income", "riders", "dispatch", "commission", "loads", "streams"]
+MODULES = ["summaries", "cleaning", "orders", "income", "riders", "dispatch", "commission", "loads", "streams", "commits"]
 
 
 def load_all():

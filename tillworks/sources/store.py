@@ -1,0 +1,144 @@
+"""Stored tables that change by whole commits.
+
+Parquet has no row-level update and Spark cannot overwrite what it reads, so a load writes new folders and then names them in one
+small marker file. A version counts once its marker is there: readers see all tables of a commit or none, a failed load or gate leaves
+the old version, and a commit that lost a race raises. A table may be cut into buckets, of which a commit replaces only some.
+"""
+
+from __future__ import annotations
+
+import json
+import uuid
+from collections.abc import Callable, Iterable, Mapping
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+WHOLE = ""
+BUCKET = "_bucket"
+
+
+def bucket_of(key: str | Column, buckets: int) -> Column:
+    """Bucket number of a key; NULL has one of its own."""
+    return F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+
+
+class Store:
+    """Versioned tables below one folder, which must be shared by the whole cluster."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    # --- files
+
+    def _path(self, name: str):
+        return self.spark._jvm.org.apache.hadoop.fs.Path(name)
+
+    def _files(self, path):
+        return path.getFileSystem(self.spark._jsc.hadoopConfiguration())
+
+    def _exists(self, name: str) -> bool:
+        path = self._path(name)
+        return self._files(path).exists(path)
+
+    def _marker(self, version: int) -> str:
+        return f"{self.path}/_commits/{version:010d}"
+
+    # --- reading
+
+    def version(self) -> int:
+        """The newest committed version, 0 before the first."""
+        folder = self._path(f"{self.path}/_commits")
+        files = self._files(folder)
+        if not files.exists(folder):
+            return 0
+        names = [s.getPath().getName() for s in files.listStatus(folder)]
+        return max((int(n) for n in names if n.isdigit()), default=0)
+
+    def manifest(self, version: int | None = None) -> dict:
+        """{table: {"schema": ..., "folders": {bucket: folder}}} of a version."""
+        version = self.version() if version is None else version
+        if not version:
+            return {}
+        return json.loads(self.spark.read.text(self._marker(version), wholetext=True).first()[0])
+
+    def has(self, name: str, version: int | None = None) -> bool:
+        return name in self.manifest(version)
+
+    def read(self, name: str, version: int | None = None, buckets: Iterable[int] | None = None) -> DataFrame:
+        """A table, or some of its buckets."""
+        entry = self.manifest(version)[name]
+        wanted = None if buckets is None else {str(b) for b in buckets}
+        folders = [f for b, f in sorted(entry["folders"].items()) if wanted is None or b in wanted]
+        schema = T.StructType.fromJson(entry["schema"])
+        return self.spark.read.schema(schema).parquet(*folders) if folders else self.spark.createDataFrame([], schema)
+
+    # --- writing
+
+    def stage(self, frame: DataFrame, name: str = "staged") -> DataFrame:
+        """Work a frame out once, into a folder of its own; nothing counts until it is committed."""
+        folder = f"{self.path}/work/{name}-{uuid.uuid4().hex}"
+        frame.write.parquet(folder)
+        return self.spark.read.schema(frame.schema).parquet(folder)
+
+    def commit(self, frames: Mapping[str, DataFrame], gates: Iterable[Callable[[Mapping[str, DataFrame]], None]] = (),
+               version: int | None = None, buckets: tuple[str, int, list[int]] | None = None) -> int:
+        """Write the tables, let every gate see what was written, then make it the new version. Returns the version.
+
+        ``version``: the one to make; if it is there already nothing happens, so a batch may run again. ``buckets``: (key column,
+        number of buckets, buckets that these frames hold completely); the others stay as they are.
+        """
+        last = self.version()
+        if version is not None and version <= last:
+            return version
+        new = last + 1 if version is None else version
+        folder = f"{self.path}/data/{new}-{uuid.uuid4().hex}"
+        state = self.manifest(last)
+        written = {}
+        for name, frame in frames.items():
+            where = f"{folder}/{name}"
+            entry = {"schema": json.loads(frame.schema.json()), "folders": {WHOLE: where}}
+            if buckets is None:
+                frame.write.parquet(where)
+                written[name] = self.spark.read.schema(frame.schema).parquet(where)
+            else:
+                key, count, own = buckets
+                frame.withColumn(BUCKET, bucket_of(key, count)).write.partitionBy(BUCKET).parquet(where)
+                kept = dict(state.get(name, {}).get("folders", {}))
+                for b in own:
+                    kept.pop(str(b), None)
+                    if self._exists(f"{where}/{BUCKET}={b}"):
+                        kept[str(b)] = f"{where}/{BUCKET}={b}"
+                entry["folders"] = kept
+                full = T.StructType([*frame.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+                written[name] = self.spark.read.schema(full).parquet(where).drop(BUCKET)
+            state[name] = entry
+        for gate in gates:
+            gate(written)
+        self._publish(new, json.dumps(state))
+        return new
+
+    def _publish(self, version: int, text: str) -> None:
+        target, draft = self._path(self._marker(version)), self._path(f"{self.path}/_commits/_draft-{uuid.uuid4().hex}")
+        files = self._files(target)
+        out = files.create(draft, False)
+        out.write(bytearray(text, "utf-8"))
+        out.close()
+        if files.exists(target) or not files.rename(draft, target):
+            raise RuntimeError(f"version {version} was committed by another load")
+
+    def vacuum(self) -> int:
+        """Delete data that the newest version does not name, and staged frames; returns how many folders went."""
+        named = {f for e in self.manifest().values() for f in e["folders"].values()}
+        gone = 0
+        for part in ("data", "work"):
+            folder = self._path(f"{self.path}/{part}")
+            files = self._files(folder)
+            for status in files.listStatus(folder) if files.exists(folder) else []:
+                mark = f"/{part}/{status.getPath().getName()}/"
+                if part == "work" or not any(mark in f for f in named):
+                    files.delete(status.getPath(), True)
+                    gone += 1
+        return gone

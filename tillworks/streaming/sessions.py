@@ -1,51 +1,38 @@
 """Standing sessions of riders as a stream.
 
-Each micro-batch is flagged with the batch operator, which never sorts a whole rider in one task, continued from one stored row
-per rider. A batch writes the parts of the sessions it touched; a session is the merge of its parts.
+Events may arrive in any order: each micro-batch is added to the stored events, and the sessions of the riders it touches are worked out
+anew with the batch operator, which never sorts a whole rider in one task. After any split of the same files the stored sessions equal
+the batch answer; an event older than ones already seen joins or splits sessions as it would have in time.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
-from tillworks.operators.riders import finish_sessions, flag_sessions, merge_session_parts, session_parts
-from tillworks.streaming.store import Snapshots
+from tillworks.operators.riders import flag_sessions, session_summary
+from tillworks.sources.store import Store, bucket_of
 
+BUCKETS = 64
 
-def session_store(path: str) -> Snapshots:
-    """``state``: last flag and session number per rider; ``parts``: what one batch saw of each session."""
-    return Snapshots(path, "parts", "state")
 
-
-def session_batches(store: Snapshots) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function. Events older than what their rider sent in an earlier batch count as newer ones."""
+def session_batches(store: Store, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` function. Events are stored in buckets of riders; a batch reads and rewrites the buckets of its riders only."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        state = None
-        if batch_id > 0:
-            store.require(spark, batch_id)
-            state = store.read(spark, batch_id, "state")
-        flagged = flag_sessions(batch, carry=state)
-        last = (flagged.groupBy("rider_code")
-                .agg(F.max_by(F.struct(F.coalesce("is_stationed", F.lit(False)).alias("f"), F.col("session_seq").alias("s")),
-                              F.struct("timestamp", "id")).alias("_l"))
-                .select("rider_code", F.col("_l.f").alias("last_flag"), F.col("_l.s").alias("last_seq")))
-        if state is not None:
-            last = last.unionByName(state.join(last, "rider_code", "left_anti"))
-        store.write(batch_id + 1, parts=session_parts(flagged), state=last)
+        here = Store(batch.sparkSession, store.path)
+        if batch_id + 1 <= here.version():
+            return
+        events = here.stage(batch.select("id", "rider_code", "timestamp", "is_stationed"), "events")
+        own = sorted(r["b"] for r in events.select(bucket_of("rider_code", buckets).alias("b")).distinct().collect())  # at most ``buckets``
+        if here.has("events"):
+            events = here.stage(events.unionByName(here.read("events", buckets=own)), "events")
+        sessions = session_summary(flag_sessions(events))
+        here.commit({"events": events, "sessions": sessions}, version=batch_id + 1, buckets=("rider_code", buckets, own))
     return apply
 
 
-def start_sessions(logs: DataFrame, store: Snapshots, checkpoint: str):
-    """Run over what the source holds now; returns the streaming query."""
-    return (logs.writeStream.foreachBatch(session_batches(store)).option("checkpointLocation", checkpoint)
+def start_sessions(logs: DataFrame, store: Store, checkpoint: str, buckets: int = BUCKETS):
+    """Run over what the source holds now; returns the streaming query. The answer is ``store.read("sessions")``."""
+    return (logs.writeStream.foreachBatch(session_batches(store, buckets)).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())
-
-
-def stored_sessions(spark: SparkSession, store: Snapshots, version: int) -> DataFrame:
-    """All sessions up to a complete snapshot."""
-    paths = [store.folder(v, "parts") for v in range(1, version + 1)]
-    return finish_sessions(merge_session_parts(spark.read.parquet(*paths)))
