@@ -6,7 +6,7 @@ cannot give falls back to the parent's siblings, because a node's own limit is t
 of one more epoch in seeded order, a prefix of tokens that ends inside the last document.
 
 DataFrame functions only. Rows are never sorted by leaf: the order is cut into buckets by its first digits, bucket sums tell in which
-bucket the prefix ends, and only that bucket's rows are put in order.
+bucket the prefix ends, that bucket is cut by the next digits, and only the rows of the last bucket (a leaf's rows / 65536) are put in order.
 
 Cases: null levels are a node of their own; a null text has no tokens and is never selected; rows with the same id and text are equal
 and take equal shares where the prefix ends; an empty table or a zero budget selects nothing; other columns are not read by
@@ -26,7 +26,8 @@ from tillworks.llm.names import free_prefix
 from tillworks.llm.quality_rules import SPACE, SPACES
 from tillworks.session import cut_lineage
 
-BUCKET_DIGITS = 3
+#: Hexadecimal digits by which buckets are cut, one round after the other: each has 256 in a leaf.
+BUCKET_DIGITS = (2, 4)
 
 
 def token_count(text: str = "text") -> Column:
@@ -88,14 +89,16 @@ def plan_mixture(rows: DataFrame, levels: Sequence[str], weights: Sequence[Colum
         F.expr("target % tokens").alias("rest")))
 
     part = join_per_key(rows.where(F.col("tokens") > 0), plan.where(F.col("rest") > 0), levels, "inner")
-    part = part.withColumn("at", _seeded(seed, F.col("epochs"), F.col("id"))).withColumn("bucket", F.substring("at", 1, BUCKET_DIGITS))
-    sums = part.groupBy(*levels, "bucket", "rest").agg(F.sum("tokens").alias("tokens"))
-    run = Window.partitionBy(*levels).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    last = (sums.withColumn("before", F.coalesce(F.sum("tokens").over(run), F.lit(0)))
-            .where((F.col("before") < F.col("rest")) & (F.col("before") + F.col("tokens") >= F.col("rest")))
-            .select(*levels, "bucket", (F.col("rest") - F.col("before")).alias("left")))
-    inside = join_per_key(part.drop("rest"), last, [*levels, "bucket"], "inner")
-    inside = inside.groupBy(*levels, "left", "at", "text_key").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n"))
+    part = part.select(*levels, "text_key", "tokens", _seeded(seed, F.col("epochs"), F.col("id")).alias("at"), F.col("rest").alias("left"))
+    for digits in BUCKET_DIGITS:
+        part = part.withColumn("bucket", F.substring("at", 1, digits))
+        sums = part.groupBy(*levels, "bucket", "left").agg(F.sum("tokens").alias("tokens"))
+        run = Window.partitionBy(*levels).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+        last = (sums.withColumn("before", F.coalesce(F.sum("tokens").over(run), F.lit(0)))
+                .where((F.col("before") < F.col("left")) & (F.col("before") + F.col("tokens") >= F.col("left")))
+                .select(*levels, "bucket", (F.col("left") - F.col("before")).alias("left")))
+        part = cut_lineage(join_per_key(part.drop("left"), last, [*levels, "bucket"], "inner").drop("bucket"))
+    inside = part.groupBy(*levels, "left", "at", "text_key").agg(F.sum("tokens").alias("tokens"), F.count(F.lit(1)).alias("n"))
     run = Window.partitionBy(*levels).orderBy("at", "text_key").rowsBetween(Window.unboundedPreceding, -1)
     ends = (inside.withColumn("before", F.coalesce(F.sum("tokens").over(run), F.lit(0)))
             .where((F.col("before") < F.col("left")) & (F.col("before") + F.col("tokens") >= F.col("left")))
