@@ -14,7 +14,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from tillworks.plans import load_all  # noqa: E402
-from tillworks.session import build_session  # noqa: E402
+from tillworks.session import build_session, remove_scratch  # noqa: E402
 
 HEADLINE = [
     "daily_transactions", "hourly_transactions", "daily_sales_type", "daily_items", "daily_bundlings", "companywide_mitra",
@@ -37,6 +37,7 @@ def main() -> None:
         start = time.perf_counter()
         queries[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - start, 3)
+        remove_scratch(spark)
     print(json.dumps({"metric": "total_time_headline_queries", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")}))
     spark.stop()

@@ -14,4 +14,7 @@ def spark():
     session = build_session(8, "tests")
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    from tillworks.session import remove_scratch
+
+    remove_scratch(session)
     session.stop()

@@ -64,6 +64,26 @@ def nearest_rider(pings: DataFrame) -> DataFrame:
                        F.col("blast_rider_lat").alias("nearest_blasted_rider_lat"), F.col("blast_rider_long").alias("nearest_blasted_rider_lng"))
 
 
+def ping_summary(pings: DataFrame, blasts: DataFrame) -> DataFrame:
+    """What the order summary needs of the pings, from one grouping of them: their number, the nearest rider, and the first accepted
+    round with the pings up to it. Pings are folded per round first; an order's rounds are few, so they fit into one row."""
+    place = ["rider_code", "blast_rider_lat", "blast_rider_long"]
+    near = F.min(F.when(F.col("distance_in_meter").isNotNull(), F.struct("distance_in_meter", "created_at", *place)))
+    per_blast = pings.groupBy(ORDER, "blast_id").agg(
+        F.count(F.lit(1)).alias("_n"), F.max(F.coalesce(F.col("response") == "ACCEPTED", F.lit(False))).alias("_acc"), near.alias("_near"))
+    rounds = per_blast.join(blasts.select("blast_id", "blast_round"), "blast_id", "left")
+    per_order = rounds.groupBy(ORDER).agg(
+        F.sum("_n").alias("total_riders_blasted"), F.min("_near").alias("_near"),
+        F.min(F.when(F.col("_acc"), F.col("blast_round"))).alias("accepted_blast_round"), F.collect_list(F.struct("blast_round", "_n")).alias("_rounds"))
+    until = F.filter("_rounds", lambda r: r["blast_round"] <= F.col("accepted_blast_round"))
+    return per_order.select(
+        ORDER, "total_riders_blasted", "accepted_blast_round",
+        F.when(F.col("accepted_blast_round").isNotNull(), F.aggregate(until, F.lit(0).cast("bigint"), lambda a, r: a + r["_n"]))
+        .alias("riders_blasted_until_accept"),
+        F.col("_near.rider_code").alias("nearest_blasted_rider_code"), F.col("_near.blast_rider_lat").alias("nearest_blasted_rider_lat"),
+        F.col("_near.blast_rider_long").alias("nearest_blasted_rider_lng"))
+
+
 def earliest_reason(orders: DataFrame, records: DataFrame) -> DataFrame:
     """First recorded dispatch reason per order; records know the order by its text reference."""
     first = first_per_key(records.select("order_ref", "reason", "created_at"), ["order_ref"], ["created_at", "reason"])
@@ -190,8 +210,7 @@ def order_summary(orders: DataFrame, pings: DataFrame, blasts: DataFrame, delive
     distances = distance_stats(route_lookup(join_per_key(positions, to, [ORDER]), routes,
                                             ["blast_rider_lat", "blast_rider_long", "delivery_lat", "delivery_lng"]))
     df = orders
-    for part in (ping_metrics(pings).select(ORDER, "total_riders_blasted"),
-                 round_metrics(blasts).select(ORDER, "total_blast_rounds"), accept_context(pings, blasts), nearest_rider(pings), last,
+    for part in (ping_summary(pings, blasts), round_metrics(blasts).select(ORDER, "total_blast_rounds"), last,
                  rider_code_list(pings), distances, earliest_reason(orders, records)):
         df = df.join(part, ORDER, "left")
     df = df.na.fill(0, ["total_riders_blasted", "total_blast_rounds", "accepted_blast_round", "riders_blasted_until_accept"])

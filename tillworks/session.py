@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import functools
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -40,12 +42,28 @@ def shared_folder(spark: SparkSession) -> str:
 
 @functools.cache
 def _local_folder() -> str:
-    return tempfile.mkdtemp(prefix="tillworks-")
+    folder = tempfile.mkdtemp(prefix="tillworks-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
+
+
+_SCRATCH: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path below :func:`shared_folder`."""
-    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    """A new, unique path below :func:`shared_folder`; it stays until :func:`remove_scratch`."""
+    path = f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _SCRATCH.append(path)
+    return path
+
+
+def remove_scratch(spark: SparkSession) -> int:
+    """Delete what this process wrote to scratch paths, once no frame built on them is needed; returns how many there were."""
+    n = len(_SCRATCH)
+    while _SCRATCH:
+        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    return n
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
