@@ -73,6 +73,8 @@ def test_empty_window_is_refused(spark, store):
     assert rows(store.read("t"), "v") == [(1,), (2,)]
     with pytest.raises(ValueError):
         loads.load_window(store, "t", t, "d", "2024-01-02", "2024-01-01")
+    with pytest.raises(ValueError, match="no columns"):
+        loads.load_window(store, "t", t.withColumn("w", F.lit(1)), "d", "2024-01-01", "2024-01-02")
 
 
 def test_doubled_orders_and_details_are_refused(spark, store):

@@ -48,11 +48,13 @@ def dedup_key_stats(details: DataFrame, order: list[str], bucket: Column) -> Dat
 def _with_factor(df: DataFrame, rows: str, slots: DataFrame) -> DataFrame:
     """How often a bundle was loaded: its component rows ÷ its slots when that is a whole number from 1 up.
 
-    ``df`` is already aggregated (``rows`` per key and bucket), so a bundle's window holds its distinct components only.
+    ``df`` is already aggregated (``rows`` per key and bucket). Only bundles are grouped, and their sizes are joined back in a form that
+    adaptive execution can split: rows with missing ids all share one group.
     """
     combo = F.coalesce(F.col("type") == fv.BUNDLE_TYPE, F.lit(False))
-    group = Window.partitionBy(*fv.BUNDLE_GROUP_KEY)
-    bundles = df.filter(combo).withColumn("combo_group_rows", F.sum(rows).over(group)).join(slots, "bundling_id", "left")
+    bundles = df.filter(combo)
+    sizes = bundles.groupBy(*fv.BUNDLE_GROUP_KEY).agg(F.sum(rows).alias("combo_group_rows"))
+    bundles = join_per_key(bundles, sizes, fv.BUNDLE_GROUP_KEY, "inner").join(slots, "bundling_id", "left")
     single = df.filter(~combo)
     empty = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in bundles.schema.fields if f.name not in df.columns}
     df = bundles.select(*df.columns, *empty).unionByName(single.select(*df.columns, *empty.values()))

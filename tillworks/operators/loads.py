@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks.operators import dedup, landlord, sinks
+from tillworks.operators.audit import missing_columns
 from tillworks.operators.commission import check_week
 from tillworks.sources.store import Store, bucket_of
 from tillworks.sources.tables import check_window
@@ -24,9 +25,13 @@ def load_table(store: Store, name: str, frame: DataFrame, gates: tuple[Gate, ...
 
 
 def load_window(store: Store, name: str, new: DataFrame, column: str, start: str, end: str, owned: Column | None = None) -> int:
-    """Delete the job's rows of the window and insert the new ones. An empty result must not wipe a filled window."""
+    """Delete the job's rows of the window and insert the new ones. Gates: no column that the table lacks, and an empty result must not
+    wipe a filled window."""
     check_window(start, end)
-    target, staged = store.read(name), store.stage(new, name)
+    target = store.read(name)
+    if unknown := missing_columns(new, target):
+        raise ValueError(f"{name} has no columns {unknown}: nothing was written")
+    staged = store.stage(new, name)
     sinks.refuse_empty(target, staged, column, start, end, owned)
     return store.commit({name: sinks.replace_window(target, staged, column, start, end, owned)})
 

@@ -73,7 +73,7 @@ def combo_dup_factor(spark, sf):
 
 @query("dedup_details", HEAD + f"SELECT {COLS} FROM work WHERE keep")
 def dedup_details(spark, sf):
-    return ops.dedup_details(_doubled(spark, sf), s.slot_counts(spark, sf), ORDER, _bucket(), strict=False)
+    return ops.dedup_details(_doubled(spark, sf), s.slot_counts(spark, sf), ORDER, _bucket())
 
 
 @query("dedup_manual_check", HEAD + """
