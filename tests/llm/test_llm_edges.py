@@ -364,6 +364,22 @@ def test_control_strings_in_texts(spark):
     assert chat.format_conversations(rows.limit(0)).count() == 0
 
 
+def test_offsets_cover_the_text_and_agree_with_another_library():
+    import os
+
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(os.path.join(os.path.dirname(chat.TOKENIZER), "byte_bpe_50k.json"))
+    for sample in ("Hello  world, it's 2024!\n\n ok", "日本語 😀 é and Ünïcode\t tabs   ", "", "a"):
+        ids, offsets = chat.encode(sample, chat.TOKENIZER)
+        other = own.encode(sample, add_special_tokens=False)
+        assert ids.tolist() == other.ids and [tuple(x) for x in offsets.tolist()] == other.offsets
+    whole, spans = chat.render([("user", "x"), ("assistant", " y\n")])
+    ids, offsets = chat.encode(whole, chat.TOKENIZER)
+    assert offsets[0][0] == 0 and offsets[-1][1] == len(whole) and (offsets[1:, 0] == offsets[:-1, 1]).all()
+    assert [whole[s:e] for s, e in chat.masked_spans(offsets, chat.aligned(offsets, spans))] == [" y\n"]
+
+
 def test_spans_are_found_by_search():
     offsets = np.array([[0, 2], [2, 5], [5, 5], [5, 7], [7, 9], [8, 10]])
     assert chat.aligned(offsets, np.array([[2, 7], [8, 10]])).tolist() == [False, True, False, True, False, True]

@@ -12,8 +12,9 @@ their own; columns besides the named ones are ignored.
 
 from __future__ import annotations
 
+import base64
+import functools
 import hashlib
-import os
 import re
 from collections.abc import Iterator
 
@@ -24,7 +25,10 @@ from pyspark.sql import functions as F
 
 from tillworks.llm.text import small_batches
 
-TOKENIZER = "/opt/tokenizers/byte_bpe_50k.json"
+#: A file of byte-level BPE ranks: a token in base64 and its id on each line.
+TOKENIZER = "/opt/tokenizers/byte_bpe_50k.tiktoken"
+# Fixed value: how that vocabulary cuts text into pieces.
+PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 # Control strings of common chat templates. Each begins with `<` or `[`.
 CONTROLS = [START, SEP, END, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
@@ -82,13 +86,31 @@ def masked_spans(offsets: np.ndarray, mask: np.ndarray) -> list[tuple[int, int]]
     return out
 
 
-def load_tokenizer(path: str):
-    from tokenizers import AddedToken, Tokenizer
+@functools.cache
+def load_tokenizer(path: str, pieces: str = PIECES):
+    """(encoding, bytes of each token by id). The control tokens get the ids behind the vocabulary's."""
+    import tiktoken
 
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    tokenizer = Tokenizer.from_file(path)
-    tokenizer.add_special_tokens([AddedToken(x, special=True, normalized=False) for x in (START, SEP, END)])
-    return tokenizer
+    with open(path, "rb") as lines:
+        ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
+    last = max(ranks.values())
+    controls = {token: last + 2 + i for i, token in enumerate((START, SEP, END))}
+    sizes = np.zeros(last + 2 + len(controls), dtype=np.int64)
+    for token, rank in ranks.items():
+        sizes[rank] = len(token)
+    for token, rank in controls.items():
+        sizes[rank] = len(token)
+    return tiktoken.Encoding("own", pat_str=pieces, mergeable_ranks=ranks, special_tokens=controls), sizes
+
+
+def encode(text: str, path: str) -> tuple[np.ndarray, np.ndarray]:
+    """Token ids and their (start, end) in code points. Tokens that split a character all have that character."""
+    encoding, sizes = load_tokenizer(path)
+    ids = np.array(encoding.encode(text, allowed_special={START, SEP, END}, disallowed_special=()), dtype=np.int32)
+    ends = np.cumsum(sizes[ids])
+    raw = np.frombuffer(text.encode("utf-8"), dtype=np.uint8)
+    character = np.cumsum((raw & 0xC0) != 0x80) - 1
+    return ids, np.column_stack((character[ends - sizes[ids]], character[ends - 1] + 1)) if len(ids) else np.zeros((0, 2), np.int64)
 
 
 def format_conversations(rows: DataFrame, conv_id: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text",
@@ -103,17 +125,15 @@ def format_conversations(rows: DataFrame, conv_id: str = "conv_id", turn: str =
     turns = turns.select("id", F.col("turns.role").alias("roles"), F.col("turns.text").alias("texts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = load_tokenizer(tokenizer)
         for batch in batches:
             formatted, ids, masks, spans, n = [], [], [], [], []
             for roles, texts in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
                 whole, trained_spans = render(list(zip(roles, texts)), trained)
-                encoded = own.encode(whole, add_special_tokens=False)
-                offsets = np.array(encoded.offsets, dtype=np.int64).reshape(-1, 2)
+                tokens, offsets = encode(whole, tokenizer)
                 mask = aligned(offsets, trained_spans)
                 n.append(len(roles))
                 formatted.append(whole)
-                ids.append(np.array(encoded.ids, dtype=np.int32))
+                ids.append(tokens)
                 masks.append(mask)
                 spans.append([{"start": a, "end": b} for a, b in masked_spans(offsets, mask)])
             yield pa.RecordBatch.from_arrays(
