@@ -165,17 +165,6 @@ def _checked(c) -> Column:
         F.raise_error(F.concat(F.lit("amount outside the range of exact sums: "), x.cast("string"))))
 
 
-def money(c) -> Column:
-    """Millionths as a decimal; raises as :func:`exact_sum` does."""
-    return _checked(c).cast(MONEY)
-
-
-def money_rest(c) -> Column:
-    """What :func:`money` leaves out: 0 where the amount is a number of millionths."""
-    x, whole = col(c).cast("double"), money(c).cast("double")
-    return F.when(whole == x, F.lit(0.0)).otherwise(x - whole)
-
-
 def _split(c) -> tuple[Column, Column, Column]:
     """(whole units, millionths of the fraction, what is left below a millionth) of a double column."""
     x = _checked(c)
@@ -185,6 +174,17 @@ def _split(c) -> tuple[Column, Column, Column]:
     return whole, unit, F.when(whole + unit / 1e6 == x, F.lit(0.0)).otherwise(x - whole - unit / 1e6)
 
 
+def money(c) -> Column:
+    """Millionths as a decimal, half away from zero; raises as :func:`exact_sum` does. :func:`money_rest` is what it leaves out."""
+    whole, unit, _ = _split(c)
+    return (whole.cast("decimal(20,0)") + unit.cast("decimal(7,0)") * F.lit("0.000001").cast("decimal(7,6)")).cast(MONEY)
+
+
+def money_rest(c) -> Column:
+    """What :func:`money` leaves out: 0 where the amount is a number of millionths."""
+    return _split(c)[2]
+
+
 def exact_sum(c) -> Column:
     """Sum of a double column as DECIMAL(38,6), in millionths: independent of row order; :func:`exact_rest` has what is smaller.
 

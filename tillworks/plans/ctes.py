@@ -29,14 +29,23 @@ def msum(expr: str, zero: bool = False, over: str = "", where: str = "") -> str:
     """Sum of the amounts in millionths, and of what they have below a millionth."""
     only = f" FILTER (WHERE {where})" if where else ""
     window = f" OVER {over}" if over else ""
-    s = f"(CAST(SUM(CAST({expr} AS {MONEY})){only}{window} AS DOUBLE) + SUM({mrest(expr)}){only}{window})"
+    s = f"(CAST(SUM({mdec(expr)}){only}{window} AS DOUBLE) + SUM({mrest(expr)}){only}{window})"
     return f"COALESCE({s}, 0.0)" if zero else s
 
 
+def _fraction(expr: str) -> str:
+    return f"(CAST({expr} AS DOUBLE) - trunc(CAST({expr} AS DOUBLE)))"
+
+
+def mdec(expr: str) -> str:
+    """An amount in millionths: its whole units, and its fraction rounded."""
+    return f"(CAST(trunc(CAST({expr} AS DOUBLE)) AS {MONEY}) + CAST({_fraction(expr)} AS {MONEY}))"
+
+
 def mrest(expr: str) -> str:
     """What an amount has below a millionth."""
-    whole = f"CAST(CAST({expr} AS {MONEY}) AS DOUBLE)"
-    return f"CASE WHEN {whole} = ({expr}) THEN 0.0::DOUBLE ELSE ({expr}) - {whole} END"
+    unit = f"CAST(CAST({_fraction(expr)} AS {MONEY}) AS DOUBLE)"
+    return f"CASE WHEN trunc(CAST({expr} AS DOUBLE)) + {unit} = CAST({expr} AS DOUBLE) THEN 0.0::DOUBLE ELSE {_fraction(expr)} - {unit} END"
 
 
 BASE = f"""base AS (

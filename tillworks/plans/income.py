@@ -217,7 +217,7 @@ def landlord_payload(spark, sf):
   SELECT outlet_code AS jilid, CAST(transaction_date AS DATE) AS transaction_date,
          CASE WHEN payment_type_raw IN {c.in_list(fv.QRIS_ALIASES)} THEN {c.q(fv.QRIS_LABEL)} ELSE payment_type_raw END AS payment_type,
          {c.msum('total_amount')} AS total_sales, {c.msum('total_tax_amount')} AS total_tax,
-         CAST(sum(CAST(total_amount AS {c.MONEY})) - sum(CAST(total_tax_amount AS {c.MONEY})) AS DOUBLE)
+         CAST(sum({c.mdec("total_amount")}) - sum({c.mdec("total_tax_amount")}) AS DOUBLE)
            + (sum({c.mrest("total_amount")}) - sum({c.mrest("total_tax_amount")})) AS amount
   FROM sales WHERE payment_type_raw IS NOT NULL GROUP BY 1, 2, 3) x""")
 def landlord_payload_sales(spark, sf):

@@ -37,7 +37,7 @@ hourly AS (
   SELECT rider_code, transaction_date AS date, CAST(weekofyear(transaction_datetime_utc) AS INTEGER) AS week,
          CAST(hour(transaction_datetime_utc + INTERVAL 7 HOUR) AS INTEGER) AS hour, payment_type,
          count(DISTINCT id) AS total_orders, CAST(sum(qty) AS BIGINT) AS total_qty, {c.msum('price')} AS total_sales
-  FROM trx JOIN prod ON trx.id = prod.transaction_id
+  FROM trx JOIN (SELECT transaction_id, sum(qty) AS qty, {c.msum('price')} AS price FROM prod GROUP BY 1) AS lines ON trx.id = lines.transaction_id
   WHERE transaction_status = 'COMPLETED' AND rider_code <> 'R00065' GROUP BY ALL)"""
 HUBS = f"""hubs AS (
   SELECT DISTINCT {R} AS rider_id, CASE WHEN user_id % 13 <> 1 THEN lpad(CAST(user_id % 25 AS VARCHAR), 5, '0') END AS jilid,
