@@ -158,26 +158,26 @@ def minutes_between(start, end) -> Column:
 MONEY_LIMIT = 9e18
 
 
-def _checked(c) -> Column:
-    """A double column that raises where an amount is no number or beyond MONEY_LIMIT: such a value cannot be added exactly."""
+def _split(c) -> tuple[Column, Column, Column]:
+    """(whole units towards zero, millionths of the fraction, what is left below a millionth) of a double column; the fraction is exact.
+    Without a check of the range, which one use of an amount makes for all."""
     x = col(c).cast("double")
-    return F.when(x.isNull() | (F.abs(x) < MONEY_LIMIT), x).otherwise(
-        F.raise_error(F.concat(F.lit("amount outside the range of exact sums: "), x.cast("string"))))
+    whole = x.try_cast("bigint")
+    unit = ((x - whole) * 1e6 + F.signum(x) * 0.5).try_cast("bigint")
+    return whole, unit, F.when(whole + unit / 1e6 == x, F.lit(0.0)).otherwise(x - whole - unit / 1e6)
 
 
-def _split(c) -> tuple[Column, Column, Column]:
-    """(whole units, millionths of the fraction, what is left below a millionth) of a double column."""
-    x = _checked(c)
-    whole = F.when(x < 0, F.ceil(x)).otherwise(F.floor(x))  # towards zero, so that the fraction is exact
-    scaled = (x - whole) * 1e6
-    unit = F.when(x < 0, -F.floor(0.5 - scaled)).otherwise(F.floor(scaled + 0.5))
-    return whole, unit, F.when(whole + unit / 1e6 == x, F.lit(0.0)).otherwise(x - whole - unit / 1e6)
+def _checked_whole(c) -> Column:
+    """Whole units of an amount; raises where it is no number or beyond MONEY_LIMIT, so that it cannot be added exactly."""
+    x = col(c).cast("double")
+    return F.when(x.isNull() | (F.abs(x) < MONEY_LIMIT), _split(c)[0]).otherwise(
+        F.raise_error(F.concat(F.lit("amount outside the range of exact sums: "), x.cast("string"))).cast("bigint"))
 
 
 def money(c) -> Column:
     """Millionths as a decimal, half away from zero; raises as :func:`exact_sum` does. :func:`money_rest` is what it leaves out."""
-    whole, unit, _ = _split(c)
-    return (whole.cast("decimal(20,0)") + unit.cast("decimal(7,0)") * F.lit("0.000001").cast("decimal(7,6)")).cast(MONEY)
+    unit = _split(c)[1].cast("decimal(7,0)") * F.lit("0.000001").cast("decimal(7,6)")
+    return (_checked_whole(c).cast("decimal(20,0)") + unit).cast(MONEY)
 
 
 def money_rest(c) -> Column:
@@ -192,7 +192,7 @@ def exact_sum(c) -> Column:
     overflows before 5e11 rows. NaN, infinity and amounts beyond MONEY_LIMIT raise. A decimal sum does the same, at a higher cost.
     """
     whole, unit, _ = _split(c)
-    high = F.sum(F.shiftright(whole, 24)).cast("decimal(20,0)")
+    high = F.sum(F.shiftright(_checked_whole(c), 24)).cast("decimal(20,0)")
     low = F.sum(whole.bitwiseAND(F.lit((1 << 24) - 1).cast("bigint"))).cast("decimal(20,0)")
     units = (high * F.lit(1 << 24).cast("decimal(8,0)") + low).cast("decimal(30,0)")
     return units + F.sum(unit).cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(7,6)")
