@@ -15,7 +15,6 @@ from tillworks.plans import dispatch as dis
 from tillworks.plans import income as inc
 from tillworks.plans import loads as frames
 from tillworks.plans import orders as ords
-from tillworks.plans import summaries as sums
 from tillworks.plans.registry import ORACLES, query
 from tillworks.session import scratch_path
 from tillworks.sources import standin as s
