@@ -1,9 +1,10 @@
 """Substring de-duplication with sliding sentence spans.
 
-A text is cut into sentences. A span is a run of consecutive sentences: from each sentence on, the shortest run of at least
-``min_sentences`` sentences and ``min_words`` words; a single sentence of ``long_sentence`` words or more is a span as well. Spans with
-the same words are the same span wherever they stand. The first one (by document id, text and place) stays, and every sentence that a
-later one covers is removed.
+A text is cut into sentences. A span is a run of consecutive sentences: from each sentence on, and back from each sentence, the shortest
+run of at least ``min_sentences`` sentences and ``min_words`` words; a single sentence of ``long_sentence`` words or more is a span as
+well. Spans with the same words are the same span wherever they stand. The first one (by document id, text and place) stays, and every
+sentence that a later one covers is removed. Where a passage is cut into the same sentences again, these spans cover what all its runs
+would: a sentence from which no span fits into the passage lies in the one that ends with it.
 
 Cases: a null text is empty and keeps nothing; texts without a span are kept whole; repeated rows (same id and text)
 are one document, cleaned alike; a null id comes before all others; columns besides
@@ -55,14 +56,19 @@ def span_rows(data: np.ndarray, bounds: np.ndarray, min_sentences: int, min_word
     first = np.searchsorted(starts, begins)  # first word of each sentence
     n = len(begins) - 1
     text_of = np.searchsorted(per_text, np.arange(n), side="right") - 1 if n else np.zeros(0, np.int64)
-    limit = per_text[text_of + 1] if n else np.zeros(0, np.int64)
+    begin, limit = (per_text[text_of], per_text[text_of + 1]) if n else (np.zeros(0, np.int64), np.zeros(0, np.int64))
     # the sentence after the shortest run that is long enough
     reach = np.maximum(np.searchsorted(first, first[:-1] + min_words, side="left"), np.arange(n) + min_sentences)
     has_words = np.diff(first) > 0
     run = np.flatnonzero((reach <= limit) & has_words)
     single = np.flatnonzero((np.diff(first) >= long_sentence) & has_words)
-    at = np.concatenate((run, single))
-    to = np.concatenate((reach[run], single + 1))
+    # the first sentence of the shortest run that is long enough and ends with a sentence; like all runs it begins with words
+    back = np.minimum(np.searchsorted(first, first[1:] - min_words, side="right") - 1, np.arange(1, n + 1) - min_sentences)
+    worded = np.maximum.accumulate(np.where(has_words, np.arange(n), -1))
+    back = np.where(back >= 0, worded[np.maximum(back, 0)], -1) if n else back
+    tail = np.flatnonzero((back >= begin) & has_words)
+    both = np.unique(np.concatenate((run * (n + 1) + reach[run], single * (n + 1) + single + 1, back[tail] * (n + 1) + tail + 1)))
+    at, to = both // (n + 1), both % (n + 1)
     low, high = first[at], first[to]
     return text_of[at], at - per_text[text_of[at]], to - at, _range_hashes(one, low, high), _range_hashes(two, low, high), begins, per_text
 
