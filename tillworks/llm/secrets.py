@@ -19,7 +19,6 @@ import hashlib
 import lzma
 import re
 import zlib
-from collections import deque
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -40,6 +39,13 @@ ASSIGN_LEAST, ACCESS_LEAST = 6, 20
 PERCENT = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})|&#x([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: Base64 wrapped into lines: the last one may be short.
+BLOCK = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:[ \t]*(?:\r\n|\r|\n)[ \t]*[A-Za-z0-9+/_-]{16,})*(?:[ \t]*(?:\r\n|\r|\n)[ \t]*(?:[A-Za-z0-9+/_-]+={0,2}|={1,2})|={1,2})?")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}|={1,2}")
+#: Where a compressed stream may begin among characters that each stand for a byte.
+MAGIC = re.compile("\x1f\x8b\x08|x[\x01^\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|\\(\xb5/\xfd")
+WIDE = re.compile("[^\x00-\xff]")
+STEP = 4096
 MAX_UNPACKED = 64 << 20
 #: A text without any of these has neither secrets nor layers. RE2, over whole columns.
 ANY = r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{24}|[A-Za-z0-9+/_-]{16}|%[0-9a-f]{2}|\\[ux]|&#"
@@ -62,6 +68,8 @@ class Layer:
     text: str
     starts: np.ndarray
     ends: np.ndarray
+    budget: list[int] | None = None  # bytes that streams inside may still yield, if it came out of one
+    streams: bool = True  # whether characters below 256 may stand for bytes
 
     def raw(self, start: int, end: int) -> tuple[int, int]:
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
@@ -82,7 +90,7 @@ def _replaced(layer: Layer, pieces: list[tuple[int, int, str, list[tuple[int, in
         at = end
     out.append(layer.text[at:])
     tail = np.arange(at, len(layer.text))
-    return Layer("".join(out), layer.starts[np.concatenate([*low, tail])], layer.ends[np.concatenate([*high, tail])])
+    return Layer("".join(out), layer.starts[np.concatenate([*low, tail])], layer.ends[np.concatenate([*high, tail])], layer.budget)
 
 
 def _characters(raw: bytes, width: int, start: int) -> tuple[str, list[tuple[int, int]]]:
@@ -99,12 +107,28 @@ def _characters(raw: bytes, width: int, start: int) -> tuple[str, list[tuple[int
     return text, ranges
 
 
+def _decoded(raw: bytes) -> str:
+    try:
+        return raw.decode("utf-8")
+    except UnicodeDecodeError:
+        return raw.decode("latin-1")
+
+
 def _percent(layer: Layer) -> Layer | None:
     if "%" not in layer.text:
         return None
     return _replaced(layer, [(*m.span(), *_characters(bytes.fromhex(m[0].replace("%", "")), 3, m.start())) for m in PERCENT.finditer(layer.text)])
 
 
+def _percent_bytes(layer: Layer) -> Layer | None:
+    """With a character for each byte, if a compressed stream may be among them."""
+    if "%" not in layer.text:
+        return None
+    out = _replaced(layer, [(*m.span(), bytes.fromhex(m[0].replace("%", "")).decode("latin-1"), [(i, i + 3) for i in range(*m.span(), 3)])
+                            for m in PERCENT.finditer(layer.text)])
+    return out if out is not None and MAGIC.search(out.text) else None
+
+
 def _unicode(layer: Layer) -> Layer | None:
     if "\\" not in layer.text and "&#" not in layer.text:
         return None
@@ -124,37 +148,89 @@ def _unicode(layer: Layer) -> Layer | None:
     return _replaced(layer, pieces)
 
 
-def _unpacked(raw: bytes, most: int) -> tuple[bytes, bool] | None:
-    """Compressed bytes unpacked up to ``most`` bytes (and whether that is all), or None."""
+def _tool(raw: bytes):
+    """A decompressor for what the bytes begin with, or None."""
     if raw[:2] == b"\x1f\x8b":
-        tool = zlib.decompressobj(47)
-    elif len(raw) > 2 and raw[0] == 0x78 and (raw[0] * 256 + raw[1]) % 31 == 0:
-        tool = zlib.decompressobj()
-    elif raw[:3] == b"BZh":
-        tool = bz2.BZ2Decompressor()
-    elif raw[:6] == b"\xfd7zXZ\x00":
-        tool = lzma.LZMADecompressor()
-    elif raw[:4] == b"\x28\xb5\x2f\xfd":
+        return zlib.decompressobj(31)
+    if len(raw) > 2 and raw[0] == 0x78 and (raw[0] * 256 + raw[1]) % 31 == 0:
+        return zlib.decompressobj()
+    if raw[:3] == b"BZh":
+        return bz2.BZ2Decompressor()
+    if raw[:6] == b"\xfd7zXZ\x00":
+        return lzma.LZMADecompressor()
+    return _Zstd() if raw[:4] == b"\x28\xb5\x2f\xfd" else None
+
+
+class _Zstd:
+    """Like the other tools; without its library nothing comes out and the end is never reached."""
+
+    needs_input = True
+
+    def __init__(self) -> None:
         try:
             import zstandard
         except ImportError:
-            return None
-        try:
-            out = zstandard.ZstdDecompressor().stream_reader(raw).read(most + 1)
-        except zstandard.ZstdError:
-            return None
-        return out[:most], len(out) <= most
-    else:
-        return None
-    try:
-        out = tool.decompress(raw, most + 1)
-    except (zlib.error, OSError, ValueError, lzma.LZMAError, EOFError):
-        return None
-    return out[:most], len(out) <= most
-
-
-def _is_text(text: str) -> bool:
-    return bool(text) and all(c.isprintable() or c in "\t\r\n" for c in text)
+            self.tool = None
+        else:
+            self.tool, self.error = zstandard.ZstdDecompressor().decompressobj(), zstandard.ZstdError
+
+    @property
+    def eof(self) -> bool:
+        return self.tool is not None and self.tool.eof
+
+    @property
+    def unused_data(self) -> bytes:
+        return self.rest if self.eof else b""
+
+    def decompress(self, piece: bytes, most: int) -> bytes:
+        out, size = [], 0
+        for i in range(0, len(piece) if self.tool else 0, 64):  # it has no limit of its own, but a block is bounded
+            try:
+                out.append(self.tool.decompress(piece[i:i + 64]))
+            except self.error:
+                if not size:
+                    raise ValueError from None
+                break
+            size += len(out[-1])
+            if self.tool.eof:
+                self.rest = self.tool.unused_data + piece[i + 64:]
+                break
+            if size > most:
+                break
+        return b"".join(out)
+
+
+
+
+def _unpacked(raw: bytes, most: int) -> tuple[bytes, bool, int] | None:
+    """What the compressed streams at the start of ``raw`` hold, one after the other, up to ``most`` bytes; whether that is all of them;
+    and how many bytes they take. None: there is no stream."""
+    out, size, at, whole = [], 0, 0, True
+    while whole and at < len(raw):
+        if (tool := _tool(raw[at:at + 6])) is None:
+            break
+        begin, here, bad = at, 0, False
+        while not tool.eof and at < len(raw) and size <= most and not bad:  # in steps, so that what comes before an error is kept
+            piece, at = raw[at:at + STEP], at + STEP
+            while not tool.eof and size <= most:
+                try:
+                    got = tool.decompress(piece, most + 1 - size)
+                except (zlib.error, OSError, ValueError, lzma.LZMAError, EOFError):
+                    bad = True
+                    break
+                out.append(got)
+                size, here = size + len(got), here + len(got)
+                piece = getattr(tool, "unconsumed_tail", b"")
+                if not piece and (hasattr(tool, "unconsumed_tail") or tool.needs_input):
+                    break
+        at = min(at, len(raw)) - len(tool.unused_data)
+        if bad and not here:  # only looks like a stream
+            at = begin
+            break
+        whole = tool.eof and size <= most
+        if not whole:
+            at = len(raw)
+    return (b"".join(out)[:most], whole, at) if at else None
 
 
 def _bytes_of(token: str) -> bytes | None:
@@ -167,57 +243,128 @@ def _bytes_of(token: str) -> bytes | None:
         return None
 
 
-def _packed_children(layer: Layer, budget: list[int]) -> Iterator[Layer]:
-    """Layers out of base64 runs, and out of the layer itself if its characters are compressed bytes."""
-    found = [(m.start(), m.end(), _bytes_of(m[0]), True) for m in BASE64.finditer(layer.text)]
-    if layer.text[:1] in ("\x1f", "\x78", "B", "\xfd", "\x28") and all(ord(c) < 256 for c in layer.text):
-        found.append((0, len(layer.text), layer.text.encode("latin-1"), False))
-    for start, end, raw, coded in found:
-        if not raw:
+def _is_text(text: str) -> bool:
+    return bool(text) and all(c.isprintable() or c in "\t\r\n" for c in text)
+
+
+def _runs(text: str) -> list[tuple[np.ndarray, str]]:
+    """(places of the characters, characters) of all base64 runs: within a line, and joined over line breaks where lines follow each
+    other. Joined are all lines of a block, and lines of one width with the line before and the rest behind. Longest first."""
+    out = [(np.arange(*m.span()), m[0]) for m in BASE64.finditer(text)]
+    seen = set()
+    for block in BLOCK.finditer(text):
+        lines = [(block.start() + m.start(), block.start() + m.end()) for m in LINE.finditer(block[0])]
+        width = [e - s for s, e in lines]
+        groups, a = [(0, len(lines)), (0, len(lines) - 1)], 0
+        while a < len(lines):
+            b = a + 1
+            while b < len(lines) and width[b] == width[a]:
+                b += 1
+            groups += [(x, y) for x in (a, a - 1) for y in (b, b + 1) if x >= 0 and y <= len(lines)]
+            a = b
+        for x, y in groups:
+            if y - x > 1 and (key := (lines[x][0], lines[y - 1][1])) not in seen:
+                seen.add(key)
+                out.append((np.concatenate([np.arange(*r) for r in lines[x:y]]), "".join(text[i:j] for i, j in lines[x:y])))
+    return sorted(out, key=lambda x: -len(x[1]))
+
+
+def _looks_packed(raw: bytes, whole: bool) -> bool:
+    """`x^` is also plain text: a stream that breaks off counts only if bytes that are not text follow."""
+    return whole or raw[:2] != b"x^" or any(c < 9 or 13 < c < 32 or 126 < c < 160 for c in raw[2:18])
+
+
+def _packed_children(layer: Layer, most: int, unread: list[tuple[int, int]]) -> Iterator[Layer]:
+    """Layers out of base64 runs, and out of compressed bytes among the layer's characters. Ranges of streams that were not read whole
+    go to ``unread``."""
+
+    def unpacked(raw: bytes) -> tuple[bytes, bool, int, list[int]] | None:
+        budget = layer.budget or [most]  # of the outermost stream
+        found = _unpacked(raw, budget[0])
+        if found is None:
+            return None
+        out, whole, used = found
+        budget[0] -= len(out)
+        while out and whole and (inner := _unpacked(out, budget[0])) is not None:
+            budget[0] -= len(inner[0])
+            out, whole = inner[0] + out[inner[2]:], inner[1]
+        return out, whole, used, budget
+
+    def child(out: bytes, places: tuple[int, int], budget: list[int]) -> Layer:
+        text, low, high = _decoded(out), *layer.raw(*places)
+        return Layer(text, np.broadcast_to(np.int64(low), len(text)), np.broadcast_to(np.int64(high), len(text)), budget)
+
+    done, broken = [], []
+    for at, token in _runs(layer.text):
+        start, end = int(at[0]), int(at[-1]) + 1
+        if any(s <= start and end <= e for s, e in done) or not (raw := _bytes_of(token)):
             continue
-        packed = False
-        while (out := _unpacked(raw, budget[0])) is not None:
-            packed = True
-            budget[0] -= len(out[0])
-            if not out[1]:
-                budget[1] = 1
-            raw = out[0]
-            if not raw or budget[1]:
-                break
-        if not (packed or coded):
+        used = 0
+        if (found := unpacked(raw)) is not None:
+            out, whole, used, budget = found
+            end = end if used == len(raw) else int(at[(used * 4 + 2) // 3 - 1]) + 1
+            if whole:
+                done.append((start, end))
+            else:
+                broken.append((start, end))
+            if out:
+                yield child(out, (start, end), budget)
+            if not whole and not out:
+                used = 0
+        if used < len(raw):
+            text, ranges = _characters(raw[used:], 1, used)
+            low, high = np.array([r[0] for r in ranges]) * 4 // 3, (np.array([r[1] for r in ranges]) * 4 + 2) // 3
+            if _is_text(text):
+                yield Layer(text, layer.starts[at[low]], layer.ends[at[np.minimum(high, len(at)) - 1]], layer.budget)
+    unread += [layer.raw(s, e) for s, e in broken if not any(x <= s and e <= y for x, y in done)]
+    last = 0
+    for m in MAGIC.finditer(layer.text) if layer.streams else ():
+        if m.start() < last:
             continue
-        try:
-            text = raw.decode("utf-8")
-        except UnicodeDecodeError:
-            if not packed:
-                continue
-            text = raw.decode("utf-8", "replace")
-        if packed:
-            if text:
-                low, high = layer.raw(start, end)
-                yield Layer(text, np.full(len(text), low), np.full(len(text), high))
-        elif _is_text(text):
-            sizes = np.cumsum([0] + [len(c.encode("utf-8")) for c in text])
-            low, high = start + sizes[:-1] * 4 // 3, start + (sizes[1:] * 4 + 2) // 3
-            yield Layer(text, layer.starts[low], layer.ends[np.minimum(high, end) - 1])
+        stop = WIDE.search(layer.text, m.start())
+        raw = layer.text[m.start():stop.start() if stop else len(layer.text)].encode("latin-1")
+        if (found := unpacked(raw)) is not None and _looks_packed(raw, found[1]):
+            out, whole, used, budget = found
+            last = m.start() + used
+            if not whole:
+                unread.append(layer.raw(m.start(), last))
+            if out:
+                yield child(out, (m.start(), last), budget)
+
+
+def _scanned(text: str, most: int = MAX_UNPACKED) -> tuple[list[tuple[str, int, int, bool]], list[tuple[int, int]]]:
+    """All (kind, start, end, whether a base pattern found it in the raw text), in order; ranges of streams that were not read whole."""
+    base = set(base_spans(text))
+    found, unread = set(base), []
 
+    def children(layer: Layer) -> Iterator[Layer | None]:
+        as_text, as_bytes = _percent(layer), _percent_bytes(layer)
+        if as_bytes is not None:
+            as_text.streams = False
+            yield as_bytes
+        yield as_text
+        yield _unicode(layer)
+        yield from _packed_children(layer, most, unread)
 
-def secret_spans(text: str, most: int = MAX_UNPACKED) -> tuple[list[tuple[str, int, int, bool]], bool]:
-    """All (kind, start, end, whether a base pattern found it in the raw text), in order; whether all layers were read whole."""
-    base = set(base_spans(text))
-    found = set(base)
     root = Layer(text, np.arange(len(text)), np.arange(1, len(text) + 1))
-    work, seen, budget = deque([root] if text else []), {root.key()} if text else set(), [most, 0]
+    # depth first, so that only the layers on the way to one are held
+    work, seen = [children(root)] if text else [], {root.key()} if text else set()
     while work:
-        layer = work.popleft()
-        for child in (_percent(layer), _unicode(layer), *_packed_children(layer, budget)):
-            if child is None or not child.text or (key := child.key()) in seen:
-                continue
+        layer = next(work[-1], work)
+        if layer is work:
+            work.pop()
+        elif layer is not None and layer.text and (key := layer.key()) not in seen:
             seen.add(key)
-            found |= {(kind, *child.raw(s, e)) for kind, s, e in base_spans(child.text)}
-            work.append(child)
+            found |= {(kind, *layer.raw(s, e)) for kind, s, e in base_spans(layer.text)}
+            work.append(children(layer))
     ordered = sorted(found, key=lambda x: (x[1], KINDS.index(x[0]), x[2]))
-    return [(*x, x in base) for x in ordered], not budget[1]
+    return [(*x, x in base) for x in ordered], unread
+
+
+def secret_spans(text: str, most: int = MAX_UNPACKED) -> tuple[list[tuple[str, int, int, bool]], bool]:
+    """All (kind, start, end, whether a base pattern found it in the raw text), in order; whether all layers were read whole."""
+    spans, unread = _scanned(text, most)
+    return spans, not unread
 
 
 def redacted(text: str, spans: list[tuple[str, int, int, bool]], label: str = REDACTED) -> str:
