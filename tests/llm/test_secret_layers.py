@@ -47,3 +47,11 @@ def test_all_of_a_stream_is_read(pack):
     assert found("some " + "".join(f"\\x{x:02x}" for x in pack(SECRET.encode())) + " more") == (True, True)
     assert found(coded(pack(LONG)[:-20]))[1] is False
     assert found("f(x) = x^2 + y and x^3 or x^abcdefgh") == (False, True)
+
+
+@pytest.mark.parametrize("raw", [
+    f"\ufeff{SECRET}".encode(), f"a\u00a0b {SECRET}".encode(), f"\x1b[31m{SECRET}\x1b[0m".encode(), f"x\0y\f\u200b {SECRET}".encode(),
+    f"caf\xe9 {SECRET}".encode("latin-1"), SECRET.encode("utf-16"), SECRET.encode("utf-16-be"), SECRET.encode("utf-32-le")])
+def test_decoded_layers_need_not_be_plain_text(raw):
+    for hidden in (coded(raw), coded(coded(raw).encode()), coded(b"\xff\0" + coded(raw).encode()), coded(gzip.compress(raw))):
+        assert found(f"Before {hidden} and after") == (True, True)

@@ -1,8 +1,8 @@
 """Secret scans with a worklist of decoded layers.
 
 Base patterns run over the raw text. Then every layer on the worklist is unwrapped: percent and Unicode escapes are replaced over the
-whole layer, base64 runs are decoded, compressed bytes are unpacked. What comes out is scanned and put on the worklist in turn, until
-nothing new comes. A layer is known by its text and the place it came from, so a cycle ends and no layer is read twice. Each character
+whole layer, base64 runs are decoded, compressed bytes are unpacked, NULs are left out (UTF-16). What comes out, text or not, is scanned
+as UTF-8 or else Latin-1 and put on the worklist in turn, until nothing new comes. A layer is known by its text and the place it came from, so a cycle ends and no layer is read twice. Each character
 of a layer knows the range of the raw text it stands for, which gives the spans.
 
 Cases: a null text is empty and has no secrets; repeated rows get a row each; other columns pass through :func:`redact_secrets` as they
@@ -129,6 +129,14 @@ def _percent_bytes(layer: Layer) -> Layer | None:
     return out if out is not None and MAGIC.search(out.text) else None
 
 
+def _without_nuls(layer: Layer) -> Layer | None:
+    """UTF-16 and UTF-32 bytes as the ASCII text in them."""
+    if "\0" not in layer.text:
+        return None
+    keep = np.array([c != "\0" for c in layer.text])
+    return Layer(layer.text.replace("\0", ""), layer.starts[keep], layer.ends[keep], layer.budget, False)
+
+
 def _unicode(layer: Layer) -> Layer | None:
     if "\\" not in layer.text and "&#" not in layer.text:
         return None
@@ -243,10 +251,6 @@ def _bytes_of(token: str) -> bytes | None:
         return None
 
 
-def _is_text(text: str) -> bool:
-    return bool(text) and all(c.isprintable() or c in "\t\r\n" for c in text)
-
-
 def _runs(text: str) -> list[tuple[np.ndarray, str]]:
     """(places of the characters, characters) of all base64 runs: within a line, and joined over line breaks where lines follow each
     other. Joined are all lines of a block, and lines of one width with the line before and the rest behind. Longest first."""
@@ -314,8 +318,7 @@ def _packed_children(layer: Layer, most: int, unread: list[tuple[int, int]]) ->
         if used < len(raw):
             text, ranges = _characters(raw[used:], 1, used)
             low, high = np.array([r[0] for r in ranges]) * 4 // 3, (np.array([r[1] for r in ranges]) * 4 + 2) // 3
-            if _is_text(text):
-                yield Layer(text, layer.starts[at[low]], layer.ends[at[np.minimum(high, len(at)) - 1]], layer.budget)
+            yield Layer(text, layer.starts[at[low]], layer.ends[at[np.minimum(high, len(at)) - 1]], layer.budget)
     unread += [layer.raw(s, e) for s, e in broken if not any(x <= s and e <= y for x, y in done)]
     last = 0
     for m in MAGIC.finditer(layer.text) if layer.streams else ():
@@ -344,6 +347,7 @@ def _scanned(text: str, most: int = MAX_UNPACKED) -> tuple[list[tuple[str, int,
             yield as_bytes
         yield as_text
         yield _unicode(layer)
+        yield _without_nuls(layer)
         yield from _packed_children(layer, most, unread)
 
     root = Layer(text, np.arange(len(text)), np.arange(1, len(text) + 1))
