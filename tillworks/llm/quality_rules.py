@@ -45,13 +45,14 @@ def with_statistics(docs: DataFrame, text: str, name: str) -> DataFrame:
     """
     p = free_prefix(docs)
     keep = [F.col(f"`{c}`") for c in docs.columns]
-    trimmed = F.btrim(F.coalesce(F.col(text).cast("string"), F.lit("")), F.lit(SPACE))
+    whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    trimmed = F.btrim(whole, F.lit(SPACE))
     one = docs.select(*keep, trimmed.alias(f"{p}t"))
     empty = F.array().cast("array<string>")
     two = one.select(
         *keep, f"{p}t",
         F.when(F.col(f"{p}t") == "", empty).otherwise(F.split(F.col(f"{p}t"), SPACES)).alias(f"{p}w"),
-        F.filter(F.split(F.col(f"{p}t"), "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "").alias(f"{p}l"))
+        F.filter(F.split(whole, "\n"), lambda x: F.btrim(x, F.lit(SPACE)) != "").alias(f"{p}l"))
     windows = F.when(F.size(f"{p}w") >= RUN, F.transform(
         F.sequence(F.lit(1), F.size(f"{p}w") - (RUN - 1)), lambda i: F.xxhash64(F.slice(F.col(f"{p}w"), i, RUN))))
     three = two.select(
