@@ -55,3 +55,18 @@ def test_all_of_a_stream_is_read(pack):
 def test_decoded_layers_need_not_be_plain_text(raw):
     for hidden in (coded(raw), coded(coded(raw).encode()), coded(b"\xff\0" + coded(raw).encode()), coded(gzip.compress(raw))):
         assert found(f"Before {hidden} and after") == (True, True)
+
+
+def test_streams_not_read_whole_are_redacted(spark):
+    bomb, packed = coded(gzip.compress(bytes(1_000_000))), coded(gzip.compress(SECRET.encode()))
+    broken = coded(lzma.compress(LONG)[:-20])
+    whole = f"one {bomb} two {packed} three {broken} four"
+    assert any(whole[s:e] == packed for _, s, e, _ in secrets.secret_spans(whole, most=10_000)[0])  # a bomb does not use up what others may yield
+    rows = secrets.redact_secrets(spark.createDataFrame([(1, whole)], "doc_id long, text string"), most=10_000).collect()
+    assert rows[0]["text"] == f"one {secrets.REDACTED} two {secrets.REDACTED} three {secrets.REDACTED} four"
+
+
+def test_words_that_look_like_streams_stay(spark):
+    """Their letters, taken as base64, have a zlib header at the start or inside."""
+    words = ["eJyabcdefghijklmnopq", "eNoabcdefghijklmnopqrstuv", coded(b"\xb5\x9ex\x9c\x8a\x18\xad\x9e\xd7\xa8\xb6\x17").rstrip("=")]
+    assert all(secrets.secret_spans(f"one {w} two")[1] for w in words)

@@ -6,8 +6,9 @@ as UTF-8 or else Latin-1 and put on the worklist in turn, until nothing new come
 of a layer knows the range of the raw text it stands for, which gives the spans.
 
 Cases: a null text is empty and has no secrets; repeated rows get a row each; other columns pass through :func:`redact_secrets` as they
-are and are not read by :func:`scan_secrets`. MAX_UNPACKED bytes per text bounds what decompression may yield (a bomb); what lies
-beyond is not scanned and ``complete`` is false.
+are and are not read by :func:`scan_secrets`. MAX_UNPACKED bytes for each stream that a text holds, with all inside it, bounds what
+decompression may yield (a bomb); what lies beyond is not scanned, ``complete`` is false, and :func:`redact_secrets` replaces the
+stream, as it does one that breaks off.
 """
 
 from __future__ import annotations
@@ -46,6 +47,8 @@ LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}|={1,2}")
 MAGIC = re.compile("\x1f\x8b\x08|x[\x01^\x9c\xda]|BZh[1-9](?:1AY&SY|\x17rE8P\x90)|\xfd7zXZ\x00|\\(\xb5/\xfd")
 WIDE = re.compile("[^\x00-\xff]")
 STEP = 4096
+#: Two bytes are a zlib header, so other bytes may look like a stream: one that breaks off within so many is scanned but not missed.
+FIRST = 64
 MAX_UNPACKED = 64 << 20
 #: A text without any of these has neither secrets nor layers. RE2, over whole columns.
 ANY = r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{24}|[A-Za-z0-9+/_-]{16}|%[0-9a-f]{2}|\\[ux]|&#"
@@ -210,16 +213,17 @@ class _Zstd:
 
 
 
-def _unpacked(raw: bytes, most: int) -> tuple[bytes, bool, int] | None:
-    """What the compressed streams at the start of ``raw`` hold, one after the other, up to ``most`` bytes; whether that is all of them;
-    and how many bytes they take. None: there is no stream."""
+def _unpacked(raw: bytes, most: int) -> tuple[bytes, bool | None, int] | None:
+    """What the compressed streams at the start of ``raw`` hold, one after the other, up to ``most`` bytes; whether that is all of them
+    (None: it may be no stream); and how many bytes they take. None: there is no stream."""
     out, size, at, whole = [], 0, 0, True
     while whole and at < len(raw):
         if (tool := _tool(raw[at:at + 6])) is None:
             break
         begin, here, bad = at, 0, False
         while not tool.eof and at < len(raw) and size <= most and not bad:  # in steps, so that what comes before an error is kept
-            piece, at = raw[at:at + STEP], at + STEP
+            step = FIRST if at == begin else STEP
+            piece, at = raw[at:at + step], at + step
             while not tool.eof and size <= most:
                 try:
                     got = tool.decompress(piece, most + 1 - size)
@@ -237,6 +241,7 @@ def _unpacked(raw: bytes, most: int) -> tuple[bytes, bool, int] | None:
             break
         whole = tool.eof and size <= most
         if not whole:
+            whole = None if raw[begin] == 0x78 and at - begin <= FIRST and size <= most else False
             at = len(raw)
     return (b"".join(out)[:most], whole, at) if at else None
 
@@ -282,7 +287,7 @@ def _packed_children(layer: Layer, most: int, unread: list[tuple[int, int]]) ->
     """Layers out of base64 runs, and out of compressed bytes among the layer's characters. Ranges of streams that were not read whole
     go to ``unread``."""
 
-    def unpacked(raw: bytes) -> tuple[bytes, bool, int, list[int]] | None:
+    def unpacked(raw: bytes) -> tuple[bytes, bool | None, int, list[int]] | None:
         budget = layer.budget or [most]  # of the outermost stream
         found = _unpacked(raw, budget[0])
         if found is None:
@@ -309,30 +314,35 @@ def _packed_children(layer: Layer, most: int, unread: list[tuple[int, int]]) ->
             end = end if used == len(raw) else int(at[(used * 4 + 2) // 3 - 1]) + 1
             if whole:
                 done.append((start, end))
-            else:
+            elif whole is False:
                 broken.append((start, end))
             if out:
                 yield child(out, (start, end), budget)
-            if not whole and not out:
+            if whole is None or not whole and not out:
                 used = 0
         if used < len(raw):
             text, ranges = _characters(raw[used:], 1, used)
             low, high = np.array([r[0] for r in ranges]) * 4 // 3, (np.array([r[1] for r in ranges]) * 4 + 2) // 3
             yield Layer(text, layer.starts[at[low]], layer.ends[at[np.minimum(high, len(at)) - 1]], layer.budget)
     unread += [layer.raw(s, e) for s, e in broken if not any(x <= s and e <= y for x, y in done)]
-    last = 0
+    last, first, stop, view = 0, 0, 0, memoryview(b"")
     for m in MAGIC.finditer(layer.text) if layer.streams else ():
-        if m.start() < last:
+        at = m.start()
+        if at < last:
             continue
-        stop = WIDE.search(layer.text, m.start())
-        raw = layer.text[m.start():stop.start() if stop else len(layer.text)].encode("latin-1")
+        if at >= stop:
+            wide = WIDE.search(layer.text, at)
+            first, stop = at, wide.start() if wide else len(layer.text)
+            view = memoryview(layer.text[first:stop].encode("latin-1"))
+        raw = view[at - first:]
         if (found := unpacked(raw)) is not None and _looks_packed(raw, found[1]):
             out, whole, used, budget = found
-            last = m.start() + used
-            if not whole:
-                unread.append(layer.raw(m.start(), last))
+            if whole is False:
+                unread.append(layer.raw(at, at + used))
             if out:
-                yield child(out, (m.start(), last), budget)
+                yield child(out, (at, at + used), budget)
+            if whole is not None:
+                last = at + used
 
 
 def _scanned(text: str, most: int = MAX_UNPACKED) -> tuple[list[tuple[str, int, int, bool]], list[tuple[int, int]]]:
@@ -410,7 +420,8 @@ def scan_secrets(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mo
 
 
 def redact_secrets(docs: DataFrame, text: str = "text", most: int = MAX_UNPACKED, label: str = REDACTED) -> DataFrame:
-    """The rows with their secrets replaced; encoded secrets go with the run that holds them. Other columns as they are."""
+    """The rows with their secrets and the streams that were not read whole replaced; encoded secrets go with the run that holds them.
+    Other columns as they are."""
     small_batches(docs.sparkSession)
     at = docs.columns.index(text)
 
@@ -420,8 +431,9 @@ def redact_secrets(docs: DataFrame, text: str = "text", most: int = MAX_UNPACKED
             changed = {}
             for i in places:
                 value = texts[i].as_py()
-                while (spans := secret_spans(value, most)[0]):
-                    clean = redacted(value, spans, label)
+                while any(found := _scanned(value, most)):
+                    spans, unread = found
+                    clean = redacted(value, sorted([*spans, *(("unread", *x, False) for x in unread)], key=lambda x: x[1]), label)
                     if clean == value:
                         break
                     value = changed[i] = clean
