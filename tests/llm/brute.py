@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
@@ -106,21 +107,27 @@ def sentences(text):
 
 
 def without_repeats(docs, min_sentences=2, min_words=25, long_sentence=40):
-    """[(id, n_sentences, n_removed, text)] of (id, text) pairs with distinct ids."""
+    """[(id, n_sentences, n_removed, text)] of (id, text) pairs with distinct ids: every run of enough sentences and words that occurs
+    earlier is removed. Runs begin and end with words, but the shortest run from a sentence may end without. A run is told by a hash that
+    goes on from that of the run without its last sentence."""
     cut = {doc: sentences(text or "") for doc, text in docs}
     spans, first = [], {}
     for doc, own in cut.items():
-        w = [words(x) for x in own]
+        w = [tuple(words(x)) for x in own]
         for i in range(len(own)):
-            ends = [j for j in range(i + min_sentences, len(own) + 1) if sum(map(len, w[i:j])) >= min_words][:1]
-            for j in ends + ([i + 1] if len(w[i]) >= long_sentence else []):
-                if w[i]:
-                    key = tuple(x for y in w[i:j] for x in y)
-                    spans.append((key, doc, i, j))
-                    first[key] = min(first.get(key, (doc, i)), (doc, i))
+            n, key, shorter = 0, (), False
+            for j in range(i, len(own)):
+                n += len(w[j])
+                for x in w[j]:
+                    key = hash((key, x))
+                long = j > i + min_sentences - 2 and n >= min_words
+                if w[i] and (long and (w[j] or not shorter) or j == i and n >= long_sentence):
+                    shorter = shorter or long
+                    spans.append((key, n, doc, i, j + 1))
+                    first[key, n] = min(first.get((key, n), (doc, i)), (doc, i))
     gone = {doc: set() for doc in cut}
-    for key, doc, i, j in spans:
-        if (doc, i) != first[key]:
+    for key, n, doc, i, j in spans:
+        if (doc, i) != first[key, n]:
             gone[doc].update(range(i, j))
     return [(doc, len(own), len(gone[doc]), "".join(x for i, x in enumerate(own) if i not in gone[doc])) for doc, own in cut.items()]
 
@@ -139,3 +146,79 @@ def base_secrets(text):
 
 def sha(text):
     return hashlib.sha256(text.encode()).hexdigest()
+
+
+def crc_damaged(rows):
+    """{conv: [(turn, role, text)] in order} of (conv, turn, role, text) rows after damage; a conversation may be left without rows."""
+    out = {}
+    for conv, turn, role, text in rows:
+        left = out.setdefault(conv, [])
+        role, text = " " if role is None else role, " " if text is None else text
+        fault = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        if fault == 0:
+            continue
+        text = "" if fault == 1 else text.translate(dict.fromkeys(map(ord, ".!?"))) if fault == 2 else text
+        left += [(turn, "user" if fault == 4 else role, text)] * (2 if fault == 3 else 1)
+    return {c: sorted(r, key=lambda x: (x[0] is not None, x[0] or 0, x[1], x[2])) for c, r in out.items()}
+
+
+def repaired(rows):
+    """(gaps, blank, duplicate, truncated, illegal, cost, audit, text of the repaired turns) of (turn, role, text) rows in order."""
+    faults, seen = [], set()
+    for _, role, text in rows:
+        ink = text.strip(" \t\n\x0b\x0c\r")
+        faults.append("blank" if not ink else "duplicate" if (role, text) in seen else "truncated" if ink[-1] not in ".!?" else "")
+        seen.add((role, text))
+    turns = [t for t, _, _ in rows if t is not None]
+    illegal = sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:]))
+    n, names = len(rows), {"u": "user", "a": "assistant"}
+    # after[state]: initials that may come and the state they lead to; the table is filled from the last row back, by number of insertions
+    after = {"": "su", "s": "u", "u": "a", "a": "u"}
+    best = {}
+    for i in range(n, -1, -1):
+        for inserted in range(3):
+            for state, nexts in after.items():
+                found = [(0, "", ())] if i == n and state in ("", "a") else []
+                if inserted:
+                    found += [(c + 5, "I" + w, ((names[x], ""), *t)) for x in nexts if x in names
+                              for c, w, t in [best.get((i, inserted - 1, x), (None, "", ()))] if c is not None]
+                if i < n:
+                    _, role, text = rows[i]
+                    options = [("D", 2, state, None)]
+                    if faults[i] not in ("blank", "duplicate"):
+                        more = 5 if faults[i] == "truncated" else 0
+                        options += [("K", more, x, (role, text)) for x in nexts if x == role[:1]]
+                        options += [("R", 1 + more, x, (names[x], text)) for x in nexts if x in names]
+                    for edit, cost, then, turn in options:
+                        if (i + 1, inserted, then) in best:
+                            c, w, t = best[i + 1, inserted, then]
+                            found.append((c + cost, edit + w, ((turn, *t) if turn else t)))
+                if found:
+                    best[i, inserted, state] = min(found, key=lambda x: x[:2])
+    cost, audit, kept = min((best[0, k, ""] for k in range(3) if (0, k, "") in best), key=lambda x: x[:2])
+    gaps = max(turns) - min(turns) + 1 - len(set(turns)) if turns else 0
+    return (gaps, faults.count("blank"), faults.count("duplicate"), faults.count("truncated"), illegal, cost, audit, "\n".join(f"{r}:{t}" for r, t in kept))
+
+
+def collocations(docs, min_count=30, longest=4, top=2000):
+    """[(lang, rank, phrase, a, l, r, n, score)] of (text, lang) pairs."""
+    count = {}
+    for text, lang in docs:
+        own = count.setdefault("und" if lang is None else lang, Counter())
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(LOWER)):
+            w = re.findall(r"[^\x20\x09]+", piece)
+            for n in range(1, longest + 1):
+                own.update(tuple(w[i:i + n]) for i in range(len(w) - n + 1))
+    out = []
+    for lang, f in count.items():
+        found = {p: a for p, a in f.items() if len(p) > 1 and a >= min_count}
+        gone = {p[i:j] for p, a in found.items() for i in range(len(p)) for j in range(i + 2, len(p) + 1)
+                if j - i < len(p) and 100 * a >= 80 * found[p[i:j]]}
+        rows = []
+        for p, a in found.items():
+            if p not in gone:
+                score, k = min((2000000 * a // (f[p[:k]] + f[p[k:]]), k) for k in range(1, len(p)))
+                rows.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        n = sum(a for p, a in f.items() if len(p) == 1)
+        out += [(lang, i, p.decode(), -a, l, r, n, -s) for i, (s, a, p, l, r) in enumerate(sorted(rows)[:top], 1)]
+    return sorted(out)

@@ -6,10 +6,11 @@ import os
 import brute
 import duckdb
 import pytest
+import sentencepiece
 from oracle import TESTDATA, compare, duck
 
 import corpus_pipeline
-from tillworks.llm import quality_rules, secrets
+from tillworks.llm import pieces, quality_rules, secrets
 from tillworks.llm.queries import MIX_SQL, ORACLES, QUERIES
 from tillworks.sources.tables import table
 
@@ -28,7 +29,7 @@ def test_against_sql(spark, name):
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_decontamination_against_brute_force(spark, docs):
@@ -140,3 +141,28 @@ def test_stages_keep_the_columns(spark):
     raw = table(spark, SF, "documents")
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, raw, SF).columns == raw.columns
+
+
+def test_repair_against_brute_force(spark):
+    rows = [tuple(r) for r in table(spark, SF, "conversations").select("conv_id", "turn", "role", "text").collect()]
+    got = {r["conv_id"]: r for r in QUERIES["op11_lightest_derivation"](spark, SF).collect()}
+    damaged = brute.crc_damaged(rows)
+    assert set(got) == set(damaged)
+    for conv, own in damaged.items():
+        *facts, text = brute.repaired(own)
+        names = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit")
+        assert [got[conv][c] for c in names] == facts and got[conv]["repaired_sha256"] == brute.sha(text)
+
+
+def test_collocations_against_brute_force(spark):
+    docs = [tuple(r) for r in table(spark, SF, "documents").select("text", "lang").collect()]
+    got = QUERIES["op12_direct_address_tiling"](spark, SF).select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect()
+    assert sorted(tuple(r) for r in got) == brute.collocations(docs) and got
+
+
+def test_pieces_against_the_library(spark, docs):
+    whole = sentencepiece.SentencePieceProcessor(model_file=pieces.MODEL)
+    got = {r["doc_id"]: tuple(r)[1:] for r in QUERIES["op13_distinct_chunks"](spark, SF).collect()}
+    for doc, text in docs:
+        ids = whole.encode(text or "", add_eos=True)
+        assert got[doc] == (len(ids), brute.sha(" ".join(map(str, ids))), brute.sha(whole.decode(ids)))

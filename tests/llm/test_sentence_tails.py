@@ -7,24 +7,9 @@ import brute
 from tillworks.llm import sentence_dedup
 
 
-def all_runs(docs, min_sentences=2, min_words=25, long_sentence=40):
-    """[(id, n_removed, text)]: every run of enough sentences and words that occurs earlier is removed."""
-    cut = {doc: brute.sentences(text) for doc, text in docs}
-    spans, first = [], {}
-    for doc, own in cut.items():
-        w = [brute.words(x) for x in own]
-        for i in range(len(own)):
-            for j in range(i + 1, len(own) + 1):
-                n = sum(map(len, w[i:j]))
-                if w[i] and w[j - 1] and (j - i >= min_sentences and n >= min_words or j == i + 1 and n >= long_sentence):
-                    key = tuple(x for y in w[i:j] for x in y)
-                    spans.append((key, doc, i, j))
-                    first[key] = min(first.get(key, (doc, i)), (doc, i))
-    gone = {doc: set() for doc in cut}
-    for key, doc, i, j in spans:
-        if (doc, i) != first[key]:
-            gone[doc].update(range(i, j))
-    return [(doc, len(gone[doc]), "".join(x for i, x in enumerate(own) if i not in gone[doc])) for doc, own in cut.items()]
+def all_runs(docs):
+    """[(id, n_removed, text)]"""
+    return [(doc, gone, text) for doc, _, gone, text in brute.without_repeats(docs)]
 
 
 def cleaned(spark, docs):

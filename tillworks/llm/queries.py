@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tillworks.llm import (chat, decontamination, language_bitmask, licenses, mixing, quality_discriminant, quality_rules, secrets,
-                           sentence_dedup, set_join)
+from tillworks.functions.skew import join_per_key
+from tillworks.llm import (chat, collocations, conversation_repair, decontamination, language_bitmask, licenses, mixing, pieces,
+                           quality_discriminant, quality_rules, secrets, sentence_dedup, set_join)
 from tillworks.llm.text import is_training
 from tillworks.session import cut_lineage
 from tillworks.sources.tables import table
@@ -171,3 +172,30 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sentence_dedup.without_repeats(table(spark, sf_dir, "documents"))
     return out.select(F.col("id").alias("doc_id"), "n_sentences", "n_removed", "words_removed", F.sha2("text", 256).alias("text_sha256"))
+
+
+@query("op11_lightest_derivation")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    found, turns = conversation_repair.repair(conversation_repair.damaged(rows))
+    ids = rows.select(F.col("conv_id").alias("conv")).distinct()
+    numbers = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    for part in (found, conversation_repair.turn_digests(turns)):
+        ids = join_per_key(ids, part, ["conv"])
+    return ids.select(F.col("conv").alias("conv_id"), *[F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in numbers],
+                      F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
+
+
+@query("op12_direct_address_tiling")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_distinct_chunks")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = pieces.read_model(pieces.MODEL)
+    docs = pieces.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), model)
+    docs = pieces.decode(docs.select("doc_id", "token_ids"), model)
+    return docs.select("doc_id", F.size("token_ids").cast("long").alias("n_tokens"),
+                       F.sha2(F.array_join(F.col("token_ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+                       F.sha2("decoded", 256).alias("decoded_sha256"))
