@@ -1,4 +1,4 @@
-"""The versioned store, committed loads and their gates; no job while a plan is built."""
+"""Tables in parts, loads and their gates; no job while a plan is built."""
 
 import datetime as dt
 
@@ -11,64 +11,127 @@ from tillworks.functions.scalars import array_money_sum, money_sum, money_total
 from tillworks.operators import dedup, landlord, loads
 from tillworks.operators.commission import force_scheme
 from tillworks.plans import load_all
-from tillworks.sources.store import Store
+from tillworks.sources.tables_on_disk import EMPTY, PART, Tables, by_bucket, by_month, months_between
+from tillworks.streaming.upsert import order_tables
 
 DAY = dt.date(2024, 1, 1)
 
 
-@pytest.fixture
-def store(spark, tmp_path):
-    return Store(spark, str(tmp_path / "store"))
+def tables_at(spark, tmp_path, **layouts):
+    return Tables(spark, str(tmp_path / "tables"), layouts)
 
 
 def rows(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 
 
-# --- store
+def files_of(tmp_path, name):
+    """{part: names of its data files} of a stored table."""
+    return {d.name: sorted(f.name for f in d.iterdir() if f.name.startswith("part-")) for d in (tmp_path / "tables" / name).iterdir() if d.is_dir()}
+
+
+@pytest.fixture
+def read_rows(spark):
+    """Counts how many times rows of a frame made by it are read."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def watched(df):
+        def run(batches):
+            for batch in batches:
+                seen.add(batch.num_rows)
+                yield batch
+        return df.mapInArrow(run, df.schema)
+
+    watched.seen = seen
+    return watched
 
-def test_commits_are_whole_or_not_at_all(spark, store):
-    one, two = spark.range(3), spark.range(5)
-    assert store.version() == 0 and not store.has("a")
-    assert store.commit({"a": one, "b": one}) == 1
+
+# --- tables in parts
+
+def test_loads_are_whole_or_not_at_all(spark, tmp_path):
+    tables = tables_at(spark, tmp_path, a=by_bucket("id", 4), b=by_bucket("id", 4))
+    assert not tables.has("a")
+    assert tables.load({"a": spark.range(3), "b": spark.range(3)}) == {"a": 3, "b": 3}
 
     def refuse(written):
         assert written["a"].count() == 5
         raise ValueError("no")
 
     with pytest.raises(ValueError):
-        store.commit({"a": two, "b": two}, (refuse,))
-    assert store.version() == 1 and store.read("a").count() == store.read("b").count() == 3
-    assert store.commit({"a": store.read("a").unionAll(two)}) == 2  # reads what it replaces
-    assert store.read("a").count() == 8 and store.read("b").count() == 3 and store.read("a", 1).count() == 3
-    assert store.commit({"a": one}, version=2) == 2 and store.read("a").count() == 8  # a batch that runs again
-    with pytest.raises(RuntimeError):
-        store._publish(2, "{}")
-    assert store.vacuum() >= 1 and store.read("a").count() == 8 and store.read("b").count() == 3
+        tables.load({"a": spark.range(5), "b": spark.range(5)}, gates=(refuse,))
+    assert tables.read("a").count() == tables.read("b").count() == 3
+    tables.load({"a": tables.read("a").unionAll(spark.range(5))})  # reads what it replaces
+    assert rows(tables.read("a"), "id") == [(i,) for i in (0, 0, 1, 1, 2, 2, 3, 4)] and tables.read("b").count() == 3
+    tables.load({"a": spark.range(0)})
+    assert tables.read("a").count() == 0 and tables.read("a").columns == ["id"]
 
 
-def test_buckets_are_replaced_alone(spark, store):
-    from tillworks.sources.store import bucket_of
-
+def test_parts_are_replaced_alone(spark, tmp_path):
+    tables = tables_at(spark, tmp_path, t=by_bucket("id", 8))
     df = spark.range(100).withColumn("v", F.lit(1))
-    store.commit({"t": df}, buckets=("id", 8, list(range(8))))
-    part = df.filter(bucket_of("id", 8) == 3)
-    store.commit({"t": part.limit(2).withColumn("v", F.lit(2))}, buckets=("id", 8, [3]))
-    left = store.read("t")
-    assert left.filter("v = 2").count() == 2 and left.count() == 100 - part.count() + 2 and store.read("t", buckets=[3]).count() == 2
-    store.commit({"t": df.limit(0).withColumn("v", F.lit(1))}, buckets=("id", 8, [3]))
-    assert store.read("t", buckets=[3]).count() == 0 and store.read("t").count() == 100 - part.count()
+    tables.load({"t": df})
+    before, part = files_of(tmp_path, "t"), df.filter(by_bucket("id", 8) == "3")
+    tables.load({"t": part.limit(2).withColumn("v", F.lit(2))}, {"t": ["3"]})
+    after = files_of(tmp_path, "t")
+    assert {p for p in before if before[p] != after[p]} == {f"{PART}=3", f"{PART}={EMPTY}"}
+    left = tables.read("t")
+    assert left.filter("v = 2").count() == 2 and left.count() == 100 - part.count() + 2 and tables.read("t", ["3"]).count() == 2
+    tables.load({"t": df.limit(0)}, {"t": ["3"]})
+    assert tables.read("t", ["3"]).count() == 0 and tables.read("t").count() == 100 - part.count()
+    assert "PartitionFilters: [" in tables.read("t", ["3"])._jdf.queryExecution().toString()
+
+
+def test_a_load_that_stopped_is_finished(spark, tmp_path, monkeypatch):
+    tables = tables_at(spark, tmp_path, t=by_bucket("id", 4))
+    tables.load({"t": spark.range(10)})
+    with monkeypatch.context() as m:  # stops behind its pointer
+        m.setattr(Tables, "finish", lambda self: None)
+        tables.load({"t": spark.range(20, 25)}, {"t": ["0", "1", "2", "3"]})
+        assert spark.read.parquet(str(tmp_path / "tables" / "t")).count() == 10
+    assert rows(tables.read("t"), "id") == [(i,) for i in range(20, 25)]
+    assert not (tmp_path / "tables" / "pointer.json").exists() and not (tmp_path / "tables" / "_staged").exists()
+
+
+def test_a_load_reads_its_input_once(spark, tmp_path, read_rows):
+    orders = read_rows(spark.range(50).withColumnRenamed("id", "order_id"))
+    tables = tables_at(spark, tmp_path, t=by_bucket("order_id", 4))
+    loads.load_joined(tables, "t", orders, lambda r: r.withColumn("flag", F.lit(True)))
+    assert read_rows.seen.value == 50
+    stream = order_tables(spark, str(tmp_path / "orders"), 4)
+    headers = read_rows(spark.range(30).select(F.col("id").alias("order_id"), F.col("id").alias("transaction_id")))
+    assert loads.load_new_orders(stream, headers, spark.range(5).withColumnRenamed("id", "order_id")) == {
+        "headers_inserted": 30, "details_inserted": 5, "headers_known": 0}
+    assert read_rows.seen.value == 80
+    more = spark.range(20, 40).select(F.col("id").alias("order_id"), F.col("id").alias("transaction_id"))
+    assert loads.load_new_orders(stream, more, spark.range(25, 35).withColumnRenamed("id", "order_id")) == {
+        "headers_inserted": 10, "details_inserted": 5, "headers_known": 10}
+    assert stream.read("headers").count() == 40 and stream.read("details").count() == 10
+
+
+def test_a_window_load_rewrites_its_months(spark, tmp_path):
+    tables = tables_at(spark, tmp_path, t=by_month("d"))
+    days = spark.range(366).select(F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("id").cast("int")).alias("d"), F.lit(1).alias("v"))
+    tables.load({"t": days.unionAll(spark.createDataFrame([(None, 7)], "d date, v int"))})
+    before = files_of(tmp_path, "t")
+    loads.load_window(tables, "t", days.filter("d BETWEEN DATE'2024-02-20' AND DATE'2024-03-05'").withColumn("v", F.lit(2)), "d", "2024-02-20", "2024-03-05")
+    after = files_of(tmp_path, "t")
+    assert {p for p in before if before[p] != after[p]} == {f"{PART}=2024-02", f"{PART}=2024-03", f"{PART}={EMPTY}"}
+    assert rows(tables.read("t").groupBy("v").count(), "v", "count") == [(1, 351), (2, 15), (7, 1)]
+    with pytest.raises(ValueError, match="outside"):
+        loads.load_window(tables, "t", days.limit(3), "d", "2024-02-20", "2024-03-05")
+    assert months_between("2023-11-30", "2024-02-01") == ["2023-11", "2023-12", "2024-01", "2024-02"]
 
 
 # --- gates: the target is untouched
 
-def test_empty_window_is_refused(spark, store):
+def test_empty_window_is_refused(spark, tmp_path):
+    store = tables_at(spark, tmp_path, t=by_month("d"))
     t = spark.createDataFrame([(DAY, "A", 1), (DAY, "B", 2)], "d date, owner string, v int")
     loads.load_table(store, "t", t)
     owned = F.col("owner") == "A"
     with pytest.raises(RuntimeError):
         loads.load_window(store, "t", t.limit(0), "d", "2024-01-01", "2024-01-02", owned)
-    assert store.version() == 1
+    assert store.read("t").count() == 2
     loads.load_window(store, "t", t.limit(0), "d", "2024-02-01", "2024-02-02", owned)
     assert rows(store.read("t"), "v") == [(1,), (2,)]
     with pytest.raises(ValueError):
@@ -77,7 +140,8 @@ def test_empty_window_is_refused(spark, store):
         loads.load_window(store, "t", t.withColumn("w", F.lit(1)), "d", "2024-01-01", "2024-01-02")
 
 
-def test_doubled_orders_and_details_are_refused(spark, store):
+def test_doubled_orders_and_details_are_refused(spark, tmp_path):
+    store = order_tables(spark, str(tmp_path / "tables"), 4)
     h = spark.createDataFrame([(1, 1), (1, 1)], "order_id long, transaction_id long")
     key = [c for c in __import__("tillworks.fixed_values", fromlist=["x"]).DETAIL_KEY]
     d = spark.createDataFrame([(1, 7)], "order_id long, order_detail_id long").select(
@@ -87,23 +151,22 @@ def test_doubled_orders_and_details_are_refused(spark, store):
     parts = spark.createDataFrame([(7, 2)], "order_detail_id long, n_components long")
     with pytest.raises(ValueError, match="details loaded twice"):
         loads.load_new_orders(store, h.distinct(), d, parts)
-    assert store.version() == 0
+    assert not store.has("headers")
     loads.load_new_orders(store, h.distinct(), d.unionAll(d), parts)
     assert store.read("details").count() == 2
 
 
-def test_row_counts_and_totals_are_gates(spark, store):
-    from tillworks.operators.dispatch import same_row_count
-
-    orders = spark.range(3)
+def test_row_counts_and_totals_are_gates(spark, tmp_path):
+    store = tables_at(spark, tmp_path, t=by_bucket("id", 4), order_income=by_bucket("order_id", 4))
     with pytest.raises(ValueError, match="row count"):
-        loads.load_table(store, "t", orders.unionAll(orders), (lambda w: same_row_count(orders, w["t"]),))
+        loads.load_joined(store, "t", spark.range(3), lambda r: r.unionAll(spark.range(3)))
     income = spark.createDataFrame([(1, 1)], "order_id long, transaction_id long")
     with pytest.raises(ValueError, match="totals differ"):
         loads.load_order_income(store, income, spark.createDataFrame([("x",)], "side string"))
     with pytest.raises(ValueError, match="orders loaded twice"):
         loads.load_order_income(store, income.unionAll(income), income.limit(0))
-    assert store.version() == 0
+    assert not store.has("t") and not store.has("order_income")
+    assert loads.load_joined(store, "t", spark.range(3), lambda r: r) == {"t": 3}
 
 
 def _payload(spark, *numbers):
@@ -112,7 +175,8 @@ def _payload(spark, *numbers):
                                        "total_tax double, amount double, remarks string")
 
 
-def test_send_log_gates(spark, store):
+def test_send_log_gates(spark, tmp_path):
+    store = tables_at(spark, tmp_path, send_log=by_month("transaction_date"))
     with pytest.raises(ValueError, match="doubled or too long"):
         loads.load_pending(store, _payload(spark, "A_1_090000", "A_1_090000"), "2024-01-01 09:00:00")
     with pytest.raises(ValueError, match="doubled or too long"):
@@ -137,11 +201,12 @@ def test_duplicate_answer_with_any_white_space_is_accepted(spark):
     assert landlord.log_keys(log).first()["accepted"]
 
 
-def test_commission_week_rules(spark, store):
+def test_commission_week_rules(spark, tmp_path):
+    store = tables_at(spark, tmp_path, weekly=by_month("start_date"), daily=by_month("transaction_date"), products=by_month("transaction_date"))
     days = spark.createDataFrame([(1, dt.date(2024, 1, 1) + dt.timedelta(days=i), 1) for i in range(7)], "rider_id int, transaction_date date, qty int")
     weeks = spark.createDataFrame([(1, dt.date(2024, 1, 1), dt.date(2024, 1, 7), 7)], "rider_id int, start_date date, end_date date, qty int")
     new = days.filter("transaction_date <= DATE'2024-01-05'").withColumn("qty", F.lit(5))
-    store.commit({"weekly": weeks, "daily": days, "products": days})
+    store.load({"weekly": weeks, "daily": days, "products": days})
     for bad in (("2024-01-02", "2024-01-08", "2024-01-05"), ("2024-01-01", "2024-01-07", "2024-01-08"), ("2024-01-01", "2024-01-08", "2024-01-05")):
         with pytest.raises(ValueError):
             loads.load_commission(store, weeks, new, new, *bad)

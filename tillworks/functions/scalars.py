@@ -185,17 +185,38 @@ def money_rest(c) -> Column:
     return _split(c)[2]
 
 
-def exact_sum(c) -> Column:
-    """Sum of a double column as DECIMAL(38,6), in millionths: independent of row order; :func:`exact_rest` has what is smaller.
+def money_state(c) -> Column:
+    """Exact sum of a double column as a struct of partial sums, to be added further by :func:`merged_money`; :func:`money_value` is the sum.
 
     Whole units go to two long sums, of their high part and their low 24 bits, and the millionths of the fractions to a third; none
-    overflows before 5e11 rows. NaN, infinity and amounts beyond MONEY_LIMIT raise. A decimal sum does the same, at a higher cost.
+    overflows before 5e11 rows. What amounts have below a millionth goes to a double. NaN, infinity and amounts beyond MONEY_LIMIT raise.
     """
-    whole, unit, _ = _split(c)
-    high = F.sum(F.shiftright(_checked_whole(c), 24)).cast("decimal(20,0)")
-    low = F.sum(whole.bitwiseAND(F.lit((1 << 24) - 1).cast("bigint"))).cast("decimal(20,0)")
-    units = (high * F.lit(1 << 24).cast("decimal(8,0)") + low).cast("decimal(30,0)")
-    return units + F.sum(unit).cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(7,6)")
+    whole, unit, rest = _split(c)
+    return F.struct(F.sum(F.shiftright(_checked_whole(c), 24)).alias("high"),
+                    F.sum(whole.bitwiseAND(F.lit((1 << 24) - 1).cast("bigint"))).alias("low"), F.sum(unit).alias("unit"), F.sum(rest).alias("rest"))
+
+
+def merged_money(state: str) -> Column:
+    """The sum of :func:`money_state` structs, as one more of them."""
+    return F.struct(*[F.sum(f"{state}.{part}").alias(part) for part in ("high", "low", "unit", "rest")])
+
+
+def money_units(state) -> Column:
+    """DECIMAL(38,6) of a :func:`money_state`: the sum in millionths."""
+    s = col(state)
+    units = (s["high"].cast("decimal(20,0)") * F.lit(1 << 24).cast("decimal(8,0)") + s["low"].cast("decimal(20,0)")).cast("decimal(30,0)")
+    return units + s["unit"].cast("decimal(20,0)") * F.lit("0.000001").cast("decimal(7,6)")
+
+
+def money_value(state) -> Column:
+    """The sum of a :func:`money_state` as a double; NULL over no rows, as in SQL."""
+    return money_units(state).cast("double") + col(state)["rest"]
+
+
+def exact_sum(c) -> Column:
+    """Sum of a double column as DECIMAL(38,6), in millionths: independent of row order; :func:`exact_rest` has what is smaller. A decimal
+    sum does the same, at a higher cost."""
+    return money_units(money_state(c))
 
 
 def exact_rest(c) -> Column:
@@ -205,7 +226,7 @@ def exact_rest(c) -> Column:
 
 def money_sum(c) -> Column:
     """:func:`exact_sum` and :func:`exact_rest` as a double; NULL over no rows, as in SQL."""
-    return exact_sum(c).cast("double") + exact_rest(c)
+    return money_value(money_state(c))
 
 
 def array_money_sum(items, value) -> Column:

@@ -242,10 +242,3 @@ def route_detour(summary: DataFrame) -> DataFrame:
 def status_counts(summary: DataFrame, column: str) -> DataFrame:
     """Rows per value, most frequent first."""
     return summary.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "value")
-
-
-def same_row_count(before: DataFrame, after: DataFrame) -> None:
-    """Gate: left joins of support frames must not change the number of rows."""
-    a, b = before.count(), after.count()
-    if a != b:
-        raise ValueError(f"row count changed from {a} to {b}: a support frame has duplicate orders")

@@ -1,39 +1,47 @@
-"""Loads that are committed: read the stored tables, work out the new ones, pass the gates, swap.
+"""Loads: read the parts of stored tables that change, work out the new ones, pass the gates, put them in place.
 
-Every function returns the version it made. A gate that finds something raises, and the stored tables stay as they were.
+Every function returns row counts, observed while the rows were written. A gate that finds something raises, and the stored tables stay as
+they were.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from tillworks.operators import dedup, landlord, sinks
 from tillworks.operators.audit import missing_columns
 from tillworks.operators.commission import check_week
-from tillworks.sources.store import Store, bucket_of
+from tillworks.session import observed
 from tillworks.sources.tables import check_window
+from tillworks.sources.tables_on_disk import Gate, Tables, months_between
 
-Gate = Callable[[Mapping[str, DataFrame]], None]
 
-
-def load_table(store: Store, name: str, frame: DataFrame, gates: tuple[Gate, ...] = ()) -> int:
+def load_table(tables: Tables, name: str, frame: DataFrame, gates: tuple[Gate, ...] = ()) -> dict[str, int]:
     """Replace a whole table."""
-    return store.commit({name: frame}, gates)
+    return tables.load({name: frame}, gates=gates)
 
 
-def load_window(store: Store, name: str, new: DataFrame, column: str, start: str, end: str, owned: Column | None = None) -> int:
-    """Delete the job's rows of the window and insert the new ones. Gates: no column that the table lacks, and an empty result must not
-    wipe a filled window."""
+def load_window(tables: Tables, name: str, new: DataFrame, column: str, start: str, end: str, owned: Column | None = None) -> dict[str, int]:
+    """Delete the job's rows of the window and insert the new ones; the table is cut by months of ``column``, and only those of the window
+    are read and rewritten. Gates: no column that the table lacks, no row outside the window, and an empty result must not wipe a filled
+    window."""
     check_window(start, end)
-    target = store.read(name)
+    parts = months_between(start, end)
+    target = tables.read(name, parts)
     if unknown := missing_columns(new, target):
         raise ValueError(f"{name} has no columns {unknown}: nothing was written")
-    staged = store.stage(new, name)
-    sinks.refuse_empty(target, staged, column, start, end, owned)
-    return store.commit({name: sinks.replace_window(target, staged, column, start, end, owned)})
+    told = Observation()
+    outside = F.count_if(~F.coalesce(sinks.in_window(column, start, end), F.lit(False)))
+    staged = tables.stage(new.observe(told, F.count(F.lit(1)).alias("n"), outside.alias("outside")))
+    seen = observed(told)
+    if seen.get("outside"):
+        raise ValueError(f"{seen['outside']} rows lie outside {start}..{end}: nothing was written")
+    if not seen.get("n"):
+        sinks.refuse_empty(target, staged, column, start, end, owned)
+    return tables.load({name: sinks.replace_window(target, staged, column, start, end, owned)}, {name: parts})
 
 
 def unique_orders(headers: str = "headers") -> Gate:
@@ -46,93 +54,123 @@ def clean_details(component_counts: DataFrame, details: str = "details") -> Gate
     return lambda written: dedup.stop_on(dedup.violations_details(written[details], component_counts), "details loaded twice, nothing was written")
 
 
-def load_new_orders(store: Store, headers: DataFrame, details: DataFrame, component_counts: DataFrame | None = None) -> int:
-    """Append the orders the store does not know; headers and details go together or not at all."""
-    headers, details = store.stage(headers, "headers"), store.stage(details, "details")
+def load_new_orders(tables: Tables, headers: DataFrame, details: DataFrame, component_counts: DataFrame | None = None) -> dict[str, int]:
+    """Append the orders the tables do not know; headers and details go together or not at all. Both tables are cut by buckets of the order
+    id, and only those of the given orders are read and rewritten. Returns what was appended and how many headers were known."""
+    told = Observation(), Observation()
+    n = F.count(F.lit(1)).alias("n")
+    headers, details = tables.stage(headers.observe(told[0], n)), tables.stage(details)
     unique_orders()({"headers": headers})
     if component_counts is not None:
         clean_details(component_counts)({"details": details})
-    if not store.has("headers"):
-        return store.commit({"headers": headers, "details": details})
-    old_headers, old_details = store.read("headers"), store.read("details")
-    new_headers, new_details = sinks.append_new_orders(old_headers, headers, details)
-    return store.commit({"headers": old_headers.unionByName(new_headers), "details": old_details.unionByName(new_details)})
-
-
-def load_upsert(store: Store, headers: DataFrame, details: DataFrame, cutoff: str | None = None, buckets: int = 64,
-                version: int | None = None) -> int:
-    """Put new versions of whole orders in place unless they shrank. Only the buckets that the new orders fall into are read and
-    rewritten; orders before ``cutoff`` leave a bucket when it is rewritten and are filtered by :func:`stored_orders` until then."""
-    if version is not None and version <= store.version():
-        return version
-    headers, details = store.stage(headers, "headers"), store.stage(details, "details")
+    if not tables.has("headers"):
+        counts = tables.load({"headers": headers, "details": details})
+        return {"headers_inserted": counts["headers"], "details_inserted": counts["details"], "headers_known": 0}
+    parts = {name: tables.parts(frame, name) for name, frame in (("headers", headers), ("details", details))}
+    own = {name: sorted({*parts["headers"], *parts["details"]}) for name in parts}
+    known = tables.read("headers", own["headers"])
+    new_headers, new_details = sinks.append_new_orders(known, headers, details)
+    told_new = Observation()
+    new_headers, seen = new_headers.observe(told[1], n), new_details.observe(told_new, n)
+    tables.load({"headers": known.unionByName(new_headers), "details": tables.read("details", own["details"]).unionByName(seen)}, own)
+    given, inserted, lines = (observed(x).get("n", 0) for x in (*told, told_new))
+    return {"headers_inserted": inserted, "details_inserted": lines, "headers_known": given - inserted}
+
+
+def load_upsert(tables: Tables, headers: DataFrame, details: DataFrame, cutoff: str | None = None) -> dict[str, int]:
+    """Put new versions of whole orders in place unless they shrank; the same load again changes nothing. Both tables are cut by the same
+    buckets of the order id; only those that the new orders fall into are read and rewritten. Orders before ``cutoff`` leave a bucket when
+    it is rewritten and are filtered by :func:`stored_orders` until then."""
+    headers, details = tables.stage(headers), tables.stage(details)
     unique_orders()({"headers": headers})
-    keys = headers.select(bucket_of("order_id", buckets).alias("b")).unionByName(details.select(bucket_of("order_id", buckets).alias("b")))
-    own = sorted(r["b"] for r in keys.distinct().collect())  # at most ``buckets`` numbers
-    if store.has("headers"):
-        result = sinks.upsert_hold_shrink(store.read("headers", buckets=own), store.read("details", buckets=own), headers, details, cutoff)
+    own = sorted({*tables.parts(headers, "headers"), *tables.parts(details, "details")})
+    if tables.has("headers"):
+        result = sinks.upsert_hold_shrink(tables.read("headers", own), tables.read("details", own), headers, details, cutoff)
         headers, details = result.headers, result.details
-    return store.commit({"headers": headers, "details": details}, version=version, buckets=("order_id", buckets, own))
+    return tables.load({"headers": headers, "details": details}, {"headers": own, "details": own})
 
 
-def stored_orders(store: Store, name: str, cutoff: str | None = None, order_date: str = "order_date") -> DataFrame:
+def stored_orders(tables: Tables, name: str, cutoff: str | None = None, order_date: str = "order_date") -> DataFrame:
     """A table of :func:`load_upsert` without the orders before ``cutoff``."""
-    rows = store.read(name)
+    rows = tables.read(name)
     return rows if cutoff is None else rows.filter(F.coalesce(F.col(order_date) >= F.lit(cutoff).cast("timestamp_ntz"), F.lit(True)))
 
 
-def load_fulfilled(store: Store, done: DataFrame, name: str = "headers") -> int:
-    """Set orders fulfilled, with their sales type where one is known."""
-    return store.commit({name: sinks.update_fulfilled(store.read(name), done)})
+def _rewritten(tables: Tables, name: str, by: DataFrame, change: Callable[[DataFrame, DataFrame], DataFrame]) -> dict[str, int]:
+    """Change the parts of a table that the rows of ``by`` fall into; ``change`` gets their rows and ``by``, worked out once."""
+    by = tables.stage(by)
+    parts = tables.parts(by, name)
+    return tables.load({name: change(tables.read(name, parts), by)}, {name: parts})
+
 
+def load_fulfilled(tables: Tables, done: DataFrame, name: str = "headers") -> dict[str, int]:
+    """Set orders fulfilled, with their sales type where one is known; only the buckets of these orders are rewritten."""
+    return _rewritten(tables, name, done, sinks.update_fulfilled)
 
-def load_patch(store: Store, name: str, patch: DataFrame, keys: list[str], column: str, only: Column | None = None) -> int:
-    """Overwrite one column where the patch has the key."""
-    return store.commit({name: sinks.patch_column(store.read(name), patch, keys, column, only)})
 
+def load_patch(tables: Tables, name: str, patch: DataFrame, keys: list[str], column: str, only: Column | None = None) -> dict[str, int]:
+    """Overwrite one column where the patch has the key; only the parts of these keys are rewritten."""
+    return _rewritten(tables, name, patch, lambda rows, new: sinks.patch_column(rows, new, keys, column, only))
 
-def load_commission(store: Store, weekly: DataFrame, daily: DataFrame, products: DataFrame, start: str, end: str, data_end: str) -> int:
+
+def load_commission(tables: Tables, weekly: DataFrame, daily: DataFrame, products: DataFrame, start: str, end: str, data_end: str) -> dict[str, int]:
     """The week's rows by (start_date, end_date); daily and product rows only up to ``data_end`` (yesterday), later ones are not touched.
-    All three tables change together. Gates: the week runs Monday to Sunday, ``data_end`` lies in it."""
+    All three tables change together, each cut by months. Gates: the week runs Monday to Sunday, ``data_end`` lies in it."""
     check_week(start, end)
     check_window(start, data_end, max_days=7, not_after=end)
-    out = {}
+    out, parts = {}, {"weekly": months_between(start, start), "daily": months_between(start, data_end), "products": months_between(start, data_end)}
     for name, new in (("weekly", weekly), ("daily", daily), ("products", products)):
-        if not store.has(name):
+        if not tables.has(name):
             out[name] = new
             continue
-        old = store.read(name)
+        old = tables.read(name, parts[name])
         if name == "weekly":
             gone = (F.col("start_date") == F.to_date(F.lit(start))) & (F.col("end_date") == F.to_date(F.lit(end)))
         else:
             gone = sinks.in_window("transaction_date", start, data_end)
         out[name] = old.filter(~F.coalesce(gone, F.lit(False))).unionByName(new)
-    return store.commit(out)
+    return tables.load(out, parts)
 
 
-def load_pending(store: Store, payload: DataFrame, created_at: str, name: str = "send_log", legacy: bool = True) -> int:
-    """Write the payload to the send log as pending, before anything is sent. Gates: numbers are unique and short enough, and no day of
-    the payload was accepted in the old number format."""
-    payload = store.stage(payload, "payload")
+def load_pending(tables: Tables, payload: DataFrame, created_at: str, name: str = "send_log", legacy: bool = True) -> dict[str, int]:
+    """Write the payload to the send log as pending, before anything is sent. The log is cut by months of the day; only those of the
+    payload are rewritten. Gates: numbers are unique and short enough, and no day of the payload was accepted in the old number format."""
+    payload = tables.stage(payload)
     dedup.stop_on(landlord.payload_violations(payload), "payload numbers doubled or too long, nothing was sent")
     rows = landlord.pending_rows(payload, created_at)
-    if not store.has(name):
-        return store.commit({name: rows})
-    log = store.read(name)
+    if not tables.has(name):
+        return tables.load({name: rows})
     if legacy:
-        dedup.stop_on(landlord.legacy_conflicts(payload, log), "days already sent in the old format")
-    return store.commit({name: log.unionByName(rows)})
+        dedup.stop_on(landlord.legacy_conflicts(payload, tables.read(name)), "days already sent in the old format")
+    parts = tables.parts(rows, name)
+    return tables.load({name: tables.read(name, parts).unionByName(rows)}, {name: parts})
 
 
-def load_results(store: Store, result: DataFrame, name: str = "send_log") -> int:
-    """Set pending rows of the send log to their final status. Gate: every result hits exactly one pending row and comes once."""
-    log, result = store.read(name), store.stage(result, "result")
+def load_results(tables: Tables, result: DataFrame, name: str = "send_log") -> dict[str, int]:
+    """Set pending rows of the send log to their final status; only the months with such rows are rewritten. Gate: every result hits
+    exactly one pending row and comes once."""
+    log, result = tables.read(name), tables.stage(result)
     dedup.stop_on(landlord.unmatched_results(log, result), "results without one pending row each, the log was not changed")
-    return store.commit({name: landlord.finalize_log(log, result)})
+    parts = tables.parts(log.join(result.select("jilid", "transaction_number").distinct(), ["jilid", "transaction_number"], "left_semi"), name)
+    return tables.load({name: landlord.finalize_log(tables.read(name, parts), result)}, {name: parts})
 
 
-def load_order_income(store: Store, orders: DataFrame, differences: DataFrame, name: str = "order_income") -> int:
+def load_order_income(tables: Tables, orders: DataFrame, differences: DataFrame, name: str = "order_income") -> dict[str, int]:
     """Store the income per order. Gates: (order, transaction) is unique, and no day's totals differ from the daily table.
     ``differences``: rows of the comparison that are not alike."""
     dedup.stop_on(differences, "order and daily totals differ, nothing was written")
-    return store.commit({name: orders}, (unique_orders(name),))
+    return tables.load({name: orders}, gates=(unique_orders(name),))
+
+
+def load_joined(tables: Tables, name: str, rows: DataFrame, support: Callable[[DataFrame], DataFrame]) -> dict[str, int]:
+    """Store rows with what ``support`` joins to them. Gate: as many rows come out as went in; both are counted while the table is staged."""
+    before = Observation()
+    joined = support(rows.observe(before, F.count(F.lit(1)).alias("n")))
+    told = Observation()
+
+    def same_rows(_: Mapping[str, DataFrame]) -> None:
+        given, kept = observed(before).get("n", 0), observed(told).get("n", 0)
+        if given != kept:
+            raise ValueError(f"row count changed from {given} to {kept}: a support frame has duplicate keys")
+
+    return tables.load({name: joined.observe(told, F.count(F.lit(1)).alias("n"))}, gates=(same_rows,))

@@ -126,6 +126,11 @@ def session_summary(flagged: DataFrame) -> DataFrame:
             .agg(F.min(F.when(on, F.col("timestamp"))).alias("session_start"), F.max(F.when(off, F.col("timestamp"))).alias("session_last_false"),
                  F.max("timestamp").alias("session_last_event"), F.count("id").alias("total_logs"),
                  F.count_if(on).alias("total_true_logs"), F.count_if(off).alias("total_false_logs")))
+    return session_ends(parts)
+
+
+def session_ends(parts: DataFrame) -> DataFrame:
+    """Name, end and minutes of sessions with their bounds."""
     return (parts.withColumn("session_id", session_name())
             .withColumn("session_end", F.coalesce("session_last_false", "session_last_event"))
             .withColumn("session_duration_minutes", np_round(minutes_between("session_start", "session_end"), 2)))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import lookup, money_sum, money_total, week_from_monday, zero_pad
+from tillworks.functions.scalars import lookup, merged_money, money_state, money_sum, money_value, week_from_monday, zero_pad
 from tillworks.functions.skew import first_per_key
 from tillworks.operators.outlets import ATTRIBUTES, with_outlet
 
@@ -62,14 +62,19 @@ def _headers_by(headers: DataFrame, dimension: DataFrame, extra: dict[str, Colum
     folded = (valid_sales(headers)
               .select(*[c.alias(k) for k, c in keys.items()], "order_id", *[F.col(c).alias(f"_{n}") for n, c in HEADER_SUMS.items()])
               .groupBy(*keys)
-              .agg(*[money_sum(f"_{n}").alias(n) for n in HEADER_SUMS],
+              .agg(*[money_state(f"_{n}").alias(n) for n in HEADER_SUMS],
                    F.countDistinct("order_id").alias("total_order")))
+    return _dated_sums(folded, dimension, list(extra), how)
+
+
+def _dated_sums(folded: DataFrame, dimension: DataFrame, extra: list[str], how: str) -> DataFrame:
+    """Sums per ``_day``, outlet and more keys with the outlet's attributes of that day."""
     dated = with_outlet(folded, dimension, "_day", how=how)
     group = ["_day", "outlet_code", *extra, *ATTRIBUTES]
     # two dimension rows can end up with equal attributes: their sums add, their distinct orders are the same ones
-    merged = dated.groupBy(*group).agg(*[money_sum(n).alias(n) for n in HEADER_SUMS],
+    merged = dated.groupBy(*group).agg(*[merged_money(n).alias(n) for n in HEADER_SUMS],
                                        F.max("total_order").alias("total_order"))
-    return merged.select(*_calendar("_day"), "outlet_code", *extra, *ATTRIBUTES, *HEADER_SUMS, "total_order")
+    return merged.select(*_calendar("_day"), "outlet_code", *extra, *ATTRIBUTES, *[money_value(n).alias(n) for n in HEADER_SUMS], "total_order")
 
 
 def daily_transactions(headers: DataFrame, dimension: DataFrame, how: str = "left") -> DataFrame:
@@ -101,6 +106,11 @@ def _present(*names: str) -> Column:
     return keep
 
 
+def _totals(sums) -> list[Column]:
+    """Merged money states as doubles, 0 where there was nothing to add."""
+    return [F.coalesce(money_value(n), F.lit(0.0)).alias(n) for n in sums]
+
+
 def item_lines(details: DataFrame, variant: str | None = None) -> DataFrame:
     """Details in summary columns; a missing variant is '-'."""
     shown = F.coalesce(F.col(variant), F.lit("-")) if variant else F.lit("-")
@@ -121,12 +131,12 @@ def daily_items(headers: DataFrame, details: DataFrame, dimension: DataFrame, fi
     orders = valid_sales(headers).select("order_id", F.to_date("transaction_date").alias("_day"), "outlet_code").distinct()
     keys = ["_day", "outlet_code", "sku", "item_name", "item_variant_name"]
     folded = (orders.join(item_lines(details, variant), "order_id").groupBy(*keys)
-              .agg(*[money_sum(n).alias(n) for n in ITEM_SUMS]))
+              .agg(*[money_state(n).alias(n) for n in ITEM_SUMS]))
     dated = with_outlet(folded, dimension, "_day").withColumn("jilid", zero_pad("outlet_code"))
     group = ["_day", "jilid", *ATTRIBUTES, "sku", "item_name", "item_variant_name"]
     return (dated.filter(_present(*group)).groupBy(*group)
-            .agg(*[money_total(n).alias(n) for n in ITEM_SUMS])
-            .select(*_calendar("_day"), *group[1:], *ITEM_SUMS))
+            .agg(*[merged_money(n).alias(n) for n in ITEM_SUMS])
+            .select(*_calendar("_day"), *group[1:], *_totals(ITEM_SUMS)))
 
 
 def _bundle_lines(details: DataFrame) -> DataFrame:
@@ -162,11 +172,11 @@ def daily_bundlings(headers: DataFrame, details: DataFrame, dimension: DataFrame
     keys = ["_day", "outlet_code", "sales_type", "payment_method", "bundling_name"]
     sums = ["quantity", "total_amount"]
     folded = (sold.join(one, "order_id").groupBy(*keys)
-              .agg(*[money_sum(n).alias(n) for n in sums]))
+              .agg(*[money_state(n).alias(n) for n in sums]))
     dated = with_outlet(folded, dimension, "_day").withColumn("jilid", zero_pad("outlet_code"))
     group = ["_day", "jilid", *ATTRIBUTES, "sales_type", "payment_method", "bundling_name"]
-    return (dated.filter(_present(*group)).groupBy(*group).agg(*[money_total(n).alias(n) for n in sums])
-            .select(*_calendar("_day"), *group[1:], *sums))
+    return (dated.filter(_present(*group)).groupBy(*group).agg(*[merged_money(n).alias(n) for n in sums])
+            .select(*_calendar("_day"), *group[1:], *_totals(sums)))
 
 
 COMPANY_COLUMNS = [*CALENDAR, "jilid", "outlet_name", "ownership_model", "outlet_brand", "region", "provinsi", "kota"]
@@ -221,10 +231,10 @@ def daily_items_sales_type(headers: DataFrame, details: DataFrame, dimension: Da
     sums = ["total_quantity", "total_gross_sales", "total_collected"]
     keys = ["transaction_date", "outlet_code", "sales_type_name", "sku", "item_name"]
     folded = (one.join(per_order, "order_id").groupBy(*keys)
-              .agg(*[money_sum(n).alias(n) for n in sums]))
+              .agg(*[money_state(n).alias(n) for n in sums]))
     dated = with_outlet(folded, dimension, "transaction_date").withColumn("jilid", zero_pad("outlet_code"))
     group = ["transaction_date", "jilid", "ownership_model", "outlet_name", "sales_type_name", "sku", "item_name"]
-    stored = dated.filter(_present(*group)).groupBy(*group).agg(*[money_total(n).alias(n) for n in sums])
+    stored = dated.filter(_present(*group)).groupBy(*group).agg(*[merged_money(n).alias(n) for n in sums]).select(*group, *_totals(sums))
     app = (app_items.filter((F.col("ownership_model") == fv.OWNED_MODEL) & F.col("transaction_date").isNotNull())
            .groupBy("transaction_date", F.col("outlet_code").alias("jilid"), "outlet_name", "sku",
                     F.col("product_name").alias("item_name"))

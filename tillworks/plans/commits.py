@@ -18,11 +18,12 @@ from tillworks.plans import orders as ords
 from tillworks.plans.registry import ORACLES, query
 from tillworks.session import scratch_path
 from tillworks.sources import standin as s
-from tillworks.sources.store import Store
+from tillworks.sources.tables_on_disk import Tables, by_bucket, by_month
+from tillworks.streaming.upsert import order_tables
 
 
-def _store(spark, name: str) -> Store:
-    return Store(spark, scratch_path(spark, name))
+def _tables(spark, name: str, **layouts) -> Tables:
+    return Tables(spark, scratch_path(spark, name), layouts)
 
 
 def _twice(load) -> None:
@@ -32,12 +33,12 @@ def _twice(load) -> None:
 
 @query("committed_window", ORACLES["replace_window"])
 def committed_window(spark, sf):
-    store, t = _store(spark, "window"), frames._daily(spark, sf)
-    loads.load_table(store, "daily", t)
+    stored, t = _tables(spark, "window", daily=by_month("transaction_date")), frames._daily(spark, sf)
+    loads.load_table(stored, "daily", t)
     owned = F.col("ownership_model") == fv.FRANCHISE_MODEL
     new = frames._daily_new(t.filter(sinks.in_window("transaction_date", frames.START, frames.END) & owned))
-    _twice(lambda: loads.load_window(store, "daily", new, "transaction_date", frames.START, frames.END, owned))
-    return store.read("daily")
+    _twice(lambda: loads.load_window(stored, "daily", new, "transaction_date", frames.START, frames.END, owned))
+    return stored.read("daily")
 
 
 @query("committed_orders", frames.HEAD + """
@@ -45,10 +46,10 @@ SELECT 'header' AS part, order_id, transaction_id AS row_id, total_amount FROM h
 UNION ALL SELECT 'detail', order_id, order_detail_id, total_amount FROM details WHERE order_id NOT IN (SELECT order_id FROM sh)
 UNION ALL SELECT 'detail', order_id, order_detail_id, total_amount FROM sd""")
 def committed_orders(spark, sf):
-    store = _store(spark, "orders")
-    store.commit({"headers": frames._sh(spark, sf), "details": frames._sd(spark, sf)})
-    _twice(lambda: loads.load_new_orders(store, frames._h(spark, sf), frames._d(spark, sf)))
-    part = lambda name, row: store.read(f"{name}s").select(F.lit(name).alias("part"), "order_id", F.col(row).alias("row_id"), "total_amount")
+    stored = order_tables(spark, scratch_path(spark, "orders"), 16)
+    stored.load({"headers": frames._sh(spark, sf), "details": frames._sd(spark, sf)})
+    _twice(lambda: loads.load_new_orders(stored, frames._h(spark, sf), frames._d(spark, sf)))
+    part = lambda name, row: stored.read(f"{name}s").select(F.lit(name).alias("part"), "order_id", F.col(row).alias("row_id"), "total_amount")
     return part("header", "transaction_id").unionByName(part("detail", "order_detail_id"))
 
 
@@ -58,32 +59,32 @@ SELECT order_id, transaction_id, total_amount, version FROM (
   UNION ALL SELECT order_id, transaction_id, total_amount, transaction_date, 'new' FROM nh WHERE order_id IN (SELECT order_id FROM dec WHERE decision <> 'held')) x
 WHERE transaction_date >= TIMESTAMP '{frames.CUTOFF}'""")
 def committed_upsert(spark, sf):
-    store = _store(spark, "upsert")
+    stored = order_tables(spark, scratch_path(spark, "upsert"), 16)
     headers, details, new, new_details = frames._upsert_inputs(spark, sf)
     dates = new.groupBy("order_id").agg(F.min("order_date").alias("order_date"))
     new_details = new_details.drop("order_date").join(dates, "order_id")
-    loads.load_upsert(store, headers, details, buckets=16)
-    _twice(lambda: loads.load_upsert(store, new, new_details, frames.CUTOFF, buckets=16))
-    return loads.stored_orders(store, "headers", frames.CUTOFF).select("order_id", "transaction_id", "total_amount", "version")
+    loads.load_upsert(stored, headers, details)
+    _twice(lambda: loads.load_upsert(stored, new, new_details, frames.CUTOFF))
+    return loads.stored_orders(stored, "headers", frames.CUTOFF).select("order_id", "transaction_id", "total_amount", "version")
 
 
 @query("committed_fulfilled", ORACLES["update_fulfilled"])
 def committed_fulfilled(spark, sf):
-    store = _store(spark, "fulfilled")
-    loads.load_table(store, "headers", s.headers(spark, sf))
+    stored = _tables(spark, "fulfilled", headers=by_bucket("order_id", 16))
+    loads.load_table(stored, "headers", s.headers(spark, sf))
     done = (s.details(spark, sf).filter(F.col("type") == fv.BUNDLE_TYPE).groupBy("order_id")
             .agg(F.when(F.max(F.col("product_id") % 50 == 7), "listed").alias("sales_type")))
-    _twice(lambda: loads.load_fulfilled(store, done))
-    return store.read("headers").select("order_id", "transaction_id", "fulfillment_status", "sales_type")
+    _twice(lambda: loads.load_fulfilled(stored, done))
+    return stored.read("headers").select("order_id", "transaction_id", "fulfillment_status", "sales_type")
 
 
 @query("committed_patch", ORACLES["patch_column"])
 def committed_patch(spark, sf):
-    store, t = _store(spark, "patch"), frames._daily(spark, sf)
-    loads.load_table(store, "daily", t)
+    stored, t = _tables(spark, "patch", daily=by_month("transaction_date")), frames._daily(spark, sf)
+    loads.load_table(stored, "daily", t)
     patch = t.filter(F.col("total_order") % 2 == 1).select("transaction_date", "outlet_code", (F.col("total_order") + 100).alias("total_order"))
-    _twice(lambda: loads.load_patch(store, "daily", patch, ["transaction_date", "outlet_code"], "total_order", only=F.col("outlet_code") < "00012"))
-    return store.read("daily")
+    _twice(lambda: loads.load_patch(stored, "daily", patch, ["transaction_date", "outlet_code"], "total_order", only=F.col("outlet_code") < "00012"))
+    return stored.read("daily")
 
 
 # stored: every week and day with one more than they should have; loaded: the week of 1996-07-01, its days up to the day before its end
@@ -103,14 +104,14 @@ def committed_commission(spark, sf):
     first, last = week_bounds("transaction_date")
     weeks = days.groupBy("rider_id", first.alias("start_date"), last.alias("end_date")).agg(F.sum("qty").alias("qty"))
     more = lambda df: df.withColumn("qty", F.col("qty") + 1)
-    store = _store(spark, "commission")
-    store.commit({"weekly": more(weeks), "daily": more(days), "products": more(products)})
+    stored = _tables(spark, "commission", weekly=by_month("start_date"), daily=by_month("transaction_date"), products=by_month("transaction_date"))
+    stored.load({"weekly": more(weeks), "daily": more(days), "products": more(products)})
     until = lambda df: df.filter(sinks.in_window("transaction_date", WEEK, DATA_END))
     week = weeks.filter((F.col("start_date") == F.to_date(F.lit(WEEK))))
-    _twice(lambda: loads.load_commission(store, week, until(days), until(products), WEEK, WEEK_END, DATA_END))
-    one = lambda name, part: store.read(name).select(
+    _twice(lambda: loads.load_commission(stored, week, until(days), until(products), WEEK, WEEK_END, DATA_END))
+    one = lambda name, part: stored.read(name).select(
         F.lit(part).alias("part"), "rider_id", F.col("transaction_date").alias("start_date"), F.col("transaction_date").alias("end_date"), "qty")
-    weekly = store.read("weekly").select(F.lit("weekly").alias("part"), "rider_id", "start_date", "end_date", "qty")
+    weekly = stored.read("weekly").select(F.lit("weekly").alias("part"), "rider_id", "start_date", "end_date", "qty")
     return one("daily", "daily").unionByName(one("products", "product")).unionByName(weekly)
 
 
@@ -118,35 +119,35 @@ def committed_commission(spark, sf):
 SELECT jilid, transaction_number, transaction_date, payment_type, amount, CASE WHEN amount > 100000 THEN 'success' ELSE 'error' END AS status,
        CASE WHEN amount > 100000 THEN 'X' || jilid END AS mall_transaction_id, CASE WHEN amount <= 100000 THEN 'refused' END AS error_message FROM payload""")
 def committed_send_log(spark, sf):
-    store, payload = _store(spark, "log"), landlord.payload_from_income(inc.daily(spark, sf), inc.PREFIX, inc.RUN)
-    loads.load_pending(store, payload, "2024-01-05 10:30:00")
+    stored, payload = _tables(spark, "log", send_log=by_month("transaction_date")), landlord.payload_from_income(inc.daily(spark, sf), inc.PREFIX, inc.RUN)
+    loads.load_pending(stored, payload, "2024-01-05 10:30:00")
     ok = F.col("amount") > 100000
     result = payload.select("jilid", "transaction_number", F.when(ok, "success").otherwise("error").alias("status"),
                             F.when(ok, F.concat(F.lit("X"), "jilid")).alias("mall_transaction_id"), F.when(~ok, "refused").alias("error_message"))
-    loads.load_results(store, result)
-    return store.read("send_log").select("jilid", "transaction_number", "transaction_date", "payment_type", "amount", "status", "mall_transaction_id",
+    loads.load_results(stored, result)
+    return stored.read("send_log").select("jilid", "transaction_number", "transaction_date", "payment_type", "amount", "status", "mall_transaction_id",
                                          "error_message")
 
 
 @query("committed_order_income", inc.HEAD + "SELECT order_id, transaction_id, subtotal, sales_type_commission FROM orderinc")
 def committed_order_income(spark, sf):
     """Gated on the totals; the planted tables differ in order counts on some days, which the gate leaves to the report."""
-    store, orders = _store(spark, "income"), inc.orderinc(spark, sf)
+    stored, orders = _tables(spark, "income", order_income=by_bucket("order_id", 16)), inc.orderinc(spark, sf)
     off = F.col("side") != "both"
     for x in income.MONEY_CHECK:
         off = off | (F.abs(f"diff_{x}") >= income.TOLERANCE)
-    _twice(lambda: loads.load_order_income(store, orders, income.reconcile_with_daily(orders, inc.daily(spark, sf)).filter(off)))
-    return store.read("order_income").select("order_id", "transaction_id", "subtotal", "sales_type_commission")
+    _twice(lambda: loads.load_order_income(stored, orders, income.reconcile_with_daily(orders, inc.daily(spark, sf)).filter(off)))
+    return stored.read("order_income").select("order_id", "transaction_id", "subtotal", "sales_type_commission")
 
 
 @query("committed_flags", ORACLES["membership_flag"])
 def committed_flags(spark, sf):
     """The gate on row counts: flags are stored only if the join kept the number of orders."""
     orders = dis.pending(spark, sf).select("pending_order_id", "customer_id")
-    flagged = dispatch.membership_flag(orders, dispatch.members_on(s.vouchers(spark, sf), dis.AS_OF))
-    store = _store(spark, "flags")
-    loads.load_table(store, "flags", flagged, (lambda written: dispatch.same_row_count(orders, written["flags"]),))
-    return store.read("flags")
+    members = dispatch.members_on(s.vouchers(spark, sf), dis.AS_OF)
+    stored = _tables(spark, "flags", flags=by_bucket("pending_order_id", 16))
+    loads.load_joined(stored, "flags", orders, lambda rows: dispatch.membership_flag(rows, members))
+    return stored.read("flags")
 
 
 @query("orders_read_twice", ORACLES["orders_to_tables"])

@@ -9,7 +9,9 @@ from tillworks.operators import documents as docs_ops
 from tillworks.operators import orders as ops
 from tillworks.plans import ctes as c
 from tillworks.plans.registry import query
+from tillworks.session import scratch_path
 from tillworks.sources import standin as s
+from tillworks.sources.tables import document_lines, good_documents, stage_documents
 
 _CHANNEL = c.case_lookup("pay_name", fv.INGEST_CHANNELS, c.q(fv.WALK_IN))
 _MONEY = ", ".join(f"{m} * share AS {m}" for m in s.MONEY_COLUMNS)
@@ -56,6 +58,49 @@ def flatten_orders(spark, sf):
         "transactions_payment_type_name", "tx_amount", "status", "fulfillment_status", "total_amount")
 
 
+def _json_lines(spark, sf) -> str:
+    """The documents as lines of JSON text in a folder, some of them broken on purpose: cut off, in a list, with a date that is none, without
+    an order id."""
+    docs = s.order_documents(spark, sf)
+    number = F.col("order_id").cast("bigint")
+    text = F.to_json(F.struct(*docs.columns))
+    text = (F.when(number % 29 == 3, F.substring(text, F.lit(1), F.length(text) - 40)).when(number % 31 == 4, F.concat(F.lit("["), text, F.lit("]")))
+            .when(number % 37 == 5, F.regexp_replace(text, '"order_date":"[^"]*"', '"order_date":"soon"'))
+            .when(number % 43 == 6, F.regexp_replace(text, '"order_id":"[^"]*",', '"drawer":7,')).otherwise(text))
+    path = scratch_path(spark, "json")
+    docs.select(text.alias("value")).write.text(path)
+    return path
+
+
+_BROKEN = """CASE WHEN CAST(order_id AS BIGINT) % 29 = 3 THEN 'not JSON' WHEN CAST(order_id AS BIGINT) % 31 = 4 THEN 'not a document'
+  WHEN CAST(order_id AS BIGINT) % 37 = 5 THEN 'wrong type' WHEN CAST(order_id AS BIGINT) % 43 = 6 THEN 'no order id' END"""
+
+
+@query("json_documents", c.with_(c.DOCS) + f"""
+SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(transaction_id AS VARCHAR) AS transaction_id, transaction_date, transactions_type,
+       transactions_status, pay_name AS transactions_payment_type_name, tx_amount, status, fulfillment_status, total_amount
+FROM dtx WHERE {_BROKEN} IS NULL""")
+def json_documents(spark, sf):
+    lines = document_lines(spark, _json_lines(spark, sf))
+    return docs_ops.flatten_orders(good_documents(lines)).select(
+        "order_id", "transaction_id", "transaction_date", "transactions_type", "transactions_status",
+        "transactions_payment_type_name", "tx_amount", "status", "fulfillment_status", "total_amount")
+
+
+@query("json_quarantine", c.with_(c.BASE) + f"SELECT {_BROKEN} AS reason, count(*) AS n FROM base WHERE {_BROKEN} IS NOT NULL GROUP BY 1")
+def json_quarantine(spark, sf):
+    _, broken, _ = stage_documents(document_lines(spark, _json_lines(spark, sf)), scratch_path(spark, "documents"))
+    return broken.groupBy("reason").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("json_headers", c.with_(c.DOCS, c.payments("dtx")) + f"""
+SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(transaction_id AS VARCHAR) AS transaction_id, outlet_code, transactions_type, {_MONEY}
+FROM pay WHERE {_BROKEN} IS NULL""")
+def json_headers(spark, sf):
+    docs, _, _ = stage_documents(document_lines(spark, _json_lines(spark, sf)), scratch_path(spark, "documents"))
+    return docs_ops.order_headers(docs, s.LISTED).select("order_id", "transaction_id", "outlet_code", "transactions_type", *s.MONEY_COLUMNS)
+
+
 @query("expand_combos", c.with_(c.DOCS) + """
 SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(d.order_detail_id AS VARCHAR) AS order_detail_id, type,
        CASE WHEN type = 'comboset' THEN d.product_id ELSE '' END AS bundling_id,

@@ -5,14 +5,16 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillworks import fixed_values as fv
+from tillworks.functions.scalars import money_value
+from tillworks.operators import cube
 from tillworks.operators import summaries as ops
 from tillworks.operators.outlets import outlet_dimension, with_outlet
 from tillworks.plans import ctes as c
 from tillworks.plans.registry import query
+from tillworks.session import cut_lineage
 from tillworks.sources import standin as s
 
 SUMS = ",\n".join(f"{c.msum('h.' + src)} AS {name}" for name, src in ops.HEADER_SUMS.items())
-ITEM = ",\n".join(f"{c.msum(src)} AS {name}" for name, src in ops.ITEM_SUMS.items())
 CAL = f"""CAST(h.transaction_date AS DATE) AS transaction_date, {c.week('h.transaction_date')} AS week,
          CAST(month(h.transaction_date) AS INTEGER) AS month, CAST(year(h.transaction_date) AS INTEGER) AS year"""
 ATTR = "ownership_model, outlet_name, outlet_brand, region, provinsi, kota"
@@ -76,6 +78,41 @@ def daily_sales_type(spark, sf):
     return ops.daily_sales_type(s.headers(spark, sf), dimension(spark, sf))
 
 
+_ROLLED = ["transaction_date", "transaction_hour", "outlet_code", "sales_type_payment_method", "ownership_model", "outlet_brand"]
+
+
+def _level(name: str, sql: str, has: list[str]) -> str:
+    kinds = {"transaction_date": "DATE", "transaction_hour": "INTEGER"}
+    keys = ", ".join(k if k in has else f"CAST(NULL AS {kinds.get(k, 'VARCHAR')}) AS {k}" for k in _ROLLED)
+    return f"SELECT '{name}' AS level, {keys}, {', '.join(ops.HEADER_SUMS)}, total_order FROM ({sql}) {name}"
+
+
+_SALES_TYPE_SQL = _headers_oracle(
+    "", f"{_CHANNEL} AS channel, h.payment_type AS payment,", "channel, payment,",
+    f"transaction_date, outlet_code, channel || payment AS sales_type_payment_method, {ATTR}, {SUMS}, COUNT(DISTINCT order_id) AS total_order")
+_COMPANY_SQL = c.with_(c.HEADERS) + f"""
+SELECT CAST(h.transaction_date AS DATE) AS transaction_date, {SUMS}, COUNT(DISTINCT order_id) AS total_order FROM headers h WHERE {c.VALID} GROUP BY 1"""
+
+
+@query("sales_rollups", " UNION ALL ".join((
+    _level("daily", DAILY_SQL, [k for k in _ROLLED if k not in ("transaction_hour", "sales_type_payment_method")]),
+    _level("hourly", HOURLY_SQL, [k for k in _ROLLED if k != "sales_type_payment_method"]),
+    _level("channel", _SALES_TYPE_SQL, [k for k in _ROLLED if k != "transaction_hour"]),
+    _level("company", _COMPANY_SQL, ["transaction_date"]))))
+def sales_rollups(spark, sf):
+    """Four summaries from one fold of the headers, which is stored and the only reader of them."""
+    folded, dim = cut_lineage(cube.header_cube(s.headers(spark, sf))), dimension(spark, sf)
+    company = cube.company_days_from_cube(folded).select(F.col("_day").alias("transaction_date"), "total_order",
+                                                         *[money_value(n).alias(n) for n in ops.HEADER_SUMS])
+    levels = {"daily": cube.daily_from_cube(folded, dim), "hourly": cube.hourly_from_cube(folded, dim),
+              "channel": cube.sales_type_from_cube(folded, dim), "company": company}
+    out = None
+    for name, df in levels.items():
+        part = df.select(F.lit(name).alias("level"), *[F.col(k) if k in df.columns else F.lit(None).alias(k) for k in _ROLLED], *ops.HEADER_SUMS, "total_order")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 # the stored detail rows carry their order's state; the stand-in gives every detail the same one
 def _paid_details(spark, sf):
     return (s.details(spark, sf).withColumn("transactions_status", F.lit("success"))
@@ -87,8 +124,8 @@ SELECT transaction_date, week, month, year, lpad(outlet_code, 5, '0') AS jilid,
        {", ".join(f"{c.msum(n)} AS {n}" for n in ops.ITEM_SUMS)}
 FROM (SELECT DISTINCT h.order_id, {CAL}, h.outlet_code, {c.ATTRIBUTES}
       FROM headers h LEFT JOIN dim d ON h.outlet_code = d.jilid WHERE {c.VALID}) o
-JOIN (SELECT order_id, sku, product_name AS item_name, '-' AS item_variant_name, {ITEM}
-      FROM details GROUP BY order_id, sku, product_name) i ON o.order_id = i.order_id
+JOIN (SELECT order_id, sku, product_name AS item_name, '-' AS item_variant_name, {", ".join(f"{src} AS {n}" for n, src in ops.ITEM_SUMS.items())}
+      FROM details) i ON o.order_id = i.order_id
 WHERE ownership_model IS NOT NULL AND outlet_brand IS NOT NULL
 GROUP BY transaction_date, week, month, year, outlet_code, {ATTR}, sku, item_name, item_variant_name""")
 def daily_items(spark, sf):

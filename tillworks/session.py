@@ -9,7 +9,8 @@ import shutil
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 
 def build_session(cores: str | int = "*", app: str = "tillworks", **conf) -> SparkSession:
@@ -57,15 +58,65 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return path
 
 
+def _at(spark: SparkSession, name: str):
+    """(file system, path) of a name on whatever storage it is."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(name)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()), path
+
+
+def path_exists(spark: SparkSession, name: str) -> bool:
+    files, path = _at(spark, name)
+    return files.exists(path)
+
+
+def delete_path(spark: SparkSession, name: str) -> None:
+    """Delete a file or folder with all below it, if it is there."""
+    files, path = _at(spark, name)
+    files.delete(path, True)
+
+
+def move_path(spark: SparkSession, old: str, new: str) -> None:
+    """Put a file or folder in the place of another; nothing to do if it is not there (any more)."""
+    files, source = _at(spark, old)
+    if files.exists(source):
+        target = _at(spark, new)[1]
+        files.delete(target, True)
+        files.mkdirs(target.getParent())
+        if not files.rename(source, target):
+            raise OSError(f"{old} could not be moved to {new}")
+
+
+def write_text(spark: SparkSession, name: str, text: str) -> None:
+    """A small file that is there whole or not at all."""
+    files, draft = _at(spark, f"{name}.draft")
+    out = files.create(draft, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    move_path(spark, f"{name}.draft", name)
+
+
+def folders_below(spark: SparkSession, name: str) -> list[str]:
+    """Names of the folders in a folder; none if it is not there."""
+    files, path = _at(spark, name)
+    return [f.getPath().getName() for f in files.listStatus(path) if f.isDirectory()] if files.exists(path) else []
+
+
 def remove_scratch(spark: SparkSession) -> int:
     """Delete what this process wrote to scratch paths, once no frame built on them is needed; returns how many there were."""
     n = len(_SCRATCH)
     while _SCRATCH:
-        path = spark._jvm.org.apache.hadoop.fs.Path(_SCRATCH.pop())
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete_path(spark, _SCRATCH.pop())
     return n
 
 
+def observed(told: Observation) -> dict:
+    """What an observation counted; nothing if the frame turned out to be empty while it was planned, which leaves the observation out."""
+    try:
+        return told.get
+    except Py4JJavaError:
+        return {}
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write once to the shared folder and read back: survives lost executors and keeps plans built on top small."""
     path = scratch_path(df.sparkSession, "table")

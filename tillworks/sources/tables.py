@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tillworks.functions.skew import join_per_key
+from tillworks.session import observed
 
 PROMOTION = T.StructType([
     T.StructField("promotion_id", T.StringType()),
@@ -96,6 +97,62 @@ def order_documents(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(ORDER_DOCUMENT).json(path)
 
 
+CORRUPT = "_corrupt"
+#: Why a line is not taken as a document, in the order in which the reasons are looked for.
+BROKEN_REASONS = ("not JSON", "not a document", "wrong type", "no order id")
+
+
+def document_lines(spark: SparkSession, path: str, schema: T.StructType = ORDER_DOCUMENT, key: str = "order_id") -> DataFrame:
+    """Every line of JSON text with the document in it: value, file, doc (typed by ``schema``) and reason (null where the document is good).
+
+    One bad line costs one line: syntax is settled by parsing it as a VARIANT, types by the permissive parser. Blank lines are left out;
+    fields that the schema lacks are no fault, :func:`unknown_fields` counts them.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file")).where(F.trim("value") != "")
+    wide = T.StructType([*schema.fields, T.StructField(CORRUPT, T.StringType())])
+    lines = lines.withColumn("doc", F.from_json("value", wide, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}))
+    variant = F.try_parse_json("value")
+    tests = (variant.isNull(), ~F.startswith(F.schema_of_variant(variant), F.lit("OBJECT")), F.col(f"doc.{CORRUPT}").isNotNull(),
+             F.col(f"doc.{key}").isNull())
+    reason = F.lit(None).cast("string")
+    for test, name in reversed(list(zip(tests, BROKEN_REASONS))):
+        reason = F.when(test, F.lit(name)).otherwise(reason)
+    return lines.withColumn("reason", reason)
+
+
+def good_documents(lines: DataFrame, schema: T.StructType = ORDER_DOCUMENT) -> DataFrame:
+    """The typed documents of :func:`document_lines`."""
+    return lines.where(F.col("reason").isNull()).select(*[F.col(f"doc.{f.name}").alias(f.name) for f in schema.fields])
+
+
+def quarantined(lines: DataFrame) -> DataFrame:
+    """The lines that hold no good document, as they came, with their file and the reason."""
+    return lines.where(F.col("reason").isNotNull()).select("value", "file", "reason")
+
+
+def unknown_fields(lines: DataFrame, schema: T.StructType = ORDER_DOCUMENT) -> DataFrame:
+    """(field, documents): top-level fields of good documents that the schema lacks, as a sign that the source has changed."""
+    names = F.explode(F.array_except(F.json_object_keys("value"), F.array(*[F.lit(f.name) for f in schema.fields])))
+    return lines.where(F.col("reason").isNull()).select(names.alias("field")).groupBy("field").agg(F.count(F.lit(1)).alias("documents"))
+
+
+def stage_documents(lines: DataFrame, folder: str, schema: T.StructType = ORDER_DOCUMENT) -> tuple[DataFrame, DataFrame, dict[str, int]]:
+    """Parse once: (documents, quarantine, lines per reason; good ones count as ``good``), both written below ``folder``. The counts are
+    observed while the lines are written, so nothing is read twice."""
+    told = Observation()
+    reason = F.col("reason")
+    counts = [F.count_if(reason == name).alias(name) for name in BROKEN_REASONS]
+    watched = lines.observe(told, F.count_if(reason.isNull()).alias("good"), *counts)
+    watched.withColumn("broken", reason.isNotNull()).select(
+        F.when(reason.isNotNull(), F.col("value")).alias("value"), F.when(reason.isNotNull(), F.col("file")).alias("file"), "reason",
+        F.when(reason.isNull(), F.col("doc")).alias("doc"), "broken").write.partitionBy("broken").parquet(folder)
+    spark = lines.sparkSession
+    kept = T.StructType([T.StructField("value", T.StringType()), T.StructField("file", T.StringType()), T.StructField("reason", T.StringType()),
+                         lines.schema["doc"], T.StructField("broken", T.BooleanType())])
+    staged = spark.read.schema(kept).parquet(folder)
+    return good_documents(staged.where("NOT broken"), schema), quarantined(staged.where("broken")), {"good": 0, **dict.fromkeys(BROKEN_REASONS, 0), **observed(told)}
+
+
 def jdbc_table(spark: SparkSession, url: str, query: str, properties: dict[str, str] | None = None,
                partition: tuple[str, int, int, int] | None = None) -> DataFrame:
     """One JDBC source. Several databases are read one frame each and joined in Spark.

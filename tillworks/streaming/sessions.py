@@ -1,38 +1,101 @@
-"""Standing sessions of riders as a stream.
+"""Standing sessions of riders as a stateful stream.
 
-Events may arrive in any order: each micro-batch is added to the stored events, and the sessions of the riders it touches are worked out
-anew with the batch operator, which never sorts a whole rider in one task. After any split of the same files the stored sessions equal
-the batch answer; an event older than ones already seen joins or splits sessions as it would have in time.
+Events may arrive in any order and more than once. The state is keyed by rider and day, so a rider with a third of all events is
+worked on by many tasks: it holds the day's events packed in order, and a micro-batch reads the state of its own days only. What
+goes out for such a day are its runs: the pieces between two moments at which the flag turns true. A late event cuts a run or joins two
+within its day; whether the first run of a day goes on from the day before is settled when the answer is read, from one row per rider and
+day. No stored event is read again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Iterator
+from typing import Any
 
-from pyspark.sql import DataFrame
+import numpy as np
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.window import Window
 
-from tillworks.operators.riders import flag_sessions, session_summary
-from tillworks.sources.store import Store, bucket_of
+from tillworks.functions.scalars import from_micros, micros, parse_flag
+from tillworks.operators.riders import session_ends
+from tillworks.streaming.state import newest, start_updates
 
-BUCKETS = 64
+KEYS = ["rider_code", "slot"]
+RUN = "first_true bigint, last_false bigint, last bigint, logs bigint, true_logs bigint, false_logs bigint"
+SLOTS = f"rider_code string, slot date, first_on boolean, last_on boolean, runs array<struct<{RUN.replace(' bigint', ':bigint')}>>"
+#: An event: time and id (with their absence), and flag: 1 true, 0 false, -1 neither.
+EVENT = np.dtype([("timed", "?"), ("at", "<i8"), ("named", "?"), ("id", "<i8"), ("flag", "i1")])
 
 
-def session_batches(store: Store, buckets: int = BUCKETS) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` function. Events are stored in buckets of riders; a batch reads and rewrites the buckets of its riders only."""
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        here = Store(batch.sparkSession, store.path)
-        if batch_id + 1 <= here.version():
-            return
-        events = here.stage(batch.select("id", "rider_code", "timestamp", "is_stationed"), "events")
-        own = sorted(r["b"] for r in events.select(bucket_of("rider_code", buckets).alias("b")).distinct().collect())  # at most ``buckets``
-        if here.has("events"):
-            events = here.stage(events.unionByName(here.read("events", buckets=own)), "events")
-        sessions = session_summary(flag_sessions(events))
-        here.commit({"events": events, "sessions": sessions}, version=batch_id + 1, buckets=("rider_code", buckets, own))
-    return apply
+def merged(old: np.ndarray, new: np.ndarray) -> np.ndarray:
+    """Events of a slot in order of time and id, missing ones first; an event delivered again counts once, one without id always."""
+    both = np.concatenate([old, new])
+    both = both[np.lexsort((both["id"], both["named"], both["at"], both["timed"]))]
+    again = both["named"][1:] & (both["id"][1:] == both["id"][:-1]) & (both["at"][1:] == both["at"][:-1]) & (both["timed"][1:] == both["timed"][:-1])
+    return both[np.concatenate(([True], ~(again & both["named"][:-1])))]
 
 
-def start_sessions(logs: DataFrame, store: Store, checkpoint: str, buckets: int = BUCKETS):
-    """Run over what the source holds now; returns the streaming query. The answer is ``store.read("sessions")``."""
-    return (logs.writeStream.foreachBatch(session_batches(store, buckets)).option("checkpointLocation", checkpoint)
-            .trigger(availableNow=True).start())
+def runs_of(events: np.ndarray) -> list[tuple]:
+    """(first true, last false, last, logs, true logs, false logs) of each run; the first one begins with the slot."""
+    on = events["flag"] == 1
+    starts = np.flatnonzero(np.concatenate(([True], on[1:] & ~on[:-1])))
+    out = []
+    for part in np.split(events, starts[1:]):
+        true, false = part["timed"] & (part["flag"] == 1), part["timed"] & (part["flag"] == 0)
+        timed = part["at"][part["timed"]]
+        out.append((int(part["at"][true].min()) if true.any() else None, int(part["at"][false].max()) if false.any() else None,
+                    int(timed.max()) if len(timed) else None, int(part["named"].sum()), int((part["flag"] == 1).sum()), int((part["flag"] == 0).sum())))
+    return out
+
+
+class DayRuns(StatefulProcessor):
+    """Keeps the events of a rider's day and tells its runs."""
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.events = handle.getValueState("events", "packed binary")
+
+    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
+        new = np.array([(r["at"] is not None, r["at"] or 0, r["id"] is not None, r["id"] or 0, -1 if r["flag"] is None else int(r["flag"])) for r in rows],
+                       dtype=EVENT)
+        old = np.frombuffer(self.events.get()[0], dtype=EVENT) if self.events.exists() else np.zeros(0, EVENT)
+        events = merged(old, new)
+        self.events.update((events.tobytes(),))
+        yield Row(rider_code=key[0], slot=key[1], first_on=bool(events["flag"][0] == 1), last_on=bool(events["flag"][-1] == 1), runs=runs_of(events))
+
+    def close(self) -> None:
+        pass
+
+
+def day_runs(logs: DataFrame) -> DataFrame:
+    """A stream of (id, rider_code, timestamp, is_stationed) events as updated runs per rider and day."""
+    events = logs.select("rider_code", F.to_date("timestamp").alias("slot"), micros("timestamp").alias("at"), F.col("id").cast("long").alias("id"),
+                         parse_flag("is_stationed").alias("flag"))
+    return events.groupBy(*KEYS).transformWithState(DayRuns(), SLOTS, "Update", "None")
+
+
+def start_sessions(logs: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
+    """Run over what the source holds now; returns the streaming query. :func:`sessions` reads the answer from ``folder``."""
+    return start_updates(day_runs(logs), folder, checkpoint)
+
+
+def sessions(spark: SparkSession, folder: str) -> DataFrame:
+    """All sessions of what came so far, as the batch operator tells them.
+
+    The windows run over one row per rider and day.
+    """
+    days = newest(spark, folder, T.StructType.fromDDL(SLOTS), KEYS)
+    order = Window.partitionBy("rider_code").orderBy("slot")
+    opens = F.col("first_on") & ~F.coalesce(F.lag("last_on").over(order), F.lit(False))
+    days = days.withColumn("opens", opens.cast("int"))
+    begun = F.sum(F.size("runs") - 1 + F.col("opens")).over(order.rowsBetween(Window.unboundedPreceding, -1))
+    days = days.withColumn("begun", F.coalesce(begun, F.lit(0)) + F.col("opens"))
+    runs = days.select("rider_code", "begun", F.posexplode("runs").alias("place", "run")).select(
+        "rider_code", (F.col("begun") + F.col("place")).alias("session_seq"), "run.*")
+    parts = runs.where(F.col("session_seq") > 0).groupBy("rider_code", "session_seq").agg(
+        from_micros(F.min("first_true")).alias("session_start"), from_micros(F.max("last_false")).alias("session_last_false"),
+        from_micros(F.max("last")).alias("session_last_event"), F.sum("logs").alias("total_logs"), F.sum("true_logs").alias("total_true_logs"),
+        F.sum("false_logs").alias("total_false_logs"))
+    return session_ends(parts)
