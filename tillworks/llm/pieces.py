@@ -15,24 +15,22 @@ all others are kept.
 from __future__ import annotations
 
 import functools
-import re
-from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.llm.text import small_batches
+from tillworks.llm.text import chunks, small_batches
 
 #: The model file of the registered query, by default where the public vocabularies lie.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
 TABLE_CHARS = 1 << 22
-SLICE_CHARS = 1 << 20
-_CHUNK = re.compile(" +[^ ]*")
 
 
 @functools.cache
@@ -57,31 +55,65 @@ def cuts_at_marks(model: bytes) -> bool:
 
 
 class ChunkTable:
-    """Ids of distinct marked words, each segmented when it is first met."""
+    """Ids of distinct marked words, each segmented when it is first met. A word is known by what stands behind its first mark, as the library
+    itself puts a mark before a text; a lone mark has nothing left."""
 
     def __init__(self, model: bytes, most_chars: int = TABLE_CHARS):
         self.processor, self.most = load(model), most_chars
         self.whole = not cuts_at_marks(model)
-        self.ids: dict[str, bytes] = {}
-        self.chars = 0
+        self.lone = [self.processor.piece_to_id(MARK)]
+        self._empty()
 
-    def _segmented(self, chunks: list[str]) -> list[bytes]:
-        """The library itself puts a mark before a text, so a chunk goes in without its first one; a lone mark has nothing left."""
-        found = self.processor.encode([c[1:] for c in chunks], num_threads=1)
-        lone = [self.processor.piece_to_id(MARK)]
-        return [array("i", lone if c == " " else x).tobytes() for c, x in zip(chunks, found)]
+    def _empty(self) -> None:
+        self.code: dict[str, int] = {}
+        self.chars, self.bounds, self.ids = 0, np.zeros(1, np.int64), np.zeros(0, np.int32)
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text, four bytes each."""
-        if self.whole:
-            return [array("i", x).tobytes() for x in self.processor.encode(texts, num_threads=1)]
-        cut = [_CHUNK.findall(" " + t.replace(MARK, " ")) if t else [] for t in texts]
+    def _codes(self, words: list[str]) -> np.ndarray:
+        """The place of each distinct word in the table; unknown ones are segmented."""
         if self.chars > self.most:
-            self.ids, self.chars = {}, 0
-        new = list(set().union(*cut).difference(self.ids))
-        self.ids.update(zip(new, self._segmented(new)))
+            self._empty()
+        new = [w for w in words if w not in self.code]
+        found = [self.lone if not w else x for w, x in zip(new, self.processor.encode(new, num_threads=1))]
+        sizes = np.fromiter(map(len, found), np.int64, len(found))
+        self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum(sizes)))
+        self.ids = np.concatenate((self.ids, np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum()))))
+        self.code.update(zip(new, range(len(self.code), len(self.code) + len(new))))
         self.chars += sum(map(len, new))
-        return [b"".join(map(self.ids.__getitem__, own)) for own in cut]
+        return np.fromiter(map(self.code.__getitem__, words), np.int64, len(words))
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts, the bounds of each text's ids)."""
+        if self.whole:
+            found = self.processor.encode(texts.to_pylist(), num_threads=1)
+            sizes = np.fromiter(map(len, found), np.int64, len(found))
+            return np.fromiter(chain.from_iterable(found), np.int32, int(sizes.sum())), np.concatenate(([0], np.cumsum(sizes)))
+        parts, sizes = [], []
+        for _, raw, bounds in chunks(pc.replace_substring(texts, MARK, " ")):
+            ids, own = self._encoded(raw, bounds)
+            parts.append(ids)
+            sizes.append(own)
+        return np.concatenate([np.zeros(0, np.int32), *parts]), np.concatenate([[0], np.cumsum(np.concatenate([np.zeros(0, np.int64), *sizes]))])
+
+    def _encoded(self, raw: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, ids per text) of some texts by their bytes."""
+        if not len(raw):
+            return np.zeros(0, np.int32), np.zeros(len(bounds) - 1, np.int64)
+        blank = raw == 32
+        cut = np.concatenate(([False], blank[1:] & ~blank[:-1]))  # the first mark of a word within a text: it is left out
+        begins = np.unique(bounds[:-1][bounds[:-1] < bounds[1:]])
+        cut[begins] = False
+        starts = cut.copy()
+        starts[begins] = True
+        places = np.flatnonzero(starts)
+        left = np.concatenate(([0], np.cumsum(~cut)))
+        offsets = np.append(left[places], left[-1])
+        words = pa.LargeStringArray.from_buffers(len(places), pa.py_buffer(offsets.astype(np.int64)), pa.py_buffer(raw[~cut]))
+        distinct = words.dictionary_encode()
+        codes = self._codes(distinct.dictionary.to_pylist())[distinct.indices.to_numpy()]
+        sizes = self.bounds[codes + 1] - self.bounds[codes]
+        ends = np.concatenate(([0], np.cumsum(sizes)))
+        ids = self.ids[np.arange(ends[-1]) + np.repeat(self.bounds[codes] - ends[:-1], sizes)]
+        return ids, np.diff(ends[np.searchsorted(places, bounds)])
 
 
 @functools.cache
@@ -89,16 +121,15 @@ def _table(model: bytes) -> ChunkTable:
     return ChunkTable(model)
 
 
-def _slices(texts: list[str]) -> Iterator[list[str]]:
-    own, size = [], 0
-    for t in texts:
-        own.append(t)
-        size += len(t)
-        if size >= SLICE_CHARS:
-            yield own
-            own, size = [], 0
-    if own:
-        yield own
+def _framed(ids: np.ndarray, bounds: np.ndarray, first: list[int], last: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The same with ids put before and behind those of each text."""
+    more = len(first) + len(last)
+    wide = bounds + more * np.arange(len(bounds))
+    out = np.empty(wide[-1], np.int32)
+    out[np.arange(len(ids)) + np.repeat(more * np.arange(len(bounds) - 1) + len(first), np.diff(bounds))] = ids
+    for own, at in [(x, wide[:-1] + i) for i, x in enumerate(first)] + [(x, wide[1:] - len(last) + i) for i, x in enumerate(last)]:
+        out[at] = own
+    return out, wide
 
 
 def _with_column(docs: DataFrame, name: str, value: Column, kind: T.DataType) -> tuple[DataFrame, T.StructType, list[str]]:
@@ -121,14 +152,13 @@ def encode(docs: DataFrame, model: bytes, text: str = "text", out: str = "token_
     small_batches(docs.sparkSession)
     whole = F.coalesce(F.col(text).cast("string"), F.lit(""))
     rows, schema, names = _with_column(docs, out, whole, T.ArrayType(T.IntegerType()))
-    first, last = (array("i", [i] if on else []).tobytes() for on, i in ((bos, load(model).bos_id()), (eos, load(model).eos_id())))
+    first, last = ([i] if on else [] for on, i in ((bos, load(model).bos_id()), (eos, load(model).eos_id())))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = _table(model)
         for batch in batches:
-            ids = [first + x + last for own in _slices(batch.columns[-1].to_pylist()) for x in table.encode(own)]
-            ends = np.cumsum([0, *map(len, ids)]) // 4
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(np.frombuffer(b"".join(ids), dtype=np.int32)))
+            ids, bounds = _framed(*table.encode(batch.columns[-1]), first, last)
+            lists = pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(ids))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], lists], names=schema.names)
 
     return rows.mapInArrow(run, schema).toDF(*names)
@@ -144,7 +174,9 @@ def decode(docs: DataFrame, model: bytes, ids: str = "token_ids", out: str = "de
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         processor = load(model)
         for batch in batches:
-            texts = [processor.decode(x.as_py()) if len(x) else "" for x in batch.columns[-1]]
+            lists = batch.columns[-1]
+            ids, bounds = lists.flatten().to_numpy(), lists.value_lengths().to_numpy().cumsum()
+            texts = [processor.decode(own.tolist()) if len(own) else "" for own in np.split(ids, bounds[:-1])] if len(lists) else []
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=schema.names)
 
     return rows.mapInArrow(run, schema).toDF(*names)
