@@ -30,9 +30,9 @@ from tillworks.llm.text import LOWER, chunks, filter_bits, in_filter, mix, run_h
 from tillworks.session import cut_lineage
 
 #: Ranks with a direct address, in tiles of TILE x TILE counters.
-RANKS, TILE = 2048, 512
-#: Pairs and words that a task gathers before it sorts and sends them.
-GATHERED = 1 << 21
+RANKS, TILE = 1024, 256
+#: Pairs that a task gathers before it sorts and sends them, and distinct words that it holds.
+GATHERED, HELD_WORDS = 1 << 20, 1 << 19
 MAX_BITS = 1 << 24
 #: Words of the first cut of a top list, per salt.
 SALTS = 64
@@ -84,10 +84,10 @@ def count_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
                 tongue = batch.column(2).take(pa.array(own[at]))
                 parts.append(pa.table([pa.array(ids[at].view(np.int64)), tongue, _texts(data, starts[at], ends[at]), pa.array(n)], names=names))
                 rows += len(at)
-                if rows > GATHERED:
+                if rows > HELD_WORDS:
                     parts = [_folded(parts)]
                     rows = len(parts[0])
-                    if rows > GATHERED // 2:
+                    if rows > HELD_WORDS // 2:
                         yield from parts[0].to_batches()
                         parts, rows = [], 0
         if parts:
@@ -132,10 +132,12 @@ class Tally:
         self.left, self.right, self.gathered = [], [], 0
         a, b = self._rank(left), self._rank(right)
         near = (a >= 0) & (b >= 0)
-        a, b = a[near], b[near]
-        address = ((a // TILE) * self.tiles + b // TILE) * (TILE * TILE) + (a % TILE) * TILE + b % TILE
-        self.dense += np.bincount(address, minlength=len(self.dense))
-        left, right = left[~near], right[~near]
+        if near.any():
+            a, b = a[near], b[near]
+            address = ((a // TILE) * self.tiles + b // TILE) * (TILE * TILE) + (a % TILE) * TILE + b % TILE
+            self.dense += np.bincount(address, minlength=len(self.dense))
+            left, right = left[~near], right[~near]
+        del a, b, near
         order = np.lexsort((right, left))
         left, right = left[order], right[order]
         first = np.flatnonzero(np.concatenate(([True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])))) if len(left) else np.zeros(0, np.int64)
