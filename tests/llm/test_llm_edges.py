@@ -2,6 +2,9 @@
 
 import base64
 import gzip
+import hashlib
+import random
+import re
 import zlib
 from urllib.parse import quote
 
@@ -404,3 +407,25 @@ def test_stages_take_odd_and_empty_documents(spark, odd, empty, tmp_path):
             out = stage(spark, docs, str(tmp_path))
             assert out.columns[:len(docs.columns)] == docs.columns, name
             out.count()
+
+
+def test_long_runs_of_blanks_keep_their_tokens(monkeypatch):
+    encoding, piece, _ = chat.load_tokenizer(chat.TOKENIZER)
+    plain = lambda t: encoding.encode(t, allowed_special={chat.START, chat.SEP, chat.END}, disallowed_special=())
+    rng = random.Random(3)
+    parts = [" ", "   ", "\n", "\n\n\n", "\t\t\t\t", "a", "word", " x", "'s", "1", "^^", chat.END, chat.START, "\x85", "　　　", "\x1c\x1d\x1e", "é"]
+    with monkeypatch.context() as m:
+        m.setattr(chat, "_LONG", re.compile(f"[{chat.BLANK}]{{3,}}"))
+        for _ in range(5000):
+            text = "".join(rng.choice(parts) for _ in range(rng.randrange(12)))
+            assert chat._ids(text, encoding, piece) == plain(text)
+    for text in (" " * 300_000 + "a", "\n" * 300_000 + chat.END + "b"):
+        assert chat._ids(text, encoding, piece) == plain(text)
+
+
+@pytest.mark.parametrize("blank", [" ", "\t", "\n"])
+def test_five_million_blanks_in_a_text(spark, blank):
+    text = blank * 5_000_000 + "end"
+    rows = spark.createDataFrame([(1, 0, "user", "x"), (1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
+    out = chat.digests(chat.format_conversations(rows)).first()
+    assert (out["loss_chars"], out["loss_sha256"]) == (len(text), hashlib.sha256(text.encode()).hexdigest())

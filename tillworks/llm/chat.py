@@ -33,6 +33,11 @@ START, SEP, END = "<|im_start|>", "<|im_sep|>", "<|im_end|>"
 # Control strings of common chat templates. Each begins with `<` or `[`.
 CONTROLS = [START, SEP, END, "<|endoftext|>", "<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>"]
 TRAINED_ROLES = ("assistant",)
+#: White space of so many characters is cut out before the pieces are looked for, as that search goes back over a run of white space
+#: character by character. The vocabulary takes such a run as one piece, but for its last character before other text.
+LONG_RUN = 1 << 14
+BLANK = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_LONG = re.compile(f"[{BLANK}]{{{LONG_RUN},}}")
 
 _REST = "|".join(re.escape(c[1:]) for c in CONTROLS)
 _ESCAPE = re.compile(rf"([<\[])(\\*)(?={_REST})")
@@ -88,7 +93,7 @@ def masked_spans(offsets: np.ndarray, mask: np.ndarray) -> list[tuple[int, int]]
 
 @functools.cache
 def load_tokenizer(path: str, pieces: str = PIECES):
-    """(encoding, bytes of each token by id). The control tokens get the ids behind the vocabulary's."""
+    """(encoding, one that takes a text as one piece, bytes of each token by id). The control tokens get the ids behind the vocabulary's."""
     import tiktoken
 
     with open(path, "rb") as lines:
@@ -100,13 +105,27 @@ def load_tokenizer(path: str, pieces: str = PIECES):
         sizes[rank] = len(token)
     for token, rank in controls.items():
         sizes[rank] = len(token)
-    return tiktoken.Encoding("own", pat_str=pieces, mergeable_ranks=ranks, special_tokens=controls), sizes
+    return (tiktoken.Encoding("own", pat_str=pieces, mergeable_ranks=ranks, special_tokens=controls),
+            tiktoken.Encoding("piece", pat_str="(?s).+", mergeable_ranks=ranks, special_tokens={}), sizes)
+
+
+def _ids(text: str, encoding, piece) -> list[int]:
+    """Token ids; long runs of white space are encoded apart, to the same ids."""
+    out, at = [], 0
+    for run in _LONG.finditer(text):
+        start, end = run.span()
+        if end < len(text) and not text.startswith((START, SEP, END), end):
+            end -= 1  # the last blank goes with what follows
+        out += encoding.encode(text[at:start], allowed_special={START, SEP, END}, disallowed_special=())
+        out += piece.encode_ordinary(text[start:end])
+        at = end
+    return out + encoding.encode(text[at:], allowed_special={START, SEP, END}, disallowed_special=())
 
 
 def encode(text: str, path: str) -> tuple[np.ndarray, np.ndarray]:
     """Token ids and their (start, end) in code points. Tokens that split a character all have that character."""
-    encoding, sizes = load_tokenizer(path)
-    ids = np.array(encoding.encode(text, allowed_special={START, SEP, END}, disallowed_special=()), dtype=np.int32)
+    encoding, piece, sizes = load_tokenizer(path)
+    ids = np.array(_ids(text, encoding, piece), dtype=np.int32)
     ends = np.cumsum(sizes[ids])
     raw = np.frombuffer(text.encode("utf-8"), dtype=np.uint8)
     character = np.cumsum((raw & 0xC0) != 0x80) - 1
