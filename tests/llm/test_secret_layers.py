@@ -5,6 +5,7 @@ import bz2
 import gzip
 import lzma
 import random
+import time
 import zlib
 from urllib.parse import quote
 
@@ -70,3 +71,51 @@ def test_words_that_look_like_streams_stay(spark):
     """Their letters, taken as base64, have a zlib header at the start or inside."""
     words = ["eJyabcdefghijklmnopq", "eNoabcdefghijklmnopqrstuv", coded(b"\xb5\x9ex\x9c\x8a\x18\xad\x9e\xd7\xa8\xb6\x17").rstrip("=")]
     assert all(secrets.secret_spans(f"one {w} two")[1] for w in words)
+
+
+# --- layers that only the scan of hidden characters, other alignments or long chains finds
+
+@pytest.mark.parametrize("before", ["", "id_", "k-", "x/", "https://h/a/", "/v1/", "zz"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress, zlib.compress])
+def test_base64_behind_other_characters(before, pack):
+    for after in ("", "-tail", "/"):
+        assert found(before + coded(pack(SECRET.encode() * 3)) + after)[0]
+
+
+def escaped_whole(text):
+    return "".join(f"%{b:02x}" for b in text.encode())
+
+
+NESTS = [lambda t: quote(t, safe=""), escaped_whole, lambda t: "".join(f"\\u{ord(c):04x}" for c in t), lambda t: "".join(f"&#{ord(c)};" for c in t),
+         lambda t: coded(t.encode()), lambda t: "k-" + coded(gzip.compress(t.encode())), lambda t: "\0".join(t),
+         lambda t: "ab " + zlib.compress(t.encode()).decode("latin-1"), lambda t: coded(t.encode("utf-16"))]
+
+
+def test_scans_of_tables_find_what_was_hidden(spark):
+    """Secrets behind up to three encodings, and the table's scan tells what the scan of one text tells."""
+    rng = random.Random(11)
+    texts = []
+    for i in range(250):
+        text = SECRET
+        for _ in range(rng.randint(1, 3)):
+            text = rng.choice(NESTS)(text)
+        texts.append(f"start {i} {text} end")
+    texts += ["".join(rng.choice(["%25", "41", "\0", "x^", "a", "&#", "\\u", " ", "=", "(µ/ý", "BZh9"]) for _ in range(12)) for _ in range(300)]
+    got = secrets.scan_secrets(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    rows = {r["doc_id"]: ([tuple(s) for s in r["spans"]], r["complete"]) for r in got}
+    assert all(rows[i] == secrets.secret_spans(t) for i, t in enumerate(texts))
+    lost = [t for i, t in enumerate(texts[:250]) if not any(k == "assign" for k, *_ in rows[i][0])]
+    assert lost == []
+
+
+@pytest.mark.parametrize("chain", ["%" + "25" * 400_000 + "41", "&" + "#38;" * 200_000 + "#65;", "\\u005c" + "u005c" * 150_000 + "u0041"])
+def test_long_chains_of_escapes_take_linear_time(chain):
+    start = time.time()
+    assert found(f"{SECRET[:-1]}{chain}")[0]
+    assert time.time() - start < 30
+
+
+def test_a_chain_hides_a_secret():
+    for depth in (1, 3, 4, 5, 40):
+        assert found("password%" + "25" * depth + "3Dhunter2secret")[0]
+        assert found("password&" + "#38;" * depth + "#61;hunter2secret")[0]

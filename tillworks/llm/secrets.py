@@ -2,8 +2,10 @@
 
 Base patterns run over the raw text. Then every layer on the worklist is unwrapped: percent and Unicode escapes are replaced over the
 whole layer, base64 runs are decoded, compressed bytes are unpacked, NULs are left out (UTF-16). What comes out, text or not, is scanned
-as UTF-8 or else Latin-1 and put on the worklist in turn, until nothing new comes. A layer is known by its text and the place it came from, so a cycle ends and no layer is read twice. Each character
-of a layer knows the range of the raw text it stands for, which gives the spans.
+as UTF-8 or else Latin-1 and put on the worklist in turn, until nothing new comes. A layer is known by its text and the place it came
+from, so a cycle ends and no layer is read twice. Each character of a layer knows the range of the raw text it stands for, which gives
+the spans. Escapes inside escapes are unwrapped LEVELS times layer by layer, then all at once in one pass, so a long chain of them takes
+time in proportion to its length. A base64 run is decoded from each of its first four characters, whatever stands before its content.
 
 Cases: a null text is empty and has no secrets; repeated rows get a row each; other columns pass through :func:`redact_secrets` as they
 are and are not read by :func:`scan_secrets`. MAX_UNPACKED bytes for each stream that a text holds, with all inside it, bounds what
@@ -50,8 +52,12 @@ STEP = 4096
 #: Two bytes are a zlib header, so other bytes may look like a stream: one that breaks off within so many is scanned but not missed.
 FIRST = 64
 MAX_UNPACKED = 64 << 20
-#: A text without any of these has neither secrets nor layers. RE2, over whole columns.
-ANY = r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{24}|[A-Za-z0-9+/_-]{16}|%[0-9a-f]{2}|\\[ux]|&#"
+#: Layers of escapes inside escapes that are read one by one.
+LEVELS = 4
+#: A text without any of these has neither secrets nor layers. RE2, over whole columns; the same for Python's matcher.
+ANY = (r"(?i)password|passwd|secret|token|api_?key|AKIA|[0-9a-f]{24}|[A-Za-z0-9+/_-]{16}|%[0-9a-f]{2}|\\[ux]|&#|\x00"
+       r"|\x1f\x{8b}\x08|x[\x01^\x{9c}\x{da}]|BZh[1-9]|\x{fd}7zXZ|\(\x{b5}/\x{fd}")
+_ANY = re.compile(re.sub(r"\\x\{(..)\}", r"\\x\1", ANY))
 REDACTED = "<redacted>"
 
 SPANS = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())]))
@@ -73,6 +79,7 @@ class Layer:
     ends: np.ndarray
     budget: list[int] | None = None  # bytes that streams inside may still yield, if it came out of one
     streams: bool = True  # whether characters below 256 may stand for bytes
+    level: int = 0  # escapes unwrapped in a row to get here
 
     def raw(self, start: int, end: int) -> tuple[int, int]:
         return int(self.starts[start:end].min()), int(self.ends[start:end].max())
@@ -140,6 +147,20 @@ def _without_nuls(layer: Layer) -> Layer | None:
     return Layer(layer.text.replace("\0", ""), layer.starts[keep], layer.ends[keep], layer.budget, False)
 
 
+def _wide(layer: Layer) -> Layer | None:
+    """UTF-16 bytes as the text they spell, if nearly every second one is NUL."""
+    if "\0" not in layer.text or len(layer.text) < 4 or WIDE.search(layer.text):
+        return None
+    codes = np.frombuffer(layer.text.encode("latin-1"), dtype=np.uint8).astype(np.int64)
+    half = len(codes) // 2
+    for high in (1, 0):  # little-endian first
+        if (codes[high::2] == 0).mean() > 0.8:
+            units = codes[1 - high:2 * half:2] + 256 * codes[high:2 * half:2]
+            units[(units >= 0xD800) & (units < 0xE000)] = 0xFFFD
+            return Layer("".join(map(chr, units.tolist())), layer.starts[0:2 * half:2], layer.ends[1:2 * half:2], layer.budget)
+    return None
+
+
 def _unicode(layer: Layer) -> Layer | None:
     if "\\" not in layer.text and "&#" not in layer.text:
         return None
@@ -159,6 +180,35 @@ def _unicode(layer: Layer) -> Layer | None:
     return _replaced(layer, pieces)
 
 
+_ESCAPE = re.compile(r"(?:%([0-7][0-9A-Fa-f])|\\u\{0{0,4}([0-7]?[0-9A-Fa-f])\}|\\u00([0-7][0-9A-Fa-f])|\\U000000([0-7][0-9A-Fa-f])|\\x([0-7][0-9A-Fa-f])"
+                     r"|&#x0{0,4}([0-7]?[0-9A-Fa-f]);|&#0{0,4}([0-9]{1,3});)\Z")
+#: The longest escape of an ASCII character.
+ESCAPE_CHARS = 12
+#: Characters that end one.
+_ENDS = frozenset("0123456789ABCDEFabcdef};")
+
+
+def _resolved(layer: Layer) -> Layer | None:
+    """The layer with every escape of an ASCII character replaced, also those that come out of replaced ones, in one pass: an escape that
+    ends where the output ends is replaced there, and what follows is read behind it."""
+    out, low, high, changed = [], [], [], False
+    for i, c in enumerate(layer.text):
+        out.append(c)
+        low.append(i)
+        high.append(i)
+        while out[-1] in _ENDS and (m := _ESCAPE.search("".join(out[-ESCAPE_CHARS:]))):
+            code = int(m[7]) if m[7] else int(next(g for g in m.groups() if g), 16)
+            if code > 127:
+                break
+            size, changed = len(m[0]), True
+            out[-size:] = [chr(code)]
+            low[-size:] = [low[-size]]
+            high[-size:] = [i]
+    if not changed:
+        return None
+    return Layer("".join(out), layer.starts[np.array(low)], layer.ends[np.array(high)], layer.budget)
+
+
 def _tool(raw: bytes):
     """A decompressor for what the bytes begin with, or None."""
     if raw[:2] == b"\x1f\x8b":
@@ -211,8 +261,6 @@ class _Zstd:
         return b"".join(out)
 
 
-
-
 def _unpacked(raw: bytes, most: int) -> tuple[bytes, bool | None, int] | None:
     """What the compressed streams at the start of ``raw`` hold, one after the other, up to ``most`` bytes; whether that is all of them
     (None: it may be no stream); and how many bytes they take. None: there is no stream."""
@@ -248,8 +296,8 @@ def _unpacked(raw: bytes, most: int) -> tuple[bytes, bool | None, int] | None:
 
 def _bytes_of(token: str) -> bytes | None:
     plain = token.rstrip("=").replace("-", "+").replace("_", "/")
-    if len(plain) % 4 == 1:
-        return None
+    if len(plain) % 4 == 1:  # a character of what follows
+        plain = plain[:-1]
     try:
         return base64.b64decode(plain + "=" * (-len(plain) % 4), validate=True)
     except (binascii.Error, ValueError):
@@ -304,10 +352,14 @@ def _packed_children(layer: Layer, most: int, unread: list[tuple[int, int]]) ->
         return Layer(text, np.broadcast_to(np.int64(low), len(text)), np.broadcast_to(np.int64(high), len(text)), budget)
 
     done, broken = [], []
-    for at, token in _runs(layer.text):
+    # all runs from their first character, then from the next three: something may stand before the content
+    aligned = [(at[k:], token[k:], k) for k in range(4) for at, token in _runs(layer.text) if len(token) - k > 2]
+    for at, token, shift in aligned:
         start, end = int(at[0]), int(at[-1]) + 1
         if any(s <= start and end <= e for s, e in done) or not (raw := _bytes_of(token)):
             continue
+        if shift and not _ANY.search(raw.decode("latin-1")):
+            continue
         used = 0
         if (found := unpacked(raw)) is not None:
             out, whole, used, budget = found
@@ -351,13 +403,23 @@ def _scanned(text: str, most: int = MAX_UNPACKED) -> tuple[list[tuple[str, int,
     found, unread = set(base), []
 
     def children(layer: Layer) -> Iterator[Layer | None]:
-        as_text, as_bytes = _percent(layer), _percent_bytes(layer)
-        if as_bytes is not None:
-            as_text.streams = False
-            yield as_bytes
-        yield as_text
-        yield _unicode(layer)
+        if not _ANY.search(layer.text):
+            return
+        deeper = layer.level + 1
+        if deeper > LEVELS and (whole := _resolved(layer)) is not None:
+            yield whole
+        else:
+            as_text, as_bytes, as_unicode = _percent(layer), _percent_bytes(layer), _unicode(layer)
+            for own in (as_text, as_bytes, as_unicode):
+                if own is not None:
+                    own.level = deeper
+            if as_bytes is not None:
+                as_text.streams = False
+                yield as_bytes
+            yield as_text
+            yield as_unicode
         yield _without_nuls(layer)
+        yield _wide(layer)
         yield from _packed_children(layer, most, unread)
 
     root = Layer(text, np.arange(len(text)), np.arange(1, len(text) + 1))
