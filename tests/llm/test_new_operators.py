@@ -108,13 +108,13 @@ def _random_texts(rng, n):
     return ["".join(rng.choice(words) + rng.choice(seps) for _ in range(rng.randrange(60))) for _ in range(n)]
 
 
-@pytest.mark.parametrize("ranks", [0, 3, 2048])
-def test_collocations_of_random_texts(spark, ranks):
+@pytest.mark.parametrize("ranks, table", [(0, 0), (3, 0), (3, 10 ** 6), (2048, 0), (2048, 10 ** 6), (0, 10 ** 6)])
+def test_collocations_of_random_texts(spark, ranks, table):
     rng = random.Random(ranks)
     docs = [(t, rng.choice(["en", "fr", None, "und"])) for t in _random_texts(rng, 250)] + [(None, "en"), ("", None), (None, None)]
     docs += docs[:20]
     want = brute.collocations(docs, 30, 4, 25)
-    assert want and _phrases(spark, docs, top=25, ranks=ranks) == want
+    assert want and _phrases(spark, docs, top=25, ranks=ranks, table=table) == want
 
 
 def test_collocations_literal_cases(spark):
@@ -132,15 +132,22 @@ def test_scores_beyond_64_bits(spark):
     assert (cut["score"], cut["k"], cut["l"], cut["r"]) == (2000000 * 10 ** 17 // (10 ** 18 + 3), 1, 10 ** 18, 3)
 
 
-def test_tally_counts_what_a_plain_count_counts():
+@pytest.mark.parametrize("by_rank", [True, False])
+def test_tally_counts_what_a_plain_count_counts(by_rank):
     rng = np.random.default_rng(1)
-    ids = rng.integers(0, 2 ** 63, 3000, dtype=np.uint64)
-    left, right = ids[rng.zipf(1.3, 50000) % 3000], ids[rng.zipf(1.3, 50000) % 3000]
-    tally = collocations.Tally(ids[:1000])
+    ids = np.unique(rng.integers(0, 2 ** 63, 3000, dtype=np.uint64))
+    rng.shuffle(ids)
+    left, right = ids[rng.zipf(1.3, 50000) % len(ids)], ids[rng.zipf(1.3, 50000) % len(ids)]
+    symbols = collocations.Symbols(ids) if by_rank else collocations.Symbols(ids[:700], np.full(64, 2 ** 64 - 1, dtype=np.uint64))
+    tally = collocations.Tally(symbols)
     batches = [b for i in range(0, 50000, 5000) for b in tally.add(left[i:i + 5000], right[i:i + 5000])] + list(tally.rest())
-    got = pa.Table.from_batches(batches).group_by(["left", "right"]).aggregate([("n", "sum")]).to_pydict()
-    pairs, n = np.unique(np.column_stack((left, right)).view(np.int64), axis=0, return_counts=True)
-    assert sorted(zip(got["left"], got["right"], got["n_sum"])) == sorted((*map(int, p), int(k)) for p, k in zip(pairs, n))
+    got = {}
+    for batch in batches:
+        for *pair, n in zip(*[c.to_pylist() for c in batch.columns]):
+            key = (int(ids[pair[0] >> 32]), int(ids[pair[0] & 0xFFFFFFFF])) if by_rank else tuple(pair)
+            got[key] = got.get(key, 0) + n
+    pairs, n = np.unique(np.column_stack((left, right)), axis=0, return_counts=True)
+    assert got == {(int(a), int(b)): int(k) for (a, b), k in zip(pairs, n)}
 
 
 # --- pieces

@@ -1,15 +1,15 @@
 """Collocations: phrases of two and more words whose words are found together far more often than apart, per language.
 
-Words get the rank of their frequency. Pairs of neighbours are tallied within the tasks: where both ranks are below RANKS, the pair is
-an address in a dense table of rank pairs, tile after tile, counted with bincount; all other pairs are sorted coordinates with
-their counts. Spark adds up what the tasks send. Frequent pairs are ranked anew and take the place of words: two phrases of L words that overlap in all but
-one are a pair again, namely a phrase of L + 1 words. Phrases that are not frequent cannot be part of a frequent one, so a filter of
-the frequent phrases of each length drops pairs before they are tallied. The filter only saves work: what it lets through by mistake
-fails the exact count.
+Words that occur often enough get the rank of their frequency as their id. Pairs of neighbours are tallied within the tasks: where both
+ranks are below RANKS, the pair is an address in a dense table of rank pairs, tile after tile, counted with bincount; all other pairs are
+sorted coordinates with their counts. Spark adds up what the tasks send. Frequent pairs are ranked anew and take the place of words: two
+phrases of L words that overlap in all but one are a pair again, namely a phrase of L + 1 words. Phrases that are not frequent cannot
+be part of a frequent one, so pairs are dropped before they are tallied unless both halves are known to be frequent.
 
-Beyond the ranked ones a word or phrase is named by a 64-bit hash of its language and words; a pair by the hashes of both its halves.
-The driver holds RANKS ids and a filter of at most MAX_BITS bits per length; with more frequent phrases than that has room for the
-filter lets more through, which costs shuffle, never results.
+The ranks of up to TABLE phrases of one length are held by the driver and every task, eight bytes each for the id behind a rank and
+four for the rank. Where more are frequent than that, the phrases beyond the first RANKS go by a 64-bit hash of their language and words
+instead, a pair by both hashes, and a filter of at most MAX_BITS bits drops pairs; what the filter lets through by mistake fails the
+exact count. So what is held is bounded, and results do not depend on it.
 
 Cases: a null text is empty; a null language counts as ``und``; texts without words give nothing; a phrase never crosses a piece or a
 text; repeated rows count each; overlapping occurrences all count; equal scores are told apart by count, then by the bytes of the phrase;
@@ -32,8 +32,10 @@ from tillworks.session import cut_lineage
 #: Ranks with a direct address, in tiles of TILE x TILE counters.
 RANKS, TILE = 1024, 256
 #: Pairs that a task gathers before it sorts and sends them, and distinct words that it holds.
-GATHERED, HELD_WORDS = 1 << 20, 1 << 19
+GATHERED, HELD_WORDS = 3 << 19, 1 << 19
 MAX_BITS = 1 << 24
+#: Phrases of one length that are known by their rank.
+TABLE = 1 << 22
 #: Words of the first cut of a top list, per salt.
 SALTS = 64
 
@@ -75,7 +77,7 @@ def _prepared(docs: DataFrame, text: str, lang: str) -> DataFrame:
 
 
 def count_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(id, lang, word, n): how often each word occurs in the texts of each language."""
+    """(id, lang, word, n): how often each word occurs in the texts of each language; a null word stands for all words of its language."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names, parts, rows = ["id", "lang", "word", "n"], [], 0
         for batch in batches:
@@ -83,7 +85,10 @@ def count_words(docs: DataFrame, text: str = "text", lang: str = "lang") -> Data
                 _, at, n = np.unique(ids, return_index=True, return_counts=True)
                 tongue = batch.column(2).take(pa.array(own[at]))
                 parts.append(pa.table([pa.array(ids[at].view(np.int64)), tongue, _texts(data, starts[at], ends[at]), pa.array(n)], names=names))
-                rows += len(at)
+                own, n = np.unique(own, return_counts=True)
+                parts.append(pa.table([pa.array(np.zeros(len(own), np.int64)), batch.column(2).take(pa.array(own)), pa.nulls(len(own), pa.string()),
+                                       pa.array(n)], names=names))
+                rows += len(at) + len(own)
                 if rows > HELD_WORDS:
                     parts = [_folded(parts)]
                     rows = len(parts[0])
@@ -102,23 +107,36 @@ def _folded(parts: list[pa.Table]) -> pa.Table:
         ["id", "lang", "word", "n"])
 
 
+class Symbols:
+    """The frequent phrases of one length as the tasks know them: by rank, or the first ones by rank and all by a filter."""
+
+    def __init__(self, ids: np.ndarray, bits: np.ndarray | None = None, ranks: int = RANKS):
+        """``ids``: by rank; all of them, unless ``bits`` is the filter."""
+        self.ids, self.bits, self.dense = ids, bits, min(len(ids), ranks)
+        self.rank_of = np.argsort(ids, kind="stable").astype(np.int32)
+        self.ordered = ids[self.rank_of]
+
+    def rank(self, ids: np.ndarray) -> np.ndarray:
+        """Rank of each id, -1 where it has none."""
+        if not len(self.ids):
+            return np.full(len(ids), -1, dtype=np.int64)
+        place = np.minimum(np.searchsorted(self.ordered, ids), len(self.ids) - 1)
+        return np.where(self.ordered[place] == ids, self.rank_of[place], np.int32(-1)).astype(np.int64)
+
+    def frequent(self, ids: np.ndarray) -> np.ndarray:
+        """Whether each id may be a frequent phrase; surely, where all are known by rank."""
+        return in_filter(self.bits, ids) if self.bits is not None else self.rank(ids) >= 0
+
+
 class Tally:
-    """Counts of pairs: an address for ranked ones, sorted coordinates for the rest."""
-
-    def __init__(self, ranked: np.ndarray):
-        """``ranked``: ids by rank."""
-        self.by_id, self.ranked = np.argsort(ranked, kind="stable"), ranked
-        self.sorted_ids = ranked[self.by_id]
-        tiles = -(-len(ranked) // TILE)
-        self.tiles, self.dense = tiles, np.zeros(tiles * tiles * TILE * TILE, dtype=np.int64)
-        self.left, self.right, self.gathered = [], [], 0
+    """Counts of pairs: an address for the first ranks, sorted coordinates for the rest. A pair goes by its ranks in one number, or by
+    the ids of its halves where not all have a rank."""
 
-    def _rank(self, ids: np.ndarray) -> np.ndarray:
-        """Rank of each id, -1 beyond the ranked ones."""
-        if not len(self.ranked):
-            return np.full(len(ids), -1)
-        place = np.minimum(np.searchsorted(self.sorted_ids, ids), len(self.ranked) - 1)
-        return np.where(self.sorted_ids[place] == ids, self.by_id[place], -1)
+    def __init__(self, symbols: Symbols):
+        self.symbols, self.by_rank = symbols, symbols.bits is None
+        self.tiles = -(-symbols.dense // TILE)
+        self.counts = np.zeros(self.tiles * self.tiles * TILE * TILE, dtype=np.int64)
+        self.left, self.right, self.gathered = [], [], 0
 
     def add(self, left: np.ndarray, right: np.ndarray) -> Iterator[pa.RecordBatch]:
         self.left.append(left)
@@ -130,34 +148,38 @@ class Tally:
     def _counted(self) -> Iterator[pa.RecordBatch]:
         left, right = np.concatenate(self.left), np.concatenate(self.right)
         self.left, self.right, self.gathered = [], [], 0
-        a, b = self._rank(left), self._rank(right)
-        near = (a >= 0) & (b >= 0)
+        a, b = self.symbols.rank(left), self.symbols.rank(right)
+        near = (a >= 0) & (b >= 0) & (a < self.symbols.dense) & (b < self.symbols.dense)
         if near.any():
-            a, b = a[near], b[near]
-            address = ((a // TILE) * self.tiles + b // TILE) * (TILE * TILE) + (a % TILE) * TILE + b % TILE
-            self.dense += np.bincount(address, minlength=len(self.dense))
-            left, right = left[~near], right[~near]
-        del a, b, near
+            x, y = a[near], b[near]
+            address = ((x // TILE) * self.tiles + y // TILE) * (TILE * TILE) + (x % TILE) * TILE + y % TILE
+            self.counts += np.bincount(address, minlength=len(self.counts))
+        far = ~near
+        if self.by_rank:
+            pairs, n = np.unique(a[far] << 32 | b[far], return_counts=True)
+            yield from _batches(pairs, n)
+            return
+        left, right = left[far], right[far]
         order = np.lexsort((right, left))
         left, right = left[order], right[order]
         first = np.flatnonzero(np.concatenate(([True], (left[1:] != left[:-1]) | (right[1:] != right[:-1])))) if len(left) else np.zeros(0, np.int64)
-        yield from _pairs(left[first], right[first], np.diff(np.append(first, len(left))))
+        yield from _batches(left[first], right[first], np.diff(np.append(first, len(left))))
 
     def rest(self) -> Iterator[pa.RecordBatch]:
         """What is not sent yet, the dense tiles last."""
         if self.gathered:
             yield from self._counted()
-        address = np.flatnonzero(self.dense)
+        address = np.flatnonzero(self.counts)
         tile, place = np.divmod(address, TILE * TILE)
         a, b = (tile // max(self.tiles, 1)) * TILE + place // TILE, (tile % max(self.tiles, 1)) * TILE + place % TILE
-        yield from _pairs(self.ranked[a], self.ranked[b], self.dense[address])
+        n = self.counts[address]
+        yield from _batches(a << 32 | b, n) if self.by_rank else _batches(self.symbols.ids[a], self.symbols.ids[b], n)
 
 
-def _pairs(left: np.ndarray, right: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
-    for i in range(0, len(left), 1 << 16):
-        part = slice(i, i + (1 << 16))
-        yield pa.RecordBatch.from_arrays([pa.array(left[part].view(np.int64)), pa.array(right[part].view(np.int64)), pa.array(n[part].astype(np.int64))],
-                                         names=["left", "right", "n"])
+def _batches(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
+    names = ["pair", "n"] if len(columns) == 2 else ["left", "right", "n"]
+    for i in range(0, len(columns[0]), 1 << 16):
+        yield pa.RecordBatch.from_arrays([pa.array(c[i:i + (1 << 16)].view(np.int64)) for c in columns], names=names)
 
 
 def joined_ids(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -165,67 +187,68 @@ def joined_ids(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return mix(left * np.uint64(0x9E3779B97F4A7C15) + right * np.uint64(0xC2B2AE3D27D4EB4F) + np.uint64(1))
 
 
-def count_pairs(docs: DataFrame, filters: list[np.ndarray], ranked: np.ndarray, text: str = "text", lang: str = "lang") -> DataFrame:
-    """(left, right, n) of neighbouring phrases of len(filters) words, both let through by the filters of their length."""
+def count_pairs(docs: DataFrame, known: list[Symbols], text: str = "text", lang: str = "lang") -> DataFrame:
+    """(pair, f), or (left, right, f), of neighbouring phrases of len(known) words, both frequent as far as ``known`` tells."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tally = Tally(ranked)
+        tally = Tally(known[-1])
         for batch in batches:
             for _, _, _, ids, goes_on, _ in _words(batch):
-                good, reach = in_filter(filters[0], ids), goes_on
-                for bits in filters[1:]:
+                good, reach = known[0].frequent(ids), goes_on
+                for longer in known[1:]:
                     # a phrase from each word on, one word longer than before; the last ones reach past the end and are not good
                     good = good & reach & np.append(good[1:], False)
                     ids = joined_ids(ids, np.append(ids[1:], np.uint64(0)))
-                    good &= in_filter(bits, ids)
+                    good[good] = longer.frequent(ids[good])
                 at = np.flatnonzero(good[:-1] & good[1:] & reach[:-1])
                 yield from tally.add(ids[at], ids[at + 1])
         yield from tally.rest()
 
-    found = _prepared(docs, text, lang).mapInArrow(run, "left bigint, right bigint, n bigint")
-    return found.groupBy("left", "right").agg(F.sum("n").alias("f"))
+    keys = ["pair"] if known[-1].bits is None else ["left", "right"]
+    found = _prepared(docs, text, lang).mapInArrow(run, ", ".join(f"{k} bigint" for k in [*keys, "n"]))
+    return found.groupBy(*keys).agg(F.sum("n").alias("f"))
 
 
-def _named(pairs: DataFrame) -> DataFrame:
-    """Frequent pairs with the id of their phrase."""
+def _named(pairs: DataFrame, symbols: Symbols) -> DataFrame:
+    """(left, right, f, id): frequent pairs by the ids of their halves, with the id of their phrase."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            left, right = (batch.column(i).to_numpy(zero_copy_only=False).view(np.uint64) for i in (0, 1))
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(joined_ids(left, right).view(np.int64))], names=["left", "right", "f", "id"])
+            *own, f = (c.to_numpy(zero_copy_only=False) for c in batch.columns)
+            left, right = (symbols.ids[own[0] >> 32], symbols.ids[own[0] & 0xFFFFFFFF]) if symbols.bits is None else (x.view(np.uint64) for x in own)
+            columns = (left, right, f, joined_ids(left, right))
+            yield pa.RecordBatch.from_arrays([pa.array(c.view(np.int64)) for c in columns], names=["left", "right", "f", "id"])
 
     return pairs.mapInArrow(run, "left bigint, right bigint, f bigint, id bigint")
 
 
-def frequent_filter(phrases: DataFrame) -> np.ndarray:
-    """A filter of their ids with some 32 bits for each, MAX_BITS at most."""
+def known_symbols(phrases: DataFrame, ranks: int = RANKS, table: int = TABLE) -> Symbols:
+    """What tasks are told of the frequent phrases: all by rank, or beyond ``table`` the first and a filter with some 32 bits for each."""
     n = phrases.count()
-    return filter_bits(phrases, "id", min(MAX_BITS, max(1 << 12, 1 << (32 * n).bit_length())))
-
-
-def ranked_ids(phrases: DataFrame, ranks: int = RANKS) -> np.ndarray:
-    """The ids of the most frequent phrases, by rank."""
-    best = phrases.orderBy(F.desc("f"), "id").limit(ranks).select("id").collect()
-    return np.array([r["id"] for r in best], dtype=np.int64).view(np.uint64)
+    best = phrases.orderBy(F.desc("f"), "id").select("id")
+    ids = (best if n <= table else best.limit(ranks)).toArrow().column("id").to_numpy().view(np.uint64)
+    if n <= table:
+        return Symbols(ids, ranks=ranks)
+    return Symbols(ids, filter_bits(phrases, "id", min(MAX_BITS, max(1 << 12, 1 << (32 * n).bit_length()))), ranks)
 
 
 def frequent_phrases(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 30, longest: int = 4,
-                     ranks: int = RANKS) -> tuple[DataFrame, list[DataFrame]]:
+                     ranks: int = RANKS, table: int = TABLE) -> tuple[DataFrame, list[DataFrame]]:
     """((lang, n) of all words, frequent phrases of 1, 2, ... ``longest`` words), each table written once.
 
     Phrases: id, lang, phrase, last (its last word), f, heads and tails (how often its first and last 1, 2, ... words occur, itself last),
     and from two words on left and right, the ids of the phrases without its last and first word.
     """
-    words = cut_lineage(count_words(docs, text, lang))
-    totals = words.groupBy("lang").agg(F.sum("n").alias("n"))
+    words = cut_lineage(count_words(docs, text, lang).where(F.col("word").isNull() | (F.col("n") >= min_count)))
+    totals = words.where(F.col("word").isNull()).select("lang", "n")
     alone = F.array("n")
-    levels = [cut_lineage(words.where(F.col("n") >= min_count).select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"),
-                                                                     F.col("n").alias("f"), alone.alias("heads"), alone.alias("tails")))]
-    filters: list[np.ndarray] = []
+    levels = [words.where(F.col("word").isNotNull()).select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"),
+                                                            F.col("n").alias("f"), alone.alias("heads"), alone.alias("tails"))]
+    known: list[Symbols] = []
     for _ in range(longest - 1):
-        filters.append(frequent_filter(levels[-1]))
-        found = count_pairs(docs, filters, ranked_ids(levels[-1], ranks), text, lang).where(F.col("f") >= min_count)
+        known.append(known_symbols(levels[-1], ranks, table))
+        found = count_pairs(docs, known, text, lang).where(F.col("f") >= min_count)
         head = levels[-1].select(F.col("id").alias("left"), "lang", F.col("phrase").alias("start"), "heads")
         tail = levels[-1].select(F.col("id").alias("right"), "last", "tails")
-        levels.append(cut_lineage(_named(found).join(head, "left").join(tail, "right").select(
+        levels.append(cut_lineage(_named(found, known[-1]).join(head, "left").join(tail, "right").select(
             "id", "lang", F.concat_ws(" ", "start", "last").alias("phrase"), "last", "f", F.concat("heads", F.array("f")).alias("heads"),
             F.concat("tails", F.array("f")).alias("tails"), "left", "right")))
     return totals, levels
@@ -242,14 +265,14 @@ def weakest_cut(scale: int) -> Column:
 
 
 def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_count: int = 30, longest: int = 4, scale: int = 2000000,
-                 absorbed: tuple[int, int] = (80, 100), top: int = 2000, ranks: int = RANKS) -> DataFrame:
+                 absorbed: tuple[int, int] = (80, 100), top: int = 2000, ranks: int = RANKS, table: int = TABLE) -> DataFrame:
     """The ``top`` phrases of each language: lang, rank, phrase, a (occurrences), l and r (of the parts of its weakest cut), n (words of the
     language), score, k (words before the cut).
 
     A phrase goes if one longer frequent phrase with all its words holds at least ``absorbed`` of its occurrences. Phrases longer by
     one word settle that: a still longer one occurs no more often than the one within it.
     """
-    totals, levels = frequent_phrases(docs, text, lang, min_count, longest, ranks)
+    totals, levels = frequent_phrases(docs, text, lang, min_count, longest, ranks, table)
     share, whole = absorbed
     kept = []
     for level, longer in zip(levels[1:], [*levels[2:], None]):
