@@ -6,6 +6,7 @@ from pyspark.sql.window import Window
 
 from tillworks.functions import skew
 from tillworks.operators.dispatch import distance_stats, rider_code_list
+from tillworks.sources.tables import scan_by_keys
 
 SKEW = {
     "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "32",
@@ -48,6 +49,15 @@ def test_semi_and_anti_joins_split_too(skewed, how):
     assert how == "left_anti" or "skew=true" in check._jdf.queryExecution().executedPlan().toString()
 
 
+def test_a_key_scan_splits_a_hot_key_and_takes_no_null(skewed):
+    keys = skewed.filter("k < 250 or k is null").select("k")
+    out = scan_by_keys(skewed, keys, "k")
+    assert out.count() == skewed.filter("k < 250").count()
+    check = out.agg(F.max("pad"))
+    check.collect()
+    assert "skew=true" in check._jdf.queryExecution().executedPlan().toString()
+
+
 def test_running_sum_and_lead_equal_plain_windows(skewed):
     df = skewed.withColumn("b", F.floor(F.col("o") / 100)).drop("pad")
     out = skew.running_sum(df, ["k"], "b", ["o", "v"], F.col("v"), "r").drop("_slot")

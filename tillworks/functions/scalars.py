@@ -70,12 +70,29 @@ def to_number(c, missing=None) -> Column:
     return n if missing is None else F.coalesce(n, F.lit(missing).cast("double"))
 
 
+#: How the source database compares names: without regard to case, accents and trailing blanks.
+NAME_COLLATION = "UNICODE_CI_AI_RTRIM"
+
+
+def casefold(c) -> Column:
+    """Text for comparing without regard to case, as programs fold it: sharp s becomes ss, a dotted I keeps its dot, a final sigma is one
+    like any other."""
+    # a dotless i has a place of its own meanwhile; what stands between keeps the optimizer from taking lower(upper(x)) for lower(x)
+    upper = F.replace(F.translate(F.upper(F.translate(col(c), "ı", "\ue000")), "Σ", "σ"), F.lit("ẞ"), F.lit("SS"))
+    return F.translate(F.lower(upper), "\ue000", "ı")
+
+
+def as_name(c) -> Column:
+    """Text that compares, groups and joins as names do in the source database, see NAME_COLLATION."""
+    return F.collate(col(c), NAME_COLLATION)
+
+
 def lookup(c, table: dict[str, str], default=None, fold: bool = False) -> Column:
-    """Replace by a small fixed table; with ``fold`` the key is trimmed and compared case-insensitively."""
-    key = F.lower(strip(c)) if fold else col(c)
+    """Replace by a small fixed table; with ``fold`` the key is trimmed and compared without regard to case (:func:`casefold`)."""
+    key = casefold(strip(c)) if fold else col(c)
     out = None
     for k, v in table.items():
-        hit = key == F.lit(k.strip().lower() if fold else k)
+        hit = key == F.lit(k.strip().casefold() if fold else k)
         out = F.when(hit, F.lit(v)) if out is None else out.when(hit, F.lit(v))
     return out if default is None else out.otherwise(default)
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import col, lookup, money_sum, money_total, strip
+from tillworks.functions.scalars import as_name, casefold, col, lookup, money_sum, money_total, strip
 from tillworks.functions.skew import with_group
 from tillworks.operators.summaries import paid_and_fulfilled
 
@@ -40,14 +40,15 @@ def commission_rate(payment_type, rates: dict[str, float] = fv.COMMISSION_RATES)
 def daily_income(sales: DataFrame, raw: str = "payment_type_raw") -> DataFrame:
     """Per day, outlet and payment type (ignoring case): money, distinct orders and commission.
 
-    Orders are counted per raw name and then added, so an order paid with two names of one type counts twice.
+    Orders are counted per raw name, as the database tells names apart, and then added, so an order paid with two names of one type counts
+    twice.
     """
     day, official = F.to_date("transaction_date"), normalize_payment_type(raw)
     keys = ["date", "outlet_code", "outlet_name", "_type"]
     per_name = (sales.select(day.alias("date"), "outlet_code", "outlet_name", official.alias("_official"),
-                             F.lower(F.rtrim(F.col(raw))).alias("_raw"), "order_id", "subtotal",
+                             as_name(raw).alias("_raw"), "order_id", "subtotal",
                              F.col("total_tax_amount").alias("tax_amount"), F.col("total_amount").alias("total_sales"))
-                .withColumn("_type", F.lower("_official"))
+                .withColumn("_type", casefold("_official"))
                 .groupBy(*keys, "_raw")
                 .agg(F.min("_official").alias("payment_type"), *[money_sum(c).alias(c) for c in ("subtotal", "tax_amount", "total_sales")],
                      F.countDistinct("order_id").alias("total_order")))
@@ -86,10 +87,10 @@ def split_payment_orders(orders: DataFrame) -> DataFrame:
 def reconcile_with_daily(orders: DataFrame, daily: DataFrame) -> DataFrame:
     """Rows where order income and daily income disagree: on one side only, money off by 0.01 or more, other order count."""
     per_order = (orders.filter(F.col("outlet_code").isNotNull() & F.col("payment_type").isNotNull())
-                 .groupBy("date", "outlet_code", F.lower("payment_type").alias("_type"))
+                 .groupBy("date", "outlet_code", casefold("payment_type").alias("_type"))
                  .agg(*[money_total(c).alias(f"{c}_order") for c in MONEY_CHECK],
                       F.countDistinct("order_id").cast("double").alias("total_order_order")))
-    other = daily.select("date", "outlet_code", F.lower("payment_type").alias("_type"),
+    other = daily.select("date", "outlet_code", casefold("payment_type").alias("_type"),
                          *[F.col(c).cast("double").alias(f"{c}_daily") for c in [*MONEY_CHECK, "total_order"]])
     both = (per_order.withColumn("_in_order", F.lit(True))
             .join(other.withColumn("_in_daily", F.lit(True)), ["date", "outlet_code", "_type"], "full_outer"))

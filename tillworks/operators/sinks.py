@@ -8,8 +8,9 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tillworks.functions.skew import first_per_key, join_per_key, side_by_side
 
@@ -163,6 +164,29 @@ def overwrite_partitions(df: DataFrame, path: str, *partitions: str) -> None:
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
+def write_sorted(df: DataFrame, path: str, *order: str, files: int | None = None) -> None:
+    """Write a table in order: the rows of each file come before those of the next one, and are sorted within. Ranges are sampled, so
+    files are about equal in size; rows of one key are never split, so ``order`` should tell rows apart."""
+    ranged = df.repartitionByRange(files, *order) if files else df.repartitionByRange(*order)
+    ranged.sortWithinPartitions(*order).write.parquet(path)
+
+
+def read_sorted(spark: SparkSession, path: str, place: str = "place") -> DataFrame:
+    """A table of :func:`write_sorted` with the place of each row in the whole order, from 1: its row within the file behind all rows of
+    the files before."""
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"))
+    sizes = rows.groupBy("_file").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1))  # a row per file
+    starts = sizes.select("_file", F.coalesce(before, F.lit(0)).alias("_before"))
+    return rows.join(starts, "_file").withColumn(place, F.col("_before") + F.col("_row") + 1).drop("_file", "_row", "_before")
+
+
+def file_ranges(spark: SparkSession, path: str, key: str) -> DataFrame:
+    """(file, rows, least and greatest key) per file of a table."""
+    rows = spark.read.parquet(path).select(F.col("_metadata.file_name").alias("file"), key)
+    return rows.groupBy("file").agg(F.count(F.lit(1)).alias("rows"), F.min(key).alias("least"), F.max(key).alias("greatest"))
+
+
 def write_mirrors(df: DataFrame, paths: list[str]) -> int:
     """Copy one frame to several targets; an empty source is a no-op. Rows written per target."""
     if df.isEmpty():

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tillworks import fixed_values as fv
-from tillworks.functions.scalars import identifier, money_sum
+from tillworks.functions.scalars import as_name, casefold, identifier, money_sum
 from tillworks.operators import income as ops
 from tillworks.operators import landlord as ll
 from tillworks.plans import ctes as c
@@ -74,6 +74,35 @@ def normalize_payment_type(spark, sf):
                                    ops.normalize_payment_type("payment_type_raw").alias("payment_type"))
 
 
+#: Spellings, the class that case folding puts them in, and the one that the collation of the source database does.
+_SPELLINGS = [("Straße", 1, 1), ("STRASSE", 1, 1), ("strasse ", 2, 1), ("İ", 3, 2), ("i", 4, 2), ("I", 4, 2), ("Café", 5, 3), ("CAFE", 6, 3), ("cafe  ", 7, 3),
+              ("ΟΔΟΣ", 8, 4), ("οδος", 8, 4), ("οδοσ", 8, 4), ("\u212a", 9, 5), ("k", 9, 5), ("x", 10, 6), (" x", 11, 7)]
+
+
+@query("label_spellings", f"""
+WITH v(i, label, folded, named) AS (VALUES {", ".join(f"({i}, {c.q(x)}, {a}, {b})" for i, (x, a, b) in enumerate(_SPELLINGS))})
+SELECT x.label AS one, y.label AS other, x.folded = y.folded AS same_folded, x.named = y.named AS same_name, count(*) AS n
+FROM orders JOIN v x ON o_orderkey % {len(_SPELLINGS)} = x.i JOIN v y ON o_custkey % {len(_SPELLINGS)} = y.i GROUP BY ALL""")
+def label_spellings(spark, sf):
+    """Which spellings of a label count as one."""
+    words = F.array(*[F.lit(x) for x, _, _ in _SPELLINGS])
+    pick = lambda k: F.get(words, (F.col(k) % len(_SPELLINGS)).cast("int"))
+    rows = s.table(spark, sf, "orders").select(pick("o_orderkey").alias("one"), pick("o_custkey").alias("other"))
+    return (rows.groupBy("one", "other").agg(F.count(F.lit(1)).alias("n"))
+            .select("one", "other", (casefold("one") == casefold("other")).alias("same_folded"), (as_name("one") == as_name("other")).alias("same_name"), "n"))
+
+
+@query("label_groups", f"""
+WITH v(i, label, folded, named) AS (VALUES {", ".join(f"({i}, {c.q(x)}, {a}, {b})" for i, (x, a, b) in enumerate(_SPELLINGS))})
+SELECT min(label) AS first_spelling, count(DISTINCT label) AS spellings, count(*) AS n FROM orders JOIN v ON o_orderkey % {len(_SPELLINGS)} = i GROUP BY named""")
+def label_groups(spark, sf):
+    """Labels grouped as the source database groups names."""
+    words = F.array(*[F.lit(x) for x, _, _ in _SPELLINGS])
+    rows = s.table(spark, sf, "orders").select(F.get(words, (F.col("o_orderkey") % len(_SPELLINGS)).cast("int")).alias("label"))
+    return (rows.groupBy(as_name("label").alias("name")).agg(F.min("label").alias("first_spelling"), F.countDistinct("label").alias("spellings"),
+                                                              F.count(F.lit(1)).alias("n")).drop("name"))
+
+
 @query("daily_est_income", HEAD + "SELECT * FROM daily")
 def daily_est_income(spark, sf):
     return daily(spark, sf).orderBy("date", "outlet_code", "payment_type")

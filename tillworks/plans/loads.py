@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from tillworks import fixed_values as fv
 from tillworks.operators import audit, sinks
@@ -12,6 +13,7 @@ from tillworks.plans import cleaning
 from tillworks.plans import ctes as c
 from tillworks.plans import summaries as sums
 from tillworks.plans.registry import query
+from tillworks.session import scratch_path
 from tillworks.sources import standin as s
 from tillworks.sources.tables import scan_by_keys as keyed_scan
 from tillworks.sources.tables import window_scan
@@ -47,6 +49,24 @@ def scan_by_keys(spark, sf):
     return keyed_scan(s.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_extendedprice"), keys, "l_orderkey")
 
 
+@query("sorted_headers", c.with_(c.HEADERS) + """
+SELECT order_id, transaction_id, total_amount, row_number() OVER (ORDER BY total_amount, transaction_id) AS place FROM headers""")
+def sorted_headers(spark, sf):
+    """Places that come from the files alone: the file's name and the row within it."""
+    path = scratch_path(spark, "sorted")
+    sinks.write_sorted(s.headers(spark, sf).select("order_id", "transaction_id", "total_amount"), path, "total_amount", "transaction_id", files=12)
+    return sinks.read_sorted(spark, path)
+
+
+@query("sorted_file_ranges", c.with_(c.HEADERS) + "SELECT CAST(count(*) AS BIGINT) AS rows, CAST(0 AS BIGINT) AS overlapping FROM headers")
+def sorted_file_ranges(spark, sf):
+    path = scratch_path(spark, "sorted")
+    sinks.write_sorted(s.headers(spark, sf).select("transaction_id", "total_amount"), path, "transaction_id", files=12)
+    files = sinks.file_ranges(spark, path, "transaction_id")
+    behind = F.col("least") <= F.lag("greatest").over(Window.orderBy("file"))
+    return files.withColumn("behind", F.coalesce(behind, F.lit(False))).agg(F.sum("rows").alias("rows"), F.count_if("behind").alias("overlapping"))
+
+
 # --- window and date replaces: target = the daily summary, some owners unknown; new = a recomputation with other sums ---
 
 _T = "transaction_date, outlet_code, ownership_model, total_collected, total_order"

@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tillworks.functions.skew import join_per_key
 from tillworks.session import observed
 
 PROMOTION = T.StructType([
@@ -195,9 +194,14 @@ def check_window(start: str, end: str, max_days: int | None = None, not_after: s
 
 
 def scan_by_keys(df: DataFrame, keys: DataFrame, on: str | list[str]) -> DataFrame:
-    """Rows whose key is in another frame: one semi join instead of id lists in chunks."""
-    on = [on] if isinstance(on, str) else on
-    return join_per_key(df, keys.select(*on).distinct(), on, "left_semi")
+    """Rows whose key is in another frame: one semi join instead of id lists in chunks; a NULL key is in none.
+
+    The join stands on the plain columns and both sides come straight from their shuffles. So adaptive execution can split a hot key's
+    rows, and where the scan is large (``spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold``) the optimizer filters
+    it by a Bloom filter of the keys before it is shuffled.
+    """
+    on = [on] if isinstance(on, str) else list(on)
+    return df.join(keys.select(*on), on, "left_semi")
 
 
 def write_reports(reports: dict[str, DataFrame], folder: str) -> list[str]:
