@@ -1,5 +1,7 @@
 """Helpers against brute force, with one key holding a third of the rows."""
 
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -89,8 +91,17 @@ def test_median_and_code_list_of_a_hot_order(spark):
         assert r.median_blasted_rider_distance_m == pytest.approx(round(statistics.median(values), 2), abs=0.011)
         assert r.nearest_blasted_rider_distance_m == min(values) and r.max_blasted_rider_distance_m == max(values)
     assert out[3].median_blasted_rider_distance_m is None
-    pings = df.select("pending_order_id", F.col("route_distance_m").alias("distance_in_meter"), "rider_code", F.lit(0).alias("created_at"))
+    pings = df.select("pending_order_id", F.col("route_distance_m").alias("distance_in_meter"), "rider_code",
+                      F.lit(dt.datetime(2024, 1, 1)).cast("timestamp_ntz").alias("created_at"))
     codes = {r.pending_order_id: r.blasted_rider_codes for r in rider_code_list(pings).collect()}
     assert codes[2] == "a, c, b" and codes[3] == "x"
     expected = [c for _, _, c in sorted(rows[:2000], key=lambda r: (r[1], r[2]))]
     assert codes[1].split(", ") == expected
+
+
+def test_codes_without_a_distance_are_listed_by_time(spark):
+    t0 = dt.datetime(2024, 1, 1, 8)
+    rows = [(1, None, t0 + dt.timedelta(minutes=i * 7919 % 3000), f"c{i}") for i in range(500)] + [(1, None, None, "early"), (1, 4.0, t0, "near")]
+    df = spark.createDataFrame(rows, "pending_order_id int, distance_in_meter double, created_at timestamp_ntz, rider_code string")
+    unknown = sorted(rows[:500], key=lambda r: (r[2], r[3]))
+    assert rider_code_list(df).first()["blasted_rider_codes"].split(", ") == ["near", "early", *[r[3] for r in unknown]]

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tillworks.functions.scalars import detour, haversine, local_time, minutes_between, money, np_round, seconds_between
+from tillworks.functions.scalars import detour, haversine, local_time, micros, minutes_between, money, np_round, seconds_between
 from tillworks.functions.skew import bucket_offsets, first_per_key, join_per_key, join_slots
 
 ORDER = "pending_order_id"
@@ -64,21 +67,31 @@ def nearest_rider(pings: DataFrame) -> DataFrame:
                        F.col("blast_rider_lat").alias("nearest_blasted_rider_lat"), F.col("blast_rider_long").alias("nearest_blasted_rider_lng"))
 
 
-def ping_summary(pings: DataFrame, blasts: DataFrame) -> DataFrame:
+def blast_rounds(blasts: DataFrame) -> DataFrame:
+    """Per order: its number of rounds, and the round of each blast as a map. An order's rounds are few, so they fit into one row."""
+    rounds = blasts.groupBy(ORDER, "blast_id").agg(F.min("blast_round").alias("blast_round"), F.count(F.lit(1)).alias("_n"))
+    return rounds.groupBy(ORDER).agg(
+        F.sum("_n").alias("total_blast_rounds"),
+        F.map_from_entries(F.collect_list(F.when(F.col("blast_id").isNotNull(), F.struct("blast_id", "blast_round")))).alias("_round_of"))
+
+
+def ping_summary(pings: DataFrame, rounds: DataFrame) -> DataFrame:
     """What the order summary needs of the pings, from one grouping of them: their number, the nearest rider, and the first accepted
-    round with the pings up to it. Pings are folded per round first; an order's rounds are few, so they fit into one row."""
+    round with the pings up to it; and the number of rounds. ``rounds`` comes from :func:`blast_rounds`. Pings are folded per blast first."""
     place = ["rider_code", "blast_rider_lat", "blast_rider_long"]
     near = F.min(F.when(F.col("distance_in_meter").isNotNull(), F.struct("distance_in_meter", "created_at", *place)))
     per_blast = pings.groupBy(ORDER, "blast_id").agg(
         F.count(F.lit(1)).alias("_n"), F.max(F.coalesce(F.col("response") == "ACCEPTED", F.lit(False))).alias("_acc"), near.alias("_near"))
-    rounds = per_blast.join(blasts.select("blast_id", "blast_round"), "blast_id", "left")
-    per_order = rounds.groupBy(ORDER).agg(
-        F.sum("_n").alias("total_riders_blasted"), F.min("_near").alias("_near"),
-        F.min(F.when(F.col("_acc"), F.col("blast_round"))).alias("accepted_blast_round"), F.collect_list(F.struct("blast_round", "_n")).alias("_rounds"))
-    until = F.filter("_rounds", lambda r: r["blast_round"] <= F.col("accepted_blast_round"))
-    return per_order.select(
-        ORDER, "total_riders_blasted", "accepted_blast_round",
-        F.when(F.col("accepted_blast_round").isNotNull(), F.aggregate(until, F.lit(0).cast("bigint"), lambda a, r: a + r["_n"]))
+    per_order = per_blast.groupBy(ORDER).agg(
+        F.sum("_n").alias("total_riders_blasted"), F.min("_near").alias("_near"), F.collect_list(F.struct("blast_id", "_n", "_acc")).alias("_blasts"))
+    df = per_order.join(rounds, ORDER, "full")
+    round_of = lambda b: F.try_element_at("_round_of", b["blast_id"])
+    accepted = F.array_min(F.transform(F.filter("_blasts", lambda b: b["_acc"]), round_of))
+    df = df.withColumn("accepted_blast_round", accepted)
+    until = F.filter("_blasts", lambda b: round_of(b) <= F.col("accepted_blast_round"))
+    return df.select(
+        ORDER, "total_riders_blasted", "total_blast_rounds", "accepted_blast_round",
+        F.when(F.col("accepted_blast_round").isNotNull(), F.aggregate(until, F.lit(0).cast("bigint"), lambda a, b: a + b["_n"]))
         .alias("riders_blasted_until_accept"),
         F.col("_near.rider_code").alias("nearest_blasted_rider_code"), F.col("_near.blast_rider_lat").alias("nearest_blasted_rider_lat"),
         F.col("_near.blast_rider_long").alias("nearest_blasted_rider_lng"))
@@ -94,10 +107,12 @@ def earliest_reason(orders: DataFrame, records: DataFrame) -> DataFrame:
 def rider_code_list(pings: DataFrame, bucket_m: float = 500.0) -> DataFrame:
     """Rider codes per order, nearest first, unknown distances last, joined by ', '.
 
-    Codes are sorted and joined per distance band first, so a task sorts one band; an order then joins its bands' texts.
+    Codes are sorted and joined per band first, so a task sorts one band; an order then joins its bands' texts. Bands are distances, and
+    hours where the distance is unknown.
     """
     unknown = F.col("distance_in_meter").isNull()
-    band = F.struct(unknown.alias("u"), F.coalesce(F.floor(F.col("distance_in_meter") / bucket_m), F.lit(0)).alias("b"))
+    hour = F.coalesce(F.floor(micros("created_at") / 3.6e9), F.lit(-(2 ** 63)))
+    band = F.struct(unknown.alias("u"), F.coalesce(F.floor(F.col("distance_in_meter") / bucket_m), hour).alias("b"))
     entry = F.struct("distance_in_meter", "created_at", "rider_code")
     sorted_codes = lambda c, f: F.array_join(F.transform(F.array_sort(F.collect_list(c)), lambda x: x[f]), ", ")
     bands = pings.groupBy(ORDER, band.alias("band")).agg(sorted_codes(entry, "rider_code").alias("codes"))
@@ -135,14 +150,14 @@ def distance_stats(positions: DataFrame, bucket_m: float = 1000.0, value: str =
 
     Distances are counted per value, and the middle ranks are found from running counts within distance bands.
     """
-    counts = (positions.groupBy(ORDER, F.col(value).alias("_v")).agg(F.count(F.lit(1)).alias("_c")))
+    counts = positions.select(ORDER, F.col(value).alias("_v")).groupBy(ORDER, "_v").agg(F.count("_v").alias("_c"))  # 0 where it is unknown
     stats = counts.groupBy(ORDER).agg(
         F.min("_v").alias("_min"), F.max("_v").alias("_max"),
-        (F.sum(money("_v") * F.col("_c")).cast("double") / F.nullif(F.sum(F.when(F.col("_v").isNotNull(), F.col("_c"))), F.lit(0))).alias("_mean"))
-    known = counts.filter(F.col("_v").isNotNull()).withColumn("_bucket", F.floor(F.col("_v") / bucket_m))
-    offsets = bucket_offsets(known, [ORDER], "_bucket", F.col("_c")).drop("_t")
+        (F.sum(money("_v") * F.col("_c")).cast("double") / F.nullif(F.sum("_c"), F.lit(0))).alias("_mean"))
+    banded = counts.withColumn("_bucket", F.floor(F.col("_v") / bucket_m))
+    offsets = bucket_offsets(banded, [ORDER], "_bucket", F.col("_c")).drop("_t")
     inside = Window.partitionBy("_slot").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
-    ranked = join_slots(known, offsets, [ORDER], "_bucket").withColumn("_upto", F.sum("_c").over(inside) + F.col("_before"))
+    ranked = join_slots(banded, offsets, [ORDER], "_bucket").withColumn("_upto", F.sum("_c").over(inside) + F.col("_before"))
     at = lambda rank: F.max(F.when((rank >= F.col("_upto") - F.col("_c")) & (rank < F.col("_upto")), F.col("_v")))
     middle = ranked.groupBy(ORDER).agg(
         ((at(F.floor((F.col("_total") - 1) / 2)) + at(F.floor(F.col("_total") / 2))) / 2).alias("_median"))
@@ -197,21 +212,40 @@ SUMMARY_COLUMNS = [
     "blasted_rider_codes"]
 
 
-def order_summary(orders: DataFrame, pings: DataFrame, blasts: DataFrame, deliveries: DataFrame, app_detail: DataFrame,
-                  records: DataFrame, routes: DataFrame, members: DataFrame) -> DataFrame:
-    """One row per order (41 columns). Every support frame has one row per order before it is joined, so rows never multiply.
+@dataclass(frozen=True)
+class DispatchTables:
+    """What the order summary reads, cut by the order id: orders (:func:`pending_orders`), pings with the order's delivery point, blasts,
+    the last delivery and the first reason of each order."""
+
+    orders: DataFrame
+    pings: DataFrame
+    blasts: DataFrame
+    deliveries: DataFrame
+    reasons: DataFrame
+
+
+def dispatch_tables(orders: DataFrame, pings: DataFrame, blasts: DataFrame, deliveries: DataFrame, records: DataFrame,
+                    store: Callable[[DataFrame, str], DataFrame] = lambda df, name: df) -> DispatchTables:
+    """The tables of the order summary; ``store`` writes each of them, e.g. bucketed by the order id, when it is taken in.
 
-    ``orders`` comes from :func:`pending_orders`, ``deliveries`` from :func:`delivery_detail` (its last row per order counts).
+    ``deliveries`` comes from :func:`delivery_detail`; its last row per order counts. Records know an order by its text reference.
     """
-    last = first_per_key(deliveries, [ORDER], ["trx_id"], last=True)
-    positions = (pings.filter(F.col("blast_rider_lat").isNotNull() & F.col("blast_rider_long").isNotNull())
-                 .select(ORDER, "blast_rider_lat", "blast_rider_long"))
+    orders = store(orders, "orders")
     to = orders.select(ORDER, "delivery_lat", "delivery_lng")
-    distances = distance_stats(route_lookup(join_per_key(positions, to, [ORDER]), routes,
-                                            ["blast_rider_lat", "blast_rider_long", "delivery_lat", "delivery_lng"]))
-    df = orders
-    for part in (ping_summary(pings, blasts), round_metrics(blasts).select(ORDER, "total_blast_rounds"), last,
-                 rider_code_list(pings), distances, earliest_reason(orders, records)):
+    return DispatchTables(orders, store(pings.join(to, ORDER, "left"), "pings"), store(blasts, "blasts"),
+                          store(first_per_key(deliveries, [ORDER], ["trx_id"], last=True), "deliveries"),
+                          store(earliest_reason(orders, records), "reasons"))
+
+
+def order_summary(tables: DispatchTables, app_detail: DataFrame, routes: DataFrame, members: DataFrame) -> DataFrame:
+    """One row per order (41 columns). Every support frame has one row per order before it is joined, so rows never multiply. All joins
+    by order are on the plain order id: none of them shuffles bucketed tables."""
+    positions = tables.pings.filter(F.col("blast_rider_lat").isNotNull() & F.col("blast_rider_long").isNotNull() & F.col("delivery_lat").isNotNull()
+                                    & F.col("delivery_lng").isNotNull())
+    points = ["blast_rider_lat", "blast_rider_long", "delivery_lat", "delivery_lng"]
+    distances = distance_stats(route_lookup(positions.select(ORDER, *points), routes, points))
+    df = tables.orders
+    for part in (ping_summary(tables.pings, blast_rounds(tables.blasts)), tables.deliveries, rider_code_list(tables.pings), distances, tables.reasons):
         df = df.join(part, ORDER, "left")
     df = df.na.fill(0, ["total_riders_blasted", "total_blast_rounds", "accepted_blast_round", "riders_blasted_until_accept"])
     df = df.join(app_detail, "transaction_id", "left")

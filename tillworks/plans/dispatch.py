@@ -8,7 +8,7 @@ from tillworks.functions.scalars import haversine
 from tillworks.operators import dispatch as ops
 from tillworks.plans import ctes as c
 from tillworks.plans.registry import query
-from tillworks.session import cut_lineage
+from tillworks.session import bucketed, cut_lineage
 from tillworks.sources import standin as s
 
 START, END, AS_OF = "1995-01-01", "2001-12-31", "2001-06-01"
@@ -232,22 +232,29 @@ summary AS (
 SUMMARY_SQL = c.with_(PENDING, PINGS, METRICS, DELIV, ORIGIN, SUMMARY)
 
 
-def summary_routes(spark, sf, deliveries):
+BUCKETS = 8
+
+
+def stored_tables(spark, sf):
+    """The summary's tables, bucketed by order id."""
+    deliveries = ops.delivery_detail(s.dispatch_transactions(spark, sf), s.dispatch_deliveries(spark, sf), START, END)
+    return ops.dispatch_tables(pending(spark, sf), s.dispatch_pings(spark, sf), s.dispatch_blasts(spark, sf), deliveries, s.dispatch_records(spark, sf),
+                               lambda df, name: bucketed(df, "pending_order_id", BUCKETS, name))
+
+
+def summary_routes(tables):
     """Route table for all point pairs the summary may ask for."""
-    pings = s.dispatch_pings(spark, sf)
-    origin = (pending(spark, sf).join(ops.nearest_rider(pings), "pending_order_id", "left").withColumn("total_riders_blasted", F.lit(1)))
-    origin = ops.resolve_origin(origin).select("pending_order_id", "origin_lat", "origin_lng", "delivery_lat", "delivery_lng")
-    done = origin.join(deliveries.select("pending_order_id", "rider_completion_lat", "rider_completion_lng"), "pending_order_id")
-    points = (_points(_positions(spark, sf), *PING_POINTS).unionByName(_points(origin, "origin_lat", "origin_lng", "delivery_lat", "delivery_lng"))
-              .unionByName(_points(done, "origin_lat", "origin_lng", "rider_completion_lat", "rider_completion_lng")))
+    origin = (tables.orders.join(ops.nearest_rider(tables.pings), "pending_order_id", "left").withColumn("total_riders_blasted", F.lit(1)))
+    origin = ops.resolve_origin(origin).join(tables.deliveries.select("pending_order_id", "rider_completion_lat", "rider_completion_lng"),
+                                             "pending_order_id", "left")
+    points = (_points(tables.pings, *PING_POINTS).unionByName(_points(origin, "origin_lat", "origin_lng", "delivery_lat", "delivery_lng"))
+              .unionByName(_points(origin, "origin_lat", "origin_lng", "rider_completion_lat", "rider_completion_lng")))
     return cut_lineage(s.routes_between(points))
 
 
 def summary(spark, sf):
-    deliveries = ops.delivery_detail(s.dispatch_transactions(spark, sf), s.dispatch_deliveries(spark, sf), START, END)
-    routes = summary_routes(spark, sf, deliveries)
-    return ops.order_summary(pending(spark, sf), s.dispatch_pings(spark, sf), s.dispatch_blasts(spark, sf), deliveries, s.app_order_detail(spark, sf),
-                             s.dispatch_records(spark, sf), routes, ops.members_on(s.vouchers(spark, sf), AS_OF))
+    tables = stored_tables(spark, sf)
+    return ops.order_summary(tables, s.app_order_detail(spark, sf), summary_routes(tables), ops.members_on(s.vouchers(spark, sf), AS_OF))
 
 
 @query("ondemand_order_summary", SUMMARY_SQL + "SELECT * FROM summary")
@@ -259,7 +266,15 @@ def ondemand_order_summary(spark, sf):
 SELECT pending_order_id, CASE WHEN straight_line_distance_m > 0 THEN round_even(actual_route_distance_m / straight_line_distance_m * 1000.0::DOUBLE, 0) / 1000.0::DOUBLE END AS route_detour_ratio
 FROM summary""")
 def detour_ratio(spark, sf):
-    return ops.route_detour(summary(spark, sf))
+    """Origin and route of each order only, not the whole summary."""
+    pings = s.dispatch_pings(spark, sf)
+    df = (pending(spark, sf).join(ops.nearest_rider(pings), "pending_order_id", "left")
+          .withColumn("total_riders_blasted", F.lit(1)))
+    to = ["origin_lat", "origin_lng", "delivery_lat", "delivery_lng"]
+    df = cut_lineage(ops.resolve_origin(df).select("pending_order_id", *to))
+    df = ops.route_lookup(df, s.routes_between(_points(df, *to)), to)
+    df = df.select("pending_order_id", haversine(*to).alias("straight_line_distance_m"), F.col("route_distance_m").alias("actual_route_distance_m"))
+    return ops.route_detour(df)
 
 
 @query("status_counts", c.with_(PENDING) + "SELECT dispatcher_status AS value, count(*) AS n FROM po GROUP BY 1")

@@ -49,6 +49,7 @@ def _local_folder() -> str:
 
 
 _SCRATCH: list[str] = []
+_TABLES: list[str] = []
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -104,6 +105,8 @@ def folders_below(spark: SparkSession, name: str) -> list[str]:
 def remove_scratch(spark: SparkSession) -> int:
     """Delete what this process wrote to scratch paths, once no frame built on them is needed; returns how many there were."""
     n = len(_SCRATCH)
+    while _TABLES:
+        spark.sql(f"DROP TABLE IF EXISTS `{_TABLES.pop()}`")
     while _SCRATCH:
         delete_path(spark, _SCRATCH.pop())
     return n
@@ -122,3 +125,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "table")
     df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
+
+
+def bucketed(df: DataFrame, key: str, buckets: int, name: str = "bucketed") -> DataFrame:
+    """Write a frame as a table cut and sorted by a key, below the shared folder; joins and groupings on the key then need no shuffle among
+    tables of as many buckets. All rows of a key lie in one file: for keys with few rows each."""
+    path = scratch_path(df.sparkSession, name)
+    table = "tillworks_" + path.rsplit("/", 1)[1].replace("-", "_")
+    _TABLES.append(table)
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(table)
+    return df.sparkSession.table(table)
