@@ -429,3 +429,15 @@ def test_five_million_blanks_in_a_text(spark, blank):
     rows = spark.createDataFrame([(1, 0, "user", "x"), (1, 1, "assistant", text)], "conv_id long, turn long, role string, text string")
     out = chat.digests(chat.format_conversations(rows)).first()
     assert (out["loss_chars"], out["loss_sha256"]) == (len(text), hashlib.sha256(text.encode()).hexdigest())
+
+
+def test_a_passage_in_many_items_and_documents(spark):
+    """Rows in proportion to both, not to their product: items that share a passage are one row of the join."""
+    n = 600
+    items = [(i, f"{PASSAGE} {PASSAGE}" if i % 3 else f"own{i} {PASSAGE} tail{i}") for i in range(n)] + [(None, PASSAGE), (n, "short words"), (n + 1, None)]
+    docs = [(i, f"start{i} {PASSAGE} {PASSAGE} end" if i % 2 else f"x{i} {PASSAGE} and short words") for i in range(n)] + [(n, "nothing here")]
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    got = {r["id"]: r for r in decontamination.benchmark_hits(spark.createDataFrame(docs, "doc_id long, text string"), bench).collect()}
+    for doc, n_words, n_hit, found in brute.decontaminated(docs[:4] + docs[-1:], [(i, t) for i, t in items if i is not None]):
+        assert (got[doc]["n_words"], got[doc]["n_hit"], tuple(got[doc]["items"])) == (n_words, n_hit, found)
+    assert all(len(got[i]["items"]) == len(got[i % 2]["items"]) for i in range(n)) and not got[n]["items"]

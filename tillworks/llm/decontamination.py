@@ -111,7 +111,13 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", te
     short = items.select(F.col(item_id).alias("id"), F.col(item_text).alias("text"))
     item_prints = cut_lineage(short.mapInArrow(_mapper(window, k, None, None), f"id {kind}, n_words bigint, prints array<{PRINT}>"))
     lengths = sorted(r[0] for r in item_prints.where((F.col("n_words") > 0) & (F.col("n_words") < window)).select("n_words").distinct().collect())
-    bench = item_prints.select(F.col("id").cast("string").alias("item"), "n_words", F.explode("prints").alias("b")).distinct()
+    size = F.least(F.col("n_words"), F.lit(window)).alias("size")
+    bench = item_prints.select(F.col("id").cast("string").alias("item"), size, F.explode("prints").alias("b"))
+    # items that share a passage and its surroundings are one row with the set of their ids, and a set is known by a digest
+    bench = bench.groupBy("size", *[F.col(f"b.{c}").alias(c) for c in ("h", "left", "mid", "right")]).agg(F.sort_array(F.collect_set("item")).alias("items"))
+    bench = cut_lineage(bench.withColumn("items_key", F.sha2(F.to_json("items"), 256)))
+    sets = bench.select("items_key", "items").dropDuplicates(["items_key"])
+    bench = bench.select("size", F.struct("h", "left", "mid", "right").alias("b"), "items_key")
     table = spark.sparkContext.broadcast(filter_bits(bench.select(F.col("b.h").alias("h")), "h"))
 
     kind = docs.schema[doc_id].dataType.simpleString()
@@ -123,11 +129,13 @@ def benchmark_hits(docs: DataFrame, items: DataFrame, doc_id: str = "doc_id", te
     left, right = _same(F.col("d.left"), F.col("b.left")), _same(F.col("d.right"), F.col("b.right"))
     spans = (found.join(bench, F.col("d.h") == F.col("b.h"))
              .where(F.col("d.mid") == F.col("b.mid"))
-             .select("row", "item", "n_words", (F.col("d.p") - left).alias("s"), (F.col("d.p") + F.size("d.mid") + right).alias("e"))
-             .where(F.col("e") - F.col("s") >= F.least(F.col("n_words"), F.lit(window))))
-    per_row = spans.groupBy("row").agg(F.collect_set(F.struct("s", "e")).alias("spans"), F.collect_set("item").alias("items"))
+             .select("row", "items_key", "size", (F.col("d.p") - left).alias("s"), (F.col("d.p") + F.size("d.mid") + right).alias("e"))
+             .where(F.col("e") - F.col("s") >= F.col("size")))
+    per_row = cut_lineage(spans.groupBy("row").agg(F.collect_set(F.struct("s", "e")).alias("spans"), F.collect_set("items_key").alias("keys")))
+    listed = (per_row.select("row", F.explode("keys").alias("items_key")).join(sets, "items_key").groupBy("row")
+              .agg(F.array_distinct(F.flatten(F.collect_list("items"))).alias("items")))
     none = F.array().cast("array<struct<s:int,e:int>>")
-    return (rows.select("row", "id", "n_words").join(per_row, "row", "left")
+    return (rows.select("row", "id", "n_words").join(per_row.drop("keys"), "row", "left").join(listed, "row", "left")
             .select(F.col("id.id").alias("id"), F.col("id.k").alias("text_key"), "n_words",
                     F.coalesce(F.sort_array("spans"), none).alias("spans"),
                     F.coalesce(F.sort_array("items"), F.array().cast("array<string>")).alias("items"))
