@@ -122,6 +122,37 @@ def test_a_window_load_rewrites_its_months(spark, tmp_path):
     assert months_between("2023-11-30", "2024-02-01") == ["2023-11", "2023-12", "2024-01", "2024-02"]
 
 
+def test_scans_list_only_the_months_they_need(spark, tmp_path):
+    tables = tables_at(spark, tmp_path, t=by_month("d"))
+    days = spark.range(731).select(F.col("id").alias("k"), F.date_add(F.lit(dt.date(2023, 1, 1)), F.col("id").cast("int")).alias("d"))
+    tables.load({"t": days})
+    got = tables.window("t", "d", "2023-12-31", "2024-01-02", 1, 0)
+    assert rows(got, "d") == [(dt.date(2023, 12, 30) + dt.timedelta(i),) for i in range(4)]
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert f"PartitionFilters: [{PART}#" in plan and f"IN (2023-12,2024-01,{EMPTY})" in plan
+    spark.createDataFrame([(395, dt.datetime(2024, 1, 30), "x"), (396, dt.datetime(2024, 2, 2), "x"), (9, dt.datetime(2023, 1, 10), "y")],
+                          "k long, at timestamp_ntz, kind string").write.parquet(str(tmp_path / "keys"))
+    keys = spark.read.parquet(str(tmp_path / "keys")).where("kind = 'x'")
+    found = tables.of_keys("t", keys, "k", "at", 2)
+    assert rows(found, "k") == [(395,), (396,)]
+    found.collect()
+    assert "dynamicpruning" in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dates_and_batches_are_replaced_in_their_months(spark, tmp_path):
+    tables = tables_at(spark, tmp_path, t=by_month("d"))
+    at = lambda m, day: dt.date(2024, m, day)
+    tables.load({"t": spark.createDataFrame([(at(1, 1), "a", 1), (at(1, 2), "a", 1), (at(2, 1), "a", 1), (at(2, 1), "b", 1)], "d date, batch string, v int")})
+    before = files_of(tmp_path, "t")
+    new = spark.createDataFrame([(at(2, 1), "a", 2)], "d date, batch string, v int")
+    loads.load_batch(tables, "t", new, "d", "batch", "a")
+    assert rows(tables.read("t").where("d = DATE'2024-02-01'"), "batch", "v") == [("a", 2), ("b", 1)]
+    loads.load_dates(tables, "t", new, "d")
+    assert rows(tables.read("t"), "d", "batch", "v") == [(at(1, 1), "a", 1), (at(1, 2), "a", 1), (at(2, 1), "a", 2)]
+    loads.load_dates(tables, "t", new.limit(0), "d")
+    assert tables.read("t").count() == 3 and files_of(tmp_path, "t")[f"{PART}=2024-01"] == before[f"{PART}=2024-01"]
+
+
 # --- gates: the target is untouched
 
 def test_empty_window_is_refused(spark, tmp_path):

@@ -44,6 +44,16 @@ def load_window(tables: Tables, name: str, new: DataFrame, column: str, start: s
     return tables.load({name: sinks.replace_window(target, staged, column, start, end, owned)}, {name: parts})
 
 
+def load_dates(tables: Tables, name: str, new: DataFrame, column: str) -> dict[str, int]:
+    """Replace exactly the dates that the result holds; only their months are rewritten, and an empty result changes nothing."""
+    return _rewritten(tables, name, new, lambda rows, staged: sinks.replace_dates(rows, staged, column))
+
+
+def load_batch(tables: Tables, name: str, new: DataFrame, column: str, batch: str, label: str) -> dict[str, int]:
+    """Replace one batch of the result's dates, other batches of these days stay; only their months are rewritten."""
+    return _rewritten(tables, name, new, lambda rows, staged: sinks.replace_batch_log(rows, staged, column, batch, label))
+
+
 def unique_orders(headers: str = "headers") -> Gate:
     """Gate: (order, transaction) is unique."""
     return lambda written: dedup.stop_on(dedup.duplicate_transactions(written[headers]), "orders loaded twice, nothing was written")

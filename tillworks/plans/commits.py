@@ -41,6 +41,52 @@ def committed_window(spark, sf):
     return stored.read("daily")
 
 
+@query("committed_dates", ORACLES["replace_dates"])
+def committed_dates(spark, sf):
+    stored, t = _tables(spark, "dates", daily=by_month("transaction_date")), frames._daily(spark, sf)
+    loads.load_table(stored, "daily", t)
+    new = frames._daily_new(t.filter(F.col("outlet_code") == "00002"))
+    _twice(lambda: loads.load_dates(stored, "daily", new, "transaction_date"))
+    return stored.read("daily")
+
+
+@query("committed_batch_log", ORACLES["replace_batch_log"])
+def committed_batch_log(spark, sf):
+    stored = _tables(spark, "batches", daily=by_month("transaction_date"))
+    t = frames._daily(spark, sf).withColumn("batch_label", F.explode(F.array(F.lit("08AM"), F.lit("11AM"))))
+    loads.load_table(stored, "daily", t)
+    new = frames._daily_new(t.filter((F.col("outlet_code") == "00002") & (F.col("batch_label") == "11AM")))
+    _twice(lambda: loads.load_batch(stored, "daily", new, "transaction_date", "batch_label", "11AM"))
+    return stored.read("daily")
+
+
+_RECENT = "transaction_date >= TIMESTAMP '1998-07-01' AND payment_type = 'GoFood'"
+
+
+@query("pruned_window", """
+SELECT order_id, transaction_id, transaction_date, total_amount FROM (%s SELECT * FROM headers) x
+WHERE CAST(transaction_date AS DATE) BETWEEN DATE '1996-12-30' AND DATE '1997-02-02'""" % c.with_(c.HEADERS))
+def pruned_window(spark, sf):
+    """A window, widened by a day before and two behind, of headers that are stored by month."""
+    stored = _tables(spark, "months", headers=by_month("transaction_date"))
+    loads.load_table(stored, "headers", s.headers(spark, sf).select("order_id", "transaction_id", "transaction_date", "total_amount"))
+    return stored.window("headers", "transaction_date", "1996-12-31", "1997-01-31", 1, 2)
+
+
+@query("pruned_details", c.with_(c.HEADERS, c.DETAILS) + f"""
+SELECT order_id, order_detail_id, total_amount FROM details WHERE order_id IN (SELECT order_id FROM headers WHERE {_RECENT})""")
+def pruned_details(spark, sf):
+    """Details stored by a month that may be a day off their order's: the selected orders decide which months are read."""
+    headers = s.headers(spark, sf)
+    days = headers.groupBy("order_id").agg(F.min("transaction_date").alias("day"))
+    off = (F.col("order_detail_id") % 3 - 1).cast("int")
+    details = s.details(spark, sf).select("order_id", "order_detail_id", "total_amount").join(days, "order_id", "left").withColumn(
+        "day", F.date_add(F.to_date("day"), off))
+    stored = _tables(spark, "months", details=by_month("day"))
+    loads.load_table(stored, "details", details)
+    return stored.of_keys("details", headers.where(_RECENT), "order_id", "transaction_date").drop("day")
+
+
 @query("committed_orders", frames.HEAD + """
 SELECT 'header' AS part, order_id, transaction_id AS row_id, total_amount FROM headers
 UNION ALL SELECT 'detail', order_id, order_detail_id, total_amount FROM details WHERE order_id NOT IN (SELECT order_id FROM sh)

@@ -11,13 +11,14 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Callable, Iterable, Mapping
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tillworks.functions.scalars import col
 from tillworks.session import delete_path, folders_below, move_path, observed, path_exists, write_text
+from tillworks.sources.tables import window_scan
 
 PART = "_part"
 #: The part that holds no rows, but the schema of a table.
@@ -63,6 +64,19 @@ class Tables:
             rows = rows.where(F.col(PART).isin(*parts, EMPTY))
         return rows.drop(PART)
 
+    def window(self, name: str, ts: str, start: str, end: str, days_before: int = 0, days_after: int = 0) -> DataFrame:
+        """Rows of a table cut by months of ``ts`` whose date is in [start, end], widened by whole days; only these months are listed."""
+        first, last = date.fromisoformat(start) - timedelta(days_before), date.fromisoformat(end) + timedelta(days_after)
+        return window_scan(self.read(name, months_between(str(first), str(last))), ts, start, end, days_before, days_after)
+
+    def of_keys(self, name: str, keys: DataFrame, on: str, day: str, days: int = 1) -> DataFrame:
+        """Rows of a table cut by months whose key is in another frame, and whose month lies within some days of that frame's ``day``. The
+        months are found while the query runs: where ``keys`` is small enough to be broadcast, only their parts are read."""
+        self.finish()
+        edges = F.array(*[by_month(F.date_add(F.to_date(day), n)) for n in sorted({-days, 0, days})])
+        wanted = keys.select(on, F.explode(F.array_distinct(edges)).alias(PART))
+        return self.spark.read.parquet(self._folder(name)).join(wanted, [PART, on], "left_semi").drop(PART)
+
     def parts(self, rows: DataFrame, name: str) -> list[str]:
         """The labels that rows have in a table: months or buckets, so a bounded list."""
         return sorted(r[0] for r in rows.select(self.layouts[name]).distinct().collect())
