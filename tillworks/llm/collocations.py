@@ -291,3 +291,31 @@ def collocations(docs: DataFrame, text: str = "text", lang: str = "lang", min_co
         rows = rows.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= top)
     return rows.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", F.col("f").alias("a"), F.col("cut.l").alias("l"),
                                             F.col("cut.r").alias("r"), "n", F.col("cut.score").alias("score"), F.col("cut.k").alias("k"))
+
+
+def oracle_sql(table: str = "documents", min_count: int = 30, longest: int = 4, scale: int = 2000000, absorbed: tuple[int, int] = (80, 100),
+               top: int = 2000) -> str:
+    """The same in SQL, by counting every phrase."""
+    share, whole = absorbed
+    return rf"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-]')), '[^ 	]+') AS w FROM {table}),
+f AS (
+  SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
+  FROM pieces, unnest(range(1, {longest + 1})) AS u(k), unnest(range(1, len(w) - k + 2)) AS v(i) WHERE len(w) >= k GROUP BY ALL),
+found AS (SELECT lang, k, phrase, f, string_split(phrase, ' ') AS w FROM f WHERE k > 1 AND f >= {min_count}),
+around AS (
+  SELECT lang, array_to_string(w[i:i + n - 1], ' ') AS phrase, max(f) AS around
+  FROM found, unnest(range(2, k)) AS u(n), unnest(range(1, k - n + 2)) AS v(i) GROUP BY ALL),
+cuts AS (
+  SELECT c.lang, c.phrase, c.f, j, x.f AS l, y.f AS r, CAST({scale}::HUGEINT * c.f // (x.f + y.f) AS BIGINT) AS score
+  FROM found c, unnest(range(1, c.k)) AS u(j)
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[1:j], ' ') JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[j + 1:], ' ')),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+ranked AS (
+  SELECT c.*, row_number() OVER (PARTITION BY c.lang ORDER BY score DESC, f DESC, c.phrase) AS rank
+  FROM weakest c LEFT JOIN around a ON a.lang = c.lang AND a.phrase = c.phrase WHERE a.around IS NULL OR a.around * {whole}::HUGEINT < c.f * {share}::HUGEINT)
+SELECT lang, rank, phrase, f AS a, l, r, n, score, CAST(j AS INTEGER) AS k
+FROM ranked JOIN (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang) t USING (lang) WHERE rank <= {top}"""

@@ -186,7 +186,7 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.coalesce("audit", F.lit("")).alias("audit"), F.coalesce("sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"))
 
 
-@query("op12_direct_address_tiling")
+@query("op12_direct_address_tiling", collocations.oracle_sql())
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
