@@ -140,11 +140,12 @@ def test_tally_counts_what_a_plain_count_counts(by_rank):
     left, right = ids[rng.zipf(1.3, 50000) % len(ids)], ids[rng.zipf(1.3, 50000) % len(ids)]
     symbols = collocations.Symbols(ids) if by_rank else collocations.Symbols(ids[:700], np.full(64, 2 ** 64 - 1, dtype=np.uint64))
     tally = collocations.Tally(symbols)
-    batches = [b for i in range(0, 50000, 5000) for b in tally.add(left[i:i + 5000], right[i:i + 5000])] + list(tally.rest())
+    a, b = symbols.told(left), symbols.told(right)
+    batches = [x for i in range(0, 50000, 5000) for x in tally.add(a[i:i + 5000], b[i:i + 5000])] + list(tally.rest())
     got = {}
     for batch in batches:
         for *pair, n in zip(*[c.to_pylist() for c in batch.columns]):
-            key = (int(ids[pair[0] >> 32]), int(ids[pair[0] & 0xFFFFFFFF])) if by_rank else tuple(pair)
+            key = (int(ids[pair[0] >> 32]), int(ids[pair[0] & 0xFFFFFFFF])) if by_rank else tuple(np.array(pair, dtype=np.int64).view(np.uint64).tolist())
             got[key] = got.get(key, 0) + n
     pairs, n = np.unique(np.column_stack((left, right)), axis=0, return_counts=True)
     assert got == {(int(a), int(b)): int(k) for (a, b), k in zip(pairs, n)}

@@ -123,14 +123,14 @@ class Symbols:
         place = np.minimum(np.searchsorted(self.ordered, ids), len(self.ids) - 1)
         return np.where(self.ordered[place] == ids, self.rank_of[place], np.int32(-1)).astype(np.int64)
 
-    def frequent(self, ids: np.ndarray) -> np.ndarray:
-        """Whether each id may be a frequent phrase; surely, where all are known by rank."""
-        return in_filter(self.bits, ids) if self.bits is not None else self.rank(ids) >= 0
+    def told(self, ids: np.ndarray) -> np.ndarray:
+        """What a pair is made of: the rank of each id, or the id itself where not all have a rank; -1 where it is not frequent."""
+        return self.rank(ids) if self.bits is None else np.where(in_filter(self.bits, ids), ids.view(np.int64), np.int64(-1))
 
 
 class Tally:
     """Counts of pairs: an address for the first ranks, sorted coordinates for the rest. A pair goes by its ranks in one number, or by
-    the ids of its halves where not all have a rank."""
+    the ids of its halves where not all have a rank, see :meth:`Symbols.told`."""
 
     def __init__(self, symbols: Symbols):
         self.symbols, self.by_rank = symbols, symbols.bits is None
@@ -148,7 +148,7 @@ class Tally:
     def _counted(self) -> Iterator[pa.RecordBatch]:
         left, right = np.concatenate(self.left), np.concatenate(self.right)
         self.left, self.right, self.gathered = [], [], 0
-        a, b = self.symbols.rank(left), self.symbols.rank(right)
+        a, b = (left, right) if self.by_rank else (self.symbols.rank(left.view(np.uint64)), self.symbols.rank(right.view(np.uint64)))
         near = (a >= 0) & (b >= 0) & (a < self.symbols.dense) & (b < self.symbols.dense)
         if near.any():
             x, y = a[near], b[near]
@@ -173,7 +173,7 @@ class Tally:
         tile, place = np.divmod(address, TILE * TILE)
         a, b = (tile // max(self.tiles, 1)) * TILE + place // TILE, (tile % max(self.tiles, 1)) * TILE + place % TILE
         n = self.counts[address]
-        yield from _batches(a << 32 | b, n) if self.by_rank else _batches(self.symbols.ids[a], self.symbols.ids[b], n)
+        yield from _batches(a << 32 | b, n) if self.by_rank else _batches(*(self.symbols.ids[x].view(np.int64) for x in (a, b)), n)
 
 
 def _batches(*columns: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -193,14 +193,15 @@ def count_pairs(docs: DataFrame, known: list[Symbols], text: str = "text", lang:
         tally = Tally(known[-1])
         for batch in batches:
             for _, _, _, ids, goes_on, _ in _words(batch):
-                good, reach = known[0].frequent(ids), goes_on
+                told = known[0].told(ids)
                 for longer in known[1:]:
-                    # a phrase from each word on, one word longer than before; the last ones reach past the end and are not good
-                    good = good & reach & np.append(good[1:], False)
+                    # a phrase from each word on, one word longer than before; the last ones reach past the end and are not frequent
+                    whole = np.flatnonzero((told != -1) & goes_on & (np.append(told[1:], -1) != -1))
                     ids = joined_ids(ids, np.append(ids[1:], np.uint64(0)))
-                    good[good] = longer.frequent(ids[good])
-                at = np.flatnonzero(good[:-1] & good[1:] & reach[:-1])
-                yield from tally.add(ids[at], ids[at + 1])
+                    told = np.full(len(ids), -1, dtype=np.int64)
+                    told[whole] = longer.told(ids[whole])
+                at = np.flatnonzero((told[:-1] != -1) & (told[1:] != -1) & goes_on[:-1])
+                yield from tally.add(told[at], told[at + 1])
         yield from tally.rest()
 
     keys = ["pair"] if known[-1].bits is None else ["left", "right"]
@@ -301,7 +302,8 @@ def oracle_sql(table: str = "documents", min_count: int = 30, longest: int = 4,
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang, regexp_extract_all(unnest(regexp_split_to_array(
     translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
--]')), '[^ 	]+') AS w FROM {table}),
+-
+]')), '[^ 	]+') AS w FROM {table}),
 f AS (
   SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f
   FROM pieces, unnest(range(1, {longest + 1})) AS u(k), unnest(range(1, len(w) - k + 2)) AS v(i) WHERE len(w) >= k GROUP BY ALL),
