@@ -88,11 +88,15 @@ def as_name(c) -> Column:
 
 
 def lookup(c, table: dict[str, str], default=None, fold: bool = False) -> Column:
-    """Replace by a small fixed table; with ``fold`` the key is trimmed and compared without regard to case (:func:`casefold`)."""
-    key = casefold(strip(c)) if fold else col(c)
+    """Replace by a small fixed table; with ``fold`` the key is trimmed and compared without regard to case (:func:`casefold`), and worked
+    out once, not again for each entry."""
+    if fold:
+        pairs = F.create_map(*[F.lit(x) for k, v in {k.strip().casefold(): v for k, v in table.items()}.items() for x in (k, v)])
+        out = F.try_element_at(pairs, casefold(strip(c)))
+        return out if default is None else F.coalesce(out, default)
     out = None
     for k, v in table.items():
-        hit = key == F.lit(k.strip().casefold() if fold else k)
+        hit = col(c) == F.lit(k)
         out = F.when(hit, F.lit(v)) if out is None else out.when(hit, F.lit(v))
     return out if default is None else out.otherwise(default)
 

@@ -236,10 +236,11 @@ BUCKETS = 8
 
 
 def stored_tables(spark, sf):
-    """The summary's tables, bucketed by order id."""
+    """The summary's tables: those with many rows per order are stored, bucketed by order id; the others have one row per order."""
+    large = {"orders", "pings", "blasts"}
     deliveries = ops.delivery_detail(s.dispatch_transactions(spark, sf), s.dispatch_deliveries(spark, sf), START, END)
     return ops.dispatch_tables(pending(spark, sf), s.dispatch_pings(spark, sf), s.dispatch_blasts(spark, sf), deliveries, s.dispatch_records(spark, sf),
-                               lambda df, name: bucketed(df, "pending_order_id", BUCKETS, name))
+                               lambda df, name: bucketed(df, "pending_order_id", BUCKETS, name) if name in large else df)
 
 
 def summary_routes(tables):

@@ -16,30 +16,35 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tillworks.functions.skew import first_per_key
 
-PROVIDER = "spark.sql.streaming.stateStore.providerClass"
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+#: State in RocksDB, on disk instead of in the heap; no batch without rows, as these streams tell nothing new when the watermark moves.
+SETTINGS = {
+    "spark.sql.streaming.stateStore.providerClass": "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.noDataMicroBatches.enabled": "false",
+}
 BATCH = "batch"
 
 
 @contextmanager
-def rocksdb_state(spark: SparkSession) -> Iterator[None]:
-    """Streams started inside keep their state in RocksDB, on disk instead of in the heap; the session's own setting comes back."""
-    before = spark.conf.get(PROVIDER, None)
-    spark.conf.set(PROVIDER, ROCKSDB)
+def state_settings(spark: SparkSession) -> Iterator[None]:
+    """Streams started inside run with SETTINGS; the session's own ones come back."""
+    before = {key: spark.conf.get(key, None) for key in SETTINGS}
+    for key, value in SETTINGS.items():
+        spark.conf.set(key, value)
     try:
         yield
     finally:
-        if before is None:
-            spark.conf.unset(PROVIDER)
-        else:
-            spark.conf.set(PROVIDER, before)
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
 
 
 def start_updates(rows: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
     """Run a stateful stream over what its source holds now; every batch's rows go to ``folder``."""
     # an empty batch, so that the answer can be read before the first row came
     rows.sparkSession.createDataFrame([], rows.schema).write.mode("overwrite").parquet(f"{folder}/{BATCH}=-1")
-    with rocksdb_state(rows.sparkSession):
+    with state_settings(rows.sparkSession):
         return (rows.writeStream.outputMode("update").foreachBatch(batch_writer(folder)).option("checkpointLocation", checkpoint)
                 .trigger(availableNow=True).start())
 
