@@ -58,8 +58,11 @@ def flatten_orders(spark, sf):
         "transactions_payment_type_name", "tx_amount", "status", "fulfillment_status", "total_amount")
 
 
+JSON_LINES = 20_000
+
+
 def _json_lines(spark, sf) -> str:
-    """The documents as lines of JSON text in a folder, some of them broken on purpose: cut off, in a list, with a date that is none, without
+    """The documents as lines of JSON text in packed files of a folder, some of them broken on purpose: cut off, in a list, with a date that is none, without
     an order id."""
     docs = s.order_documents(spark, sf)
     number = F.col("order_id").cast("bigint")
@@ -68,7 +71,9 @@ def _json_lines(spark, sf) -> str:
             .when(number % 37 == 5, F.regexp_replace(text, '"order_date":"[^"]*"', '"order_date":"soon"'))
             .when(number % 43 == 6, F.regexp_replace(text, '"order_id":"[^"]*",', '"drawer":7,')).otherwise(text))
     path = scratch_path(spark, "json")
-    docs.select(text.alias("value")).write.text(path)
+    # a packed file is read by one task, so files are cut by lines; packing fast costs little room
+    (docs.select(text.alias("value")).write.option("compression", "gzip").option("zlib.compress.level", "BEST_SPEED")
+     .option("maxRecordsPerFile", JSON_LINES).text(path))
     return path
 
 
