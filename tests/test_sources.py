@@ -9,8 +9,10 @@ from oracle import TESTDATA
 from pyspark.sql import functions as F
 
 from tillworks.functions.scalars import as_name, casefold, lookup, money_sum, money_value
+from tillworks.functions.skew import among
 from tillworks.operators import cube, sinks
 from tillworks.operators.documents import one_document_per_order
+from tillworks.plans import orders as order_plans
 from tillworks.sources import tables
 from tillworks.sources.standin import order_documents
 
@@ -84,6 +86,31 @@ def test_the_last_document_of_an_order_stays(spark):
     assert sorted((r[0] or "", r[2]) for r in got.collect()) == [("", "x"), ("", "x"), ("1", "b"), ("2", "c"), ("3", "e"), ("4", "f")]
 
 
+def test_documents_pulled_once_are_not_shuffled(spark):
+    docs = spark.range(500).select(F.col("id").cast("string").alias("order_id"), F.lit(T0).alias("closed_date"), F.lit("a").alias("notes"))
+    plan = one_document_per_order(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftAnti" not in plan and "LeftSemi" not in plan
+    again = docs.where("order_id % 50 = 0").withColumn("notes", F.lit("b")).withColumn("closed_date", F.lit(T0 + dt.timedelta(hours=1)))
+    got = {r["order_id"]: r["notes"] for r in one_document_per_order(docs.unionAll(again)).collect()}
+    assert got == {str(i): "a" if i % 50 else "b" for i in range(500)}
+
+
+@pytest.mark.parametrize("words", [1, 64])
+def test_no_key_is_left_out_of_a_key_filter(spark, words):
+    keys = spark.range(0, 3000, 7).select(F.col("id").cast("string").alias("k"))
+    rows = spark.range(3000).select(F.col("id").cast("string").alias("k"))
+    hit = {int(r["k"]) for r in rows.filter(among(keys, "k", words)).collect()}
+    assert hit >= set(range(0, 3000, 7)) and (words == 1 or len(hit) < 1500)
+    assert rows.filter(among(keys.limit(0), "k", words)).count() == 0
+
+
+def test_json_lines_are_packed_in_files_of_bounded_length(spark, monkeypatch):
+    monkeypatch.setattr(order_plans, "JSON_LINES", 100)
+    path = order_plans._json_lines(spark, f"{TESTDATA}/sf0.001")
+    files = spark.read.text(path).groupBy(F.col("_metadata.file_name").alias("file")).count().collect()
+    assert all(r["file"].endswith(".gz") and r["count"] <= 100 for r in files)
+
+
 # --- key scans
 
 LARGE = {"spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0", "spark.sql.autoBroadcastJoinThreshold": "-1"}
