@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tillworks.operators import riders
 from tillworks.operators.loads import stored_orders
+from tillworks.plans import streams
 from tillworks.streaming import hourly, sessions
 from tillworks.streaming.state import finish, state_figures
 from tillworks.streaming.upsert import order_tables, start_upsert
@@ -158,3 +159,13 @@ def test_an_intake_batch_that_runs_again_changes_nothing(spark, tmp_path):
     for batch_id, part in ((0, rows[:20]), (1, rows[15:]), (1, rows[15:])):
         apply(_sales(spark, part), batch_id)
     assert spark.read.parquet(f"{folder}/rows").groupBy("late").count().orderBy("late").collect() == [("false", 41), ("true", 4)]
+
+
+def test_dealt_rows_come_in_pieces_in_turn(spark, tmp_path):
+    rows = spark.range(900).withColumn("_file", (F.col("id") % 3).cast("int"))
+    stream = streams._written(rows, str(tmp_path / "in"), "id")
+    seen = []
+    finish(stream.writeStream.foreachBatch(lambda batch, _: seen.append({r["id"] % 3 for r in batch.collect()}))
+           .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
+    assert seen == [{0}, {1}, {2}]
+    assert all(len(list((tmp_path / "in" / f"_part={i}").glob("*.parquet"))) == streams.PIECES for i in range(3))
