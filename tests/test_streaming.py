@@ -79,6 +79,19 @@ def test_sessions_before_the_first_event(spark, tmp_path):
     assert got.isEmpty()
 
 
+def test_of_deliveries_of_an_event_the_first_counts(spark, tmp_path):
+    at = lambda m: T0 + dt.timedelta(minutes=m)
+    got, _ = _sessions(spark, tmp_path, [[(1, "r", at(0), "true"), (2, "r", at(9), "true")], [(2, "r", at(9), "false"), (3, "r", at(20), "false")]])
+    assert [(r.session_start, r.session_end, r.total_logs, r.total_true_logs) for r in got.collect()] == [(at(0), at(20), 3, 2)]
+
+
+def test_sessions_are_told_without_python_workers(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    days = sessions.day_runs(_stream(spark, str(tmp_path / "in"), EVENTS))
+    assert days.isStreaming and "python" not in days._jdf.queryExecution().logical().toString().lower()
+    assert days.schema.simpleString() == spark.createDataFrame([], sessions.SLOTS).schema.simpleString()
+
+
 def test_upsert_across_batches(spark, tmp_path):
     schema = "order_id long, transaction_id long, order_date timestamp_ntz, n_details long, v string"
     path = str(tmp_path / "in")

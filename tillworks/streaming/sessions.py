@@ -1,22 +1,18 @@
 """Standing sessions of riders as a stateful stream.
 
 Events may arrive in any order and more than once. The state is keyed by rider and day, so a rider with a third of all events is
-worked on by many tasks: it holds the day's events packed in order, and a micro-batch reads the state of its own days only. What
-goes out for such a day are its runs: the pieces between two moments at which the flag turns true. A late event cuts a run or joins two
-within its day; whether the first run of a day goes on from the day before is settled when the answer is read, from one row per rider and
-day. No stored event is read again.
+worked on by many tasks: it is an aggregate that holds the day's events as they were delivered, and a micro-batch reads the state of its own
+days only. What goes out for such a day are its runs: the pieces between two moments at which the flag turns true. A late event cuts a run or
+joins two within its day; whether the first run of a day goes on from the day before is settled when the answer is read, from one row per
+rider and day. No stored event is read again.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-from typing import Any
-
-import numpy as np
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.window import Window
 
 from tillworks.functions.scalars import from_micros, micros, parse_flag
@@ -26,54 +22,43 @@ from tillworks.streaming.state import newest, start_updates
 KEYS = ["rider_code", "slot"]
 RUN = "first_true bigint, last_false bigint, last bigint, logs bigint, true_logs bigint, false_logs bigint"
 SLOTS = f"rider_code string, slot date, first_on boolean, last_on boolean, runs array<struct<{RUN.replace(' bigint', ':bigint')}>>"
-#: An event: time and id (with their absence), and flag: 1 true, 0 false, -1 neither.
-EVENT = np.dtype([("timed", "?"), ("at", "<i8"), ("named", "?"), ("id", "<i8"), ("flag", "i1")])
-
-
-def merged(old: np.ndarray, new: np.ndarray) -> np.ndarray:
-    """Events of a slot in order of time and id, missing ones first; an event delivered again counts once, one without id always."""
-    both = np.concatenate([old, new])
-    both = both[np.lexsort((both["id"], both["named"], both["at"], both["timed"]))]
-    again = both["named"][1:] & (both["id"][1:] == both["id"][:-1]) & (both["at"][1:] == both["at"][:-1]) & (both["timed"][1:] == both["timed"][:-1])
-    return both[np.concatenate(([True], ~(again & both["named"][:-1])))]
-
 
-def runs_of(events: np.ndarray) -> list[tuple]:
-    """(first true, last false, last, logs, true logs, false logs) of each run; the first one begins with the slot."""
-    on = events["flag"] == 1
-    starts = np.flatnonzero(np.concatenate(([True], on[1:] & ~on[:-1])))
-    out = []
-    for part in np.split(events, starts[1:]):
-        true, false = part["timed"] & (part["flag"] == 1), part["timed"] & (part["flag"] == 0)
-        timed = part["at"][part["timed"]]
-        out.append((int(part["at"][true].min()) if true.any() else None, int(part["at"][false].max()) if false.any() else None,
-                    int(timed.max()) if len(timed) else None, int(part["named"].sum()), int((part["flag"] == 1).sum()), int((part["flag"] == 0).sum())))
-    return out
 
+def _on(event: Column) -> Column:
+    return F.coalesce(event["flag"], F.lit(False))
 
-class DayRuns(StatefulProcessor):
-    """Keeps the events of a rider's day and tells its runs."""
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.events = handle.getValueState("events", "packed binary")
+def _first_deliveries(events: Column) -> Column:
+    """Events without those delivered again; one without id always counts. ``events``: in order of time, id and delivery, missing ones first."""
+    def kept(x: Column, i: Column) -> Column:
+        before = F.get(events, i - 1)
+        return (i == 0) | x["id"].isNull() | ~(x["id"].eqNullSafe(before["id"]) & x["at"].eqNullSafe(before["at"]))
+    return F.filter(events, kept)
 
-    def handleInputRows(self, key: Any, rows: Iterator[Row], timerValues: Any) -> Iterator[Row]:
-        new = np.array([(r["at"] is not None, r["at"] or 0, r["id"] is not None, r["id"] or 0, -1 if r["flag"] is None else int(r["flag"])) for r in rows],
-                       dtype=EVENT)
-        old = np.frombuffer(self.events.get()[0], dtype=EVENT) if self.events.exists() else np.zeros(0, EVENT)
-        events = merged(old, new)
-        self.events.update((events.tobytes(),))
-        yield Row(rider_code=key[0], slot=key[1], first_on=bool(events["flag"][0] == 1), last_on=bool(events["flag"][-1] == 1), runs=runs_of(events))
 
-    def close(self) -> None:
-        pass
+def _run(part: Column) -> Column:
+    true, false = F.filter(part, _on), F.filter(part, lambda x: ~x["flag"])
+    times = lambda events: F.transform(events, lambda x: x["at"])
+    n = lambda events: F.size(events).cast("bigint")
+    return F.struct(F.array_min(times(true)).alias("first_true"), F.array_max(times(false)).alias("last_false"), F.array_max(times(part)).alias("last"),
+                    n(F.filter(part, lambda x: x["id"].isNotNull())).alias("logs"), n(true).alias("true_logs"), n(false).alias("false_logs"))
 
 
 def day_runs(logs: DataFrame) -> DataFrame:
-    """A stream of (id, rider_code, timestamp, is_stationed) events as updated runs per rider and day."""
-    events = logs.select("rider_code", F.to_date("timestamp").alias("slot"), micros("timestamp").alias("at"), F.col("id").cast("long").alias("id"),
-                         parse_flag("is_stationed").alias("flag"))
-    return events.groupBy(*KEYS).transformWithState(DayRuns(), SLOTS, "Update", "None")
+    """A stream of (id, rider_code, timestamp, is_stationed) events as updated runs per rider and day; the first run begins with the day. Of
+    deliveries of one event the first counts, told by the time of their micro-batch."""
+    event = F.struct(micros("timestamp").alias("at"), F.col("id").cast("long").alias("id"), F.current_timestamp().alias("delivered"),
+                     parse_flag("is_stationed").alias("flag"))
+    days = logs.select("rider_code", F.to_date("timestamp").alias("slot"), event.alias("event")).groupBy(*KEYS).agg(F.collect_list("event").alias("events"))
+    days = days.withColumn("events", F.sort_array("events"))
+    days = days.withColumn("events", _first_deliveries(F.col("events")))
+    places = F.sequence(F.lit(0), F.size("events") - 1)
+    begins = lambda i: (i == 0) | (_on(F.get("events", i)) & ~_on(F.get("events", i - 1)))
+    days = days.withColumn("starts", F.filter(places, begins))
+    ends = lambda k: F.coalesce(F.get("starts", k + 1), F.size("events"))
+    parts = F.transform("starts", lambda start, k: F.slice("events", start + 1, ends(k) - start))
+    return days.select(*KEYS, _on(F.get("events", F.lit(0))).alias("first_on"), _on(F.element_at("events", -1)).alias("last_on"),
+                       F.transform(parts, _run).alias("runs"))
 
 
 def start_sessions(logs: DataFrame, folder: str, checkpoint: str) -> StreamingQuery:
