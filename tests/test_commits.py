@@ -108,6 +108,22 @@ def test_a_load_reads_its_input_once(spark, tmp_path, read_rows):
     assert stream.read("headers").count() == 40 and stream.read("details").count() == 10
 
 
+def test_a_load_of_known_orders_rewrites_nothing(spark, tmp_path):
+    store = order_tables(spark, str(tmp_path / "tables"), 4)
+    headers = spark.range(30).select(F.col("id").alias("order_id"), F.col("id").alias("transaction_id"))
+    details = spark.range(40).select((F.col("id") % 30).alias("order_id"))
+    loads.load_new_orders(store, headers, details)
+    before = files_of(tmp_path, "headers"), files_of(tmp_path, "details")
+    assert loads.load_new_orders(store, headers, details) == {"headers_inserted": 0, "details_inserted": 0, "headers_known": 30}
+    assert (files_of(tmp_path, "headers"), files_of(tmp_path, "details")) == before
+    one = spark.range(30, 31).select(F.col("id").alias("order_id"), F.col("id").alias("transaction_id"))
+    assert loads.load_new_orders(store, headers.unionAll(one), details) == {"headers_inserted": 1, "details_inserted": 0, "headers_known": 30}
+    part = f"{PART}=" + one.select(by_bucket("order_id", 4)).first()[0]
+    after = files_of(tmp_path, "headers"), files_of(tmp_path, "details")
+    assert {p for p in after[0] if after[0][p] != before[0].get(p)} <= {part, f"{PART}={EMPTY}"} and after[1] == before[1]
+    assert store.read("headers").count() == 31 and store.read("details").count() == 40
+
+
 def test_a_window_load_rewrites_its_months(spark, tmp_path):
     tables = tables_at(spark, tmp_path, t=by_month("d"))
     days = spark.range(366).select(F.date_add(F.lit(dt.date(2024, 1, 1)), F.col("id").cast("int")).alias("d"), F.lit(1).alias("v"))

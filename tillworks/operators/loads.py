@@ -66,8 +66,9 @@ def clean_details(component_counts: DataFrame, details: str = "details") -> Gate
 
 def load_new_orders(tables: Tables, headers: DataFrame, details: DataFrame, component_counts: DataFrame | None = None) -> dict[str, int]:
     """Append the orders the tables do not know; headers and details go together or not at all. Both tables are cut by buckets of the order
-    id, and only those of the given orders are read and rewritten. Returns what was appended and how many headers were known."""
-    told = Observation(), Observation()
+    id; only those that get new rows are rewritten, the rows they hold are copied without a shuffle. Returns what was appended and how many
+    headers were known."""
+    told = Observation(), Observation(), Observation()
     n = F.count(F.lit(1)).alias("n")
     headers, details = tables.stage(headers.observe(told[0], n)), tables.stage(details)
     unique_orders()({"headers": headers})
@@ -76,14 +77,14 @@ def load_new_orders(tables: Tables, headers: DataFrame, details: DataFrame, comp
     if not tables.has("headers"):
         counts = tables.load({"headers": headers, "details": details})
         return {"headers_inserted": counts["headers"], "details_inserted": counts["details"], "headers_known": 0}
-    parts = {name: tables.parts(frame, name) for name, frame in (("headers", headers), ("details", details))}
-    own = {name: sorted({*parts["headers"], *parts["details"]}) for name in parts}
-    known = tables.read("headers", own["headers"])
+    known = tables.read("headers", sorted({*tables.parts(headers, "headers"), *tables.parts(details, "details")}))
     new_headers, new_details = sinks.append_new_orders(known, headers, details)
-    told_new = Observation()
-    new_headers, seen = new_headers.observe(told[1], n), new_details.observe(told_new, n)
-    tables.load({"headers": known.unionByName(new_headers), "details": tables.read("details", own["details"]).unionByName(seen)}, own)
-    given, inserted, lines = (observed(x).get("n", 0) for x in (*told, told_new))
+    new = {"headers": tables.stage(new_headers.observe(told[1], n), "headers"), "details": tables.stage(new_details.observe(told[2], n), "details")}
+    own = {name: tables.parts(frame, name) for name, frame in new.items()}
+    grown = {name: tables.read(name, own[name]).unionByName(frame) for name, frame in new.items() if own[name]}
+    if grown:
+        tables.load(grown, own, spread=False)
+    given, inserted, lines = (observed(x).get("n", 0) for x in told)
     return {"headers_inserted": inserted, "details_inserted": lines, "headers_known": given - inserted}
 
 

@@ -81,22 +81,26 @@ class Tables:
         """The labels that rows have in a table: months or buckets, so a bounded list."""
         return sorted(r[0] for r in rows.select(self.layouts[name]).distinct().collect())
 
-    def stage(self, frame: DataFrame) -> DataFrame:
-        """Work a frame out once, into a folder of its own that goes with the load."""
+    def stage(self, frame: DataFrame, like: str | None = None) -> DataFrame:
+        """Work a frame out once, into a folder of its own that goes with the load; with ``like`` its files are cut by the parts of that table,
+        so that a load need not spread its rows."""
         folder = f"{self.path}/_staged/{uuid.uuid4().hex}"
-        frame.write.parquet(folder)
+        rows = frame if like is None else frame.withColumn(PART, self.layouts[like]).hint("rebalance", PART).drop(PART)
+        rows.write.parquet(folder)
         return self.spark.read.schema(frame.schema).parquet(folder)
 
-    def load(self, frames: Mapping[str, DataFrame], touched: Mapping[str, list[str]] | None = None, gates: Iterable[Gate] = ()) -> dict[str, int]:
+    def load(self, frames: Mapping[str, DataFrame], touched: Mapping[str, list[str]] | None = None, gates: Iterable[Gate] = (),
+             spread: bool = True) -> dict[str, int]:
         """Put frames in place of the touched parts of their tables (of all parts, where ``touched`` does not name the table). Every gate sees
-        what was written and may raise. Returns the rows written per table, counted while they were written."""
+        what was written and may raise. Returns the rows written per table, counted while they were written. Rows are shuffled by part first,
+        unless they are read by part already and ``spread`` says no."""
         self.finish()
         load = uuid.uuid4().hex
         written, rows, plan = {}, {}, {}
         for name, frame in frames.items():
             told, folder = Observation(), f"{self.path}/_staged/{load}/{name}"
             labelled = frame.observe(told, F.count(F.lit(1)).alias("n")).withColumn(PART, self.layouts[name])
-            labelled.hint("rebalance", PART).write.partitionBy(PART).parquet(folder)
+            (labelled.hint("rebalance", PART) if spread else labelled).write.partitionBy(PART).parquet(folder)
             self.spark.createDataFrame([], frame.schema).write.parquet(f"{folder}/{PART}={EMPTY}")
             rows[name] = observed(told).get("n", 0)
             written[name] = self.spark.read.parquet(folder).drop(PART)
