@@ -182,3 +182,15 @@ def test_dealt_rows_come_in_pieces_in_turn(spark, tmp_path):
            .option("checkpointLocation", str(tmp_path / "ck")).trigger(availableNow=True).start())
     assert seen == [{0}, {1}, {2}]
     assert all(len(list((tmp_path / "in" / f"_part={i}").glob("*.parquet"))) == streams.PIECES for i in range(3))
+
+
+def test_lines_find_their_orders_before_their_products(spark):
+    lines = spark.createDataFrame([(1, 1, 7, 3, 2.0, 10.0, 0.1, 0.02, "A", "F", T0), (2, 1, 8, 3, 1.0, 5.0, 0.0, 0.0, "N", "O", T0), (2, 1, 8, 3, 1.0, 5.0, 0.0, 0.0, "N", "O", T0)],
+                                  "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_discount double, "
+                                  "l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz")
+    parts = spark.createDataFrame([(7, "cup", "B1", 9.0, "hot"), (8, "tea", "B2", 4.0, "cold")], "p_partkey long, p_name string, p_brand string, p_retailprice double, p_type string")
+    headers = spark.createDataFrame([(2, 21, T0), (2, 22, T0), (3, 31, T0)], "order_id long, transaction_id long, order_date timestamp_ntz")
+    got = streams._lines_of(headers, lines, parts)
+    assert [(r.order_id, r.order_detail_id, r.product_name, r.order_date) for r in got.collect()] == [(2, 21, "tea", T0)] * 2
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join Inner, (l_partkey") < plan.index("Join Inner, (l_orderkey")
