@@ -232,30 +232,27 @@ summary AS (
 SUMMARY_SQL = c.with_(PENDING, PINGS, METRICS, DELIV, ORIGIN, SUMMARY)
 
 
-BUCKETS = 8
+def _by_order(df, name):
+    """Store a frame bucketed by order id, in as many buckets as the session's shuffles have parts: what is shuffled by order meets them as it is."""
+    return bucketed(df, "pending_order_id", int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), name)
 
 
 def stored_tables(spark, sf):
-    """The summary's tables: those with many rows per order are stored, bucketed by order id; the others have one row per order."""
-    large = {"orders", "pings", "blasts"}
+    """The summary's tables; those that are read several times are stored, bucketed by order id."""
     deliveries = ops.delivery_detail(s.dispatch_transactions(spark, sf), s.dispatch_deliveries(spark, sf), START, END)
-    return ops.dispatch_tables(pending(spark, sf), s.dispatch_pings(spark, sf), s.dispatch_blasts(spark, sf), deliveries, s.dispatch_records(spark, sf),
-                               lambda df, name: bucketed(df, "pending_order_id", BUCKETS, name) if name in large else df)
+    return ops.dispatch_tables(pending(spark, sf), s.dispatch_pings(spark, sf), s.dispatch_blasts(spark, sf), deliveries, s.dispatch_records(spark, sf), _by_order)
 
 
 def summary_routes(tables):
-    """Route table for all point pairs the summary may ask for."""
-    origin = (tables.orders.join(ops.nearest_rider(tables.pings), "pending_order_id", "left").withColumn("total_riders_blasted", F.lit(1)))
-    origin = ops.resolve_origin(origin).join(tables.deliveries.select("pending_order_id", "rider_completion_lat", "rider_completion_lng"),
-                                             "pending_order_id", "left")
-    points = (_points(tables.pings, *PING_POINTS).unionByName(_points(origin, "origin_lat", "origin_lng", "delivery_lat", "delivery_lng"))
-              .unionByName(_points(origin, "origin_lat", "origin_lng", "rider_completion_lat", "rider_completion_lng")))
-    return cut_lineage(s.routes_between(points))
+    """Route table for all point pairs the summary may ask for; it is read once, so it is not stored."""
+    ends = ops.order_ends(tables)
+    points = _points(tables.pings, *PING_POINTS).unionByName(_points(ends, *ops.TO)).unionByName(_points(ends, *ops.DONE))
+    return s.routes_between(points)
 
 
 def summary(spark, sf):
     tables = stored_tables(spark, sf)
-    return ops.order_summary(tables, s.app_order_detail(spark, sf), summary_routes(tables), ops.members_on(s.vouchers(spark, sf), AS_OF))
+    return ops.order_summary(tables, s.app_order_detail(spark, sf), summary_routes(tables), ops.members_on(s.vouchers(spark, sf), AS_OF), _by_order)
 
 
 @query("ondemand_order_summary", SUMMARY_SQL + "SELECT * FROM summary")

@@ -123,7 +123,7 @@ def observed(told: Observation) -> dict:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write once to the shared folder and read back: survives lost executors and keeps plans built on top small."""
     path = scratch_path(df.sparkSession, "table")
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
@@ -133,5 +133,5 @@ def bucketed(df: DataFrame, key: str, buckets: int, name: str = "bucketed") -> D
     path = scratch_path(df.sparkSession, name)
     table = "tillworks_" + path.rsplit("/", 1)[1].replace("-", "_")
     _TABLES.append(table)
-    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).format("parquet").saveAsTable(table)
+    df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key).option("path", path).option("compression", "zstd").format("parquet").saveAsTable(table)
     return df.sparkSession.table(table)

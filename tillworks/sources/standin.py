@@ -398,9 +398,9 @@ def dispatch_pings(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dispatch_blasts(spark: SparkSession, sf: str) -> DataFrame:
-    """One row per order and round that pinged anyone."""
+    """One row per order and round that pinged anyone. The lines are dealt by order, which is how rounds are grouped further."""
     line = F.col("l_linenumber")
-    return (table(spark, sf, "lineitem").groupBy("l_orderkey", "l_linenumber")
+    return (table(spark, sf, "lineitem").repartition("l_orderkey").groupBy("l_orderkey", "l_linenumber")
             .agg(F.count(F.lit(1)).alias("riders_notified"), F.min("l_shipdate").alias("sent_at"))
             .select((F.col("l_orderkey") * 10 + line).alias("blast_id"), F.col("l_orderkey").alias("pending_order_id"),
                     line.alias("blast_round"), (1500 + 1500 * line).alias("radius_m"), "riders_notified", "sent_at"))
