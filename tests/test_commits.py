@@ -309,3 +309,44 @@ def test_building_a_plan_runs_nothing(spark, monkeypatch):
     for name, q in queries.items():
         q(spark, sf)
         assert not ran, (name, ran)
+
+
+# --- upsert: only what changes is rewritten
+
+def _versions(spark, orders):
+    """(headers, details) of orders, given as {order: (day, amounts of its details)}."""
+    at = lambda day: dt.datetime(2024, 1, day)
+    headers = spark.createDataFrame([(k, k, at(day)) for k, (day, _) in orders.items()], "order_id long, transaction_id long, order_date timestamp_ntz")
+    details = spark.createDataFrame([(k, x, at(day)) for k, (day, amounts) in orders.items() for x in amounts],
+                                    "order_id long, amount double, order_date timestamp_ntz")
+    return headers, details
+
+
+@pytest.mark.parametrize("spread", [True, False])
+def test_an_upsert_rewrites_the_buckets_of_changed_orders_only(spark, tmp_path, spread):
+    store, cutoff = order_tables(spark, str(tmp_path / "tables"), 4), "2024-01-02 00:00:00"
+    orders = {k: (1 if k < 3 else 5, [1.0, 1.0, 2.0]) for k in range(40)}
+    loads.load_upsert(store, *_versions(spark, orders))
+    before = files_of(tmp_path, "headers"), files_of(tmp_path, "details")
+    assert loads.load_upsert(store, *_versions(spark, orders), cutoff, spread=spread) == {"headers": 0, "details": 0}
+    held = orders | {7: (5, [9.0])}  # shrank
+    assert loads.load_upsert(store, *_versions(spark, held), cutoff, spread=spread) == {"headers": 0, "details": 0}
+    assert (files_of(tmp_path, "headers"), files_of(tmp_path, "details")) == before
+    orders |= {20: (5, [1.0, 2.0, 2.0])}  # the same values, in other numbers
+    loads.load_upsert(store, *_versions(spark, orders), cutoff, spread=spread)
+    part = f"{PART}=" + spark.range(20, 21).select(by_bucket("id", 4)).first()[0]
+    after = files_of(tmp_path, "headers"), files_of(tmp_path, "details")
+    for old, new in zip(before, after):
+        assert {p for p in old if old[p] != new[p]} - {f"{PART}={EMPTY}"} == {part}
+    expected = sorted((k, x) for k, (_, amounts) in orders.items() for x in amounts)
+    assert rows(store.read("details"), "order_id", "amount") == expected and store.read("headers").count() == 40
+    with pytest.raises(ValueError, match="orders loaded twice"):
+        headers, details = _versions(spark, orders)
+        loads.load_upsert(store, headers.unionAll(headers), details, cutoff, staged=True)
+
+
+def test_a_first_upsert_of_doubled_orders_leaves_no_tables(spark, tmp_path):
+    store, (headers, details) = order_tables(spark, str(tmp_path / "tables"), 4), _versions(spark, {1: (1, [1.0])})
+    with pytest.raises(ValueError, match="orders loaded twice"):
+        loads.load_upsert(store, headers.unionAll(headers), details)
+    assert not store.has("headers") and not store.has("details")

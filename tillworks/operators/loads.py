@@ -88,17 +88,28 @@ def load_new_orders(tables: Tables, headers: DataFrame, details: DataFrame, comp
     return {"headers_inserted": inserted, "details_inserted": lines, "headers_known": given - inserted}
 
 
-def load_upsert(tables: Tables, headers: DataFrame, details: DataFrame, cutoff: str | None = None) -> dict[str, int]:
+def load_upsert(tables: Tables, headers: DataFrame, details: DataFrame, cutoff: str | None = None, staged: bool = False, spread: bool = True) -> dict[str, int]:
     """Put new versions of whole orders in place unless they shrank; the same load again changes nothing. Both tables are cut by the same
-    buckets of the order id; only those that the new orders fall into are read and rewritten. Orders before ``cutoff`` leave a bucket when
-    it is rewritten and are filtered by :func:`stored_orders` until then."""
-    headers, details = tables.stage(headers), tables.stage(details)
+    buckets of the order id; only those that the new orders fall into are read, and only those with an order that is not stored row for row
+    as it comes in are rewritten. Orders before ``cutoff`` leave a bucket when it is rewritten and are filtered by :func:`stored_orders`
+    until then. Returns the rows of the rewritten buckets. ``staged``: the new rows are stored already and are read from there. Without
+    ``spread``, rows are written by the tasks that joined them, so a rewritten bucket gets a file of each of these tasks, but no further
+    shuffle: for large loads into few buckets."""
+    if not tables.has("headers"):
+        return tables.load({"headers": headers, "details": details}, gates=(unique_orders(),), spread=spread)
+    if not staged:
+        headers, details = tables.stage(headers), tables.stage(details)
     unique_orders()({"headers": headers})
     own = sorted({*tables.parts(headers, "headers"), *tables.parts(details, "details")})
-    if tables.has("headers"):
-        result = sinks.upsert_hold_shrink(tables.read("headers", own), tables.read("details", own), headers, details, cutoff)
-        headers, details = result.headers, result.details
-    return tables.load({"headers": headers, "details": details}, {"headers": own, "details": own})
+    states = tables.stage(sinks.upsert_states(tables.read("headers", own), tables.read("details", own), headers, details, cutoff))
+    changed = states.filter("changes")
+    own = sorted({*tables.parts(changed, "headers"), *tables.parts(changed, "details")})
+    if not own:
+        return {"headers": 0, "details": 0}
+    mine = lambda rows, name: rows.filter(tables.layouts[name].isin(own))
+    result = sinks.upsert_hold_shrink(tables.read("headers", own), tables.read("details", own), mine(headers, "headers"), mine(details, "details"),
+                                      cutoff, decisions=states.select("order_id", "decision"))
+    return tables.load({"headers": result.headers, "details": result.details}, {"headers": own, "details": own}, spread=spread)
 
 
 def stored_orders(tables: Tables, name: str, cutoff: str | None = None, order_date: str = "order_date") -> DataFrame:

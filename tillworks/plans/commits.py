@@ -16,7 +16,7 @@ from tillworks.plans import income as inc
 from tillworks.plans import loads as frames
 from tillworks.plans import orders as ords
 from tillworks.plans.registry import ORACLES, query
-from tillworks.session import scratch_path
+from tillworks.session import cut_lineage, scratch_path
 from tillworks.sources import standin as s
 from tillworks.sources.tables_on_disk import Tables, by_bucket, by_month
 from tillworks.streaming.upsert import order_tables
@@ -107,10 +107,11 @@ WHERE transaction_date >= TIMESTAMP '{frames.CUTOFF}'""")
 def committed_upsert(spark, sf):
     stored = order_tables(spark, scratch_path(spark, "upsert"), 16)
     headers, details, new, new_details = frames._upsert_inputs(spark, sf)
+    new = cut_lineage(new)
     dates = new.groupBy("order_id").agg(F.min("order_date").alias("order_date"))
-    new_details = new_details.drop("order_date").join(dates, "order_id")
-    loads.load_upsert(stored, headers, details)
-    _twice(lambda: loads.load_upsert(stored, new, new_details, frames.CUTOFF))
+    new_details = cut_lineage(new_details.drop("order_date").join(dates, "order_id"))
+    loads.load_upsert(stored, headers, details, spread=False)
+    _twice(lambda: loads.load_upsert(stored, new, new_details, frames.CUTOFF, staged=True, spread=False))
     return loads.stored_orders(stored, "headers", frames.CUTOFF).select("order_id", "transaction_id", "total_amount", "version")
 
 

@@ -86,7 +86,7 @@ class Tables:
         so that a load need not spread its rows."""
         folder = f"{self.path}/_staged/{uuid.uuid4().hex}"
         rows = frame if like is None else frame.withColumn(PART, self.layouts[like]).hint("rebalance", PART).drop(PART)
-        rows.write.parquet(folder)
+        rows.write.option("compression", "zstd").parquet(folder)
         return self.spark.read.schema(frame.schema).parquet(folder)
 
     def load(self, frames: Mapping[str, DataFrame], touched: Mapping[str, list[str]] | None = None, gates: Iterable[Gate] = (),
@@ -100,7 +100,7 @@ class Tables:
         for name, frame in frames.items():
             told, folder = Observation(), f"{self.path}/_staged/{load}/{name}"
             labelled = frame.observe(told, F.count(F.lit(1)).alias("n")).withColumn(PART, self.layouts[name])
-            (labelled.hint("rebalance", PART) if spread else labelled).write.partitionBy(PART).parquet(folder)
+            (labelled.hint("rebalance", PART) if spread else labelled).write.option("compression", "zstd").partitionBy(PART).parquet(folder)
             self.spark.createDataFrame([], frame.schema).write.parquet(f"{folder}/{PART}={EMPTY}")
             rows[name] = observed(told).get("n", 0)
             written[name] = self.spark.read.parquet(folder).drop(PART)
