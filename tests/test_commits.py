@@ -345,6 +345,24 @@ def test_an_upsert_rewrites_the_buckets_of_changed_orders_only(spark, tmp_path,
         loads.load_upsert(store, headers.unionAll(headers), details, cutoff, staged=True)
 
 
+@pytest.mark.parametrize("few", [True, False])
+def test_many_decisions_are_not_broadcast(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(loads, "FEW_ORDERS", 40 if few else 39, raising=False)
+    plans, upsert = [], loads.sinks.upsert_hold_shrink
+
+    def seen(*args, **named):
+        out = upsert(*args, **named)
+        plans.extend(x._jdf.queryExecution().executedPlan().toString() for x in (out.headers, out.details))
+        return out
+
+    monkeypatch.setattr(loads.sinks, "upsert_hold_shrink", seen)
+    store = order_tables(spark, str(tmp_path / "tables"), 4)
+    loads.load_upsert(store, *_versions(spark, {k: (5, [1.0]) for k in range(20)}))
+    loads.load_upsert(store, *_versions(spark, {k: (5, [2.0, 3.0]) for k in range(40)}))
+    assert len(plans) == 2 and all(("BroadcastHashJoin" in p) == few for p in plans)
+    assert rows(store.read("details"), "order_id", "amount") == sorted((k, x) for k in range(40) for x in (2.0, 3.0))
+
+
 def test_a_first_upsert_of_doubled_orders_leaves_no_tables(spark, tmp_path):
     store, (headers, details) = order_tables(spark, str(tmp_path / "tables"), 4), _versions(spark, {1: (1, [1.0])})
     with pytest.raises(ValueError, match="orders loaded twice"):

@@ -18,6 +18,10 @@ from tillworks.session import observed
 from tillworks.sources.tables import check_window
 from tillworks.sources.tables_on_disk import Gate, Tables, months_between
 
+#: Orders up to which the planner may broadcast a load's decisions. It knows them by the size of their files, which pack them to a few bytes
+#: each, while a broadcast takes 150 bytes for an order on the driver and on every executor.
+FEW_ORDERS = 100_000
+
 
 def load_table(tables: Tables, name: str, frame: DataFrame, gates: tuple[Gate, ...] = ()) -> dict[str, int]:
     """Replace a whole table."""
@@ -101,14 +105,19 @@ def load_upsert(tables: Tables, headers: DataFrame, details: DataFrame, cutoff:
         headers, details = tables.stage(headers), tables.stage(details)
     unique_orders()({"headers": headers})
     own = sorted({*tables.parts(headers, "headers"), *tables.parts(details, "details")})
-    states = tables.stage(sinks.upsert_states(tables.read("headers", own), tables.read("details", own), headers, details, cutoff))
+    told = Observation()
+    states = tables.stage(sinks.upsert_states(tables.read("headers", own), tables.read("details", own), headers, details, cutoff)
+                          .observe(told, F.count(F.lit(1)).alias("n")))
     changed = states.filter("changes")
     own = sorted({*tables.parts(changed, "headers"), *tables.parts(changed, "details")})
     if not own:
         return {"headers": 0, "details": 0}
     mine = lambda rows, name: rows.filter(tables.layouts[name].isin(own))
+    decisions = states.select("order_id", "decision")
+    if observed(told).get("n", 0) > FEW_ORDERS:
+        decisions = decisions.hint("merge")
     result = sinks.upsert_hold_shrink(tables.read("headers", own), tables.read("details", own), mine(headers, "headers"), mine(details, "details"),
-                                      cutoff, decisions=states.select("order_id", "decision"))
+                                      cutoff, decisions=decisions)
     return tables.load({"headers": result.headers, "details": result.details}, {"headers": own, "details": own}, spread=spread)
 
 
