@@ -60,6 +60,26 @@ def test_fields_the_schema_lacks(lines):
     assert sorted(tuple(r) for r in tables.unknown_fields(lines).collect()) == [("drawer", 2), ("tip", 1)]
 
 
+def test_a_line_is_parsed_once(lines, tmp_path):
+    good = tables.good_documents(lines).select("order_id", F.explode("transactions"))
+    staged = lines.where("reason IS NULL OR reason = 'not JSON'").select("doc", "reason")
+    for plan in (x._jdf.queryExecution().optimizedPlan().toString() for x in (good, staged, tables.quarantined(lines))):
+        assert plan.count("from_json(") <= 1 and plan.count("parseJson(") == 1, plan
+
+
+def test_only_objects_are_documents(spark, tmp_path):
+    good = [' \t{"order_id":"1"}', '\r {"order_id":"2"} ', '{ }']
+    odd = [' [1]', ' "{"', '\t7', '{', '\ufeff{"order_id":"3"}', '\x0b{"order_id":"4"}', '\u00a0{"order_id":"5"}', '{"order_id":"6","order_id":"6"}']
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_bytes("\n".join(good + odd).encode())
+    out = {r["value"]: r["reason"] for r in tables.document_lines(spark, str(tmp_path / "in")).collect()}
+    v = F.try_parse_json("value")
+    before = F.when(v.isNull(), "not JSON").when(~F.startswith(F.schema_of_variant(v), F.lit("OBJECT")), "not a document")
+    expected = {r[0]: r[1] for r in spark.createDataFrame([(x,) for x in out], "value string").select("value", before).collect()}
+    assert {k: r if r in ("not JSON", "not a document") else None for k, r in out.items()} == expected
+    assert sorted(map(str, out.values())) == ["None", "None", "no order id", *["not JSON"] * 5, *["not a document"] * 3]
+
+
 def test_no_lines(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text("\n\n")
