@@ -266,6 +266,43 @@ def test_single_items_keep_one_row_and_null_keys_match(spark):
     assert sorted((r.product_id or "", r.n) for r in kept) == [("", 1), ("x", 1), ("y", 1)]
 
 
+@pytest.mark.parametrize("flood", [0, 3, 1000])
+def test_small_and_large_groups_are_cleaned_alike(spark, monkeypatch, flood):
+    monkeypatch.setattr(dedup, "FLOOD", flood, raising=False)
+    rows = ([_row("comboset", "b", p, n) for p, n in (("x", 12), ("x", 12), ("x", 3), ("y", 25))] * 2 + [_row("comboset", None, "x", order=None)] * 3
+            + [_row("comboset", "b", "z", n, order=2) for n in (5, 31, 5)] + [_row("standard", "", "y", n, order=3) for n in (14, 2, 14)]
+            + [_row(None, "", "y", n, order=3) for n in (4, 2)])
+    df, master = spark.createDataFrame(rows, DETAIL), spark.createDataFrame([("b", 4)], "bundling_id string, bundling_slot_count int")
+    tens = F.floor(F.col("n") / 10)
+    kept = dedup.dedup_details(df, master, ["n"], tens, strict=False)
+    assert sorted((r.order_id or 0, r.type or "", r.product_id, r.n) for r in kept.collect()) == sorted(
+        [(1, "comboset", "x", 3), (1, "comboset", "x", 3), (1, "comboset", "x", 12), (1, "comboset", "y", 25), *[(0, "comboset", "x", 1)] * 3,
+         (2, "comboset", "z", 5), (2, "comboset", "z", 5), (2, "comboset", "z", 31), (3, "standard", "y", 2), (3, "", "y", 2)])
+    work = dedup.dedup_work(df, master, ["n"], tens).groupBy("order_id", "type", "dup_factor", "dup_factor_source", "combo_group_rows", "bundling_slot_count",
+                                                             "needs_manual_check").agg(F.sum("_copies").cast("int").alias("n"))
+    assert {tuple(r) for r in work.collect()} == {
+        (1, "comboset", 2, "bundling", 8, 4, False, 8), (None, "comboset", 1, "not_in_master", 3, None, True, 3), (2, "comboset", 1, "slot_mismatch", 3, 4, True, 3),
+        (3, "standard", 1, "not_in_master", None, None, False, 3), (3, None, 1, "not_in_master", None, None, None, 2)}
+    stats = sorted((r.order_id or 0, r.type or "", r.product_id, r.rows_per_key, r.row_seq_in_key, r.n) for r in dedup.dedup_key_stats(df, ["n"], tens).collect())
+    assert stats == sorted((o or 0, kind or "", p, len(ns), i, n) for (o, kind, p), ns in _by_key(rows).items() for i, n in enumerate(sorted(ns)))
+
+
+def _by_key(rows):
+    out = {}
+    for r in rows:
+        out.setdefault((r[0], r[2], r[4]), []).append(r[-1])
+    return out
+
+
+def test_rows_of_small_groups_are_shuffled_once(spark):
+    rows = [_row("comboset" if i % 3 else "standard", "b", f"p{i % 7}", i, order=i % 50) for i in range(400)]
+    df, master = spark.createDataFrame(rows, DETAIL), spark.createDataFrame([("b", 4)], "bundling_id string, bundling_slot_count int")
+    kept = dedup.dedup_details(df, master, ["n"], F.floor(F.col("n") / 10))
+    kept.collect()
+    plan = kept._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Exchange hashpartitioning(order_id") == 1, plan
+
+
 def test_unknown_type_and_missing_master_stop_the_job(spark):
     df = spark.createDataFrame([_row("package", "b", "x")], DETAIL)
     master = spark.createDataFrame([("b", 1)], "bundling_id string, bundling_slot_count int")

@@ -88,10 +88,14 @@ def add_slot(df: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
 
 
 def join_slots(df: DataFrame, per_bucket: DataFrame, keys: Sequence[str], bucket: str) -> DataFrame:
-    """Join rows to the facts of their slot. Slots are bounded by their bucket, so this join need not be split."""
-    extra = [c for c in per_bucket.columns if c not in (*keys, bucket)]
-    right = per_bucket.select(F.struct(*keys, bucket).alias("_rk"), *extra)
-    return add_slot(df, keys, bucket).join(right, F.col("_slot") == F.col("_rk")).drop("_rk")
+    """Join rows to the facts of their slot. Slots are bounded by their bucket, so this join need not be split. The keys travel in the slot
+    only."""
+    own = (*keys, bucket)
+    extra = [c for c in per_bucket.columns if c not in own]
+    right = per_bucket.select(F.struct(*own).alias("_rk"), *extra)
+    rows = add_slot(df, keys, bucket)
+    joined = rows.drop(*own).join(right, F.col("_slot") == F.col("_rk"))
+    return joined.select(*[F.col(f"_slot.{c}").alias(c) if c in own else F.col(c) for c in [*rows.columns, *extra]])
 
 
 def running_sum(df: DataFrame, keys: Sequence[str], bucket: str, order: Sequence[Column | str],

@@ -3,8 +3,9 @@
 Details have no unique key: a bundle may legally hold identical components. A file loaded n times multiplies everything by n,
 so a bundle key keeps rows ÷ n, where n = component rows of the bundle ÷ its slots in the master.
 
-Identical rows are folded to (row, copies) first, so a flood of copies is one row before any shuffle; the numbers per key are
-then sums over the folded rows and ``keep`` is arithmetic on running copies.
+Rows are shuffled once, by the group of their bundle, and numbered there. Where a group has more than FLOOD rows, identical rows are folded
+to (row, copies) first, so a flood of copies is one row before any shuffle, and keys are cut into buckets; the numbers per key are then sums
+over the folded rows. ``keep`` is arithmetic on running copies.
 """
 
 from __future__ import annotations
@@ -15,7 +16,29 @@ from pyspark.sql.window import Window
 
 from tillworks import fixed_values as fv
 from tillworks.functions.scalars import np_round
-from tillworks.functions.skew import bucket_offsets, count_copies, join_per_key, join_slots, repeat_rows
+from tillworks.functions.skew import among, bucket_offsets, count_copies, join_per_key, join_slots, repeat_rows
+
+#: Rows of a group that one task sorts as they are.
+FLOOD = 1000
+
+
+def _few_and_many(details: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(rows of groups with up to FLOOD rows, all others): groups are told apart by a hash, a clash only sends rows the longer way."""
+    rows = details.withColumn("_h", F.xxhash64(*fv.BUNDLE_GROUP_KEY))
+    floods = rows.groupBy("_h").agg(F.count(F.lit(1)).alias("_t")).filter(F.col("_t") > FLOOD).select("_h")
+    flooded = among(floods, "_h")
+    return rows.filter(~flooded).drop("_h"), rows.filter(flooded).drop("_h")
+
+
+def _numbered(few: DataFrame, order: list[str]) -> DataFrame:
+    """Rows of small groups with the facts of :func:`_ranked`: one shuffle serves all three windows."""
+    key = [*fv.BUNDLE_GROUP_KEY, *[c for c in fv.DETAIL_KEY if c not in fv.BUNDLE_GROUP_KEY]]
+    rest = [c for c in few.columns if c not in fv.DETAIL_KEY and c not in order]
+    combo = F.col("type") == fv.BUNDLE_TYPE
+    # the coarsest window comes first: its shuffle does for the others
+    return (few.withColumn("combo_group_rows", F.when(combo, F.count_if(combo).over(Window.partitionBy(*fv.BUNDLE_GROUP_KEY))))
+            .withColumn("_upto", F.row_number().over(Window.partitionBy(*key).orderBy(*order, *rest)).cast("bigint"))
+            .withColumn("rows_per_key", F.count(F.lit(1)).over(Window.partitionBy(*key))).withColumn("_copies", F.lit(1).cast("bigint")))
 
 
 def _stats(details: DataFrame, bucket: Column) -> tuple[DataFrame, DataFrame]:
@@ -38,8 +61,10 @@ def dedup_key_stats(details: DataFrame, order: list[str], bucket: Column) -> Dat
 
     ``order`` fixes which rows of a key come first; ``bucket`` is a coarse, growing function of ``order[0]`` with few values.
     """
-    folded, per_bucket = _stats(details, bucket)
+    few, many = _few_and_many(details)
+    folded, per_bucket = _stats(many, bucket)
     df = _ranked(folded, per_bucket, details, order)
+    df = df.unionByName(_numbered(few, order).select(*df.columns))
     first = F.col("_upto") - F.col("_copies")
     return (df.withColumn("row_seq_in_key", F.explode(F.sequence(first, F.col("_upto") - 1)))
             .withColumn("is_combo", F.col("type") == fv.BUNDLE_TYPE).drop("_copies", "_upto"))
@@ -57,7 +82,11 @@ def _with_factor(df: DataFrame, rows: str, slots: DataFrame) -> DataFrame:
     bundles = join_per_key(bundles, sizes, fv.BUNDLE_GROUP_KEY, "inner").join(slots, "bundling_id", "left")
     single = df.filter(~combo)
     empty = {f.name: F.lit(None).cast(f.dataType).alias(f.name) for f in bundles.schema.fields if f.name not in df.columns}
-    df = bundles.select(*df.columns, *empty).unionByName(single.select(*df.columns, *empty.values()))
+    return _judged(bundles.select(*df.columns, *empty).unionByName(single.select(*df.columns, *empty.values())))
+
+
+def _judged(df: DataFrame) -> DataFrame:
+    """The factor of :func:`_with_factor` from ``combo_group_rows`` and ``bundling_slot_count``."""
     whole = F.col("combo_group_rows") % F.col("bundling_slot_count") == 0
     by_master = F.when(whole & (F.col("combo_group_rows") >= F.col("bundling_slot_count")),
                        (F.col("combo_group_rows") / F.col("bundling_slot_count")).cast("int"))
@@ -77,18 +106,27 @@ def combo_dup_factor(details: DataFrame, slots: DataFrame) -> DataFrame:
 
 
 def dedup_work(details: DataFrame, slots: DataFrame, order: list[str], bucket: Column) -> DataFrame:
-    """Folded rows with everything the decision needs; ``_keep`` of their ``_copies`` stay."""
-    folded, per_bucket = _stats(details, bucket)
-    df = _with_factor(per_bucket, "_t", slots)
+    """Rows, folded where they are many, with everything the decision needs; ``_keep`` of their ``_copies`` stay."""
+    few, many = _few_and_many(details)
+    folded, per_bucket = _stats(many, bucket)
+    df = _ranked(folded, _to_keep(_with_factor(per_bucket, "_t", slots)), details, order)
+    known = slots.select(F.col("bundling_id").alias("_bundle"), *[c for c in slots.columns if c != "bundling_id"])
+    numbered = _numbered(few, order)
+    bundle = F.when(F.col("combo_group_rows").isNotNull(), F.col("bundling_id"))
+    numbered = _to_keep(_judged(numbered.join(known, bundle == F.col("_bundle"), "left").drop("_bundle")))
+    df = df.unionByName(numbered.select(*df.columns))
+    before = F.col("_upto") - F.col("_copies")
+    return df.withColumn("_keep", F.greatest(F.lit(0).cast("bigint"), F.least(F.col("_copies"), F.col("rows_to_keep") - before)))
+
+
+def _to_keep(df: DataFrame) -> DataFrame:
+    """How many rows of a key stay, and whether someone must look at them."""
     combo = F.col("type") == fv.BUNDLE_TYPE
     divisible = F.col("rows_per_key") % F.col("dup_factor") == 0
     keep = (F.when(combo & divisible, (F.col("rows_per_key") / F.col("dup_factor")).cast("bigint"))
             .when(combo, F.col("rows_per_key")).otherwise(F.lit(1).cast("bigint")))
-    df = (df.withColumn("rows_to_keep", keep)
-          .withColumn("needs_manual_check", combo & (~divisible | (F.col("dup_factor_source") != "bundling"))))
-    df = _ranked(folded, df, details, order)
-    before = F.col("_upto") - F.col("_copies")
-    return df.withColumn("_keep", F.greatest(F.lit(0).cast("bigint"), F.least(F.col("_copies"), F.col("rows_to_keep") - before)))
+    return (df.withColumn("rows_to_keep", keep)
+            .withColumn("needs_manual_check", combo & (~divisible | (F.col("dup_factor_source") != "bundling"))))
 
 
 def checked_types(details: DataFrame, known: list[str] = fv.DETAIL_TYPES) -> DataFrame:
