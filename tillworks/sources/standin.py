@@ -200,8 +200,8 @@ def order_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(((oid % 37 == 0) & (oid % 41 != 7)).alias("on"), tx(4, "refund", total).alias("t")))
     transactions = F.transform(F.filter(pairs, lambda p: p["on"]), lambda p: p["t"])
 
-    def detail(i):
-        k = (oid * 7 + i * 13) % 97
+    def detail(line):
+        i, k = line["i"], line["k"]
         text = lambda c: c.cast("string")
         kind = F.when(k % 3 == 0, fv.BUNDLE_TYPE).when(k % 3 == 1, "standard").otherwise("variant")
         combos = F.when(k % 3 == 0, F.transform(F.sequence(F.lit(1).cast("bigint"), 1 + k % 4), lambda j: F.struct(
@@ -228,6 +228,8 @@ def order_documents(spark: SparkSession, sf: str) -> DataFrame:
             F.when(k % 29 != 0, F.when(k % 5 == 0, 11.0).otherwise(10.0)).alias("tax_percentage"),
             combos.alias("product_combos"), promotions.alias("promotions"), discounts.alias("discounts"))
 
+    # a line's number is worked out once: inside a lambda nothing is shared
+    numbers = F.transform(F.sequence(F.lit(1).cast("bigint"), n), lambda i: F.struct(i.alias("i"), ((oid * 7 + i * 13) % 97).alias("k")))
     lit = lambda v: F.lit(v).cast("string")
     return b.select(
         oid.cast("string").alias("order_id"), F.concat(F.lit("R"), oid.cast("string")).alias("order_reference"),
@@ -238,7 +240,7 @@ def order_documents(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit("Zoë "), F.col("customer_id").cast("string")).alias("customer_first_name"), lit(None).alias("customer_last_name"),
         lit(None).alias("customer_phone_number"), lit(None).alias("customer_email"), lit("c1").alias("cashier_id"),
         utc.alias("order_date"), utc.alias("closed_date"), *MONEY_COLUMNS, transactions.alias("transactions"),
-        F.transform(F.sequence(F.lit(1).cast("bigint"), n), detail).alias("order_details"))
+        F.transform(numbers, detail).alias("order_details"))
 
 
 def products(spark: SparkSession, sf: str) -> DataFrame:
