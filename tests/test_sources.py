@@ -115,6 +115,16 @@ def test_documents_pulled_once_are_not_shuffled(spark):
     assert got == {str(i): "a" if i % 50 else "b" for i in range(500)}
 
 
+def test_columns_nobody_reads_are_not_shuffled_with_documents(spark):
+    rows = [("1", T0, "a", "x"), ("1", T0, "b", None), ("1", None, "c", "y"), ("2", None, None, "z"), ("2", None, "d", None), ("3", T0, "e", "w")]
+    docs = spark.createDataFrame(rows, "order_id string, closed_date timestamp_ntz, notes string, customer_id string")
+    got = [tuple(r) for r in one_document_per_order(docs).collect()]
+    assert sorted(r[0] for r in got) == ["1", "2", "3"] and set(got) <= set(rows) and ("1", None, "c", "y") not in got
+    plan = one_document_per_order(docs).select("order_id", "notes")._jdf.queryExecution().optimizedPlan().toString()
+    picks = [line for line in plan.splitlines() if "Aggregate" in line and "max_by" in line]
+    assert len(picks) == 1 and picks[0].count("max_by") == 1 and "max_by(notes" in picks[0]
+
+
 @pytest.mark.parametrize("words", [1, 64])
 def test_no_key_is_left_out_of_a_key_filter(spark, words):
     keys = spark.range(0, 3000, 7).select(F.col("id").cast("string").alias("k"))
